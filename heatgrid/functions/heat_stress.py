@@ -3,27 +3,25 @@
 The indices take and return the units of the publications that define them.
 """
 
+import math
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heatgrid.functions.moist_air import (
+    TETENS_FACTOR,
+    TETENS_HPA,
+    TETENS_OFFSET,
     VAPOUR_TO_DRY_AIR,
-    saturation_pressure,
-    saturation_slope,
 )
 
-# Rothfusz regression as (coefficient, power of temperature in
-# degrees F, power of relative humidity in percent).
-ROTHFUSZ_TERMS = (
-    (-42.379, 0, 0),
-    (2.04901523, 1, 0),
-    (10.14333127, 0, 1),
-    (-0.22475541, 1, 1),
-    (-0.00683783, 2, 0),
-    (-0.05481717, 0, 2),
-    (0.00122874, 2, 1),
-    (0.00085282, 1, 2),
-    (-0.00000199, 2, 2),
+# Rothfusz regression. Row: power of temperature (degrees F),
+# column: power of relative humidity (percent).
+ROTHFUSZ = (
+    (-42.379, 10.14333127, -0.05481717),
+    (2.04901523, -0.22475541, 0.00085282),
+    (-0.00683783, 0.00122874, -0.00000199),
 )
 
 # Heats in J/kg/K and J/kg, the largest accepted depression of
@@ -34,39 +32,33 @@ LATENT_HEAT_AT_ZERO = 2.501e6
 LATENT_HEAT_PER_DEGREE = -2370.0
 LARGEST_DEPRESSION = 40.0
 
-# Refinement passes. Six reach full double precision everywhere on
+# Refinement passes. Seven reach full double precision everywhere on
 # -60..60 degrees C, 0..0.05 kg/kg, 500..1100 hPa (tests/test_metrics.py).
-WET_BULB_PASSES = 8
+WET_BULB_PASSES = 7
 
 
-def _power(base: Column, exponent: int) -> list[Column]:
-    return [base] * exponent
+def _quadratic(coefficients: Sequence[Column | float], x: Column) -> Column:
+    constant, linear, square = coefficients
+    return (x * square + linear) * x + constant
 
 
 def heat_index(degrees_f: Column, humidity_percent: Column) -> Column:
     """Heat index in degrees F: the simple form, or the regression where the mean of
     simple form and temperature reaches 80, with its two humidity corrections."""
-    simple = (
-        degrees_f + 61.0 + (degrees_f - 68.0) * 1.2 + humidity_percent * 0.094
-    ) * 0.5
-
-    regression = F.lit(ROTHFUSZ_TERMS[0][0])
-    for coefficient, t_power, rh_power in ROTHFUSZ_TERMS[1:]:
-        term = F.lit(coefficient)
-        for factor in _power(degrees_f, t_power) + _power(humidity_percent, rh_power):
-            term = term * factor
-        regression = regression + term
-
+    simple = degrees_f * 1.1 + humidity_percent * 0.047 - 10.3
+    regression = _quadratic(
+        [_quadratic(row, humidity_percent) for row in ROTHFUSZ], degrees_f
+    )
     dry = (humidity_percent < 13.0) & degrees_f.between(80.0, 112.0)
     humid = (humidity_percent > 85.0) & degrees_f.between(80.0, 87.0)
-    distance = F.abs((F.lit(17.0) - F.abs(degrees_f - 95.0)) / 17.0)
+    distance = F.abs(F.lit(17.0) - F.abs(degrees_f - 95.0))
     correction = (
-        F.when(dry, (humidity_percent - 13.0) / 4.0 * F.sqrt(distance))
-        .when(humid, (humidity_percent - 85.0) / 10.0 * ((F.lit(87.0) - degrees_f) / 5.0))
+        F.when(dry, (humidity_percent - 13.0) * 0.25 * F.sqrt(distance * (1 / 17.0)))
+        .when(humid, (humidity_percent - 85.0) * (F.lit(87.0) - degrees_f) * 0.02)
         .otherwise(0.0)
     )
     # A NULL condition falls through to the simple form, which is NULL then too.
-    return F.when((simple + degrees_f) * 0.5 >= 80.0, regression + correction).otherwise(simple)
+    return F.when(simple + degrees_f >= 160.0, regression + correction).otherwise(simple)
 
 
 def apparent_temperature(celsius: Column, vapour_hpa: Column, wind_ms: Column) -> Column:
@@ -81,6 +73,33 @@ def simplified_wbgt(celsius: Column, vapour_hpa: Column) -> Column:
     return celsius * 0.567 + vapour_hpa * 0.393 + 3.94
 
 
+def _quotient(numerator: Column, denominator: Column) -> Column:
+    """A division that is never NULL, so that generated code needs no NULL checks."""
+    return F.coalesce(F.try_divide(numerator, denominator), F.lit(0.0))
+
+
+def _closer(w: Column, d: Column, t: Column, q: Column, p: Column, per_heat: Column) -> Column:
+    """One Newton step on ``L(w)/cp (qs(w) - q) = d``, ``d = t - w`` limited to 0..40."""
+    steepness = TETENS_FACTOR * TETENS_OFFSET
+    inverse = _quotient(F.lit(1.0), w + TETENS_OFFSET)
+    vapour = F.exp(F.lit(math.log(TETENS_HPA) + TETENS_FACTOR) - inverse * steepness)
+    ratio = _quotient(vapour, p - vapour * (1.0 - VAPOUR_TO_DRY_AIR))
+    excess = ratio * VAPOUR_TO_DRY_AIR - q
+    # d(qs)/dw
+    moistening = (
+        ratio
+        * VAPOUR_TO_DRY_AIR
+        * (ratio * (1.0 - VAPOUR_TO_DRY_AIR) + 1.0)
+        * inverse
+        * inverse
+        * steepness
+    )
+    latent = (w * LATENT_HEAT_PER_DEGREE + LATENT_HEAT_AT_ZERO) * per_heat
+    slope = latent * moistening + 1.0 + excess * per_heat * LATENT_HEAT_PER_DEGREE
+    stepped = d + _quotient(latent * excess - d, slope)
+    return F.least(F.greatest(stepped, F.lit(0.0)), F.lit(LARGEST_DEPRESSION))
+
+
 def with_wet_bulb(
     df: DataFrame,
     celsius: str = "tc",
@@ -91,35 +110,31 @@ def with_wet_bulb(
 ) -> DataFrame:
     """Add the isobaric wet-bulb temperature in degrees C.
 
-    Solves ``cp (T - Tw) = L(Tw) (qs(Tw) - q)`` for Tw by Newton steps from
-    Tw = T, each limited to [T - 40, T]. A fixed number of passes replaces a
-    convergence loop: every pass is a projection, so the whole refinement stays
-    in one generated stage with no Python and no shuffle. Splitting a pass into
-    two projections keeps each exponential evaluated once.
+    Solves ``cp (T - Tw) = L(Tw) (qs(Tw) - q)`` from Tw = T. A fixed number of
+    passes replaces a convergence loop, each pass a projection on the one before.
+
+    The JVM does not compile a method beyond 8000 bytes of bytecode, and the
+    same plan then runs about fifty times slower. Two things keep the generated
+    method below that. The passes run on non-NULL columns, NULL inputs being put
+    back at the end. And each pass yields both the estimate and its depression,
+    so the step is a common subexpression, which Spark moves to its own method.
     """
     kept = [F.col(name) for name in df.columns]
-    t, q, p = F.col(celsius), F.col(specific_humidity), F.col(pressure_hpa)
-    w, es = F.col("_w"), F.col("_es")
+    raw = [F.col(name) for name in (celsius, specific_humidity, pressure_hpa)]
+    known = raw[0].isNotNull() & raw[1].isNotNull() & raw[2].isNotNull()
 
+    names = ("_t", "_q", "_p")
+    inputs = [F.coalesce(c, F.lit(x)).alias(n) for c, x, n in zip(raw, (0.0, 0.0, 1000.0), names)]
+    t, q, p, per_heat, w, d = (F.col(name) for name in (*names, "_per_heat", "_w", "_d"))
+    current = df.select(*kept, *inputs)
     heat = q * (HEAT_VAPOUR - HEAT_DRY_AIR) + HEAT_DRY_AIR
-    dry = p - es * (1.0 - VAPOUR_TO_DRY_AIR)
-    latent = w * LATENT_HEAT_PER_DEGREE + LATENT_HEAT_AT_ZERO
-    ratio = F.try_divide(heat, latent)
-    balance = F.try_divide(es * VAPOUR_TO_DRY_AIR, dry) - q - ratio * (t - w)
-    slope = (
-        F.try_divide(p * VAPOUR_TO_DRY_AIR * saturation_slope(w, es), dry * dry)
-        + ratio
-        + F.try_divide((t - w) * heat * LATENT_HEAT_PER_DEGREE, latent * latent)
+    current = current.select(
+        *kept, t, q, p, _quotient(F.lit(1.0), heat).alias("_per_heat"),
+        t.alias("_w"), F.lit(0.0).alias("_d"),
     )
-    stepped = w - F.try_divide(balance, slope)
-    # NULL inputs must stay NULL although greatest/least would skip them.
-    limited = F.when(
-        stepped.isNotNull(), F.greatest(F.least(stepped, t), t - LARGEST_DEPRESSION)
-    )
-
-    known = t.isNotNull() & q.isNotNull() & p.isNotNull()
-    current = df.select(*kept, F.when(known, t).alias("_w"))
     for _ in range(passes):
-        current = current.select(*kept, w, saturation_pressure(w).alias("_es"))
-        current = current.select(*kept, limited.alias("_w"))
-    return current.select(*kept, w.alias(output))
+        closer = _closer(w, d, t, q, p, per_heat)
+        current = current.select(
+            *kept, t, q, p, per_heat, (t - closer).alias("_w"), closer.alias("_d")
+        )
+    return current.select(*kept, F.when(known, w).alias(output))

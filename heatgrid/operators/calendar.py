@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from heatgrid.schema import CELL
 
 
+def hour_bit(ts: str) -> Column:
+    """The hour of the day as one bit of 24, so that hours can be collected by OR."""
+    return F.call_function("shiftleft", F.lit(1), F.hour(ts))
+
+
 def check_years(start_year: int, end_year: int) -> None:
     if end_year < start_year:
         raise ValueError(f"the last year {end_year} lies before the first year {start_year}")

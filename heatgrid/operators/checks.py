@@ -5,14 +5,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from heatgrid.operators.calendar import hour_bit
 from heatgrid.operators.polygons import grid_axes
 from heatgrid.schema import CELL, HOURS_PER_DAY
 
 
-def _hour_bit():
-    return F.shiftleft(F.lit(1), F.hour("ts"))
-
-
 def hourly_coverage(hourly: DataFrame, keys: Sequence[str] = CELL) -> DataFrame:
     """One row of facts about the time axis of an hourly table.
 
@@ -24,7 +21,7 @@ def hourly_coverage(hourly: DataFrame, keys: Sequence[str] = CELL) -> DataFrame:
         F.min("ts").alias("first_ts"),
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("ts").cast("timestamp_ntz") != hour).alias("off_hour"),
-        F.bit_or(_hour_bit()).alias("hours"),
+        F.bit_or(hour_bit("ts")).alias("hours"),
     )
     per_day = per_cell_day.groupBy("day").agg(
         F.min("first_ts").alias("first_ts"),
@@ -52,7 +49,7 @@ def check_whole_days(hourly: DataFrame) -> None:
     """
     facts = (
         hourly.groupBy(F.to_date("ts").alias("day"))
-        .agg(F.min("ts").alias("first_ts"), F.bit_count(F.bit_or(_hour_bit())).alias("hours"))
+        .agg(F.min("ts").alias("first_ts"), F.bit_count(F.bit_or(hour_bit("ts"))).alias("hours"))
         .agg(F.min("first_ts").alias("first_ts"), F.sum("hours").alias("hours"))
         .first()
     )

@@ -2,17 +2,14 @@
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heatgrid.functions.metrics import METRICS, MetricSpec, derive_hourly
+from heatgrid.operators.calendar import hour_bit
 from heatgrid.schema import CELL, HOURS_PER_DAY, STATISTICS
 
 
-def _hour_bit(ts: Column) -> Column:
-    return F.shiftleft(F.lit(1), F.hour(ts))
-
-
 def reduce_daily(
     hourly: DataFrame,
     metrics: Iterable[str],
@@ -43,7 +40,7 @@ def reduce_daily(
     if reject_repeated_hours:
         aggregates += [
             F.count(F.lit(1)).alias("_rows"),
-            F.bit_count(F.bit_or(_hour_bit(F.col("ts")))).alias("_hours"),
+            F.bit_count(F.bit_or(hour_bit("ts"))).alias("_hours"),
         ]
     totals = hourly.groupBy(*keys, F.to_date("ts").alias("day")).agg(*aggregates)
 

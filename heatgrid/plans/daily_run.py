@@ -13,7 +13,7 @@ from heatgrid.operators.joins import BROADCAST_ROWS
 from heatgrid.operators.region import inside_cells, keep_inside, region_extent
 from heatgrid.operators.tiles import keep_occupied, occupied_tiles
 from heatgrid.schema import HOURS_PER_DAY, TILE, TILE_SHAPE
-from heatgrid.session import use_utc
+from heatgrid.session import prepared
 from heatgrid.sources.daily_store import (
     check_store_axis,
     check_store_grid,
@@ -89,7 +89,7 @@ def run_daily(
     year is recorded after its data is complete, so a lost run repeats at most
     one year; metrics and years already recorded are not touched.
     """
-    use_utc(spark)
+    prepared(spark)
     names = select_metrics(metrics, registry)
     check_store_axis(spark, root, start_year, end_year)
     check_store_grid(spark, root, region_cells)

@@ -4,8 +4,13 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Days are UTC days, so a session in another zone would cut them elsewhere.
-REQUIRED_SETTINGS = {"spark.sql.session.timeZone": "UTC"}
+REQUIRED_SETTINGS = {
+    # Days are UTC days; a session in another zone would cut them elsewhere.
+    "spark.sql.session.timeZone": "UTC",
+    # The JVM interprets methods beyond this size. A stage that large runs faster
+    # operator by operator, which is what Spark falls back to at this limit.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
 
 RECOMMENDED_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -27,7 +32,8 @@ def build_session(app_name: str = "heatgrid", master: str | None = None, **setti
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
+def prepared(spark: SparkSession) -> SparkSession:
+    """The given session with the settings the package depends on."""
     for key, value in REQUIRED_SETTINGS.items():
         spark.conf.set(key, value)
     return spark

@@ -19,6 +19,13 @@ TABLES = (
 ).split()
 
 
+# Spark type -> type DuckDB reports for the same column.
+KINDS = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+}
+
+
 def oracle_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for name in TABLES:
@@ -49,6 +56,10 @@ def difference(spark, connection, query, sql: str, sf_dir: str) -> str | None:
         return f"columns {ours_columns} vs {theirs_columns}"
     if len(ours) != len(theirs):
         return f"{len(ours)} rows vs {len(theirs)}"
+    kinds = {column[0]: str(column[1]) for column in result.description}
+    mismatched = [(n, k, kinds[n]) for n, k in df.dtypes if KINDS.get(k, k) != kinds[n]]
+    if mismatched:
+        return f"types {mismatched}"
     wrong = [(a, b) for a, b in zip(ours, theirs) if a != b]
     if wrong:
         return f"{len(wrong)} of {len(ours)} rows differ, first {wrong[0][0]} vs {wrong[0][1]}"
@@ -76,7 +87,7 @@ def main() -> int:
         except Exception as error:  # a broken query is a finding, not the end of the run
             problem = f"{type(error).__name__}: {str(error)[:1500]}"
         failures += problem is not None
-        print(f"{'ok  ' if problem is None else 'FAIL'} {name} {time.time() - start:.2f}s {problem or ''}", flush=True)
+        print(f"\n{'ok  ' if problem is None else 'FAIL'} {name} {time.time() - start:.2f}s {problem or ''}", flush=True)
     print(f"{len(wanted) - failures} of {len(wanted)} match")
     return 1 if failures else 0
 

@@ -11,7 +11,7 @@ from heatgrid.functions.metrics import METRICS, with_quantities
 from heatgrid.operators import calendar, checks, polygons, region, tiles
 from heatgrid.operators.daily import daily_metrics, reduce_daily, to_long
 from heatgrid.schema import STATISTICS
-from heatgrid.session import shared_folder, use_utc
+from heatgrid.session import shared_folder, prepared
 from heatgrid.sources import daily_store, hourly as hourly_source
 from workloads import fixtures as fx
 from workloads.oracle import DERIVED, daily_ctes, digits, rounded_daily
@@ -35,7 +35,7 @@ CATALOG: dict[str, Entry] = {}
 def register(name: str, sql: str) -> Callable[[Query], Query]:
     def keep(query: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return query(use_utc(spark), sf_dir)
+            return query(prepared(spark), sf_dir)
 
         CATALOG[name] = Entry(run, sql)
         return query

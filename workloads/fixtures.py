@@ -161,8 +161,11 @@ FROM customer
 
 
 def hourly_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days of every cell. Cells are spread over the cores before each grows to 48 rows;
+    spread by their key, so that aggregating a cell needs no further shuffle."""
     k = F.col("lat_idx").cast("bigint") * GRID_COLUMNS + F.col("lon_idx")
-    hours = grid(spark, sf_dir).select(
+    cores = spark.sparkContext.defaultParallelism
+    hours = grid(spark, sf_dir).repartition(cores, "lat_idx", "lon_idx").select(
         "lat_idx", "lon_idx", k.alias("k"), F.explode(F.sequence(F.lit(0), F.lit(47))).alias("h")
     )
     weather = _weather(F.col("k"), k_steps=(37, 13, 7, 11, 17), hour_terms=(101, 29, 53, 3, 5))
