@@ -118,6 +118,10 @@ def with_wet_bulb(
     method below that. The passes run on non-NULL columns, NULL inputs being put
     back at the end. And each pass yields both the estimate and its depression,
     so the step is a common subexpression, which Spark moves to its own method.
+
+    A filter on the result is kept from moving down through the passes, where
+    substituting each into the next would multiply the expression at every pass.
+    Filters on other columns therefore belong before this call.
     """
     kept = [F.col(name) for name in df.columns]
     raw = [F.col(name) for name in (celsius, specific_humidity, pressure_hpa)]
@@ -132,9 +136,10 @@ def with_wet_bulb(
         *kept, t, q, p, _quotient(F.lit(1.0), heat).alias("_per_heat"),
         t.alias("_w"), F.lit(0.0).alias("_d"),
     )
+    closer = _closer(w, d, t, q, p, per_heat)
+    one_pass = [*kept, t, q, p, per_heat, (t - closer).alias("_w"), closer.alias("_d")]
     for _ in range(passes):
-        closer = _closer(w, d, t, q, p, per_heat)
-        current = current.select(
-            *kept, t, q, p, per_heat, (t - closer).alias("_w"), closer.alias("_d")
-        )
-    return current.select(*kept, F.when(known, w).alias(output))
+        current = current.select(*one_pass)
+    # Always true, but not deterministic to the optimizer: no filter passes it.
+    barrier = F.spark_partition_id() >= 0
+    return current.select(*kept, F.when(known & barrier, w).alias(output))

@@ -50,23 +50,15 @@ def edges_of(vertices: DataFrame) -> DataFrame:
     successor = vertices.select(
         *RING, (F.col("pos") - 1).alias("pos"), F.col("x").alias("x2"), F.col("y").alias("y2")
     )
-    along = vertices.withColumnsRenamed({"x": "x1", "y": "y1"}).join(successor, [*RING, "pos"])
-    point = F.struct("x", "y")
-    closing = (
-        vertices.groupBy(*RING)
-        .agg(
-            F.max("pos").alias("pos"),
-            F.max_by(point, "pos").alias("last"),
-            F.min_by(point, "pos").alias("first"),
-        )
-        .select(
-            *RING,
-            "pos",
-            F.col("last.x").alias("x1"),
-            F.col("last.y").alias("y1"),
-            F.col("first.x").alias("x2"),
-            F.col("first.y").alias("y2"),
-        )
+    along = vertices.withColumnsRenamed({"x": "x1", "y": "y1"}).join(
+        successor.hint("merge"), [*RING, "pos"]
+    )
+    closing = vertices.groupBy(*RING).agg(
+        F.max("pos").alias("pos"),
+        F.max_by("x", "pos").alias("x1"),
+        F.max_by("y", "pos").alias("y1"),
+        F.min_by("x", "pos").alias("x2"),
+        F.min_by("y", "pos").alias("y2"),
     )
     return along.unionByName(closing)
 

@@ -13,6 +13,8 @@ REQUIRED_SETTINGS = {
 }
 
 RECOMMENDED_SETTINGS = {
+    # Recording the call site of every column expression slows plan building down.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -1,0 +1,126 @@
+"""The daily reduction: values, coverage, missing data, layout independence."""
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import day, to_spark, weather
+from heatgrid.functions.metrics import METRICS, derive_hourly
+from heatgrid.operators.daily import daily_metrics, to_long, to_wide
+
+ALL = sorted(METRICS)
+
+
+def by_cell_day(df) -> pd.DataFrame:
+    return df.toPandas().set_index(["lat_idx", "lon_idx", "day"]).sort_index()
+
+
+def test_statistics_match_pandas(spark):
+    hourly = to_spark(spark, weather(days=2))
+    expected = derive_hourly(hourly, ALL).toPandas()
+    expected["day"] = expected.ts.dt.date
+    grouped = expected.groupby(["lat_idx", "lon_idx", "day"])
+    result = by_cell_day(daily_metrics(hourly, ALL))
+    assert len(result) == 8
+    for name in ALL:
+        for statistic in ("min", "mean", "max"):
+            np.testing.assert_allclose(
+                result[f"{name}_{statistic}"], getattr(grouped[name], statistic)(), rtol=1e-12
+            )
+        assert (result[f"{name}_valid_hours"] == 24).all()
+        assert (result[f"{name}_min"] <= result[f"{name}_mean"]).all()
+        assert (result[f"{name}_mean"] <= result[f"{name}_max"]).all()
+
+
+def with_gap(hours: int) -> pd.DataFrame:
+    frame = weather(days=2)
+    first = (frame.lat_idx == 0) & (frame.lon_idx == 0) & (frame.ts < f"2000-07-01 {hours:02d}:00" if hours < 24 else frame.ts < "2000-07-02")
+    frame.loc[(frame.lat_idx == 0) & (frame.lon_idx == 0) & first, "tmp_k"] = np.nan
+    return frame
+
+
+@pytest.mark.parametrize("missing, minimum, kept", [(6, 24, False), (24, 24, False), (6, 12, True), (6, 18, True), (6, 19, False)])
+def test_coverage_decides_over_statistics_but_not_over_the_count(spark, missing, minimum, kept):
+    result = by_cell_day(
+        daily_metrics(to_spark(spark, with_gap(missing)), ["temperature"], min_valid_hours=minimum)
+    )
+    gap = result.loc[(0, 0, day("2000-07-01"))]
+    assert gap.temperature_valid_hours == 24 - missing
+    assert pd.notna(gap.temperature_mean) == kept
+    others = result.drop(index=(0, 0, day("2000-07-01")))
+    assert (others.temperature_valid_hours == 24).all() and others.temperature_mean.notna().all()
+
+
+def test_absent_rows_count_like_missing_values(spark):
+    frame = with_gap(6)
+    absent = frame.dropna(subset=["tmp_k"])
+    a = by_cell_day(daily_metrics(to_spark(spark, frame), ["temperature"]))
+    b = by_cell_day(daily_metrics(to_spark(spark, absent), ["temperature"]))
+    pd.testing.assert_frame_equal(a, b)
+
+
+def test_gaps_are_those_of_the_metric_itself(spark):
+    frame = weather(days=1)
+    frame.loc[frame.ts.dt.hour < 3, "spfh"] = np.nan
+    result = by_cell_day(daily_metrics(to_spark(spark, frame), ["temperature", "humidex"]))
+    assert (result.temperature_valid_hours == 24).all() and result.temperature_mean.notna().all()
+    assert (result.humidex_valid_hours == 21).all() and result.humidex_mean.isna().all()
+
+
+def test_supersaturated_air_is_clamped_for_both_metrics(spark):
+    es = 6.1078 * np.exp(17.27 * 35.0 / (35.0 + 237.3))
+    frame = weather(days=1, rows=1, cols=2)
+    frame["tmp_k"], frame["pres_pa"] = 308.15, 100000.0
+    vapour = np.where(frame.lon_idx == 0, 1.1, 1.0) * es
+    frame["spfh"] = 0.622 * vapour / (1000.0 - 0.378 * vapour)
+    result = by_cell_day(daily_metrics(to_spark(spark, frame), ["heat_index", "relative_humidity"]))
+    assert result.relative_humidity_mean.to_numpy() == pytest.approx([100.0, 100.0])
+    assert result.heat_index_mean.iloc[0] == pytest.approx(result.heat_index_mean.iloc[1])
+
+
+def test_result_does_not_depend_on_the_partitioning(spark):
+    hourly = to_spark(spark, weather(days=2))
+    one = by_cell_day(daily_metrics(hourly.coalesce(1), ALL))
+    many = by_cell_day(daily_metrics(hourly.repartition(7, "ts"), ALL))
+    pd.testing.assert_frame_equal(one, many, rtol=1e-12)
+
+
+def test_repeated_hours_can_be_rejected(spark):
+    frame = weather(days=1)
+    good = daily_metrics(to_spark(spark, frame), ["temperature"], reject_repeated_hours=True)
+    assert good.count() == 4
+    repeated = to_spark(spark, pd.concat([frame, frame.iloc[:1]]))
+    with pytest.raises(Exception, match="more than one row for the same hour"):
+        daily_metrics(repeated, ["temperature"], reject_repeated_hours=True).collect()
+
+
+def test_long_and_wide(spark):
+    daily = daily_metrics(to_spark(spark, with_gap(6)), ["temperature", "humidex"])
+    long = to_long(daily, ["temperature", "humidex"])
+    assert dict(long.dtypes)["valid_hours"] == "tinyint" and dict(long.dtypes)["mean"] == "float"
+    assert long.count() == 16
+    wide = by_cell_day(to_wide(long, ["temperature", "humidex"]))
+    again = by_cell_day(daily.select(wide.reset_index().columns.tolist()))
+    pd.testing.assert_frame_equal(wide, again, check_dtype=False, rtol=1e-6)
+
+
+def test_days_are_utc_days(spark):
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    frame = weather(days=3, rows=1, cols=1)
+    result = daily_metrics(to_spark(spark, frame), ["temperature"]).orderBy("day").collect()
+    assert [str(row.day) for row in result] == ["2000-07-01", "2000-07-02", "2000-07-03"]
+    assert {row.temperature_valid_hours for row in result} == {24}
+
+
+def test_one_cell_with_most_rows(spark):
+    """A cell-day holding most rows gives the same sums: it is combined before the shuffle."""
+    hot = spark.range(200_000).select(
+        F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id") % 50).cast("int").alias("lat_idx"),
+        F.lit(0).alias("lon_idx"),
+        F.to_timestamp(F.lit("2000-07-01 05:00:00")).alias("ts"),
+        (F.col("id") % 100 + 250.0).alias("tmp_k"),
+    )
+    rows = daily_metrics(hot, ["temperature"], min_valid_hours=1).toPandas()
+    counted = hot.groupBy("lat_idx").count().toPandas().set_index("lat_idx")["count"]
+    assert rows.set_index("lat_idx").temperature_valid_hours.to_dict() == counted.to_dict()
