@@ -20,8 +20,14 @@ def with_tile(df: DataFrame, shape: tuple[int, int] = TILE_SHAPE) -> DataFrame:
 
 
 def occupied_tiles(region_cells: DataFrame, shape: tuple[int, int] = TILE_SHAPE) -> DataFrame:
-    """Tiles with at least one selected cell."""
-    return with_tile(region_cells.where("inside"), shape).select(*TILE).distinct()
+    """Tiles with at least one selected cell.
+
+    Indices are never negative. Spark prunes the partitions of the other join
+    side only if this side has a comparison among its filters, which a boolean
+    column alone is not.
+    """
+    selected = region_cells.where(F.col("inside") & (F.col("lat_idx") >= 0))
+    return with_tile(selected, shape).select(*TILE).distinct()
 
 
 def _runs(tiles: DataFrame) -> DataFrame:

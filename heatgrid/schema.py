@@ -1,5 +1,7 @@
 """Table shapes and fixed names shared by the whole package."""
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Variable names of the hourly source and the column each becomes.
@@ -37,6 +39,11 @@ HOURLY = _struct(
     *((name, T.DoubleType()) for name in VARIABLES),
 )
 
+# The stored form, partitioned by year and tile.
+TILED_HOURLY = T.StructType(
+    [*HOURLY.fields, *(T.StructField(name, T.IntegerType()) for name in TILE)]
+)
+
 POLYGONS = _struct(
     ("poly_id", T.IntegerType()),
     ("rings", T.ArrayType(T.ArrayType(_struct(("x", T.DoubleType()), ("y", T.DoubleType()))))),
@@ -71,3 +78,8 @@ DAILY = _struct(
 )
 
 MANIFEST = _struct(("metric", T.StringType()), ("year", T.IntegerType()))
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of the schema, in its order and types; others are left out."""
+    return df.select(*(F.col(field.name).cast(field.dataType) for field in schema))

@@ -11,7 +11,7 @@ from heatgrid.operators.polygons import (
     reproject,
     vertices_of,
 )
-from heatgrid.schema import POLYGONS, REGION_CELLS
+from heatgrid.schema import POLYGONS, REGION_CELLS, conform
 
 
 def read_polygons(spark: SparkSession, path: str) -> DataFrame:
@@ -52,5 +52,5 @@ def build_region(
     if polygons is None:
         raise ValueError(f"no region at {path} and no polygons to build it from")
     region = region_from_vertices(vertices_of(polygons), grid, in_metres)
-    region.write.mode("overwrite").parquet(path)
+    conform(region, REGION_CELLS).write.mode("overwrite").parquet(path)
     return spark.read.schema(REGION_CELLS).parquet(path)

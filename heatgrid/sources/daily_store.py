@@ -14,7 +14,7 @@ from heatgrid.functions.metrics import METRICS, MetricSpec, check_metrics
 from heatgrid.operators.calendar import check_years
 from heatgrid.operators.polygons import grid_axes
 from heatgrid.operators.region import keep_inside
-from heatgrid.schema import CELL, DAILY, HOURS_PER_DAY, MANIFEST, STATISTICS
+from heatgrid.schema import CELL, DAILY, HOURS_PER_DAY, MANIFEST, STATISTICS, conform
 from heatgrid.sources.boundary import stored_or_none
 
 AXIS = "start_year int, end_year int"
@@ -28,7 +28,7 @@ def write_daily(long: DataFrame, root: str) -> None:
     alone. Rebalancing gives files of even size whatever the metric or year.
     """
     (
-        long.hint("rebalance", "metric", "year")
+        conform(long, DAILY).hint("rebalance", "metric", "year")
         .sortWithinPartitions("metric", "year", *CELL, "day")
         .write.partitionBy("metric", "year")
         .mode("overwrite")
@@ -126,7 +126,7 @@ def check_store_axis(spark: SparkSession, root: str, start_year: int, end_year:
 
 def check_store_grid(spark: SparkSession, root: str, cells: DataFrame) -> None:
     """A store keeps the grid it was set up with; another grid is an error."""
-    axes = grid_axes(cells)
+    axes = grid_axes(cells).withColumn("idx", F.col("idx").cast("int"))
     stored = stored_or_none(spark, f"{root}/grid", GRID)
     if stored is None:
         axes.coalesce(1).write.mode("overwrite").parquet(f"{root}/grid")

@@ -8,7 +8,16 @@ from pyspark.sql import functions as F
 from heatgrid.functions.metrics import METRICS, required_variables
 from heatgrid.operators.region import Extent, crop
 from heatgrid.operators.tiles import with_tile
-from heatgrid.schema import CELL, HOURLY, SOURCE_VARIABLES, TILE, TILE_SHAPE, VARIABLES
+from heatgrid.schema import (
+    CELL,
+    HOURLY,
+    SOURCE_VARIABLES,
+    TILE,
+    TILE_SHAPE,
+    TILED_HOURLY,
+    VARIABLES,
+    conform,
+)
 
 
 def finite_or_null(value: Column) -> Column:
@@ -64,10 +73,7 @@ def select_hourly(
 
 def scan_hourly(spark: SparkSession, path: str) -> DataFrame:
     """A stored hourly table with its declared schema, cleaned."""
-    schema = HOURLY
-    for name in TILE:
-        schema = schema.add(name, "int")
-    return clean(spark.read.schema(schema).parquet(path))
+    return clean(spark.read.schema(TILED_HOURLY).parquet(path))
 
 
 def write_hourly(hourly: DataFrame, path: str, shape: tuple[int, int] = TILE_SHAPE) -> None:
@@ -78,7 +84,7 @@ def write_hourly(hourly: DataFrame, path: str, shape: tuple[int, int] = TILE_SHA
     shuffle. Rebalancing splits a tile-year that is far larger than the others.
     """
     (
-        with_tile(hourly, shape)
+        with_tile(conform(hourly, HOURLY), shape)
         .hint("rebalance", "year", *TILE)
         .sortWithinPartitions("year", *TILE, *CELL, "ts")
         .write.partitionBy("year", *TILE)
@@ -95,7 +101,7 @@ def save_bucketed(hourly: DataFrame, table: str, buckets: int) -> None:
     are even by construction.
     """
     (
-        hourly.repartition(buckets, *CELL)
+        conform(hourly, HOURLY).repartition(buckets, *CELL)
         .sortWithinPartitions(*CELL, "ts")
         .write.partitionBy("year")
         .bucketBy(buckets, *CELL)
