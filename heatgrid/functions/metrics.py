@@ -44,19 +44,16 @@ def _column(name: str, needs: tuple[str, ...], build: Callable[..., Column]) ->
 QUANTITIES: dict[str, Quantity] = dict(
     (
         _column("tc", ("tmp_k",), air.celsius_from_kelvin),
+        _column("tf", ("tc",), air.fahrenheit),
         _column("p_hpa", ("pres_pa",), air.hectopascal),
         _column("wind_ms", ("u10", "v10"), air.wind_speed),
         _column("vp_hpa", ("spfh", "p_hpa"), air.vapour_pressure),
         _column("es_hpa", ("tc",), air.saturation_pressure),
         _column("es_slope", ("tc", "es_hpa"), air.saturation_slope),
+        _column("rh_unlimited", ("vp_hpa", "es_hpa"), air.relative_humidity),
         # Limited here, once, so that heat index and exported humidity agree.
-        _column(
-            "rh_pct",
-            ("vp_hpa", "es_hpa"),
-            lambda vapour, saturation: air.percent_clamped(
-                air.relative_humidity(vapour, saturation)
-            ),
-        ),
+        _column("rh_pct", ("rh_unlimited",), air.percent_clamped),
+        ("heat_index_f", Quantity(("tf", "rh_pct"), heat.with_heat_index)),
         ("wet_bulb_c", Quantity(("tc", "spfh", "p_hpa"), heat.with_wet_bulb)),
     )
 )
@@ -73,9 +70,7 @@ METRICS: dict[str, MetricSpec] = {
         "tc", "vp_hpa", "wind_ms",
         build=lambda t, e, wind: air.fahrenheit(heat.apparent_temperature(t, e, wind)),
     ),
-    "heat_index": _metric(
-        "tc", "rh_pct", build=lambda t, rh: heat.heat_index(air.fahrenheit(t), rh)
-    ),
+    "heat_index": _metric("heat_index_f", build=lambda index: index),
     "humidex": _metric(
         "tc", "vp_hpa", build=lambda t, e: air.fahrenheit(heat.humidex(t, e))
     ),
@@ -84,7 +79,7 @@ METRICS: dict[str, MetricSpec] = {
         "tc", "vp_hpa", build=lambda t, e: air.fahrenheit(heat.simplified_wbgt(t, e))
     ),
     "specific_humidity": _metric("spfh", build=lambda q: q, units="kg/kg"),
-    "temperature": _metric("tc", build=air.fahrenheit),
+    "temperature": _metric("tf", build=lambda t: t),
     "wet_bulb_temperature": _metric("wet_bulb_c", build=air.fahrenheit),
 }
 

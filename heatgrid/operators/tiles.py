@@ -5,7 +5,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from heatgrid.operators.joins import size_checked
-from heatgrid.schema import TILE, TILE_SHAPE
+from heatgrid.schema import TILE, TILE_ID, TILE_SHAPE
+
+# Readable numbers: tile 3000005 is row 3, column 5.
+ROW_STRIDE = 1_000_000
 
 
 def tile_of(index: str, size: int) -> Column:
@@ -19,15 +22,20 @@ def with_tile(df: DataFrame, shape: tuple[int, int] = TILE_SHAPE) -> DataFrame:
     )
 
 
-def occupied_tiles(region_cells: DataFrame, shape: tuple[int, int] = TILE_SHAPE) -> DataFrame:
-    """Tiles with at least one selected cell.
+def with_tile_id(df: DataFrame, shape: tuple[int, int] = TILE_SHAPE) -> DataFrame:
+    """Row and column of the tile as one number.
 
-    Indices are never negative. Spark prunes the partitions of the other join
-    side only if this side has a comparison among its filters, which a boolean
-    column alone is not.
+    A table partitioned by one column loses exactly the empty tiles to run-time
+    pruning; by two, only rows and columns of tiles that are empty throughout.
     """
-    selected = region_cells.where(F.col("inside") & (F.col("lat_idx") >= 0))
-    return with_tile(selected, shape).select(*TILE).distinct()
+    rows, cols = shape
+    row, col = tile_of("lat_idx", rows), tile_of("lon_idx", cols)
+    return df.withColumn(TILE_ID, row.cast("bigint") * ROW_STRIDE + col)
+
+
+def occupied_tiles(region_cells: DataFrame, shape: tuple[int, int] = TILE_SHAPE) -> DataFrame:
+    """Tiles with at least one selected cell."""
+    return with_tile(region_cells.where("inside"), shape).select(*TILE).distinct()
 
 
 def _runs(tiles: DataFrame) -> DataFrame:
@@ -81,9 +89,20 @@ def tile_coverage(region_cells: DataFrame, shape: tuple[int, int] = TILE_SHAPE)
 
 
 def keep_occupied(
-    df: DataFrame, tiles: DataFrame, shape: tuple[int, int] = TILE_SHAPE
+    df: DataFrame,
+    region_cells: DataFrame,
+    shape: tuple[int, int] = TILE_SHAPE,
+    rows: int | None = None,
 ) -> DataFrame:
-    """Rows in occupied tiles. On a table partitioned by tile the join prunes partitions."""
-    if not set(TILE) <= set(df.columns):
-        return with_tile(df, shape).join(size_checked(tiles), list(TILE), "left_semi").drop(*TILE)
-    return df.join(size_checked(tiles), list(TILE), "left_semi")
+    """Rows in tiles with a selected cell; ``rows`` bounds the number of such tiles if known.
+
+    On a table partitioned by tile the join prunes partitions. Spark tries that
+    only if the other side has a comparison among its filters, which a boolean
+    column alone is not; indices are never negative.
+    """
+    stored = TILE_ID in df.columns
+    tiled = df if stored else with_tile_id(df, shape)
+    selected = region_cells.where(F.col("inside") & (F.col("lat_idx") >= 0))
+    occupied = with_tile_id(selected, shape).select(TILE_ID).distinct()
+    kept = tiled.join(size_checked(occupied, rows), TILE_ID, "left_semi")
+    return kept.select(*df.columns)

@@ -11,8 +11,8 @@ from heatgrid.operators.checks import check_whole_days
 from heatgrid.operators.daily import daily_metrics, to_long
 from heatgrid.operators.joins import BROADCAST_ROWS
 from heatgrid.operators.region import inside_cells, keep_inside, region_extent
-from heatgrid.operators.tiles import keep_occupied, occupied_tiles
-from heatgrid.schema import HOURS_PER_DAY, TILE, TILE_SHAPE
+from heatgrid.operators.tiles import keep_occupied
+from heatgrid.schema import HOURS_PER_DAY, TILE_ID, TILE_SHAPE
 from heatgrid.session import prepared
 from heatgrid.sources.daily_store import (
     check_store_axis,
@@ -57,11 +57,12 @@ def daily_in_region(
     inside = inside_cells(region_cells)
     rows = inside.count() if region_rows is None else region_rows
     before = rows <= BROADCAST_ROWS
-    hourly = keep_occupied(hourly, occupied_tiles(region_cells, tile_shape), tile_shape)
+    # There are no more occupied tiles than cells inside.
+    hourly = keep_occupied(hourly, region_cells, tile_shape, rows if before else None)
     if before:
         hourly = keep_inside(hourly, region_cells, rows)
     daily = daily_metrics(
-        hourly.drop(*TILE),
+        hourly.drop(TILE_ID),
         names,
         min_valid_hours=min_valid_hours,
         registry=registry,
@@ -114,7 +115,7 @@ def run_daily(
         write_daily(to_long(daily, wanted), root)
         # Counted from the stored counts: the hourly chain runs once.
         stored = read_daily(spark, root, wanted, [year])
-        gaps = gap_report(stored, region_cells, wanted, year, year).first()
+        gaps = gap_report(stored, region_cells, wanted, year, year, region_rows).first()
         reports.append(
             YearReport(
                 year, tuple(wanted), gaps.incomplete_cell_days, gaps.fully_missing_cell_days

@@ -17,6 +17,7 @@ VARIABLES = tuple(SOURCE_VARIABLES.values())
 
 CELL = ("lat_idx", "lon_idx")
 TILE = ("tile_row", "tile_col")
+TILE_ID = "tile"
 
 # Statistics kept per day, hours in a day, and the default tile
 # (cells along latitude, cells along longitude).
@@ -41,7 +42,7 @@ HOURLY = _struct(
 
 # The stored form, partitioned by year and tile.
 TILED_HOURLY = T.StructType(
-    [*HOURLY.fields, *(T.StructField(name, T.IntegerType()) for name in TILE)]
+    [*HOURLY.fields, T.StructField(TILE_ID, T.LongType())]
 )
 
 POLYGONS = _struct(

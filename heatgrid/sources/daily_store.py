@@ -140,6 +140,7 @@ def gap_report(
     metrics: Sequence[str],
     start_year: int,
     end_year: int,
+    region_rows: int | None = None,
 ) -> DataFrame:
     """Incomplete and fully missing cell-days per year, summed over the metrics.
 
@@ -150,7 +151,7 @@ def gap_report(
     check_years(start_year, end_year)
     metrics = list(metrics)
     present = (
-        keep_inside(daily.where(F.col("metric").isin(metrics)), region_cells)
+        keep_inside(daily.where(F.col("metric").isin(metrics)), region_cells, region_rows)
         .groupBy("year")
         .agg(
             F.count_if(F.col("valid_hours") >= HOURS_PER_DAY).alias("complete"),

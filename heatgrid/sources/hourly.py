@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from heatgrid.functions.metrics import METRICS, required_variables
 from heatgrid.operators.region import Extent, crop
-from heatgrid.operators.tiles import with_tile
+from heatgrid.operators.tiles import with_tile_id
 from heatgrid.schema import (
     CELL,
     HOURLY,
     SOURCE_VARIABLES,
-    TILE,
+    TILE_ID,
     TILE_SHAPE,
     TILED_HOURLY,
     VARIABLES,
@@ -67,8 +67,8 @@ def select_hourly(
     chosen = hourly.where(F.col("year").isin(list(years)))
     if extent is not None:
         chosen = crop(chosen, extent)
-    tiles = [name for name in TILE if name in hourly.columns]
-    return chosen.select(*keys, *tiles, *required_variables(metrics, registry))
+    tile = [TILE_ID] if TILE_ID in hourly.columns else []
+    return chosen.select(*keys, *tile, *required_variables(metrics, registry))
 
 
 def scan_hourly(spark: SparkSession, path: str) -> DataFrame:
@@ -76,18 +76,29 @@ def scan_hourly(spark: SparkSession, path: str) -> DataFrame:
     return clean(spark.read.schema(TILED_HOURLY).parquet(path))
 
 
-def write_hourly(hourly: DataFrame, path: str, shape: tuple[int, int] = TILE_SHAPE) -> None:
+def write_hourly(
+    hourly: DataFrame,
+    path: str,
+    shape: tuple[int, int] = TILE_SHAPE,
+    partitions: int | None = None,
+) -> None:
     """Partition by year and tile, sort by cell and hour.
 
-    A tile-year is a few GB at full size. The sort keeps the hours of a
-    cell-day in one file, so the daily aggregation combines them before its
-    shuffle. Rebalancing splits a tile-year that is far larger than the others.
+    Ranges of (year, tile, cell) give files of even size however unequal years
+    and tiles are, and keep all hours of a cell in one file: the daily
+    aggregation then combines the hours of a cell-day before its shuffle.
+    ``partitions`` should give files of some 256 MB.
     """
+    order = ("year", TILE_ID, *CELL)
+    tiled = with_tile_id(conform(hourly, HOURLY), shape)
+    spread = (
+        tiled.repartitionByRange(partitions, *order)
+        if partitions
+        else tiled.repartitionByRange(*order)
+    )
     (
-        with_tile(conform(hourly, HOURLY), shape)
-        .hint("rebalance", "year", *TILE)
-        .sortWithinPartitions("year", *TILE, *CELL, "ts")
-        .write.partitionBy("year", *TILE)
+        spread.sortWithinPartitions(*order, "ts")
+        .write.partitionBy("year", TILE_ID)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .parquet(path)

@@ -269,7 +269,7 @@ def test_crop_and_mask_commute(spark):
 def test_occupied_tiles_keep_every_inside_row(spark):
     hourly = to_spark(spark, weather(days=1, rows=6, cols=6))
     inside = cells(spark, np.eye(6))
-    kept = tiles.keep_occupied(hourly, tiles.occupied_tiles(inside, (2, 3)), (2, 3))
+    kept = tiles.keep_occupied(hourly, inside, (2, 3))
     assert kept.columns == hourly.columns
     assert kept.count() < hourly.count()
     all_inside = region.keep_inside(hourly, inside)

@@ -191,7 +191,7 @@ def test_layout_scan_and_pruning(spark, tmp_path):
     assert scan.count() == len(frame)
     chosen = source.select_hourly(scan, [2000], ["humidex"], Extent(0, 2, 1, 4))
     assert chosen.count() == 2 * 3 * 24
-    assert set(chosen.columns) == {"lat_idx", "lon_idx", "ts", "tile_row", "tile_col", "tmp_k", "spfh", "pres_pa"}
+    assert set(chosen.columns) == {"lat_idx", "lon_idx", "ts", "tile", "tmp_k", "spfh", "pres_pa"}
     plan = chosen._jdf.queryExecution().executedPlan().toString()
     assert "u10" not in plan and "latitude" not in plan
     assert "PartitionFilters: [isnotnull(year" in plan or "(year" in plan.split("PartitionFilters")[1][:60]

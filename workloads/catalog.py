@@ -329,8 +329,8 @@ def mask_semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def occupied_tiles_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     hourly = fx.hourly_grid(spark, sf_dir).select("lat_idx", "lon_idx", "ts", *MASKED)
-    occupied = tiles.occupied_tiles(fx.region_cells(spark, sf_dir), fx.REGION_TILES)
-    return rounded_columns(tiles.keep_occupied(hourly, occupied, fx.REGION_TILES))
+    cells = fx.region_cells(spark, sf_dir)
+    return rounded_columns(tiles.keep_occupied(hourly, cells, fx.REGION_TILES))
 
 
 BOX_SQL = """
