@@ -7,6 +7,9 @@ from heatgrid.llm.shared import documents, stored
 
 STAGES = [
     ("quality rules", stages.quality_rules),
+    ("line dedup", stages.line_dedup_stage),
+    ("near dedup", stages.near_dedup_stage),
+    ("mixing", stages.mixing_stage),
     ("byte-level BPE", stages.byte_bpe),
 ]
 

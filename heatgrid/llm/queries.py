@@ -6,12 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heatgrid.llm import bpe, exact_dedup, quality
+from heatgrid.llm import bpe, exact_dedup, licenses, line_dedup, mixing, near_dedup, quality
 from heatgrid.llm.shared import documents, stored
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+ENTROPY_PART = 0.95
+MAX_REPEATS = 4.0
+
+
+def op1_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, sf_dir), entropy_part=ENTROPY_PART, max_repeats=MAX_REPEATS)
+    return mixed.drop("fingerprint")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(documents(spark, sf_dir))
 
@@ -23,18 +32,124 @@ def op5_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = near_dedup.near_duplicates(documents(spark, sf_dir))
+    kept = (F.col("node") == F.col("keep_node")) & F.col("doc_id").eqNullSafe(F.col("class_id"))
+    return marked.select("doc_id", "class_id", "class_size", kept.alias("kept"), F.hex("node").alias("text_md5"))
+
+
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(BPE_FILE)
     return bpe.round_trip_digests(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
 
 
+def op9_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.recognise(documents(spark, sf_dir))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.clean(documents(spark, sf_dir)).select(
+        F.col("row.doc_id").alias("doc_id"), F.col("clean_text").alias("text"), "n_lines", "n_removed"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_temperature_mix": op1_temperature_mix,
     "op2_exact_dedup": op2_exact_dedup,
     "op5_quality_votes": op5_quality_votes,
+    "op7_dart_minhash": op7_dart_minhash,
     "op8_bpe_round_trip": op8_bpe_round_trip,
+    "op9_license_rules": op9_license_rules,
+    "op10_line_dedup": op10_line_dedup,
 }
 
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def license_sql() -> str:
+    """Both ways to cut a text, then the lookup and the rules, all from the operator's own tables."""
+
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    known = ", ".join(f"{quoted(sentence)}: {quoted(name)}" for sentence, name in licenses.known_sentences().items())
+    rules = " ".join(f"WHEN regexp_matches(ids, {quoted(rule)}) THEN {quoted(name)}" for name, rule in licenses.RULES)
+
+    def cut(text: str) -> str:
+        return f"string_split(regexp_replace({text}, {quoted(licenses.CUT)}, '\\1' || chr(10), 'g'), chr(10))"
+
+    def found(cuts: str) -> str:
+        names = f"list_transform({cuts}, lambda s: known[trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))])"
+        return f"coalesce(array_to_string(list_filter({names}, lambda i: i IS NOT NULL), ' '), '')"
+
+    paragraphs = "regexp_split_to_array(t, '\\n[ \\t\\r]*\\n')"
+    wrapped = f"flatten(list_transform({paragraphs}, lambda p: {cut("replace(p, chr(10), ' ')")}))"
+    return f"""
+        WITH texts AS (SELECT doc_id, coalesce(text, '') AS t, MAP {{{known}}} AS known FROM documents),
+        found AS (SELECT doc_id, {found(cut('t'))} AS sentence_ids, {found(wrapped)} AS wrapped_ids FROM texts),
+        both_ids AS (SELECT *, ' ' || sentence_ids || ' | ' || wrapped_ids || ' ' AS ids FROM found)
+        SELECT doc_id, CASE {rules} ELSE '' END AS licence, sentence_ids, wrapped_ids FROM both_ids"""
+
+
 ORACLES: dict[str, str] = {
+    "op1_temperature_mix": f"""
+        WITH RECURSIVE rows_in AS (
+            SELECT doc_id, coalesce(source, '') AS source, md5(coalesce(text, '')) AS fingerprint,
+                   CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) + 1 AS BIGINT) AS cost
+            FROM documents),
+        sources AS (SELECT source, CAST(sum(cost) AS DOUBLE) AS tokens FROM rows_in GROUP BY source),
+        facts AS (
+            SELECT sum(tokens) AS total, list(tokens ORDER BY source) AS sizes,
+                   {ENTROPY_PART} * ln(CAST(count(*) AS DOUBLE)) AS target
+            FROM sources),
+        spread AS (  -- largest exponent with the entropy wanted, in units of 2 ** -30
+            SELECT 0 AS step, CAST(0 AS BIGINT) AS low, CAST(1073741824 AS BIGINT) AS high
+            UNION ALL
+            SELECT step + 1, CASE WHEN enough THEN middle ELSE low END, CASE WHEN enough THEN high ELSE middle END
+            FROM (SELECT *, ln(list_sum(powers)) - list_sum(list_transform(list_zip(powers, shares), lambda x: x[1] * ln(x[2])))
+                         * (middle / 1073741824.0::DOUBLE) / list_sum(powers) >= target AS enough
+                  FROM (SELECT *, list_transform(shares, lambda x: pow(x, middle / 1073741824.0::DOUBLE)) AS powers
+                        FROM (SELECT step, low, high, (low + high) // 2 AS middle, target,
+                                     list_transform(sizes, lambda x: x / total) AS shares
+                              FROM spread, facts WHERE high - low > 1)))),
+        unmixed AS (
+            SELECT -list_sum(list_transform(sizes, lambda x: x / total * ln(x / total))) >= target AS spread_enough FROM facts),
+        wide AS (
+            SELECT CASE WHEN spread_enough THEN 1073741824 ELSE (SELECT max(low) FROM spread) END AS a FROM unmixed),
+        seldom AS (  -- smallest exponent without too many repeats
+            SELECT 0 AS step, CAST(0 AS BIGINT) AS low, CAST(1073741824 AS BIGINT) AS high
+            UNION ALL
+            SELECT step + 1, CASE WHEN enough THEN low ELSE middle END, CASE WHEN enough THEN middle ELSE high END
+            FROM (SELECT *, list_max(list_transform(list_zip(powers, sizes), lambda x: x[1] / x[2])) * total
+                         / list_sum(powers) <= {MAX_REPEATS} AS enough
+                  FROM (SELECT *, list_transform(sizes, lambda x: pow(x / total, middle / 1073741824.0::DOUBLE)) AS powers
+                        FROM (SELECT step, low, high, (low + high) // 2 AS middle, total, sizes
+                              FROM seldom, facts WHERE high - low > 1)))),
+        limited AS (
+            SELECT list_max(list_transform(sizes, lambda x: pow(x / total, a / 1073741824.0::DOUBLE) / x)) * total
+                   / list_sum(list_transform(sizes, lambda x: pow(x / total, a / 1073741824.0::DOUBLE))) <= {MAX_REPEATS} AS ok, a
+            FROM facts, wide),
+        chosen AS (
+            SELECT (CASE WHEN ok THEN a ELSE (SELECT min(high) FROM seldom) END) / 1073741824.0::DOUBLE AS a FROM limited),
+        plan AS (
+            SELECT source, CAST(tokens AS BIGINT) AS tokens,
+                   CAST(floor(pow(tokens / total, a) / list_sum(list_transform(sizes, lambda x: pow(x / total, a))) * total)
+                        AS BIGINT) AS quota,
+                   greatest(1, CAST(total AS BIGINT) // {mixing.BLOCK_TOKENS}) AS blocks
+            FROM sources, facts, chosen),
+        dealt AS (
+            SELECT *, md5(concat_ws('|', '0', epoch, doc_id, fingerprint)) AS key
+            FROM (SELECT r.*, quota, blocks, CAST(unnest(range(0, CAST(ceil(quota / tokens) AS BIGINT))) AS INT) AS epoch
+                  FROM rows_in r JOIN plan p ON r.source = p.source WHERE quota > 0)),
+        placed AS (
+            SELECT *, coalesce(sum(cost) OVER (PARTITION BY source ORDER BY epoch, key
+                                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+            FROM dealt),
+        blocked AS (
+            SELECT *, CAST(floor(CAST(before AS DOUBLE) * blocks / quota) AS BIGINT) AS block FROM placed WHERE before < quota)
+        SELECT doc_id, source, epoch, cost AS n_tokens, block,
+               row_number() OVER (PARTITION BY block ORDER BY key, source, doc_id) - 1 AS slot
+        FROM blocked""",
     "op2_exact_dedup": """
         WITH norm AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
@@ -42,4 +157,20 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
                doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
         FROM norm""",
+    "op9_license_rules": license_sql(),
+    "op10_line_dedup": f"""
+        WITH lines AS (
+            SELECT doc_id, coalesce(source, '') AS site, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                   unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
+            FROM documents),
+        wordy AS (SELECT * FROM lines WHERE regexp_matches(line, '{line_dedup.wordy(line_dedup.MIN_WORDS)}')),
+        spread AS (
+            SELECT line, min(doc_id) AS first_doc FROM wordy
+            GROUP BY line HAVING count(DISTINCT site) >= {line_dedup.MIN_SITES}),
+        marked AS (
+            SELECT l.*, s.line IS NOT NULL AND l.doc_id <> s.first_doc AS removed
+            FROM lines l LEFT JOIN spread s ON l.line = s.line)
+        SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT removed), '') AS text,
+               count(*) AS n_lines, CAST(count(*) FILTER (removed) AS BIGINT) AS n_removed
+        FROM marked GROUP BY doc_id""",
 }
