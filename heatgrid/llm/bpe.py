@@ -13,11 +13,12 @@ no bytes; repeated rows give repeated rows; other columns are neither read nor r
 import base64
 import re
 import unicodedata
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 WORD_BITS = 256
 BIT = [1 << i for i in range(WORD_BITS)]
-CACHED_TOKENS = 500_000  # per Python worker; the cache is emptied beyond that
+CACHED_TOKENS = 400_000  # per Python worker, and as many older ones
 CACHED_LENGTH = 48
 ROWS = 256
 
@@ -86,9 +87,9 @@ class ByteBPE:
         waiting.append(-1)
         queue = self.queue
         push, pop = queue.push, queue.pop
-        for i, rank in enumerate(waiting):
-            if rank >= 0:
-                push(rank, i)
+        for i in range(size - 1):
+            if waiting[i] >= 0:
+                push(waiting[i], i)
         while queue.top:
             rank, i = pop()
             if waiting[i] != rank:
@@ -114,24 +115,31 @@ class ByteBPE:
             i = following[i]
         return ids
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> bytes:
+        """The ids as 32-bit numbers."""
         if len(self.cache) > CACHED_TOKENS:
-            self.cache.clear()
-        return list(chain.from_iterable(map(self.cache.__getitem__, self.split(text))))
+            self.cache.age()
+        return b"".join(map(self.cache.__getitem__, self.split(text)))
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
 class Pieces(dict):
-    """Ids of the pre-tokens met so far; long ones are encoded each time."""
+    """Ids of the pre-tokens met lately, as 32-bit numbers; long ones are encoded each time."""
 
     def __init__(self, bpe: ByteBPE):
         super().__init__()
         self.bpe = bpe
+        self.older: dict[str, bytes] = {}
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = tuple(self.bpe.encode_piece(piece.encode()))
+    def age(self) -> None:
+        """Forget what has not been met since the last time."""
+        self.older = dict(self)
+        self.clear()
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece) or array("i", self.bpe.encode_piece(piece.encode())).tobytes()
         if len(piece) <= CACHED_LENGTH:
             self[piece] = ids
         return ids
@@ -184,9 +192,10 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             # A few rows at a time, since one text may be very long.
             for some in (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS)):
                 ids = [bpe.encode(text.as_py() or "") for text in some.column(1)]
-                yield pa.RecordBatch.from_arrays(
-                    [some.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"]
-                )
+                ends = np.cumsum([0, *map(len, ids)]) // 4
+                flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat)
+                yield pa.RecordBatch.from_arrays([some.column(0), lists], ["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encoded, SCHEMA)
 
@@ -198,7 +207,8 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
         bpe = loaded(path, pattern)
         for batch in batches:
             for some in (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS)):
-                texts = [bpe.decode(i for i in ids.as_py() or () if i is not None) for ids in some.column(1)]
+                lists = (ids.values.drop_null() if ids.is_valid else pa.array([], pa.int32()) for ids in some.column(1))
+                texts = [bpe.decode(ids.to_numpy().tolist()) for ids in lists]
                 yield pa.RecordBatch.from_arrays(
                     [*some.columns, pa.array(texts, pa.binary())], ["doc_id", "ids", "decoded"]
                 )

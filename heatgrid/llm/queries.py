@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heatgrid.llm import bpe, exact_dedup, licenses, line_dedup, mixing, near_dedup, quality
+from heatgrid.llm import bpe, exact_dedup, hilbert, licenses, line_dedup, mixing, near_dedup, preference, quality
 from heatgrid.llm.shared import documents, stored
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+SHARDS = 24
 ENTROPY_PART = 0.95
 MAX_REPEATS = 4.0
 
@@ -25,6 +26,25 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(documents(spark, sf_dir))
 
 
+def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dimensions = ["source", "lang", "n_chars", "doc_id"]
+    return hilbert.curve_sharded(documents(spark, sf_dir), dimensions, SHARDS).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit(hilbert.LAW).alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "curve",
+    )
+
+
+def op4_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return preference.preference_examples(preference.branched(conversations))
+
+
 def op5_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = stored(quality.text_counts(documents(spark, sf_dir), "doc_id"), "counts")
     return quality.judged(counts).select(
@@ -56,6 +76,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_temperature_mix": op1_temperature_mix,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_hilbert_shards": op3_hilbert_shards,
+    "op4_preference_pairs": op4_preference_pairs,
     "op5_quality_votes": op5_quality_votes,
     "op7_dart_minhash": op7_dart_minhash,
     "op8_bpe_round_trip": op8_bpe_round_trip,
@@ -157,6 +179,35 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
                doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
         FROM norm""",
+    "op4_preference_pairs": """
+        WITH answers AS (
+            SELECT conv_id, max(turn) AS last, arg_max(text, turn) AS answer
+            FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
+        swaps AS (SELECT a.conv_id, a.last, b.answer FROM answers a JOIN answers b ON b.conv_id = a.conv_id + 1),
+        turns AS (
+            SELECT c.conv_id, c.turn, c.role, c.text AS chosen,
+                   CASE WHEN c.role = 'assistant' AND c.turn = s.last THEN s.answer ELSE c.text END AS rejected
+            FROM conversations c LEFT JOIN swaps s ON c.conv_id = s.conv_id),
+        placed AS (
+            SELECT *, coalesce(min(CASE WHEN chosen <> rejected THEN turn END) OVER (PARTITION BY conv_id), 1e9) AS parting
+            FROM turns),
+        sides AS (
+            SELECT conv_id, turn, turn < parting AS shared, role, side, text,
+                   '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS shown
+            FROM (SELECT *, 'chosen' AS side, chosen AS text FROM placed
+                  UNION ALL SELECT *, 'rejected', rejected FROM placed)),
+        ends AS (
+            SELECT *, sum(length(shown)) OVER (PARTITION BY conv_id, side, shared ORDER BY turn) AS stop FROM sides)
+        SELECT conv_id AS pair_id,
+               CAST(count(*) FILTER (shared AND side = 'chosen') AS INT) AS n_common,
+               coalesce(string_agg(shown, '' ORDER BY turn) FILTER (shared AND side = 'chosen'), '') AS prompt,
+               coalesce(string_agg(shown, '' ORDER BY turn) FILTER (NOT shared AND side = 'chosen'), '') AS chosen,
+               coalesce(string_agg(shown, '' ORDER BY turn) FILTER (NOT shared AND side = 'rejected'), '') AS rejected,
+               coalesce(string_agg((stop - length(text) - 8) || ':' || stop, ',' ORDER BY turn)
+                        FILTER (NOT shared AND side = 'chosen' AND role = 'assistant'), '') AS chosen_spans,
+               coalesce(string_agg((stop - length(text) - 8) || ':' || stop, ',' ORDER BY turn)
+                        FILTER (NOT shared AND side = 'rejected' AND role = 'assistant'), '') AS rejected_spans
+        FROM ends GROUP BY conv_id""",
     "op9_license_rules": license_sql(),
     "op10_line_dedup": f"""
         WITH lines AS (
