@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heatgrid.llm import bpe, exact_dedup, hilbert, licenses, line_dedup, mixing, near_dedup, preference, quality
+from heatgrid.llm import bpe, exact_dedup, hilbert, licenses, line_dedup, mixing, near_dedup, pii, preference, quality
 from heatgrid.llm.shared import documents, stored
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -52,6 +52,10 @@ def op5_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_context_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find_personal_data(documents(spark, sf_dir)), [*pii.KINDS, *pii.SEEDS])
+
+
 def op7_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = near_dedup.near_duplicates(documents(spark, sf_dir))
     kept = (F.col("node") == F.col("keep_node")) & F.col("doc_id").eqNullSafe(F.col("class_id"))
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_hilbert_shards": op3_hilbert_shards,
     "op4_preference_pairs": op4_preference_pairs,
     "op5_quality_votes": op5_quality_votes,
+    "op6_context_pii": op6_context_pii,
     "op7_dart_minhash": op7_dart_minhash,
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_license_rules": op9_license_rules,
