@@ -8,13 +8,18 @@ darts up to a time limit are thrown, which is set so that all coordinates are li
 total weight, and doubled for documents where some coordinate is not. Two documents agree in a coordinate
 with the probability of their (weighted) Jaccard similarity.
 
-Bands of the signature are join keys. Texts that are alike in one band become candidates: each with the
-first of its bucket and with the one before it, which joins a group of copies with as many pairs as it has
-members. Candidates are verified on the whole shingle sets, and links give components. Then the members of a
-bucket that are in different components are compared as well; a bucket with too many of those is first cut
-by every other band, which texts as alike as asked for share again, and others seldom do. So no link
-between two texts is left out but by chance: with 40 bands of 6, a pair of similarity 0.8 shares no band with
-probability 5e-6.
+Bands of the signature are join keys; texts alike in one band share a bucket. Candidates are found in three
+steps, each verified on whole shingle sets, and links give components:
+
+1. in the first few bands, each member of a bucket with the bucket's first,
+2. in all bands, one member of each component in a bucket with the bucket's first,
+3. all members of a bucket that are still in different components.
+
+The first two join a group of copies with about as many pairs as it has members, so the last, which leaves
+nothing out, meets few. A pair is taken at the first band it shares only, and only if four bits of each
+coordinate agree about as often as they should; large buckets are compared in blocks. So no link between two
+texts is lost but by chance: with 40 bands of 6, a pair of similarity 0.8 shares no band with probability
+5e-6, and fails on the bits, at five standard errors, with 3e-7.
 
 Exactly equal texts are one node throughout. A class is a component of links, named after its smallest
 doc_id.
@@ -30,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heatgrid.llm.shared import stored, text_or_empty
@@ -38,7 +43,9 @@ from heatgrid.llm.shared import stored, text_or_empty
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, BAND_ROWS = 40, 6
-OPEN_PAIRS = 2_000  # of one bucket, beyond which it is cut by further bands
+FIRST_BANDS = 8
+BLOCK = 256  # members of a bucket that are compared with as many others in one go
+STANDARD_ERRORS = 5
 ROWS = 256
 MAX_ID = (1 << 63) - 1
 
@@ -106,65 +113,143 @@ def thrown(sets: list[tuple[np.ndarray, np.ndarray]], limits: np.ndarray, coordi
     unit = np.arange(len(seed)) - np.repeat(np.cumsum(whole) - whole, whole)
     cover = np.minimum(np.repeat(weights, whole) - unit, 1.0)
     seed = stepped(seed + mixed(unit.astype(np.uint64)), 101)
-    time = np.zeros(len(seed))
+    left = limits[owner]  # time until each stream's limit
     times, darts, places = [], [], []
     while len(seed):
         seed = stepped(seed, 7)
-        time = time - np.log1p(-((seed >> np.uint64(11)).astype(np.float64) * 2.0**-53))
-        hits = np.flatnonzero(time < limits[owner])
-        seed, time, owner, cover = seed[hits], time[hits], owner[hits], cover[hits]
+        chance = (seed >> np.uint64(11)).astype(np.float64) * 2.0**-53
+        hits = np.flatnonzero(chance < -np.expm1(-left))  # those that arrive in time
+        seed, owner, cover = seed[hits], owner[hits], cover[hits]
+        left = left[hits] + np.log1p(-chance[hits])
         dart = stepped(seed, 13) | np.uint64(1)
         low = ((dart & np.uint64(0xFFFFFFFF)).astype(np.float64) * 2.0**-32) < cover
         place = (((dart >> np.uint64(32)) * np.uint64(coordinates)) >> np.uint64(32)).astype(np.int64)
-        times.append(time[low])
+        times.append(left[low])
         darts.append(dart[low])
         places.append((owner * coordinates + place)[low])
-    order = np.argsort(-np.concatenate(times), kind="stable")
+    order = np.argsort(np.concatenate(times))  # the earliest has most time left and comes last
     earliest = np.zeros(len(sets) * coordinates, np.uint64)
-    earliest[np.concatenate(places)[order]] = np.concatenate(darts)[order]  # the last written is the earliest
+    earliest[np.concatenate(places)[order]] = np.concatenate(darts)[order]  # the last written stays
     return earliest.reshape(len(sets), coordinates)
 
 
-def band_keys(texts: list[str], weighted: bool, bands: int, rows: int) -> np.ndarray:
-    """The keys of the bands of each text, one after the other."""
+def band_keys(texts: list[str], weighted: bool, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each text the keys of its bands, and four bits of each coordinate, 16 coordinates to a number."""
     sets = [shingles(text) for text in texts]
     if not weighted:
         sets = [(elements, np.ones(len(elements))) for elements, _ in sets]
-    parts = signatures(sets, bands * rows).reshape(len(texts), bands, rows)
+    parts = signatures(sets, bands * rows)
+    bits = np.zeros((len(texts), -(-bands * rows // 16) * 16), np.uint64)
+    bits[:, : bands * rows] = mixed(parts) >> np.uint64(60)
+    bits = bits.reshape(len(texts), -1, 16)
+    sketch = np.bitwise_or.reduce(bits << (np.uint64(4) * np.arange(16, dtype=np.uint64)), axis=2)
+    parts = parts.reshape(len(texts), bands, rows)
     key = np.broadcast_to(mixed(np.arange(bands, dtype=np.uint64) + np.uint64(1)), (len(texts), bands))
     for i in range(rows):
         key = mixed(key ^ parts[:, :, i])
-    return key.ravel().view(np.int64)
+    return key.view(np.int64), sketch.view(np.int64)
 
 
 def signed(docs: DataFrame, weighted: bool, bands: int, rows: int) -> DataFrame:
-    """(doc_id, node, bands) of every row; the node is a digest of the text."""
+    """(doc_id, node, bands, sketch) of every row; the node is a digest of the text."""
+
+    def lists(values: np.ndarray) -> pa.ListArray:
+        offsets = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
+        return pa.ListArray.from_arrays(offsets, pa.array(values.ravel()))
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for some in (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS)):
                 texts = [text.as_py() or "" for text in some.column(1)]
                 nodes = [hashlib.md5(text.encode("utf-8", "surrogatepass")).digest() for text in texts]
-                keys = band_keys(texts, weighted, bands, rows)
-                offsets = np.arange(len(texts) + 1, dtype=np.int32) * bands
+                keys, sketches = band_keys(texts, weighted, bands, rows)
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0), pa.array(nodes, pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(keys))],
-                    ["doc_id", "node", "bands"],
+                    [some.column(0), pa.array(nodes, pa.binary()), lists(keys), lists(sketches)],
+                    ["doc_id", "node", "bands", "sketch"],
                 )
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        made, "doc_id long, node binary, bands array<long>"
+        made, "doc_id long, node binary, bands array<long>, sketch array<long>"
     )
 
 
-def first_candidates(buckets: DataFrame) -> DataFrame:
-    """(a, b): each member of a bucket with its first and with the one before it."""
-    order = Window.partitionBy("bucket").orderBy("node")
-    seen = buckets.select(
-        "node", F.first("node").over(order).alias("head"), F.lag("node").over(order).alias("before")
-    ).where(F.col("before").isNotNull())
-    pairs = seen.select(F.explode(F.array("head", "before")).alias("a"), F.col("node").alias("b"))
-    return pairs.distinct()
+def alike(a: str, b: str, coordinates: int, similarity: float) -> Column:
+    """Whether two sketches agree about as often as those of similar texts.
+
+    Coordinates that differ still agree in four bits with probability 1/16. A coordinate that differs in any of
+    its bits is counted once.
+    """
+
+    def differing(x: Column, y: Column) -> Column:
+        z = x.bitwiseXOR(y)
+        z = z.bitwiseOR(F.shiftrightunsigned(z, 1))
+        z = z.bitwiseOR(F.shiftrightunsigned(z, 2)).bitwiseAND(F.lit(0x1111111111111111))
+        return F.bit_count(z)
+
+    differ = F.aggregate(F.zip_with(a, b, differing), F.lit(0), lambda total, n: total + n)
+    least = similarity - STANDARD_ERRORS * (similarity * (1 - similarity) / coordinates) ** 0.5
+    return differ <= int(coordinates * (1 - least) * 15 / 16) + 1
+
+
+def stars(buckets: DataFrame, classes: DataFrame | None) -> DataFrame:
+    """(a, b): the first of each bucket with one member of every component in it; without ``classes``, with all."""
+    if classes is None:
+        members = buckets.select("bucket", "node")
+    else:
+        members = (
+            buckets.join(classes, "node", "left")
+            .groupBy("bucket", F.coalesce("component", "node").alias("component"))
+            .agg(F.min("node").alias("node"))
+        )
+    heads = members.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
+    return (
+        members.join(heads.select("bucket", "a"), "bucket")
+        .where("node <> a")
+        .select("a", F.col("node").alias("b"))
+        .distinct()
+    )
+
+
+def open_pairs(buckets: DataFrame, classes: DataFrame, nodes: DataFrame, coordinates: int, similarity: float) -> DataFrame:
+    """(a, b): all members of one bucket that are in different components and may be similar, each pair once.
+
+    Members are dealt into blocks, and each block meets every other in a group of its own.
+    """
+    placed = buckets.join(classes, "node", "left").select(
+        "bucket", "band", "node", F.coalesce("component", "node").alias("component")
+    )
+    sizes = placed.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    blocks = sizes.where("low <> high").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    members = (
+        stored(placed.join(blocks, "bucket"), "open")
+        .join(nodes.select("node", "bands", "sketch"), "node")
+        .withColumn("own", F.pmod(F.xxhash64("node", "bucket"), F.col("blocks")).cast("int"))
+    )
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = members.withColumn("other", other).select(
+        "bucket",
+        "band",
+        F.least("own", "other").alias("first"),
+        F.greatest("own", "other").alias("second"),
+        "own",
+        "component",
+        "node",
+        "bands",
+        "sketch",
+    )
+    keys = ["bucket", "first", "second"]
+    right = dealt.select(*keys, *(F.col(c).alias(f"{c}_b") for c in ("own", "component", "node", "bands", "sketch")))
+    first_shared = F.array_position(F.zip_with("bands", "bands_b", lambda x, y: x == y), F.lit(True)) - 1
+    pairs = dealt.join(right, keys).where(
+        (F.col("component") < F.col("component_b"))
+        # Two of one block meet in the group of that block only.
+        & ((F.col("own") != F.col("own_b")) | (F.col("first") == F.col("second")))
+        & (first_shared == F.col("band"))
+        & alike("sketch", "sketch_b", coordinates, similarity)
+    )
+    return pairs.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b"))
 
 
 def similar(pairs: DataFrame, texts: DataFrame, similarity: float, weighted: bool) -> DataFrame:
@@ -213,7 +298,7 @@ def similar(pairs: DataFrame, texts: DataFrame, similarity: float, weighted: boo
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(verified, "a binary, b binary")
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node that has a link; the component is its smallest node.
 
     Each round hangs every node under the smallest of its neighbours' roots and then shortens the paths, so
@@ -243,42 +328,6 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         roots = shortened.select("node", "root")
 
 
-def open_pairs(buckets: DataFrame, classes: DataFrame, bands: DataFrame) -> DataFrame:
-    """(a, b): members of one bucket in different components, all of them.
-
-    ``bands`` is (node, bands). Buckets with more than OPEN_PAIRS such pairs are cut by each further band.
-    """
-    placed = (
-        buckets.join(classes, "node", "left")
-        .select("bucket", "node", F.coalesce("component", "node").alias("component"))
-    )
-    parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("members"))
-    sizes = (
-        parts.groupBy("bucket")
-        .agg(F.sum("members").alias("n"), F.sum(F.col("members") * F.col("members")).alias("inside"))
-        .select("bucket", ((F.col("n") * F.col("n") - F.col("inside")) / 2).alias("open"))
-        .where("open > 0")
-    )
-    sizes = stored(sizes, "open")
-    placed = stored(placed.join(sizes, "bucket"), "placed")
-    small = placed.where(F.col("open") <= OPEN_PAIRS).drop("open")
-    large = (
-        placed.where(F.col("open") > OPEN_PAIRS)
-        .join(bands, "node")
-        .select("component", "node", "bucket", F.explode("bands").alias("band"))
-        .where("band <> bucket")
-        .select(F.xxhash64("bucket", "band").alias("bucket"), "node", "component")
-    )
-    every = small.select("bucket", "node", "component").unionAll(large.select("bucket", "node", "component"))
-    other = every.select("bucket", F.col("node").alias("b"), F.col("component").alias("other"))
-    return (
-        every.join(other, "bucket")
-        .where((F.col("component") < F.col("other")))
-        .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
-        .distinct()
-    )
-
-
 def near_duplicates(
     docs: DataFrame,
     similarity: float = SIMILARITY,
@@ -293,21 +342,35 @@ def near_duplicates(
     marked = stored(signed(docs, weighted, bands, rows), "signed")
     nodes = stored(
         marked.groupBy("node").agg(
-            F.first("bands").alias("bands"), F.min(F.coalesce("doc_id", F.lit(MAX_ID))).alias("id"), F.count("*").alias("rows")
+            F.first("bands").alias("bands"),
+            F.first("sketch").alias("sketch"),
+            F.min(F.coalesce("doc_id", F.lit(MAX_ID))).alias("id"),
+            F.count("*").alias("rows"),
         ),
         "nodes",
     )
-    every = nodes.select("node", F.explode("bands").alias("bucket"))
+    every = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = every.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     buckets = stored(every.join(shared.select("bucket"), "bucket", "left_semi"), "buckets")
     texts = docs.select(F.unhex(F.md5(text_or_empty())).alias("node"), text_or_empty().alias("text"))
-    pairs = stored(first_candidates(buckets), "pairs")
-    links = stored(similar(pairs, texts, similarity, weighted), "links")
-    found = components(nodes, links)
-    more = stored(open_pairs(buckets, found, nodes.select("node", "bands")).join(pairs, ["a", "b"], "left_anti"), "more")
-    further = stored(similar(more, texts, similarity, weighted), "links")
-    if not further.isEmpty():
-        found = components(nodes, links.unionAll(further))
+
+    def likely(pairs: DataFrame) -> DataFrame:
+        sides = [nodes.select(F.col("node").alias(x), F.col("sketch").alias(f"sketch_{x}")) for x in "ab"]
+        met = pairs.join(sides[0], "a").join(sides[1], "b")
+        return met.where(alike("sketch_a", "sketch_b", bands * rows, similarity)).select("a", "b")
+
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        return stored(similar(stored(pairs, name), texts, similarity, weighted), f"{name}-links")
+
+    links = linked(likely(stars(buckets.where(F.col("band") < FIRST_BANDS), None)), "first")
+    found = components(links)
+    more = linked(likely(stars(buckets, found)), "second")
+    if not more.isEmpty():
+        links = links.unionAll(more)
+        found = components(links)
+    last = linked(open_pairs(buckets, found, nodes, bands * rows, similarity), "open")
+    if not last.isEmpty():
+        found = components(links.unionAll(last))
     classed = stored(
         nodes.join(found, "node", "left").select("node", "id", "rows", F.coalesce("component", "node").alias("component")),
         "classed",
