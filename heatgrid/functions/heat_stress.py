@@ -45,6 +45,7 @@ def _quadratic(coefficients: Sequence[Column | float], x: Column) -> Column:
 def heat_index(degrees_f: Column, humidity_percent: Column) -> Column:
     """Heat index in degrees F: the simple form, or the regression where the mean of
     simple form and temperature reaches 80, with its two humidity corrections."""
+    # 0.5 * (t + 61 + (t - 68) * 1.2 + rh * 0.094), multiplied out.
     simple = degrees_f * 1.1 + humidity_percent * 0.047 - 10.3
     regression = _quadratic(
         [_quadratic(row, humidity_percent) for row in ROTHFUSZ], degrees_f
@@ -57,7 +58,7 @@ def heat_index(degrees_f: Column, humidity_percent: Column) -> Column:
         .when(humid, (humidity_percent - 85.0) * (F.lit(87.0) - degrees_f) * 0.02)
         .otherwise(0.0)
     )
-    # A NULL condition falls through to the simple form, which is NULL then too.
+    # The mean of both reaches 80 where their sum reaches 160. A NULL condition falls through to the simple form, which is NULL then too.
     return F.when(simple + degrees_f >= 160.0, regression + correction).otherwise(simple)
 
 

@@ -4,10 +4,22 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from heatgrid.schema import CELL
 
 
+def in_utc(df: DataFrame, ts: str = "ts") -> DataFrame:
+    """The instants of the time column as UTC clock time without a zone.
+
+    Days and hours of such a column do not depend on the zone of the session or the driver. Clock times
+    are taken to be UTC already. Counting from the epoch, no hour is lost where a zone sets its clocks.
+    """
+    if not isinstance(df.schema[ts].dataType, T.TimestampType):
+        return df
+    return df.withColumn(ts, F.expr(f"timestampadd(MICROSECOND, unix_micros(`{ts}`), timestamp_ntz'1970-01-01')"))
+
+
 def hour_bit(ts: str) -> Column:
     """The hour of the day as one bit of 24, so that hours can be collected by OR."""
     return F.call_function("shiftleft", F.lit(1), F.hour(ts))

@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heatgrid.operators.calendar import hour_bit
+from heatgrid.operators.calendar import hour_bit, in_utc
 from heatgrid.operators.polygons import grid_axes
 from heatgrid.schema import CELL, HOURS_PER_DAY
 
@@ -16,11 +16,11 @@ def hourly_coverage(hourly: DataFrame, keys: Sequence[str] = CELL) -> DataFrame:
     Hours of a cell-day are kept as a 24-bit set, so repeated rows show up as
     rows beyond the set's size: no grouping by hour, no distinct over hours.
     """
-    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
-    per_cell_day = hourly.groupBy(*keys, F.to_date("ts").alias("day")).agg(
+    past_hour = F.minute("ts") * 60 + F.expr("extract(second FROM ts)")
+    per_cell_day = in_utc(hourly).groupBy(*keys, F.to_date("ts").alias("day")).agg(
         F.min("ts").alias("first_ts"),
         F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("ts").cast("timestamp_ntz") != hour).alias("off_hour"),
+        F.count_if(past_hour != 0).alias("off_hour"),
         F.bit_or(hour_bit("ts")).alias("hours"),
     )
     per_day = per_cell_day.groupBy("day").agg(
@@ -32,8 +32,8 @@ def hourly_coverage(hourly: DataFrame, keys: Sequence[str] = CELL) -> DataFrame:
     )
     first = F.min("first_ts")
     return per_day.agg(
-        first.cast("timestamp_ntz").alias("first_ts"),
-        (first == F.date_trunc("day", first)).alias("starts_at_midnight"),
+        first.alias("first_ts"),
+        (first == F.to_date(first).cast("timestamp_ntz")).alias("starts_at_midnight"),
         F.sum("hours").alias("hours"),
         (F.sum("hours") % HOURS_PER_DAY == 0).alias("whole_days"),
         F.sum("n").alias("n_rows"),
@@ -42,24 +42,36 @@ def hourly_coverage(hourly: DataFrame, keys: Sequence[str] = CELL) -> DataFrame:
     )
 
 
-def check_whole_days(hourly: DataFrame) -> None:
-    """ValueError unless the table starts at 00Z and has a whole number of 24-hour days.
+def check_year(daily: DataFrame, year: int) -> None:
+    """ValueError unless daily rows (day, hours, repeated_rows) are sound and lie in that year.
 
-    Reads the time column only and reduces it to one row per day in each task.
+    Their hours start at 00Z and make whole days that follow each other, no cell has two rows for one hour,
+    and there is something at all.
     """
-    facts = (
-        hourly.groupBy(F.to_date("ts").alias("day"))
-        .agg(F.min("ts").alias("first_ts"), F.bit_count(F.bit_or(hour_bit("ts"))).alias("hours"))
-        .agg(F.min("first_ts").alias("first_ts"), F.sum("hours").alias("hours"))
-        .first()
+    per_day = daily.groupBy("day").agg(
+        F.bit_or("hours").alias("hours"), F.sum("repeated_rows").alias("repeated")
     )
-    if facts.first_ts is None:
-        return
+    facts = per_day.agg(
+        F.count(F.lit(1)).alias("days"),
+        F.count_if(F.year("day") != year).alias("outside"),
+        F.sum(F.bit_count("hours")).alias("hours"),
+        F.min_by("hours", "day").alias("first_hours"),
+        F.min("day").alias("first"),
+        (F.date_diff(F.max("day"), F.min("day")) + 1).alias("length"),
+        F.sum("repeated").alias("repeated"),
+    ).first()
+    if not facts.days:
+        raise ValueError(f"there are no hours for {year}")
+    if facts.outside:
+        raise ValueError(f"{facts.outside} of {facts.days} days are outside {year}")
+    if facts.repeated:
+        raise ValueError(f"a cell has more than one row for the same hour, {facts.repeated} rows in {year}")
+    if not facts.first_hours & 1:
+        raise ValueError(f"the first hour must be 00Z, which {facts.first} lacks")
     if facts.hours % HOURS_PER_DAY:
         raise ValueError(f"{facts.hours} hours are not a whole number of 24-hour days")
-    first = facts.first_ts
-    if (first.hour, first.minute, first.second, first.microsecond) != (0, 0, 0, 0):
-        raise ValueError(f"the first hour must be 00Z, found {first}")
+    if facts.length != facts.days:
+        raise ValueError(f"the days of {year} are not contiguous")
 
 
 def axis_differences(
@@ -86,6 +98,7 @@ def grid_differences(expected: DataFrame, actual: DataFrame) -> DataFrame:
 
 
 def check_same_grid(expected: DataFrame, actual: DataFrame) -> None:
+    """ValueError unless both have the same cells and the same coordinates."""
     wrong = grid_differences(expected, actual)
     first = wrong.orderBy("axis", "idx").first()
     if first is not None:
@@ -93,3 +106,6 @@ def check_same_grid(expected: DataFrame, actual: DataFrame) -> None:
             f"the grids differ, first at {first.axis} {first.idx}: "
             f"expected {first.expected}, found {first.actual}"
         )
+    cell = axis_differences(expected, actual, CELL).orderBy(*CELL).first()
+    if cell is not None:
+        raise ValueError(f"the grids differ, cell ({cell.lat_idx}, {cell.lon_idx}) is {cell.problem}")

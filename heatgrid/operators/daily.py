@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heatgrid.functions.metrics import METRICS, MetricSpec, derive_hourly
-from heatgrid.operators.calendar import hour_bit
-from heatgrid.schema import CELL, HOURS_PER_DAY, STATISTICS
+from heatgrid.operators.calendar import hour_bit, in_utc
+from heatgrid.operators.tiles import with_tile_id
+from heatgrid.schema import CELL, HOURS_PER_DAY, STATISTICS, TILE_ID, TILE_SHAPE
 
 
 def reduce_daily(
@@ -16,6 +17,7 @@ def reduce_daily(
     keys: Sequence[str] = CELL,
     min_valid_hours: int = HOURS_PER_DAY,
     reject_repeated_hours: bool = False,
+    with_hours: bool = False,
 ) -> DataFrame:
     """Minimum, mean, maximum and valid-hour count per key and UTC day.
 
@@ -25,7 +27,8 @@ def reduce_daily(
     that scans them, so the shuffle carries days, not hours.
 
     ``reject_repeated_hours`` fails the job when a cell has two rows for an
-    hour, which would inflate the counts; it costs no extra pass.
+    hour, which would inflate the counts; it costs no extra pass. ``with_hours`` adds the set of hours of
+    each cell-day as bits (``hours``) and its rows beyond that set (``repeated_rows``).
     """
     names = list(metrics)
     aggregates = []
@@ -37,12 +40,12 @@ def reduce_daily(
             F.max(value).alias(f"{name}_max"),
             F.count(value).alias(f"{name}_valid_hours"),
         ]
-    if reject_repeated_hours:
+    if reject_repeated_hours or with_hours:
         aggregates += [
             F.count(F.lit(1)).alias("_rows"),
-            F.bit_count(F.bit_or(hour_bit("ts"))).alias("_hours"),
+            F.bit_or(hour_bit("ts")).alias("_hours"),
         ]
-    totals = hourly.groupBy(*keys, F.to_date("ts").alias("day")).agg(*aggregates)
+    totals = in_utc(hourly).groupBy(*keys, F.to_date("ts").alias("day")).agg(*aggregates)
 
     columns = []
     for name in names:
@@ -56,12 +59,14 @@ def reduce_daily(
             F.when(count >= min_valid_hours, statistics[statistic]).alias(f"{name}_{statistic}")
             for statistic in STATISTICS
         ]
-        if reject_repeated_hours:
-            count = F.when(
-                F.col("_rows") > F.col("_hours"),
-                F.raise_error(F.lit("a cell has more than one row for the same hour")),
-            ).otherwise(count)
         columns.append(count.cast("int").alias(f"{name}_valid_hours"))
+    repeated = F.col("_rows") - F.bit_count("_hours")
+    if reject_repeated_hours:
+        # A filter stays whatever columns are taken from the result.
+        error = F.raise_error(F.lit("a cell has more than one row for the same hour")).cast("boolean")
+        totals = totals.where(F.when(repeated > 0, error).otherwise(True))
+    if with_hours:
+        columns += [F.col("_hours").alias("hours"), repeated.cast("bigint").alias("repeated_rows")]
     return totals.select(*keys, "day", *columns)
 
 
@@ -72,6 +77,7 @@ def daily_metrics(
     min_valid_hours: int = HOURS_PER_DAY,
     registry: Mapping[str, MetricSpec] = METRICS,
     reject_repeated_hours: bool = False,
+    with_hours: bool = False,
 ) -> DataFrame:
     """Daily statistics straight from hourly raw variables, in one aggregation."""
     names = list(metrics)
@@ -81,10 +87,13 @@ def daily_metrics(
         keys,
         min_valid_hours,
         reject_repeated_hours,
+        with_hours,
     )
 
 
-def to_long(daily: DataFrame, metrics: Iterable[str]) -> DataFrame:
+def to_long(
+    daily: DataFrame, metrics: Iterable[str], tile_shape: tuple[int, int] = TILE_SHAPE
+) -> DataFrame:
     """One row per metric and cell-day in the stored column types, without a shuffle."""
     entries = [
         F.struct(
@@ -94,9 +103,9 @@ def to_long(daily: DataFrame, metrics: Iterable[str]) -> DataFrame:
         )
         for name in metrics
     ]
-    return daily.select(
-        F.year("day").alias("year"), "day", *CELL, F.inline(F.array(*entries))
-    ).select("metric", "year", "day", *CELL, *STATISTICS, "valid_hours")
+    return with_tile_id(daily, tile_shape).select(
+        F.year("day").alias("year"), TILE_ID, "day", *CELL, F.inline(F.array(*entries))
+    ).select("metric", "year", TILE_ID, "day", *CELL, *STATISTICS, "valid_hours")
 
 
 def to_wide(long: DataFrame, metrics: Iterable[str]) -> DataFrame:

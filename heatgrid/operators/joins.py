@@ -1,24 +1,11 @@
-"""Join sides that are broadcast only when their row count has been checked."""
+"""Join sides whose row count is known beforehand."""
 
 from pyspark.sql import DataFrame
 
-# Two integers per row make roughly 100 bytes in a hash table, so this is about
-# 400 MB per executor: 1408 x 2048 cells fit, a continent at 100 m does not.
+# An axis of the grid is some 100 bytes per row in a hash table, so this is about 400 MB per executor.
 BROADCAST_ROWS = 4_000_000
 
 
-def fits_broadcast(side: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Count the side; only the number reaches the driver.
-
-    File sizes are no substitute: a region table is runs of equal values and may
-    be a thousand times larger in memory than on disk.
-    """
-    return side.count() <= limit
-
-
-def size_checked(
-    side: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Hint the side for broadcast if it is small enough, else for a sort-merge join."""
-    small = fits_broadcast(side, limit) if rows is None else rows <= limit
-    return side.hint("broadcast" if small else "merge")
+def size_checked(side: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a side of that many rows for broadcast if it is small enough, else for a sort-merge join."""
+    return side.hint("broadcast" if rows <= limit else "merge")

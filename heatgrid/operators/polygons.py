@@ -83,6 +83,13 @@ def grid_axes(cells: DataFrame) -> DataFrame:
     return cells.select(F.inline(axes)).distinct()
 
 
+def _falling(axis: Column) -> Column:
+    """How often the next point of an axis has no larger coordinate."""
+    following = F.slice(axis, F.lit(2), F.size(axis))
+    pairs = F.zip_with(axis, following, lambda a, b: b["coordinate"] <= a["coordinate"])
+    return F.size(F.filter(pairs, lambda falls: falls))
+
+
 def _band(value: Column, width: float) -> Column:
     return F.floor(value / width)
 
@@ -97,13 +104,14 @@ def inside_runs(edges: DataFrame, grid: DataFrame) -> DataFrame:
 
     Both look-ups are equi joins on bands of about one grid step, against one
     axis of the grid, which is thousands of rows where the grid is millions.
-    Longitudes must increase with ``lon_idx``.
+    Longitudes must increase with ``lon_idx``, which is checked.
     """
     axes = grid_axes(grid)
     facts = {
         row.axis: row
         for row in axes.groupBy("axis")
         .agg(
+            _falling(F.sort_array(F.collect_list(F.struct("idx", "coordinate")))).alias("falling"),
             F.count(F.lit(1)).alias("points"),
             F.min("coordinate").alias("low"),
             F.max("coordinate").alias("high"),
@@ -112,6 +120,8 @@ def inside_runs(edges: DataFrame, grid: DataFrame) -> DataFrame:
         .collect()
     }
     lat, lon = facts["latitude"], facts["longitude"]
+    if lon.falling:
+        raise ValueError("longitudes must increase with lon_idx")
     lat_step = (lat.high - lat.low) / max(lat.points - 1, 1) or 1.0
     lon_step = (lon.high - lon.low) / max(lon.points - 1, 1) or 1.0
 
@@ -203,10 +213,3 @@ def cells_in_polygons(edges: DataFrame, grid: DataFrame) -> DataFrame:
     return grid.join(inside, list(CELL), "left").select(
         *CELL, "latitude", "longitude", F.coalesce("inside", F.lit(False)).alias("inside")
     )
-
-
-def check_longitudes_increase(grid: DataFrame) -> None:
-    columns = grid_axes(grid).where("axis = 'longitude'").select("idx", "coordinate")
-    following = columns.select((F.col("idx") - 1).alias("idx"), F.col("coordinate").alias("next"))
-    if not columns.join(following, "idx").where("next <= coordinate").isEmpty():
-        raise ValueError("longitudes must increase with lon_idx")

@@ -3,11 +3,14 @@
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from heatgrid.operators.joins import size_checked
 from heatgrid.schema import CELL, VARIABLES
 
+# Runs of cells are cut at multiples of this many columns, so that they can be joined on equal keys.
+RUN_COLUMNS = 256
+
 
 @dataclass(frozen=True)
 class Extent:
@@ -34,18 +37,48 @@ def inside_cells(region_cells: DataFrame) -> DataFrame:
     return region_cells.where("inside").select(*CELL)
 
 
+def _block(lon: Column | str) -> Column:
+    return F.call_function("div", lon, F.lit(RUN_COLUMNS))
+
+
+def region_runs(region_cells: DataFrame) -> DataFrame:
+    """The region as runs of neighbouring cells: (run_lat, run_block, lon_first, lon_last).
+
+    A region is far fewer runs than cells, and a row is inside at most one of them. The window sees one
+    row of the grid.
+    """
+    along = W.partitionBy("lat_idx", "run_block").orderBy("lon_idx")
+    return (
+        inside_cells(region_cells)
+        .withColumn("run_block", _block(F.col("lon_idx")))
+        .withColumn("island", F.col("lon_idx") - F.dense_rank().over(along))
+        .groupBy("lat_idx", "run_block", "island")
+        .agg(F.min("lon_idx").alias("lon_first"), F.max("lon_idx").alias("lon_last"))
+        .select(F.col("lat_idx").alias("run_lat"), "run_block", "lon_first", "lon_last")
+    )
+
+
+def _in_run() -> Column:
+    return (
+        (F.col("lat_idx") == F.col("run_lat"))
+        & (_block(F.col("lon_idx")) == F.col("run_block"))
+        & (F.col("lon_idx") >= F.col("lon_first"))
+        & (F.col("lon_idx") <= F.col("lon_last"))
+    )
+
+
 def mask_outside(hourly: DataFrame, region_cells: DataFrame) -> DataFrame:
     """Keep every row, with the variables NULL outside the region."""
-    inside = size_checked(inside_cells(region_cells).withColumn("_inside", F.lit(True)))
+    inside = F.col("run_lat").isNotNull()
     variables = [name for name in hourly.columns if name in VARIABLES]
-    masked = [F.when(F.col("_inside"), F.col(name)).alias(name) for name in variables]
+    masked = [F.when(inside, F.col(name)).alias(name) for name in variables]
     others = [name for name in hourly.columns if name not in VARIABLES]
-    return hourly.join(inside, list(CELL), "left").select(*others, *masked)
+    return hourly.join(region_runs(region_cells), _in_run(), "left").select(*others, *masked)
 
 
-def keep_inside(df: DataFrame, region_cells: DataFrame, rows: int | None = None) -> DataFrame:
-    """Drop the rows outside the region. ``rows``: number of inside cells if known."""
-    return df.join(size_checked(inside_cells(region_cells), rows), list(CELL), "left_semi")
+def keep_inside(df: DataFrame, region_cells: DataFrame) -> DataFrame:
+    """Drop the rows outside the region. Spark picks the join by the size of the runs."""
+    return df.join(region_runs(region_cells), _in_run(), "left_semi")
 
 
 def _snap_down(start: Column, size: int) -> Column:

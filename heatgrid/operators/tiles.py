@@ -4,7 +4,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from heatgrid.operators.joins import size_checked
 from heatgrid.schema import TILE, TILE_ID, TILE_SHAPE
 
 # Readable numbers: tile 3000005 is row 3, column 5.
@@ -33,6 +32,11 @@ def with_tile_id(df: DataFrame, shape: tuple[int, int] = TILE_SHAPE) -> DataFram
     return df.withColumn(TILE_ID, row.cast("bigint") * ROW_STRIDE + col)
 
 
+def tile_number(cell: tuple[int, int], shape: tuple[int, int] = TILE_SHAPE) -> int:
+    """The tile of one cell, as in ``with_tile_id``."""
+    return cell[0] // shape[0] * ROW_STRIDE + cell[1] // shape[1]
+
+
 def occupied_tiles(region_cells: DataFrame, shape: tuple[int, int] = TILE_SHAPE) -> DataFrame:
     """Tiles with at least one selected cell."""
     return with_tile(region_cells.where("inside"), shape).select(*TILE).distinct()
@@ -59,8 +63,11 @@ def _runs(tiles: DataFrame) -> DataFrame:
 def occupied_blocks(region_cells: DataFrame, shape: tuple[int, int] = TILE_SHAPE) -> DataFrame:
     """Rectangles of occupied tiles as half-open index ranges.
 
-    ``region_cells`` lists the whole grid; the last tile is cut at its edge.
+    ``region_cells`` lists the whole grid; the last tile is cut at its edge. ValueError for a region
+    without cells.
     """
+    if region_cells.where("inside").isEmpty():
+        raise ValueError("the region has no selected cells")
     rows, cols = shape
     lat_size = region_cells.agg(F.max("lat_idx") + 1).scalar()
     lon_size = region_cells.agg(F.max("lon_idx") + 1).scalar()
@@ -74,7 +81,12 @@ def occupied_blocks(region_cells: DataFrame, shape: tuple[int, int] = TILE_SHAPE
 
 
 def tile_coverage(region_cells: DataFrame, shape: tuple[int, int] = TILE_SHAPE) -> DataFrame:
-    """One row: blocks, tiles they cover, tiles of the bounding box, tiles skipped."""
+    """One row: blocks, tiles they cover, tiles of the bounding box, tiles skipped.
+
+    ValueError for a region without cells.
+    """
+    if region_cells.where("inside").isEmpty():
+        raise ValueError("the region has no selected cells")
     summary = _runs(occupied_tiles(region_cells, shape)).agg(
         F.count(F.lit(1)).alias("blocks"),
         F.coalesce(F.sum("tiles"), F.lit(0)).alias("covered"),
@@ -92,9 +104,8 @@ def keep_occupied(
     df: DataFrame,
     region_cells: DataFrame,
     shape: tuple[int, int] = TILE_SHAPE,
-    rows: int | None = None,
 ) -> DataFrame:
-    """Rows in tiles with a selected cell; ``rows`` bounds the number of such tiles if known.
+    """Rows in tiles with a selected cell.
 
     On a table partitioned by tile the join prunes partitions. Spark tries that
     only if the other side has a comparison among its filters, which a boolean
@@ -104,5 +115,5 @@ def keep_occupied(
     tiled = df if stored else with_tile_id(df, shape)
     selected = region_cells.where(F.col("inside") & (F.col("lat_idx") >= 0))
     occupied = with_tile_id(selected, shape).select(TILE_ID).distinct()
-    kept = tiled.join(size_checked(occupied, rows), TILE_ID, "left_semi")
+    kept = tiled.join(occupied, TILE_ID, "left_semi")
     return kept.select(*df.columns)

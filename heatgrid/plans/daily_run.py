@@ -2,26 +2,27 @@
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from heatgrid.functions.metrics import METRICS, MetricSpec, select_metrics
-from heatgrid.operators.checks import check_whole_days
+from heatgrid.operators.checks import check_year
 from heatgrid.operators.daily import daily_metrics, to_long
-from heatgrid.operators.joins import BROADCAST_ROWS
-from heatgrid.operators.region import inside_cells, keep_inside, region_extent
-from heatgrid.operators.tiles import keep_occupied
+from heatgrid.operators.region import keep_inside, region_extent
+from heatgrid.operators.tiles import keep_occupied, tile_coverage
 from heatgrid.schema import HOURS_PER_DAY, TILE_ID, TILE_SHAPE
-from heatgrid.session import prepared
+from heatgrid.session import remove
 from heatgrid.sources.daily_store import (
     check_store_axis,
     check_store_grid,
+    check_store_rules,
     gap_report,
     missing_pairs,
     read_daily,
     read_manifest,
     record_completed,
+    record_units,
     write_daily,
 )
 from heatgrid.sources.hourly import select_hourly
@@ -29,46 +30,40 @@ from heatgrid.sources.hourly import select_hourly
 
 @dataclass(frozen=True)
 class YearReport:
-    """What one finished year wrote and where it has gaps."""
+    """What one finished year wrote, where it has gaps, and how many tiles were read of how many."""
 
     year: int
     metrics: tuple[str, ...]
     incomplete_cell_days: int
     fully_missing_cell_days: int
+    tiles_read: int
+    tiles_skipped: int
 
 
 def daily_in_region(
     hourly: DataFrame,
     region_cells: DataFrame,
     metrics: Iterable[str],
-    region_rows: int | None = None,
     tile_shape: tuple[int, int] = TILE_SHAPE,
     min_valid_hours: int = HOURS_PER_DAY,
     registry: Mapping[str, MetricSpec] = METRICS,
+    with_hours: bool = False,
 ) -> DataFrame:
     """Daily statistics of the cells inside the region.
 
     Empty tiles go first, by a join that prunes partitions where the table is
-    partitioned by tile. A region small enough to broadcast then drops rows
-    before anything is derived; a larger one is joined after the reduction,
-    when there are 24 times fewer rows to shuffle.
+    partitioned by tile. The region as runs of cells then drops the rows outside
+    before anything is derived. ``with_hours`` leaves repeated hours to the caller.
     """
-    names = list(metrics)
-    inside = inside_cells(region_cells)
-    rows = inside.count() if region_rows is None else region_rows
-    before = rows <= BROADCAST_ROWS
-    # There are no more occupied tiles than cells inside.
-    hourly = keep_occupied(hourly, region_cells, tile_shape, rows if before else None)
-    if before:
-        hourly = keep_inside(hourly, region_cells, rows)
-    daily = daily_metrics(
-        hourly.drop(TILE_ID),
-        names,
+    inside = keep_inside(keep_occupied(hourly, region_cells, tile_shape), region_cells)
+    return daily_metrics(
+        inside.drop(TILE_ID),
+        list(metrics),
         min_valid_hours=min_valid_hours,
         registry=registry,
-        reject_repeated_hours=True,
+        reject_repeated_hours=not with_hours,
+        with_hours=with_hours,
     )
-    return daily if before else keep_inside(daily, region_cells, rows)
 
 
 def run_daily(
@@ -86,13 +81,15 @@ def run_daily(
     """Compute and store what the store at ``root`` still lacks; report per year.
 
     ``hourly`` is a scan of the hourly table, ``region_cells`` the stored region.
-    One job per year writes all metrics pending for it in one aggregation. A
+    One job per year reduces the hours for all metrics pending for it, to a table beside
+    the store. That is checked before the store is touched: a year without hours, with days
+    of another year, repeated hours or incomplete days is an error and changes nothing. A
     year is recorded after its data is complete, so a lost run repeats at most
     one year; metrics and years already recorded are not touched.
     """
-    prepared(spark)
     names = select_metrics(metrics, registry)
     check_store_axis(spark, root, start_year, end_year)
+    check_store_rules(spark, root, min_valid_hours, tile_shape)
     check_store_grid(spark, root, region_cells)
 
     pending: dict[int, list[str]] = {}
@@ -104,21 +101,33 @@ def run_daily(
         return []
 
     extent = region_extent(region_cells, tile_shape)
-    region_rows = inside_cells(region_cells).count()
+    tiles = tile_coverage(region_cells, tile_shape).first()
     reports = []
     for year, wanted in pending.items():
         chosen = select_hourly(hourly, [year], wanted, extent, registry=registry)
-        check_whole_days(chosen)
         daily = daily_in_region(
-            chosen, region_cells, wanted, region_rows, tile_shape, min_valid_hours, registry
+            chosen, region_cells, wanted, tile_shape, min_valid_hours, registry, with_hours=True
         )
-        write_daily(to_long(daily, wanted), root)
+        staged = f"{root}/staged-{year}-{uuid4().hex}"
+        try:
+            daily.write.parquet(staged)
+            daily = spark.read.schema(daily.schema).parquet(staged)
+            check_year(daily, year)
+            write_daily(to_long(daily, wanted, tile_shape), root)
+        finally:
+            remove(spark, staged)
+        record_units(spark, root, wanted, registry)
         # Counted from the stored counts: the hourly chain runs once.
         stored = read_daily(spark, root, wanted, [year])
-        gaps = gap_report(stored, region_cells, wanted, year, year, region_rows).first()
+        gaps = gap_report(stored, region_cells, wanted, year, year).first()
         reports.append(
             YearReport(
-                year, tuple(wanted), gaps.incomplete_cell_days, gaps.fully_missing_cell_days
+                year,
+                tuple(wanted),
+                gaps.incomplete_cell_days,
+                gaps.fully_missing_cell_days,
+                tiles.covered,
+                tiles.skipped,
             )
         )
         record_completed(spark, root, wanted, [year])

@@ -32,7 +32,7 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 HOURLY = _struct(
     ("year", T.IntegerType()),
-    ("ts", T.TimestampType()),
+    ("ts", T.TimestampNTZType()),
     ("lat_idx", T.IntegerType()),
     ("lon_idx", T.IntegerType()),
     ("latitude", T.DoubleType()),
@@ -69,6 +69,7 @@ REGION_CELLS = _struct(
 DAILY = _struct(
     ("metric", T.StringType()),
     ("year", T.IntegerType()),
+    (TILE_ID, T.LongType()),
     ("day", T.DateType()),
     ("lat_idx", T.IntegerType()),
     ("lon_idx", T.IntegerType()),

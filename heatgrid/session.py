@@ -1,18 +1,12 @@
-"""Session settings the package relies on, and small session lookups."""
-
-import tempfile
+"""Session settings the package is made for, and folders."""
 
 from pyspark.sql import SparkSession
 
-REQUIRED_SETTINGS = {
-    # Days are UTC days; a session in another zone would cut them elsewhere.
+RECOMMENDED_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # The JVM interprets methods beyond this size. A stage that large runs faster
     # operator by operator, which is what Spark falls back to at this limit.
     "spark.sql.codegen.hugeMethodLimit": "8000",
-}
-
-RECOMMENDED_SETTINGS = {
     # Recording the call site of every column expression slows plan building down.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
@@ -27,24 +21,32 @@ def build_session(app_name: str = "heatgrid", master: str | None = None, **setti
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    chosen = {**RECOMMENDED_SETTINGS, **REQUIRED_SETTINGS}
+    chosen = dict(RECOMMENDED_SETTINGS)
     chosen.update({key.replace("__", "."): value for key, value in settings.items()})
     for key, value in chosen.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
-def prepared(spark: SparkSession) -> SparkSession:
-    """The given session with the settings the package depends on."""
-    for key, value in REQUIRED_SETTINGS.items():
-        spark.conf.set(key, value)
-    return spark
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by the cluster.
+    """The folder every executor can reach, as named by the cluster in spark.checkpoint.dir.
 
-    Only a session without that setting (a test on one machine) gets a local
-    temporary folder.
+    Without that setting, a session whose executors share this machine may use its warehouse.
     """
-    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return spark.conf.get("spark.sql.warehouse.dir")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package has written."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from heatgrid.operators.checks import check_same_grid
 from heatgrid.operators.polygons import (
     cells_in_polygons,
-    check_longitudes_increase,
     edges_of,
     reproject,
     vertices_of,
 )
 from heatgrid.schema import POLYGONS, REGION_CELLS, conform
+from heatgrid.session import exists
 
 
 def read_polygons(spark: SparkSession, path: str) -> DataFrame:
@@ -20,6 +20,9 @@ def read_polygons(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stored_or_none(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """The table at the path; None if there is none, or only what a write that broke off has left."""
+    if not exists(spark, f"{path}/_SUCCESS"):
+        return None
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as missing:
@@ -30,7 +33,6 @@ def stored_or_none(spark: SparkSession, path: str, schema) -> DataFrame | None:
 
 def region_from_vertices(vertices: DataFrame, grid: DataFrame, in_metres: bool = False) -> DataFrame:
     """The grid with ``inside``, from boundary vertices in degrees or Web Mercator metres."""
-    check_longitudes_increase(grid)
     return cells_in_polygons(edges_of(reproject(vertices) if in_metres else vertices), grid)
 
 
@@ -43,7 +45,8 @@ def build_region(
 ) -> DataFrame:
     """The region stored at ``path``, built from the polygons and stored if absent.
 
-    A stored region is used only for exactly the grid it was built on.
+    A stored region is used only for exactly the grid it was built on, cell by cell. One whose write
+    broke off counts as absent.
     """
     stored = stored_or_none(spark, path, REGION_CELLS)
     if stored is not None:

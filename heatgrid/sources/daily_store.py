@@ -1,8 +1,8 @@
 """The daily result table: partitioned storage, completion records, gap report.
 
-Layout below one root: ``daily`` (partitioned by metric and year), ``manifest``
-(finished metric-years), ``axis`` (the years the store was set up for) and
-``grid`` (its coordinate axes).
+Layout below one root: ``daily`` (partitioned by metric, year and tile), ``manifest``
+(finished metric-years), ``metrics`` (their units), ``axis`` (the years the store was
+set up for), ``rules`` (its coverage rule and tiles) and ``grid`` (its coordinate axes).
 """
 
 from collections.abc import Iterable, Mapping, Sequence
@@ -12,25 +12,30 @@ from pyspark.sql import functions as F
 
 from heatgrid.functions.metrics import METRICS, MetricSpec, check_metrics
 from heatgrid.operators.calendar import check_years
+from heatgrid.operators.daily import to_wide
 from heatgrid.operators.polygons import grid_axes
 from heatgrid.operators.region import keep_inside
-from heatgrid.schema import CELL, DAILY, HOURS_PER_DAY, MANIFEST, STATISTICS, conform
+from heatgrid.operators.tiles import tile_number
+from heatgrid.schema import CELL, DAILY, HOURS_PER_DAY, MANIFEST, STATISTICS, TILE_ID, conform
 from heatgrid.sources.boundary import stored_or_none
 
 AXIS = "start_year int, end_year int"
+RULES = "min_valid_hours int, tile_rows int, tile_cols int"
+UNITS = "metric string, units string"
 GRID = "axis string, idx int, coordinate double"
 
 
 def write_daily(long: DataFrame, root: str) -> None:
-    """Replace exactly the (metric, year) partitions present in ``long``.
+    """Replace exactly the (metric, year, tile) partitions present in ``long``.
 
     A rerun overwrites what it recomputes and leaves every other partition
-    alone. Rebalancing gives files of even size whatever the metric or year.
+    alone. Rebalancing gives files of even size whatever the metric, year or tile,
+    and the rows of a cell lie in the files of its tile.
     """
     (
-        conform(long, DAILY).hint("rebalance", "metric", "year")
-        .sortWithinPartitions("metric", "year", *CELL, "day")
-        .write.partitionBy("metric", "year")
+        conform(long, DAILY).hint("rebalance", "metric", "year", TILE_ID)
+        .sortWithinPartitions("metric", "year", TILE_ID, *CELL, "day")
+        .write.partitionBy("metric", "year", TILE_ID)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .parquet(f"{root}/daily")
@@ -42,16 +47,50 @@ def read_daily(
     root: str,
     metrics: Iterable[str] | None = None,
     years: Iterable[int] | None = None,
+    cell: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """Stored rows; metrics and years prune partitions."""
+    """Stored rows; metrics, years and the tile of a cell prune partitions."""
     daily = spark.read.schema(DAILY).parquet(f"{root}/daily")
     if metrics is not None:
         daily = daily.where(F.col("metric").isin(list(metrics)))
     if years is not None:
         daily = daily.where(F.col("year").isin(list(years)))
+    if cell is not None:
+        rules = stored_or_none(spark, f"{root}/rules", RULES)
+        if rules is not None:
+            shape = rules.select("tile_rows", "tile_cols").first()
+            daily = daily.where(F.col(TILE_ID) == tile_number(cell, tuple(shape)))
+        daily = daily.where((F.col("lat_idx") == cell[0]) & (F.col("lon_idx") == cell[1]))
     return daily.select(*DAILY.names)
 
 
+def read_wide(
+    spark: SparkSession,
+    root: str,
+    metrics: Iterable[str],
+    years: Iterable[int] | None = None,
+) -> DataFrame:
+    """One row per cell-day with the columns of each metric, described by the stored units."""
+    names = list(metrics)
+    units = {row.metric: row.units for row in read_units(spark, root).where(F.col("metric").isin(names)).collect()}
+    return describe(to_wide(read_daily(spark, root, names, years), names), names, units)
+
+
+def read_units(spark: SparkSession, root: str) -> DataFrame:
+    stored = stored_or_none(spark, f"{root}/metrics", UNITS)
+    return (spark.createDataFrame([], UNITS) if stored is None else stored).distinct()
+
+
+def record_units(
+    spark: SparkSession, root: str, metrics: Iterable[str], registry: Mapping[str, MetricSpec] = METRICS
+) -> None:
+    """Keep the units with the data, since one column holds metrics of different units."""
+    rows = [(name, registry[name].units) for name in metrics]
+    known = read_units(spark, root)
+    new = spark.createDataFrame(rows, UNITS).join(known, "metric", "left_anti")
+    new.coalesce(1).write.mode("append").parquet(f"{root}/metrics")
+
+
 def union_manifest(manifest: DataFrame, finished: DataFrame) -> DataFrame:
     """Recording a metric-year twice changes nothing."""
     return manifest.unionByName(finished).distinct()
@@ -124,6 +163,19 @@ def check_store_axis(spark: SparkSession, root: str, start_year: int, end_year:
         )
 
 
+def check_store_rules(spark: SparkSession, root: str, min_valid_hours: int, tile_shape: tuple[int, int]) -> None:
+    """A store keeps its coverage rule and its tiles; others are an error."""
+    asked = (min_valid_hours, *tile_shape)
+    stored = stored_or_none(spark, f"{root}/rules", RULES)
+    if stored is None:
+        spark.createDataFrame([asked], RULES).coalesce(1).write.mode("overwrite").parquet(f"{root}/rules")
+    elif tuple(known := stored.first()) != asked:
+        raise ValueError(
+            f"the store at {root} wants {known.min_valid_hours} valid hours and tiles of "
+            f"{known.tile_rows} x {known.tile_cols}, which does not match {asked}"
+        )
+
+
 def check_store_grid(spark: SparkSession, root: str, cells: DataFrame) -> None:
     """A store keeps the grid it was set up with; another grid is an error."""
     axes = grid_axes(cells).withColumn("idx", F.col("idx").cast("int"))
@@ -140,7 +192,6 @@ def gap_report(
     metrics: Sequence[str],
     start_year: int,
     end_year: int,
-    region_rows: int | None = None,
 ) -> DataFrame:
     """Incomplete and fully missing cell-days per year, summed over the metrics.
 
@@ -151,7 +202,7 @@ def gap_report(
     check_years(start_year, end_year)
     metrics = list(metrics)
     present = (
-        keep_inside(daily.where(F.col("metric").isin(metrics)), region_cells, region_rows)
+        keep_inside(daily.where(F.col("metric").isin(metrics)), region_cells)
         .groupBy("year")
         .agg(
             F.count_if(F.col("valid_hours") >= HOURS_PER_DAY).alias("complete"),
@@ -177,16 +228,21 @@ def gap_report(
 def describe(
     daily: DataFrame,
     metrics: Iterable[str],
-    registry: Mapping[str, MetricSpec] = METRICS,
+    units: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Attach units and a description to the columns of a wide daily table."""
-    for name in check_metrics(metrics, registry):
+    """Attach units and a description to the columns of a wide daily table.
+
+    ``units`` by metric are those of the registered metrics unless given.
+    """
+    if units is None:
+        units = {name: METRICS[name].units for name in check_metrics(metrics)}
+    for name in metrics:
         readable = name.replace("_", " ")
         for statistic in STATISTICS:
             daily = daily.withMetadata(
                 f"{name}_{statistic}",
                 {
-                    "units": registry[name].units,
+                    "units": units[name],
                     "source_timestep": "hourly",
                     "description": f"{statistic} of the hourly {readable} of one UTC day",
                 },

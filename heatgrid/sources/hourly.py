@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heatgrid.functions.metrics import METRICS, required_variables
+from heatgrid.operators.calendar import in_utc
 from heatgrid.operators.region import Extent, crop
 from heatgrid.operators.tiles import with_tile_id
 from heatgrid.schema import (
@@ -18,6 +19,7 @@ from heatgrid.schema import (
     VARIABLES,
     conform,
 )
+from heatgrid.session import exists
 
 
 def finite_or_null(value: Column) -> Column:
@@ -30,8 +32,10 @@ def finite_or_null(value: Column) -> Column:
 
 
 def clean(raw: DataFrame) -> DataFrame:
-    """Source names to ours, variables as finite doubles or NULL; other columns stay."""
+    """Source names to ours, variables as finite doubles or NULL, ``ts`` as UTC time; other columns stay."""
     named = raw.withColumnsRenamed(SOURCE_VARIABLES)
+    if "ts" in named.columns:
+        named = in_utc(named)
     present = [name for name in named.columns if name in VARIABLES]
     return named.withColumns(
         {name: finite_or_null(F.col(name).cast("double")) for name in present}
@@ -81,23 +85,33 @@ def write_hourly(
     path: str,
     shape: tuple[int, int] = TILE_SHAPE,
     partitions: int | None = None,
+    replace: bool = False,
 ) -> None:
-    """Partition by year and tile, sort by cell and hour.
+    """Partition by year and tile, sort by cell and hour. The year is that of ``ts``, in UTC.
 
-    Ranges of (year, tile, cell) give files of even size however unequal years
-    and tiles are, and keep all hours of a cell in one file: the daily
-    aggregation then combines the hours of a cell-day before its shuffle.
-    ``partitions`` should give files of some 256 MB.
+    Rows are spread by (year, tile, four rows of the grid), which Spark joins into partitions of even size
+    without sampling, so that a year or tile far larger than the others becomes more files. All hours of
+    a cell share a file: the daily aggregation then combines the hours of a cell-day before its shuffle.
+    ``partitions`` fixes the number of ranges of (year, tile, cell) instead.
+
+    A delivery replaces whole years: for a year that is there already, ``replace`` has to say so, since
+    half a year would take the place of the other half.
     """
-    order = ("year", TILE_ID, *CELL)
-    tiled = with_tile_id(conform(hourly, HOURLY), shape)
-    spread = (
-        tiled.repartitionByRange(partitions, *order)
-        if partitions
-        else tiled.repartitionByRange(*order)
-    )
+    spark = hourly.sparkSession
+    named = in_utc(hourly).withColumn("year", F.year("ts"))
+    if not replace and exists(spark, path):
+        there = spark.read.schema(TILED_HOURLY).parquet(path).select("year").distinct()
+        twice = named.select("year").distinct().join(there, "year").orderBy("year").first()
+        if twice is not None:
+            raise ValueError(f"{path} already has hours of {twice.year}; replace=True replaces them")
+    tiled = with_tile_id(conform(named, HOURLY), shape)
+    if partitions:
+        spread = tiled.repartitionByRange(partitions, "year", TILE_ID, *CELL)
+    else:
+        band = F.call_function("div", F.col("lat_idx"), F.lit(4))
+        spread = tiled.withColumn("_band", band).hint("rebalance", "year", TILE_ID, "_band").drop("_band")
     (
-        spread.sortWithinPartitions(*order, "ts")
+        spread.sortWithinPartitions("year", TILE_ID, *CELL, "ts")
         .write.partitionBy("year", TILE_ID)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -112,7 +126,7 @@ def save_bucketed(hourly: DataFrame, table: str, buckets: int) -> None:
     are even by construction.
     """
     (
-        conform(hourly, HOURLY).repartition(buckets, *CELL)
+        conform(in_utc(hourly), HOURLY).repartition(buckets, *CELL)
         .sortWithinPartitions(*CELL, "ts")
         .write.partitionBy("year")
         .bucketBy(buckets, *CELL)

@@ -75,14 +75,26 @@ def test_hourly_coverage(spark):
     assert (facts.hours, facts.off_hour_rows, facts.repeated_rows) == (47, 1, 2)
 
 
-def test_whole_days(spark):
-    frame = weather(days=2)
-    checks.check_whole_days(to_spark(spark, frame))
-    with pytest.raises(ValueError, match="24-hour days"):
-        checks.check_whole_days(to_spark(spark, frame[frame.ts < "2000-07-02 23:00"]))
-    shifted = frame[(frame.ts >= "2000-07-01 01:00") & (frame.ts < "2000-07-02 01:00")]
-    with pytest.raises(ValueError, match="00Z"):
-        checks.check_whole_days(to_spark(spark, shifted))
+def checked(spark, frame, year=2000):
+    checks.check_year(daily_metrics(to_spark(spark, frame), ["temperature"], with_hours=True), year)
+
+
+def test_a_year_must_be_sound(spark):
+    frame = weather(days=3, start="2000-03-04")
+    checked(spark, frame)
+    checked(spark, frame[(frame.lat_idx > 0) | (frame.ts.dt.hour != 5)])  # one cell has the hour
+    for wrong, message in (
+        (frame[frame.ts < "2000-03-06 21:00"], "24-hour days"),
+        (frame[(frame.ts >= "2000-03-04 03:00") & (frame.ts < "2000-03-06 03:00")], "00Z"),
+        (frame[frame.ts.dt.day != 5], "not contiguous"),
+        (pd.concat([frame, frame.iloc[7:9]]), "more than one row"),
+        (weather(days=2, start="1999-12-31"), "1 of 2 days are outside 2000"),
+    ):
+        with pytest.raises(ValueError, match=message):
+            checked(spark, wrong)
+    nothing = daily_metrics(to_spark(spark, frame).limit(0), ["temperature"], with_hours=True)
+    with pytest.raises(ValueError, match="no hours for 2000"):
+        checks.check_year(nothing, 2000)
 
 
 def test_axis_differences(spark):

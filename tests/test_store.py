@@ -1,11 +1,14 @@
 """The stored daily table, its manifest, and the hourly layouts."""
 
+import dataclasses
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import day, grid_frame, to_spark, weather
+from heatgrid.functions.metrics import METRICS
 from heatgrid.operators.daily import daily_metrics, to_long, to_wide
 from heatgrid.operators.region import Extent
 from heatgrid.schema import MANIFEST
@@ -37,7 +40,7 @@ def test_round_trip_and_types(spark, hourly, root):
     put(hourly, root, "humidex", "temperature")
     stored = store.read_daily(spark, root)
     assert dict(stored.dtypes) == {
-        "metric": "string", "year": "int", "day": "date", "lat_idx": "int", "lon_idx": "int",
+        "metric": "string", "year": "int", "tile": "bigint", "day": "date", "lat_idx": "int", "lon_idx": "int",
         "min": "float", "mean": "float", "max": "float", "valid_hours": "tinyint",
     }
     assert stored.count() == 16
@@ -69,19 +72,59 @@ def test_rewriting_replaces_only_its_metric_year(spark, root):
     assert store.read_daily(spark, root).count() == 8
 
 
-def test_consecutive_years_lose_no_day_at_the_boundary(spark, root):
-    axis = pd.date_range("1999-01-01", "2000-12-31")
-    frame = pd.DataFrame(
-        {
-            "metric": "humidex", "day": axis.date, "year": axis.year, "lat_idx": 0, "lon_idx": 0,
-            "valid_hours": 24, **{s: np.arange(731.0) for s in ("min", "mean", "max")},
-        }
+def test_years_written_in_any_order_hold_each_day_once(spark, root):
+    """Three years of two cells in different tiles, the middle one last and twice."""
+    axis = pd.date_range("2003-01-01", "2005-12-31")
+    rng = np.random.default_rng(11)
+    frame = pd.concat(
+        pd.DataFrame(
+            {
+                "metric": "heat_index", "day": axis.date, "year": axis.year, "tile": tile, "lat_idx": 9 * tile,
+                "lon_idx": 4, "valid_hours": 24, "min": -1.0, "mean": rng.integers(0, 99, len(axis)), "max": 100.0,
+            }
+        )
+        for tile in (0, 1)
     )
-    for year in (1999, 2000):
+    for year in (2005, 2003, 2004, 2004):
         store.write_daily(spark.createDataFrame(frame[frame.year == year]), root)
-    stored = store.read_daily(spark, root).orderBy("day").toPandas()
-    assert stored["mean"].tolist() == list(range(731))
-    assert stored.day.tolist() == axis.date.tolist()
+    keys = ["lat_idx", "day"]
+    stored = store.read_daily(spark, root).toPandas().sort_values(keys, ignore_index=True)
+    expected = frame.sort_values(keys, ignore_index=True)
+    assert stored["mean"].tolist() == expected["mean"].tolist()
+    assert stored.day.tolist() == expected.day.tolist()
+
+
+def test_one_cell_is_read_from_one_tile(spark, root):
+    hourly = to_spark(spark, weather(days=1, rows=4, cols=6))
+    store.check_store_rules(spark, root, 24, (2, 3))
+    store.write_daily(to_long(daily_metrics(hourly, ["humidex"]), ["humidex"], (2, 3)), root)
+    one = store.read_daily(spark, root, ["humidex"], [2000], cell=(3, 1))
+    assert one.count() == 1
+    read = {row[0] for row in one.select(F.input_file_name()).collect()}
+    assert len(read) == 1 and "tile=1000000" in read.pop()
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "(tile" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+def test_store_keeps_its_rules(spark, root):
+    store.check_store_rules(spark, root, 20, (4, 8))
+    store.check_store_rules(spark, root, 20, (4, 8))
+    for other in ((24, (4, 8)), (20, (8, 4))):
+        with pytest.raises(ValueError, match="does not match"):
+            store.check_store_rules(spark, root, *other)
+
+
+def test_wide_view_carries_the_stored_units(spark, hourly, root):
+    names = ["humidex", "specific_humidity"]
+    put(hourly, root, *names)
+    own = {**METRICS, "humidex": dataclasses.replace(METRICS["humidex"], units="own unit")}
+    for _ in range(2):
+        store.record_units(spark, root, names, own)
+    assert store.read_units(spark, root).count() == 2
+    wide = store.read_wide(spark, root, names, [2000])
+    assert wide.count() == 8
+    assert wide.schema["humidex_max"].metadata["units"] == "own unit"
+    assert wide.schema["specific_humidity_min"].metadata["units"] == "kg/kg"
 
 
 # --- manifest ---------------------------------------------------------------------------
@@ -196,14 +239,34 @@ def test_layout_scan_and_pruning(spark, tmp_path):
     assert "u10" not in plan and "latitude" not in plan
     assert "PartitionFilters: [isnotnull(year" in plan or "(year" in plan.split("PartitionFilters")[1][:60]
     assert "GreaterThanOrEqual(lat_idx,0)" in plan and "LessThan(lon_idx,4)" in plan
-    # Rewriting a year leaves the other alone.
-    source.write_hourly(to_spark(spark, weather(days=1, start="2000-12-31", rows=4, cols=4)), path, (2, 2))
+    # Rewriting a year leaves the other alone, and has to be asked for.
+    again = to_spark(spark, weather(days=1, start="2000-12-31", rows=4, cols=4))
+    with pytest.raises(ValueError, match="already has hours of 2000"):
+        source.write_hourly(again, path, (2, 2))
+    source.write_hourly(again, path, (2, 2), replace=True)
     rewritten = source.scan_hourly(spark, path)
     assert rewritten.count() == len(frame)
     found = {row[0] for row in rewritten.select(F.to_date("ts")).distinct().collect()}
     assert found == {day("1999-12-31"), day("2000-12-31")}
 
 
+def test_the_year_is_that_of_the_hour(spark, tmp_path):
+    """Whatever the column says, and in UTC whatever the session says."""
+    path = str(tmp_path / "hourly")
+    frame = weather(days=2, start="1999-12-31").assign(year=1987)
+    hourly = to_spark(spark, frame)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+    try:
+        source.write_hourly(hourly, path, (2, 2))
+        found = source.scan_hourly(spark, path).groupBy("year").agg(F.min("ts"), F.count("*")).orderBy("year").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert [(r[0], str(r[1]), r[2]) for r in found] == [
+        (1999, "1999-12-31 00:00:00", 96), (2000, "2000-01-01 00:00:00", 96),
+    ]
+
+
 def test_bucketed_table_needs_no_shuffle(spark):
     frame = weather(days=2, rows=3, cols=3)
     source.save_bucketed(to_spark(spark, frame), "hourly_bucketed", 4)

@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +12,9 @@ from heatgrid.functions.metrics import METRICS, with_quantities
 from heatgrid.operators import calendar, checks, polygons, region, tiles
 from heatgrid.operators.daily import daily_metrics, reduce_daily, to_long
 from heatgrid.schema import STATISTICS
-from heatgrid.session import shared_folder, prepared
-from heatgrid.sources import daily_store, hourly as hourly_source
+from heatgrid.plans.daily_run import run_daily
+from heatgrid.session import shared_folder
+from heatgrid.sources import boundary, daily_store, hourly as hourly_source
 from workloads import fixtures as fx
 from workloads.oracle import DERIVED, daily_ctes, digits, rounded_daily
 
@@ -34,10 +36,7 @@ CATALOG: dict[str, Entry] = {}
 
 def register(name: str, sql: str) -> Callable[[Query], Query]:
     def keep(query: Query) -> Query:
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return query(prepared(spark), sf_dir)
-
-        CATALOG[name] = Entry(run, sql)
+        CATALOG[name] = Entry(query, sql)
         return query
 
     return keep
@@ -119,7 +118,7 @@ def valid_hours_by_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "multi_year_daily",
     """
-    SELECT CAST(l_suppkey % 4 AS INT) AS cell, CAST(l_shipdate AS DATE) AS day,
+    SELECT CAST(l_suppkey AS INT) AS cell, CAST(l_shipdate AS DATE) AS day,
            round(min(l_quantity), 6) AS quantity_min, round(avg(l_quantity), 6) AS quantity_mean,
            round(max(l_quantity), 6) AS quantity_max,
            CAST(count(l_quantity) AS INT) AS quantity_valid_hours
@@ -128,7 +127,7 @@ def valid_hours_by_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def multi_year_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = fx.table(spark, sf_dir, "lineitem").select(
-        (F.col("l_suppkey") % 4).cast("int").alias("cell"),
+        F.col("l_suppkey").cast("int").alias("cell"),
         F.col("l_shipdate").alias("ts"),
         F.col("l_quantity").alias("quantity"),
     )
@@ -211,17 +210,21 @@ def pivot_long_variables(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "scan_year_crop",
     fx.with_fixtures(
-        ("hourly_grid",),
+        ("year_end",),
         select="""
         SELECT lat_idx, lon_idx, ts, round(tmp_k, 6) AS tmp_k, round(spfh, 9) AS spfh,
                round(pres_pa, 6) AS pres_pa
-        FROM hourly_grid
+        FROM year_end
         WHERE year(ts) = 2000 AND lat_idx >= 2 AND lat_idx < 34 AND lon_idx >= 8 AND lon_idx < 24
         """,
     ),
 )
 def scan_year_crop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hourly = fx.hourly_grid(spark, sf_dir).withColumn("year", F.year("ts"))
+    """Lay two years out, then read one year and a box of it."""
+    path = f"{new_store(spark)}/hourly"
+    cells = fx.year_end(spark, sf_dir).join(fx.grid(spark, sf_dir), ["lat_idx", "lon_idx"])
+    hourly_source.write_hourly(cells, path, STORE_TILES)
+    hourly = hourly_source.scan_hourly(spark, path)
     box = region.Extent(2, 34, 8, 24)
     chosen = hourly_source.select_hourly(hourly, [2000], ["humidex"], box)
     return rounded_columns(chosen.select("lat_idx", "lon_idx", "ts", "tmp_k", "spfh", "pres_pa"))
@@ -229,18 +232,18 @@ def scan_year_crop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "validate_hourly",
-    fx.with_fixtures(
-        ("obs",),
-        select="""
-        SELECT min(ts) AS first_ts, min(ts) = date_trunc('day', min(ts)) AS starts_at_midnight,
-               CAST(count(DISTINCT ts) AS BIGINT) AS hours, count(DISTINCT ts) % 24 = 0 AS whole_days,
-               CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS off_hour_rows,
-               CAST(count(*) - count(DISTINCT (cell, ts)) AS BIGINT) AS repeated_rows
-        FROM obs""",
-    ),
+    """
+    SELECT min(ts) AS first_ts, min(ts) = date_trunc('day', min(ts)) AS starts_at_midnight,
+           CAST(count(DISTINCT date_trunc('hour', ts)) AS BIGINT) AS hours,
+           count(DISTINCT date_trunc('hour', ts)) % 24 = 0 AS whole_days, CAST(count(*) AS BIGINT) AS n_rows,
+           CAST(count(*) FILTER (ts <> date_trunc('hour', ts)) AS BIGINT) AS off_hour_rows,
+           CAST(count(*) - count(DISTINCT (user_id, date_trunc('hour', ts))) AS BIGINT) AS repeated_rows
+    FROM events
+    """,
 )
 def validate_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.hourly_coverage(fx.obs(spark, sf_dir))
+    """Raw events, which repeat hours and seldom fall on one."""
+    return checks.hourly_coverage(fx.table(spark, sf_dir, "events"), ("user_id",))
 
 
 # --- region, masks, tiles ---------------------------------------------------------
@@ -465,21 +468,26 @@ def web_mercator_to_lonlat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded_columns(polygons.reproject(fx.mercator_vertices(spark, sf_dir)))
 
 
-@register(
-    "point_in_polygon",
-    fx.with_fixtures(
-        ("grid", "edges"),
-        """
+INSIDE_POLYGONS = """
         hits AS (SELECT lat_idx, lon_idx, poly_id
                  FROM grid JOIN edges
                    ON latitude > least(y1, y2) AND latitude <= greatest(y1, y2)
                   AND longitude <= greatest(x1, x2)
                   AND (x1 = x2 OR longitude <= (latitude - y1) * (x2 - x1) / (y2 - y1) + x1)
-                 GROUP BY lat_idx, lon_idx, poly_id HAVING count(*) % 2 = 1)""",
-        select="""
+                 GROUP BY lat_idx, lon_idx, poly_id HAVING count(*) % 2 = 1)"""
+
+INSIDE_SELECT = """
         SELECT lat_idx, lon_idx, latitude, longitude,
                (lat_idx, lon_idx) IN (SELECT (lat_idx, lon_idx) FROM hits) AS inside
-        FROM grid""",
+        FROM grid"""
+
+
+@register(
+    "point_in_polygon",
+    fx.with_fixtures(
+        ("grid", "edges"),
+        INSIDE_POLYGONS,
+        select=INSIDE_SELECT,
     ),
 )
 def point_in_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -487,6 +495,17 @@ def point_in_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return polygons.cells_in_polygons(edges, fx.grid(spark, sf_dir))
 
 
+@register("build_region", fx.with_fixtures(("grid", "edges"), INSIDE_POLYGONS, select=INSIDE_SELECT))
+def build_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested polygons, written and read as a source, to a stored region."""
+    root = new_store(spark)
+    fx.nested_polygons(spark, sf_dir).write.parquet(f"{root}/polygons")
+    polygons_read = boundary.read_polygons(spark, f"{root}/polygons")
+    grid = fx.grid(spark, sf_dir)
+    boundary.build_region(spark, f"{root}/region", grid, polygons_read)
+    return boundary.build_region(spark, f"{root}/region", grid)
+
+
 # --- calendar -------------------------------------------------------------------------
 
 
@@ -508,13 +527,15 @@ def daily_axis(spark: SparkSession, sf_dir: str) -> DataFrame:
     "day_axis_position",
     f"""
     SELECT DISTINCT CAST(l_shipdate AS DATE) AS day,
-           CAST(date_diff('day', DATE '{FIRST_YEAR}-01-01', CAST(l_shipdate AS DATE)) AS INT) AS position
+           CASE WHEN year(l_shipdate) BETWEEN {FIRST_YEAR + 1} AND {LAST_YEAR - 1}
+                THEN CAST(date_diff('day', DATE '{FIRST_YEAR + 1}-01-01', CAST(l_shipdate AS DATE)) AS INT) END AS position
     FROM lineitem
     """,
 )
 def day_axis_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first and the last year of the data are off the axis."""
     days = fx.table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("day")).distinct()
-    return calendar.locate_days(days, FIRST_YEAR, LAST_YEAR)
+    return calendar.locate_days(days, FIRST_YEAR + 1, LAST_YEAR - 1)
 
 
 @register(
@@ -599,9 +620,8 @@ def daily_append_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def new_store(spark: SparkSession) -> str:
-    import uuid
-
-    return f"{shared_folder(spark)}/heatgrid-{uuid.uuid4().hex}"
+    """A folder of its own for each call; it has to outlive the result that reads it."""
+    return f"{shared_folder(spark)}/heatgrid-{uuid4().hex}"
 
 
 REPORTED = ["humidex", "temperature"]
@@ -631,11 +651,78 @@ REPORTED = ["humidex", "temperature"]
     ),
 )
 def gap_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    daily = to_long(daily_metrics(fx.obs_gap(spark, sf_dir), REPORTED), REPORTED)
+    root = new_store(spark)
+    daily_store.write_daily(to_long(daily_metrics(fx.obs_gap(spark, sf_dir), REPORTED), REPORTED), root)
+    daily = daily_store.read_daily(spark, root)
     cells = fx.obs_region(spark, sf_dir)
     return daily_store.gap_report(daily, cells, REPORTED, STORE_YEAR - 1, STORE_YEAR)
 
 
+STORE_TILES = (64, 20)
+RUN_METRICS = ["humidex", "temperature"]
+
+
+@register(
+    "run_daily_store",
+    fx.with_fixtures(
+        ("year_end", "grid", "edges"),
+        INSIDE_POLYGONS,
+        "inside_hours AS (SELECT * FROM year_end WHERE (lat_idx, lon_idx) IN (SELECT (lat_idx, lon_idx) FROM hits))",
+        *daily_ctes("inside_hours", RUN_METRICS, 23),
+        select=" UNION ALL ".join(
+            f"""SELECT '{name}' AS metric, CAST(year(day) AS INT) AS year, day, lat_idx, lon_idx,
+                round(CAST(CAST({name}_min AS FLOAT) AS DOUBLE), 4) AS min,
+                round(CAST(CAST({name}_max AS FLOAT) AS DOUBLE), 4) AS max,
+                {name}_valid_hours AS valid_hours FROM daily"""
+            for name in RUN_METRICS
+        ),
+    ),
+)
+def run_daily_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole path: lay hours out over a year end, build the region, run, add a metric, read back."""
+    root = new_store(spark)
+    grid = fx.grid(spark, sf_dir)
+    cells = fx.year_end(spark, sf_dir).join(grid, ["lat_idx", "lon_idx"])
+    hourly_source.write_hourly(cells, f"{root}/hourly", STORE_TILES)
+    region_cells = boundary.build_region(spark, f"{root}/region", grid, fx.nested_polygons(spark, sf_dir))
+    hourly = hourly_source.scan_hourly(spark, f"{root}/hourly")
+    for wanted in (RUN_METRICS[:1], RUN_METRICS):
+        run_daily(spark, hourly, region_cells, f"{root}/out", wanted, 1999, 2000, STORE_TILES, 23)
+    return daily_store.read_daily(spark, f"{root}/out").select(
+        "metric", "year", "day", "lat_idx", "lon_idx",
+        *(F.round(F.col(s).cast("double"), 4).alias(s) for s in ("min", "max")),
+        F.col("valid_hours").cast("int").alias("valid_hours"),
+    )
+
+
+WIDE = ["humidex", "specific_humidity"]
+
+
+@register(
+    "daily_wide_with_units",
+    with_daily(
+        "obs", WIDE, 20,
+        "SELECT lat_idx, lon_idx, day, "
+        + ", ".join(
+            f"round(CAST(CAST({name}_{s} AS FLOAT) AS DOUBLE), {digits(name) - 2}) AS {name}_{s}" for name in WIDE for s in ("min", "max")
+        )
+        + ", 'deg_F' AS humidex_units, 'kg/kg' AS specific_humidity_units FROM daily",
+    ),
+)
+def daily_wide_with_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of different units stored in one table, read back as columns that carry theirs."""
+    root = new_store(spark)
+    daily = daily_metrics(fx.obs(spark, sf_dir), WIDE, min_valid_hours=20)
+    daily_store.write_daily(to_long(daily, WIDE), root)
+    daily_store.record_units(spark, root, WIDE)
+    wide = daily_store.read_wide(spark, root, WIDE)
+    units = (F.lit(wide.schema[f"{name}_mean"].metadata["units"]).alias(f"{name}_units") for name in WIDE)
+    values = (
+        F.round(F.col(f"{name}_{s}").cast("double"), digits(name) - 2).alias(f"{name}_{s}") for name in WIDE for s in ("min", "max")
+    )
+    return wide.select("lat_idx", "lon_idx", "day", *values, *units)
+
+
 FINISHED_SQL = "SELECT DISTINCT 'humidex' AS metric, CAST(year(o_orderdate) AS INT) AS year FROM orders"
 
 

@@ -34,33 +34,39 @@ def _weather(k, *, k_steps: tuple, hour_terms: tuple | None = None) -> dict:
 
 
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hourly = (
+    """A cell per user; the hours of each day on which the user has events, with some absent."""
+    days = (
         table(spark, sf_dir, "events")
-        .groupBy(
-            (F.col("user_id") % 4).cast("int").alias("cell"),
-            F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"),
-        )
+        .groupBy(F.col("user_id").cast("int").alias("cell"), F.to_date("ts").alias("day"))
         .agg(F.max("event_id").alias("k"))
     )
+    hourly = (
+        days.withColumn("h", F.explode(F.sequence(F.lit(0), F.lit(23))))
+        .withColumn("k", F.col("k") + F.col("h"))
+        .where(F.col("k") % 23 != 0)
+    )
     weather = _weather(F.col("k"), k_steps=(37, 13, 7, 11, 17))
     return hourly.select(
         "cell",
-        (F.col("cell") >= 2).cast("int").alias("lat_idx"),
-        (F.col("cell") % 2).cast("int").alias("lon_idx"),
-        "ts",
+        F.call_function("div", "cell", F.lit(GRID_COLUMNS)).cast("int").alias("lat_idx"),
+        (F.col("cell") % GRID_COLUMNS).cast("int").alias("lon_idx"),
+        (F.col("day").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("h"))).alias("ts"),
         *(column.alias(name) for name, column in weather.items()),
     )
 
 
 OBS = """
-SELECT cell, CAST(cell >= 2 AS INT) AS lat_idx, CAST(cell % 2 AS INT) AS lon_idx, ts,
+SELECT cell, CAST(cell // 40 AS INT) AS lat_idx, CAST(cell % 40 AS INT) AS lon_idx, ts,
        283.15e0 + (k * 37 % 3000) / 100.0e0 AS tmp_k,
        0.004e0 + (k * 13 % 160) / 10000.0e0 AS spfh,
        97000.0e0 + (k * 7 % 4500) AS pres_pa,
        (k * 11 % 160) / 10.0e0 - 8.0e0 AS u10,
        (k * 17 % 160) / 10.0e0 - 8.0e0 AS v10
-FROM (SELECT CAST(user_id % 4 AS INT) AS cell, date_trunc('hour', ts) AS ts, max(event_id) AS k
-      FROM events GROUP BY 1, 2) AS hourly
+FROM (SELECT cell, CAST(day AS TIMESTAMP) + h * INTERVAL '1' HOUR AS ts, k + h AS k
+      FROM (SELECT *, unnest(range(24)) AS h
+            FROM (SELECT CAST(user_id AS INT) AS cell, CAST(ts AS DATE) AS day, max(event_id) AS k
+                  FROM events GROUP BY 1, 2) AS days) AS hours) AS hourly
+WHERE k % 23 <> 0
 """
 
 
@@ -161,11 +167,10 @@ FROM customer
 
 
 def hourly_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two days of every cell. Cells are spread over the cores before each grows to 48 rows;
-    spread by their key, so that aggregating a cell needs no further shuffle."""
+    """Two days of every cell. Cells are dealt to the cores before each grows to 48 rows."""
     k = F.col("lat_idx").cast("bigint") * GRID_COLUMNS + F.col("lon_idx")
     cores = spark.sparkContext.defaultParallelism
-    hours = grid(spark, sf_dir).repartition(cores, "lat_idx", "lon_idx").select(
+    hours = grid(spark, sf_dir).repartition(cores).select(
         "lat_idx", "lon_idx", k.alias("k"), F.explode(F.sequence(F.lit(0), F.lit(47))).alias("h")
     )
     weather = _weather(F.col("k"), k_steps=(37, 13, 7, 11, 17), hour_terms=(101, 29, 53, 3, 5))
@@ -191,6 +196,14 @@ CROSS JOIN (SELECT DISTINCT CAST(event_id % 48 AS INT) AS h FROM events) AS hour
 """
 
 
+def year_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``hourly_grid`` moved to the last day of 1999 and the first of 2000."""
+    return hourly_grid(spark, sf_dir).withColumn("ts", F.col("ts") - F.make_dt_interval(days=F.lit(183)))
+
+
+YEAR_END = "SELECT * REPLACE (ts - INTERVAL '183' DAY AS ts) FROM hourly_grid"
+
+
 def region_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A staircase with scattered cells beside it: tile rows with gaps and empty tiles."""
     lat, lon = F.col("lat_idx"), F.col("lon_idx")
@@ -204,16 +217,16 @@ SELECT *, abs(lat_idx - lon_idx) <= 3 OR (lat_idx + 3 * lon_idx) % 61 = 0 AS ins
 
 
 def obs_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three of the four cells of ``obs``."""
+    """Two thirds of the cells of ``obs``."""
     return (
         obs(spark, sf_dir)
         .select("lat_idx", "lon_idx")
         .distinct()
-        .withColumn("inside", F.col("lat_idx") + F.col("lon_idx") < 2)
+        .withColumn("inside", (F.col("lat_idx") + F.col("lon_idx")) % 3 != 0)
     )
 
 
-OBS_REGION = "SELECT DISTINCT lat_idx, lon_idx, lat_idx + lon_idx < 2 AS inside FROM obs"
+OBS_REGION = "SELECT DISTINCT lat_idx, lon_idx, (lat_idx + lon_idx) % 3 <> 0 AS inside FROM obs"
 
 # An octagon as multiples of its half axes.
 OCTAGON = (
@@ -258,6 +271,19 @@ def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return octagons.unionByName(ring)
 
 
+def nested_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``vertices`` as they come from a source: one row per polygon with all its rings."""
+    point = F.struct("pos", F.col("x"), F.col("y"))
+    rings = vertices(spark, sf_dir).groupBy("poly_id", "ring_id").agg(F.sort_array(F.collect_list(point)).alias("ring"))
+    nested = rings.groupBy("poly_id").agg(F.sort_array(F.collect_list(F.struct("ring_id", "ring"))).alias("rings"))
+    return nested.select(
+        "poly_id",
+        F.transform(
+            "rings", lambda r: F.transform(r["ring"], lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))
+        ).alias("rings"),
+    )
+
+
 VERTICES = """
 SELECT CAST(s_suppkey + 1 AS INT) AS poly_id, ring_id, pos,
        ((s_suppkey * 13 % 40) * 0.25e0 - 106.95e0) + fx * ((s_suppkey % 5) * 0.25e0 + 0.5e0) * scale AS x,
@@ -335,6 +361,7 @@ SQL = {
     "grid": ((), GRID),
     "other_grid": ((), OTHER_GRID),
     "hourly_grid": (("grid",), HOURLY_GRID),
+    "year_end": (("hourly_grid",), YEAR_END),
     "region_cells": (("grid",), REGION_CELLS),
     "vertices": ((), VERTICES),
     "edges": (("vertices",), EDGES),
