@@ -16,10 +16,10 @@ steps, each verified on whole shingle sets, and links give components:
 3. all members of a bucket that are still in different components.
 
 The first two join a group of copies with about as many pairs as it has members, so the last, which leaves
-nothing out, meets few. A pair is taken at the first band it shares only, and only if four bits of each
-coordinate agree about as often as they should; large buckets are compared in blocks. So no link between two
-texts is lost but by chance: with 40 bands of 6, a pair of similarity 0.8 shares no band with probability
-5e-6, and fails on the bits, at five standard errors, with 3e-7.
+nothing out, meets few. A pair is taken at the first band it shares only, and only if four bits of the earliest
+darts at a finer set of coordinates agree about as often as they should; large buckets are compared in blocks.
+So no link between two texts is lost but by chance: with 40 bands of 6, a pair of similarity 0.8 shares no band
+with probability 5e-6, and fails on the bits, at 4.5 standard errors, with 3e-6.
 
 Exactly equal texts are one node throughout. A class is a component of links, named after its smallest
 doc_id.
@@ -31,6 +31,7 @@ Repeated rows belong to one class, of which one row is kept. An empty table give
 
 import hashlib
 from collections.abc import Iterator
+from uuid import uuid4
 
 import numpy as np
 import pandas as pd
@@ -45,7 +46,8 @@ SIMILARITY = 0.8
 BANDS, BAND_ROWS = 40, 6
 FIRST_BANDS = 8
 BLOCK = 256  # members of a bucket that are compared with as many others in one go
-STANDARD_ERRORS = 5
+FINER = 4  # coordinates of the sketch to one of the bands
+STANDARD_ERRORS = 4.5
 ROWS = 256
 MAX_ID = (1 << 63) - 1
 
@@ -90,22 +92,28 @@ def shingles(text: str, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(total, return_counts=True)
 
 
-def signatures(sets: list[tuple[np.ndarray, np.ndarray]], coordinates: int) -> np.ndarray:
-    """The identity of the earliest dart at each coordinate, a row for each (elements, weights)."""
+def signatures(sets: list[tuple[np.ndarray, np.ndarray]], coordinates: int) -> tuple[np.ndarray, np.ndarray]:
+    """The identity of the earliest dart at each coordinate, a row for each (elements, weights); and the same
+    for finer coordinates up to the first time limit, 0 where that brought no dart."""
     out = np.zeros((len(sets), coordinates), np.uint64)
+    finer = None
     left = np.arange(len(sets))
     limits = np.array([coordinates * (np.log(coordinates) + 2) / weights.sum() for _, weights in sets])
     while len(left):
-        earliest = thrown([sets[i] for i in left], limits[left], coordinates)
+        earliest, fine = thrown([sets[i] for i in left], limits[left], coordinates)
+        finer = fine if finer is None else finer
         done = (earliest != 0).all(1)
         out[left[done]] = earliest[done]
         left = left[~done]
         limits[left] *= 2
-    return out
+    return out, np.zeros((0, coordinates * FINER), np.uint64) if finer is None else finer
 
 
-def thrown(sets: list[tuple[np.ndarray, np.ndarray]], limits: np.ndarray, coordinates: int) -> np.ndarray:
-    """The darts of all sets up to their time limits; 0 at a coordinate that none has hit."""
+def thrown(
+    sets: list[tuple[np.ndarray, np.ndarray]], limits: np.ndarray, coordinates: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The earliest darts of all sets within their time limits, at coordinates and finer ones; 0 for none."""
+    fine = coordinates * FINER
     weights = np.concatenate([weights for _, weights in sets]).astype(np.float64)
     whole = np.ceil(weights).astype(np.int64)
     seed = np.repeat(np.concatenate([elements for elements, _ in sets]), whole)
@@ -123,31 +131,40 @@ def thrown(sets: list[tuple[np.ndarray, np.ndarray]], limits: np.ndarray, coordi
         left = left[hits] + np.log1p(-chance[hits])
         dart = stepped(seed, 13) | np.uint64(1)
         low = ((dart & np.uint64(0xFFFFFFFF)).astype(np.float64) * 2.0**-32) < cover
-        place = (((dart >> np.uint64(32)) * np.uint64(coordinates)) >> np.uint64(32)).astype(np.int64)
-        times.append(left[low])
+        place = (((dart >> np.uint64(32)) * np.uint64(fine)) >> np.uint64(32)).astype(np.int64)
+        times.append(left[low] / limits[owner[low]])
         darts.append(dart[low])
-        places.append((owner * coordinates + place)[low])
+        places.append((owner * fine + place)[low])
     order = np.argsort(np.concatenate(times))  # the earliest has most time left and comes last
-    earliest = np.zeros(len(sets) * coordinates, np.uint64)
-    earliest[np.concatenate(places)[order]] = np.concatenate(darts)[order]  # the last written stays
-    return earliest.reshape(len(sets), coordinates)
-
-
-def band_keys(texts: list[str], weighted: bool, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each text the keys of its bands, and four bits of each coordinate, 16 coordinates to a number."""
+    place, dart = np.concatenate(places)[order], np.concatenate(darts)[order]
+    out = []
+    for size, at in ((coordinates, place // FINER), (fine, place)):
+        earliest = np.zeros(len(sets) * size, np.uint64)
+        earliest[at] = dart  # the last written stays
+        out.append(earliest.reshape(len(sets), size))
+    return out[0], out[1]
+
+
+def band_keys(
+    texts: list[str], weighted: bool, bands: int, rows: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each text the keys of its bands; four bits of each finer coordinate, 16 of them to a number and 0 for
+    no dart; how many have a dart; and the total weight."""
     sets = [shingles(text) for text in texts]
     if not weighted:
         sets = [(elements, np.ones(len(elements))) for elements, _ in sets]
-    parts = signatures(sets, bands * rows)
-    bits = np.zeros((len(texts), -(-bands * rows // 16) * 16), np.uint64)
-    bits[:, : bands * rows] = mixed(parts) >> np.uint64(60)
+    parts, fine = signatures(sets, bands * rows)
+    bits = np.zeros((len(texts), -(-fine.shape[1] // 16) * 16), np.uint64)
+    bits[:, : fine.shape[1]] = np.where(fine == 0, 0, mixed(fine) % np.uint64(15) + np.uint64(1))
+    filled = np.count_nonzero(fine, axis=1)
     bits = bits.reshape(len(texts), -1, 16)
     sketch = np.bitwise_or.reduce(bits << (np.uint64(4) * np.arange(16, dtype=np.uint64)), axis=2)
+    weight = np.array([weights.sum() for _, weights in sets])
     parts = parts.reshape(len(texts), bands, rows)
     key = np.broadcast_to(mixed(np.arange(bands, dtype=np.uint64) + np.uint64(1)), (len(texts), bands))
     for i in range(rows):
         key = mixed(key ^ parts[:, :, i])
-    return key.view(np.int64), sketch.view(np.int64)
+    return key.view(np.int64), sketch.view(np.int64), filled, weight
 
 
 def signed(docs: DataFrame, weighted: bool, bands: int, rows: int) -> DataFrame:
@@ -162,33 +179,46 @@ def signed(docs: DataFrame, weighted: bool, bands: int, rows: int) -> DataFrame:
             for some in (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS)):
                 texts = [text.as_py() or "" for text in some.column(1)]
                 nodes = [hashlib.md5(text.encode("utf-8", "surrogatepass")).digest() for text in texts]
-                keys, sketches = band_keys(texts, weighted, bands, rows)
+                keys, sketches, filled, weight = band_keys(texts, weighted, bands, rows)
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0), pa.array(nodes, pa.binary()), lists(keys), lists(sketches)],
+                    [
+                        some.column(0),
+                        pa.array(nodes, pa.binary()),
+                        lists(keys),
+                        pa.StructArray.from_arrays(
+                            [lists(sketches), pa.array(filled, pa.int32()), pa.array(weight, pa.float64())],
+                            ["bits", "filled", "weight"],
+                        ),
+                    ],
                     ["doc_id", "node", "bands", "sketch"],
                 )
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        made, "doc_id long, node binary, bands array<long>, sketch array<long>"
+        made, "doc_id long, node binary, bands array<long>, sketch struct<bits:array<long>,filled:int,weight:double>"
     )
 
 
-def alike(a: str, b: str, coordinates: int, similarity: float) -> Column:
+def alike(a: str, b: str, similarity: float) -> Column:
     """Whether two sketches agree about as often as those of similar texts.
 
-    Coordinates that differ still agree in four bits with probability 1/16. A coordinate that differs in any of
-    its bits is counted once.
+    Of the coordinates that the heavier text has hit, which had less time, the other has the same dart at a share
+    of at least the similarity. Different darts agree in their four bits with probability 1/15.
     """
 
-    def differing(x: Column, y: Column) -> Column:
-        z = x.bitwiseXOR(y)
-        z = z.bitwiseOR(F.shiftrightunsigned(z, 1))
-        z = z.bitwiseOR(F.shiftrightunsigned(z, 2)).bitwiseAND(F.lit(0x1111111111111111))
-        return F.bit_count(z)
+    def agreeing(x: Column, y: Column) -> Column:
+        def nonzero(z: Column) -> Column:
+            z = z.bitwiseOR(F.shiftrightunsigned(z, 1))
+            return z.bitwiseOR(F.shiftrightunsigned(z, 2)).bitwiseAND(F.lit(0x1111111111111111))
+
+        # Hit in either and not different.
+        return F.bit_count(nonzero(x.bitwiseOR(y)).bitwiseAND(F.bitwise_not(nonzero(x.bitwiseXOR(y)))))
 
-    differ = F.aggregate(F.zip_with(a, b, differing), F.lit(0), lambda total, n: total + n)
-    least = similarity - STANDARD_ERRORS * (similarity * (1 - similarity) / coordinates) ** 0.5
-    return differ <= int(coordinates * (1 - least) * 15 / 16) + 1
+    a, b = F.col(a), F.col(b)
+    agree = F.aggregate(F.zip_with(a["bits"], b["bits"], agreeing), F.lit(0), lambda total, n: total + n)
+    hit = F.when(a["weight"] >= b["weight"], a["filled"]).otherwise(b["filled"])
+    expected = similarity + (1 - similarity) / 15
+    error = STANDARD_ERRORS * F.sqrt(hit * expected * (1 - expected))
+    return agree >= hit * F.lit(expected) - error - 1
 
 
 def stars(buckets: DataFrame, classes: DataFrame | None) -> DataFrame:
@@ -210,7 +240,7 @@ def stars(buckets: DataFrame, classes: DataFrame | None) -> DataFrame:
     )
 
 
-def open_pairs(buckets: DataFrame, classes: DataFrame, nodes: DataFrame, coordinates: int, similarity: float) -> DataFrame:
+def open_pairs(buckets: DataFrame, classes: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     """(a, b): all members of one bucket that are in different components and may be similar, each pair once.
 
     Members are dealt into blocks, and each block meets every other in a group of its own.
@@ -247,14 +277,14 @@ def open_pairs(buckets: DataFrame, classes: DataFrame, nodes: DataFrame, coordin
         # Two of one block meet in the group of that block only.
         & ((F.col("own") != F.col("own_b")) | (F.col("first") == F.col("second")))
         & (first_shared == F.col("band"))
-        & alike("sketch", "sketch_b", coordinates, similarity)
+        & alike("sketch", "sketch_b", similarity)
     )
     return pairs.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b"))
 
 
 def similar(pairs: DataFrame, texts: DataFrame, similarity: float, weighted: bool) -> DataFrame:
     """The pairs whose shingle sets are as similar as asked for. ``texts`` is (node, text), once per node."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    needed = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
     schema = "node binary, elements array<long>, counts array<int>"
 
     def shingled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -270,7 +300,7 @@ def similar(pairs: DataFrame, texts: DataFrame, similarity: float, weighted: boo
                     }
                 )
 
-    sets = stored(texts.join(needed, "node", "left_semi").dropDuplicates(["node"]).mapInPandas(shingled, schema), "sets")
+    sets = stored(texts.join(needed, "node", "left_semi").mapInPandas(shingled, schema), "sets")
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def array(value: pa.Scalar) -> np.ndarray:
@@ -298,6 +328,14 @@ def similar(pairs: DataFrame, texts: DataFrame, similarity: float, weighted: boo
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(verified, "a binary, b binary")
 
 
+def lay_out(docs: DataFrame, table: str) -> None:
+    """Every different text once, as a table bucketed by node in the warehouse: fetching some needs no shuffle of all."""
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    once = docs.select(F.unhex(F.md5(text_or_empty())).alias("node"), text_or_empty().alias("text"))
+    once = once.groupBy("node").agg(F.first("text").alias("text"))
+    once.write.bucketBy(buckets, "node").sortBy("node").saveAsTable(table)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node that has a link; the component is its smallest node.
 
@@ -352,15 +390,17 @@ def near_duplicates(
     every = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = every.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     buckets = stored(every.join(shared.select("bucket"), "bucket", "left_semi"), "buckets")
-    texts = docs.select(F.unhex(F.md5(text_or_empty())).alias("node"), text_or_empty().alias("text"))
+    texts = f"llm_texts_{uuid4().hex}"
+    lay_out(docs, texts)
 
     def likely(pairs: DataFrame) -> DataFrame:
         sides = [nodes.select(F.col("node").alias(x), F.col("sketch").alias(f"sketch_{x}")) for x in "ab"]
         met = pairs.join(sides[0], "a").join(sides[1], "b")
-        return met.where(alike("sketch_a", "sketch_b", bands * rows, similarity)).select("a", "b")
+        return met.where(alike("sketch_a", "sketch_b", similarity)).select("a", "b")
 
     def linked(pairs: DataFrame, name: str) -> DataFrame:
-        return stored(similar(stored(pairs, name), texts, similarity, weighted), f"{name}-links")
+        spark = docs.sparkSession
+        return stored(similar(stored(pairs, name), spark.table(texts), similarity, weighted), f"{name}-links")
 
     links = linked(likely(stars(buckets.where(F.col("band") < FIRST_BANDS), None)), "first")
     found = components(links)
@@ -368,9 +408,10 @@ def near_duplicates(
     if not more.isEmpty():
         links = links.unionAll(more)
         found = components(links)
-    last = linked(open_pairs(buckets, found, nodes, bands * rows, similarity), "open")
+    last = linked(open_pairs(buckets, found, nodes, similarity), "open")
     if not last.isEmpty():
         found = components(links.unionAll(last))
+    docs.sparkSession.sql(f"DROP TABLE {texts}")
     classed = stored(
         nodes.join(found, "node", "left").select("node", "id", "rows", F.coalesce("component", "node").alias("component")),
         "classed",

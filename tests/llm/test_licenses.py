@@ -1,0 +1,52 @@
+"""Licence rules on whole and wrapped licences, alone and inside other text."""
+
+import textwrap
+
+import pytest
+
+from heatgrid.llm import licenses
+
+MIT = ". ".join(s for key in ("mit-grant", "mit-condition", "mit-warranty") for s in licenses.SENTENCES[key]).replace(":.", ":")
+BSD2 = "\n".join(licenses.SENTENCES[key][0] + "." for key in ("bsd-grant", "bsd-source", "bsd-binary")).replace(":.", ":")
+CASES = [
+    ("Released under the MIT License.", "MIT"),
+    ("prose before.\nLicensed under the Apache License, Version 2.0.\nprose after", "Apache-2.0"),
+    ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0-only"),
+    ("LICENSED   under CC-BY-NC 4.0!", "CC-BY-NC"),
+    ("Licensed under CC BY-NC-SA 3.0.", "CC-BY-NC-SA"),
+    ("All rights reserved.", "all-rights-reserved"),
+    ("Released under the MIT License. All rights reserved.", "MIT"),
+    ("My software.\n\n" + "\n".join(textwrap.wrap(MIT, 60)) + "\n\nCode.", "MIT"),
+    (BSD2, "BSD-2-Clause"),
+    (BSD2 + "\n" + licenses.SENTENCES["bsd-endorse"][0] + ".", "BSD-3-Clause"),
+    ("\n".join(textwrap.wrap(licenses.SENTENCES["gpl2-later"][0], 40)), "GPL-2.0-or-later"),
+    ("I got my driving license yesterday. The license fee is due.", ""),
+    ("The Apache people have a license.", ""),
+    (licenses.SENTENCES["mit-condition"][0] + ". " + licenses.SENTENCES["mit-grant"][0], ""),  # wrong order
+    ("", ""), (None, ""), ("x" * 100_000, ""), ("All rights reserved.\n" * 3000, "all-rights-reserved"),
+]
+
+
+def test_cases(table):
+    rows = [(i, text, "a") for i, (text, _) in enumerate(CASES)]
+    got = {r.doc_id: r.licence for r in licenses.recognise(table(rows)).collect()}
+    assert got == {i: licence for i, (_, licence) in enumerate(CASES)}
+
+
+def test_odd_rows_and_none(odd, odd_rows, empty):
+    rows = licenses.recognise(odd).collect()
+    assert len(rows) == len(odd_rows) and {r.licence for r in rows} == {""}
+    assert licenses.recognise(empty).count() == 0
+
+
+def test_every_identifier_is_in_a_rule_or_stands_aside():
+    used = " ".join(rule for _, rule in licenses.RULES)
+    spare = {"gpl-warranty"}
+    assert {i for i in licenses.known_sentences().values() if i not in used} <= spare
+
+
+@pytest.mark.parametrize("sentence", ["no such words at all"])
+def test_a_sentence_without_anchor_is_refused(monkeypatch, sentence):
+    monkeypatch.setitem(licenses.SENTENCES, "new", [sentence])
+    with pytest.raises(ValueError, match="anchor"):
+        licenses.known_sentences()

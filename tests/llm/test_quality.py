@@ -1,0 +1,65 @@
+"""Counts against plain loops, EM on votes it can be held to, accuracy on labels."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+from heatgrid.llm import quality
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def plain_counts(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    covered = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(5)}
+    seen, repeats = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            repeats += line in seen
+            seen.add(line)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), repeats, len(covered)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_counts(seed):
+    rng = random.Random(seed)
+    words = ["a", "b", "ü", "c|d", "#", "e ", "\n", "\t\n", "\x0b", "\x1c", "　", "a\nb"]
+    text = " ".join(rng.choice(words[: rng.randint(2, 12)]) for _ in range(rng.randint(0, 120)))
+    assert quality.counts_of(text)[:5] == plain_counts(text)
+
+
+def test_em_weighs_rules_by_what_the_others_say():
+    """Two rules that agree, one that votes at random and one that never votes."""
+    rng = np.random.default_rng(0)
+    good = rng.random(20_000) < 0.85
+    right = [np.where(rng.random(20_000) < 0.95, good, ~good) * 2 - 1 for _ in range(3)]
+    noise = rng.integers(0, 2, 20_000) * 2 - 1
+    votes = np.stack([*right, noise, np.zeros(20_000, int)], 1)
+    ways, inverse, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    posterior = quality.estimate(ways, counts.astype(float))
+    verdict = posterior[inverse.ravel()] >= 0.5
+    assert (verdict == good).mean() > 0.98
+    same_but_noise = [abs(p - q) for w, p in zip(ways, posterior) for v, q in zip(ways, posterior) if (w[:3] == v[:3]).all()]
+    assert max(same_but_noise) < 0.2
+
+
+def test_odd_rows_and_none(odd, odd_rows, empty):
+    rows = quality.judged(quality.text_counts(odd, "doc_id")).collect()
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    expected = [(i, *plain_counts(t or "")) for i, t, _ in odd_rows if len(t or "") < 10_000]
+    found = [(r.doc_id, *(r[c] for c in counts)) for r in rows if r.n_words < 10_000]
+    assert sorted(found, key=repr) == sorted(expected, key=repr)
+    assert all(r.base_failed == (r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words) for r in rows)
+    assert not any(r.kept for r in rows if r.base_failed)
+    assert quality.judged(quality.text_counts(empty, "doc_id")).count() == 0
+
+
+def test_verdicts_agree_with_labels_that_were_not_used(spark):
+    docs, labels = (spark.read.parquet(f"{SF_DIR}/{name}.parquet") for name in ("documents", "labels"))
+    judged = quality.judged(quality.text_counts(docs, "doc_id"))
+    rows = judged.select("doc_id", "kept", "base_failed").join(labels, "doc_id").collect()
+    assert np.mean([r.kept for r in rows if r.quality == 1 and not r.base_failed]) > 0.98
+    assert np.mean([not r.kept for r in rows if r.quality == 0]) > 0.9
