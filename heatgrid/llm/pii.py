@@ -1,7 +1,7 @@
 """Personal data by base patterns, and further identifiers by bootstrapped contexts.
 
 Base patterns find e-mail and IP addresses, card and phone numbers; seed patterns may name further kinds. What
-they find are the seed instances. Each stands in a context: the word and the signs before it, and whether it is
+they find are the seed instances. Each stands in a context: the two words and the signs before it, and whether it is
 digits, letters with digits, or something else. Contexts and instances, among them those of unknown kind, form a
 graph, which Spark scores in rounds: a context is as good as the share of its different instances that are
 known to be of its kind, and is trusted from a confidence and a number of known instances on; an unknown instance
@@ -38,7 +38,7 @@ DIGIT = re.compile(r"[0-9]")
 #: Seeds of kinds beyond the base ones: access keys, and long hexadecimal strings of letters and digits.
 SEEDS = {"secret": r"AKIA[0-9A-Z]{16}|(?=[a-f]*[0-9])(?=[0-9]*[a-f])[0-9a-f]{32,128}"}
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9_])(?=[A-Za-z_]*[0-9])[A-Za-z0-9_]{6,128}(?![A-Za-z0-9_])")
-BEFORE = re.compile(r"([^\W_]{0,20})([\W_]{1,8})$")
+BEFORE = re.compile(r"(?:[^\W_]{1,20}[\W_]{1,8}){1,2}$")
 
 Span = tuple[int, int, str]
 
@@ -83,10 +83,10 @@ def base_spans(text: str) -> list[Span]:
 
 
 def context(text: str, start: int, value: str) -> str:
-    before = BEFORE.search(text[max(0, start - 28) : start])
-    word, signs = before.groups() if before else ("", "")
+    before = BEFORE.search(text[max(0, start - 56) : start])
+    words = re.sub(r"\s+", " ", before[0].lower()) if before else ""
     form = "digits" if value.isdigit() else "mixed" if value.replace("_", "").isalnum() else "other"
-    return f"{word.lower()}{re.sub(r'\s+', ' ', signs)}|{form}"
+    return f"{words}|{form}"
 
 
 def occurrences(text: str, base: list[Span], seeds: dict[str, re.Pattern]) -> list[tuple]:

@@ -6,7 +6,10 @@ import pytest
 
 from heatgrid.llm import licenses
 
-MIT = ". ".join(s for key in ("mit-grant", "mit-condition", "mit-warranty") for s in licenses.SENTENCES[key]).replace(":.", ":")
+MIT = "\n\n".join(
+    "\n".join(textwrap.wrap(licenses.SENTENCES[key][0] + ".", 60)).replace(":.", ":")
+    for key in ("mit-grant", "mit-condition", "mit-warranty")
+)
 BSD2 = "\n".join(licenses.SENTENCES[key][0] + "." for key in ("bsd-grant", "bsd-source", "bsd-binary")).replace(":.", ":")
 CASES = [
     ("Released under the MIT License.", "MIT"),
@@ -16,7 +19,7 @@ CASES = [
     ("Licensed under CC BY-NC-SA 3.0.", "CC-BY-NC-SA"),
     ("All rights reserved.", "all-rights-reserved"),
     ("Released under the MIT License. All rights reserved.", "MIT"),
-    ("My software.\n\n" + "\n".join(textwrap.wrap(MIT, 60)) + "\n\nCode.", "MIT"),
+    ("My software.\n\n" + MIT + "\n\nCode.", "MIT"),
     (BSD2, "BSD-2-Clause"),
     (BSD2 + "\n" + licenses.SENTENCES["bsd-endorse"][0] + ".", "BSD-3-Clause"),
     ("\n".join(textwrap.wrap(licenses.SENTENCES["gpl2-later"][0], 40)), "GPL-2.0-or-later"),
