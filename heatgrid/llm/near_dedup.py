@@ -34,12 +34,11 @@ from collections.abc import Iterator
 from uuid import uuid4
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heatgrid.llm.shared import stored, text_or_empty
+from heatgrid.llm.shared import drop_stored, stored, stored_so_far, text_or_empty
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -48,7 +47,7 @@ FIRST_BANDS = 8
 BLOCK = 256  # members of a bucket that are compared with as many others in one go
 FINER = 4  # coordinates of the sketch to one of the bands
 STANDARD_ERRORS = 4.5
-ROWS = 256
+ROWS = 64
 MAX_ID = (1 << 63) - 1
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # fixed values: a 64-bit mixer's
@@ -78,7 +77,7 @@ _codes = Codes()
 
 def shingles(text: str, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingles as 64-bit hashes in order, and how often each occurs."""
-    if len(_codes) > 500_000:
+    if len(_codes) > 200_000:
         _codes.clear()
     found = text.encode("utf-8", "surrogatepass").split()
     if len(found) < words:
@@ -287,20 +286,20 @@ def similar(pairs: DataFrame, texts: DataFrame, similarity: float, weighted: boo
     needed = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
     schema = "node binary, elements array<long>, counts array<int>"
 
-    def shingled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for start in range(0, len(frame), ROWS):
-                some = frame.iloc[start : start + ROWS]
-                sets = [shingles(text) for text in some.text]
-                yield pd.DataFrame(
-                    {
-                        "node": some.node.to_numpy(),
-                        "elements": [elements.view(np.int64) for elements, _ in sets],
-                        "counts": [counts.astype(np.int32) if weighted else None for _, counts in sets],
-                    }
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS)):
+                sets = [shingles(text.as_py()) for text in some["text"]]
+                ends = pa.array(np.cumsum([0, *(len(elements) for elements, _ in sets)]).astype(np.int32))
+                elements = np.concatenate([elements for elements, _ in sets]).view(np.int64)
+                counts = np.concatenate([counts for _, counts in sets]).astype(np.int32)
+                columns = [some["node"], pa.ListArray.from_arrays(ends, pa.array(elements))]
+                columns.append(
+                    pa.ListArray.from_arrays(ends, pa.array(counts)) if weighted else pa.nulls(len(sets), pa.list_(pa.int32()))
                 )
+                yield pa.RecordBatch.from_arrays(columns, ["node", "elements", "counts"])
 
-    sets = stored(texts.join(needed, "node", "left_semi").mapInPandas(shingled, schema), "sets")
+    sets = stored(texts.join(needed, "node", "left_semi").mapInArrow(shingled, schema), "sets")
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def array(value: pa.Scalar) -> np.ndarray:
@@ -377,6 +376,7 @@ def near_duplicates(
 
     ``keep_node`` is the text that stays of the class, that of the smallest doc_id; ``node`` is the row's own.
     """
+    spark, since = docs.sparkSession, stored_so_far()
     marked = stored(signed(docs, weighted, bands, rows), "signed")
     nodes = stored(
         marked.groupBy("node").agg(
@@ -387,6 +387,8 @@ def near_duplicates(
         ),
         "nodes",
     )
+    rows_of = stored(marked.select("doc_id", "node"), "rows")
+    drop_stored(spark, since, [nodes, rows_of])
     every = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = every.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     buckets = stored(every.join(shared.select("bucket"), "bucket", "left_semi"), "buckets")
@@ -399,19 +401,20 @@ def near_duplicates(
         return met.where(alike("sketch_a", "sketch_b", similarity)).select("a", "b")
 
     def linked(pairs: DataFrame, name: str) -> DataFrame:
-        spark = docs.sparkSession
         return stored(similar(stored(pairs, name), spark.table(texts), similarity, weighted), f"{name}-links")
 
-    links = linked(likely(stars(buckets.where(F.col("band") < FIRST_BANDS), None)), "first")
-    found = components(links)
-    more = linked(likely(stars(buckets, found)), "second")
-    if not more.isEmpty():
-        links = links.unionAll(more)
+    try:
+        links = linked(likely(stars(buckets.where(F.col("band") < FIRST_BANDS), None)), "first")
         found = components(links)
-    last = linked(open_pairs(buckets, found, nodes, similarity), "open")
-    if not last.isEmpty():
-        found = components(links.unionAll(last))
-    docs.sparkSession.sql(f"DROP TABLE {texts}")
+        more = linked(likely(stars(buckets, found)), "second")
+        if not more.isEmpty():
+            links = links.unionAll(more)
+            found = components(links)
+        last = linked(open_pairs(buckets, found, nodes, similarity), "open")
+        if not last.isEmpty():
+            found = components(links.unionAll(last))
+    finally:
+        spark.sql(f"DROP TABLE {texts}")
     classed = stored(
         nodes.join(found, "node", "left").select("node", "id", "rows", F.coalesce("component", "node").alias("component")),
         "classed",
@@ -425,4 +428,5 @@ def near_duplicates(
         "class_size",
         F.col("least.node").alias("keep_node"),
     )
-    return marked.select("doc_id", "node").join(classes, "node")
+    drop_stored(spark, since, [rows_of, classed])
+    return rows_of.join(classes, "node")

@@ -157,23 +157,37 @@ def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int = 100) -> np.nda
     return posterior
 
 
-def judged(counts: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The counts with the votes, ``base_failed``, ``quality`` (posterior) and ``kept``."""
-    names = list(rules())
+def voted(counts: DataFrame) -> DataFrame:
+    """The counts with ``votes``, all of a row as one number, and ``base_failed``."""
     code = sum(((rule + 1) * 3**i for i, rule in enumerate(rules().values())), F.lit(0))
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    coded = counts.withColumn("votes", code.cast("int")).withColumn("base_failed", base)
+    return counts.withColumn("votes", code.cast("int")).withColumn("base_failed", base)
+
+
+def posteriors(counts: DataFrame) -> DataFrame:
+    """(votes, quality): the probability of being good for each combination of votes that occurs."""
+    coded = voted(counts)
+    names = list(rules())
     # At most 3 ** len(rules) rows, whatever the size of the corpus. What fails the base rules has no weight.
     weight = F.sum(F.when(F.col("base_failed"), 0).otherwise(1)).alias("n")
     met = {row.votes: row.n for row in coded.groupBy("votes").agg(weight).collect()}
     every = {sum((v + 1) * 3**i for i, v in enumerate(way)): way for way in product((-1, 0, 1), repeat=len(names))}
     order = sorted(met)
     if not order:
-        return coded.select("*", F.lit(0.0).alias("quality"), F.lit(False).alias("kept"))
+        return counts.sparkSession.createDataFrame([], "votes int, quality double")
     posterior = estimate(np.array([every[c] for c in order]), np.array([met[c] for c in order], float))
     spark = counts.sparkSession
-    table = spark.createDataFrame(
+    return spark.createDataFrame(
         [(c, float(round(p, 12))) for c, p in zip(order, posterior, strict=True)], "votes int, quality double"
     )
+
+
+def judged(counts: DataFrame, table: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
+    """The counts with the votes, ``base_failed``, ``quality`` (posterior) and ``kept``.
+
+    ``table`` is that of ``posteriors``, of the same counts unless given.
+    """
+    coded = voted(counts)
+    table = posteriors(counts) if table is None else table
     verdict = ~F.col("base_failed") & (F.col("quality") >= threshold)
     return coded.join(F.broadcast(table), "votes").withColumn("kept", verdict)

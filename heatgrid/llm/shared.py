@@ -6,8 +6,12 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from heatgrid.session import remove
+
 ROWS_PER_RANGE = 1_000_000
 
+_made: list[str] = []  # paths of stored tables, in order
+
 
 def scratch(spark: SparkSession) -> str:
     """This application's folder below the one the cluster names in spark.checkpoint.dir.
@@ -26,13 +30,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _made.append(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def stored_so_far() -> int:
+    return len(_made)
+
+
+def drop_stored(spark: SparkSession, since: int, keep: list[DataFrame]) -> None:
+    """Delete the tables stored since then but those to keep; for use when nothing reads them any more."""
+    kept = {table.stored_at for table in keep}
+    for path in [path for path in _made[since:] if path not in kept]:
+        remove(spark, path)
+        _made.remove(path)
 
 
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what the operators have stored for this application; for use after the results are written."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    remove(spark, scratch(spark))
+    _made.clear()
 
 
 def running_totals(df: DataFrame, keys: list[str], order: list[str], value: str, name: str) -> DataFrame:

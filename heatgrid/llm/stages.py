@@ -5,16 +5,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heatgrid.llm import bpe, line_dedup, mixing, near_dedup, quality
-from heatgrid.llm.shared import stored, text_or_empty
+from heatgrid.llm.shared import text_or_empty
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that pass the base rules and that the votes hold to be good."""
+    # Counting twice takes less than keeping a copy of all rows with their counts.
+    table = quality.posteriors(quality.text_counts(docs))
     rows = docs.select(F.struct("*").alias("row"), "text")
-    counts = stored(quality.text_counts(rows, "row"), "counts")
-    return quality.judged(counts).where("kept").select("row.*")
+    return quality.judged(quality.text_counts(rows, "row"), table).where("kept").select("row.*")
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,30 @@
+"""Totals along an order, over ranges, and tables in the shared folder."""
+
+import random
+
+from heatgrid.llm.shared import clear_scratch, running_totals, scratch, stored
+from heatgrid.session import exists
+
+
+def test_running_totals(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice(["a", None, "b", "hot", "hot", "hot"]), rng.randrange(50), i, rng.randrange(9)) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, x int, y int, v long")
+    got = {r.y: r.before for r in running_totals(df, ["k"], ["x", "y"], "v", "test").collect()}
+    for k, x, y, _ in rows:
+        assert got[y] == sum(v for k2, x2, y2, v in rows if k2 == k and (x2, y2) < (x, y))
+    ranks = running_totals(df.selectExpr("x", "y", "1L one"), [], ["x", "y"], "one", "test").collect()
+    assert [r.before for r in sorted(ranks, key=lambda r: (r.x, r.y))] == list(range(400))
+
+
+def test_repeated_and_no_rows(spark):
+    same = spark.createDataFrame([(1, 5)] * 7, "x int, v long")
+    assert sorted(r.before for r in running_totals(same, [], ["x"], "v", "test").collect()) == [0, 5, 10, 15, 20, 25, 30]
+    assert running_totals(same.limit(0), [], ["x"], "v", "test").count() == 0
+
+
+def test_scratch_can_be_cleared(spark):
+    table = stored(spark.range(3), "test")
+    assert table.count() == 3 and exists(spark, scratch(spark))
+    clear_scratch(spark)
+    assert not exists(spark, scratch(spark))
