@@ -338,31 +338,40 @@ def lay_out(docs: DataFrame, table: str) -> None:
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node that has a link; the component is its smallest node.
 
-    Each round hangs every node under the smallest of its neighbours' roots and then shortens the paths, so
-    rounds grow with the logarithm of a component's diameter.
+    Each round hangs every node under that of its neighbours, itself included, which a hash of the round
+    puts first, and goes on with the edges between what is left, so edges shrink by a factor per round.
     """
-    edges = stored(links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
-    roots = stored(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("root")), "roots")
-    while True:
-        of_b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
-        met = edges.join(of_b, "b").groupBy(F.col("a").alias("met")).agg(F.min("root_b").alias("least"))
-        lowered = roots.join(met, F.col("node") == F.col("met")).select(
-            "node", "root", F.least("root", "least").alias("least")
-        )
-        # What a node has learned also holds for its old root.
-        pushed = lowered.groupBy("root").agg(F.min("least").alias("pushed")).withColumnRenamed("root", "node")
-        joined = lowered.join(pushed, "node", "left").select(
-            "node", F.least("least", F.coalesce("pushed", "least")).alias("new"), F.col("root").alias("old")
-        )
-        joined = stored(joined, "joined")
-        up = joined.select(F.col("node").alias("new"), F.col("new").alias("above"))
-        shortened = joined.join(up, "new", "left").select(
-            "node", F.least("new", F.coalesce("above", "new")).alias("root"), "old"
-        )
-        shortened = stored(shortened, "shortened")
-        if shortened.where(F.col("root") != F.col("old")).isEmpty():
-            return shortened.select("node", F.col("root").alias("component"))
-        roots = shortened.select("node", "root")
+    edges = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    edges = stored(edges, "edges")
+    labels = edges.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct()
+    turn = 0
+    while not edges.isEmpty():
+        def ranked(name: str, turn: int = turn) -> Column:
+            return F.struct(F.xxhash64(F.lit(turn), name).alias("rank"), F.col(name).alias("node"))
+
+        first = edges.groupBy("a").agg(F.min(ranked("b")).alias("first"))
+        above = stored(first.select("a", F.least(ranked("a"), "first")["node"].alias("above")), "above")
+        ends = above.select(F.col("a").alias("b"), F.col("above").alias("above_b"))
+        met = edges.join(above, "a").join(ends, "b").where("above <> above_b")
+        edges = stored(met.select(F.col("above").alias("a"), F.col("above_b").alias("b")).distinct(), "edges")
+        moved = labels.join(above.withColumnRenamed("a", "root"), "root", "left")
+        labels = stored(moved.select("node", F.coalesce("above", "root").alias("root")), "labels")
+        turn += 1
+    least = labels.groupBy("root").agg(F.min("node").alias("component"))
+    return stored(labels.join(least, "root").select("node", "component"), "components")
+
+
+def merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The components with further links, found on the graph of components."""
+    ends = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node"))).distinct()
+    alone = ends.join(found, "node", "left_anti").select("node", F.col("node").alias("component"))
+    every = stored(found.select("node", "component").unionAll(alone), "every")
+    sides = [every.select(F.col("node").alias(x), F.col("component").alias(f"component_{x}")) for x in "ab"]
+    between = links.join(sides[0], "a").join(sides[1], "b").where("component_a <> component_b")
+    joined = components(between.select(F.col("component_a").alias("a"), F.col("component_b").alias("b")))
+    joined = joined.select(F.col("node").alias("component"), F.col("component").alias("new"))
+    result = every.join(joined, "component", "left").select("node", F.coalesce("new", "component").alias("component"))
+    return stored(result, "merged")
 
 
 def near_duplicates(
@@ -408,11 +417,10 @@ def near_duplicates(
         found = components(links)
         more = linked(likely(stars(buckets, found)), "second")
         if not more.isEmpty():
-            links = links.unionAll(more)
-            found = components(links)
+            found = merged(found, more)
         last = linked(open_pairs(buckets, found, nodes, similarity), "open")
         if not last.isEmpty():
-            found = components(links.unionAll(last))
+            found = merged(found, last)
     finally:
         spark.sql(f"DROP TABLE {texts}")
     classed = stored(
