@@ -1,8 +1,10 @@
 """Personal data by base patterns, and further identifiers by bootstrapped contexts.
 
 Base patterns find e-mail and IP addresses, card and phone numbers; seed patterns may name further kinds. What
-they find are the seed instances. Each stands in a context: the two words and the signs before it, and whether it is
-digits, letters with digits, or something else. Contexts and instances, among them those of unknown kind, form a
+they find are the seed instances. Candidates of unknown kind are digit groups with separators, tokens with dots,
+at-signs or dashes, addresses that spell out their signs, and letters with digits; the shape of each tells which kinds
+it may be of. Each occurrence stands, for each of these kinds, in a context: the two words and the signs before it.
+So seeds and candidates of a kind share their contexts, however different they look. Contexts and instances form a
 graph, which Spark scores in rounds: a context is as good as the share of its different instances that are
 known to be of its kind, and is trusted from a confidence and a number of known instances on; an unknown instance
 gets the mean confidence of all contexts it stands in, and counts as known from that confidence on. Where a
@@ -37,7 +39,19 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 #: Seeds of kinds beyond the base ones: access keys, and long hexadecimal strings of letters and digits.
 SEEDS = {"secret": r"AKIA[0-9A-Z]{16}|(?=[a-f]*[0-9])(?=[0-9]*[a-f])[0-9a-f]{32,128}"}
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9_])(?=[A-Za-z_]*[0-9])[A-Za-z0-9_]{6,128}(?![A-Za-z0-9_])")
+#: Runs of letters and digits; and what else can be an identifier, as a whole: a spelled-out address, digit groups
+#: with separators, IPv6, tokens with dots, at-signs or dashes, and what follows a quote or an equals sign.
+TOKEN = re.compile(r"(?<![A-Za-z0-9_])(?=[A-Za-z_]*[0-9])[A-Za-z0-9_]{6,}+")
+SPELLED = r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,63}+)\x20?[(\[{<]\x20?(?i:at)\x20?[)\]}>]\x20?[A-Za-z0-9-]++"
+SPELLED += r"(?:(?:\.|\x20?[(\[{<]\x20?(?i:dot)\x20?[)\]}>]\x20?)[A-Za-z0-9-]++)*+"
+GROUPS = r"(?:\+?[0-9]{1,3}[\x20.-]?)?\([0-9]{2,5}\)[\x20.-]?[0-9]{2,6}+(?:[\x20./-][0-9]{2,6}+)*+"
+GROUPS += r"|[0-9]{2,6}+(?:\x20[0-9]{2,6}+){2,}+"
+IPV6 = r"[0-9A-Fa-f]{1,4}+(?:::?[0-9A-Fa-f]{1,4}+){2,7}+(?:::)?"
+JOINED = r"(?=[A-Za-z_]*+[0-9.@+~-])[A-Za-z0-9_]++(?:[.@+~-]{1,2}[A-Za-z0-9_]++)++"
+CANDIDATE = re.compile(rf"(?<![A-Za-z0-9_])(?:{SPELLED}|{GROUPS}|{IPV6}|{JOINED})|(?<=[\"`=])[A-Za-z0-9_+/~.-]{{6,}}+")
+WORD = re.compile(r"[A-Za-z0-9_]")
+LETTER = re.compile(r"[A-Za-z]")
+BRACKETS = re.compile(r"[(\[{<]")
 BEFORE = re.compile(r"(?:[^\W_]{1,20}[\W_]{1,8}){1,2}$")
 
 Span = tuple[int, int, str]
@@ -82,36 +96,61 @@ def base_spans(text: str) -> list[Span]:
     return spans
 
 
-def context(text: str, start: int, value: str) -> str:
+def possible_kinds(value: str, further: list[str]) -> list[str]:
+    """Of which kinds something that looks like this may be; ``further`` are the kinds of the seed patterns."""
+    if not LETTER.search(value):
+        n = len(digits_of(value))
+        kinds = ["card"] * (6 <= n <= 128) + ["phone"] * (7 <= n <= 15)
+        return kinds + ["ip"] * (value.count(".") > 1 or ":" in value)
+    kinds = ["email"] if "@" in value or "." in value or BRACKETS.search(value) else []
+    kinds += ["ip"] * ("@" not in value and not BRACKETS.search(value) and ("." in value or ":" in value))
+    return kinds + further * (len(value) >= 6 and "@" not in value and "\x20" not in value)
+
+
+def words_before(text: str, start: int) -> str:
     before = BEFORE.search(text[max(0, start - 56) : start])
-    words = re.sub(r"\s+", " ", before[0].lower()) if before else ""
-    form = "digits" if value.isdigit() else "mixed" if value.replace("_", "").isalnum() else "other"
-    return f"{words}|{form}"
+    return re.sub(r"\s+", " ", before[0].lower()) if before else ""
+
+
+def candidates(text: str) -> Iterator[tuple[int, int]]:
+    """Where further identifiers may be. A run inside a longer candidate is one too."""
+    ends = set()
+    for found in CANDIDATE.finditer(text):
+        start, end = found.span()
+        if not WORD.match(text, end):
+            ends.add((start, end))
+            yield start, end
+    if DIGIT.search(text):
+        yield from (found.span() for found in TOKEN.finditer(text) if found.span() not in ends)
 
 
 def occurrences(text: str, base: list[Span], seeds: dict[str, re.Pattern]) -> list[tuple]:
-    """(start, end, instance, context, kind) of base spans, seeds, and candidates of unknown kind."""
-    known = list(base)
-    taken = bytearray(len(text)) if DIGIT.search(text) else None
-    if taken is not None:
-        for start, end, _ in known:
-            taken[start:end] = b"\1" * (end - start)
-        for found in CANDIDATE.finditer(text):
-            start, end = found.span()
-            if not any(taken[start:end]):
-                kind = next((kind for kind, seed in seeds.items() if seed.fullmatch(found[0])), None)
-                known.append((start, end, kind))
+    """(start, end, instance, words, kinds, kind) of base spans, seeds, and candidates, whose kind is None."""
+    further = list(seeds)
+    known = [(start, end, kind, [kind]) for start, end, kind in base]
+    taken = bytearray(len(text)) if base else None
+    for start, end, _ in base:
+        taken[start:end] = b"\1" * (end - start)
+    for start, end in candidates(text):
+        if taken is None or 1 not in taken[start:end]:
+            value = text[start:end]
+            kind = next((kind for kind, seed in seeds.items() if seed.fullmatch(value)), None)
+            if kinds := possible_kinds(value, further):
+                known.append((start, end, kind, kinds))
     out = []
-    for start, end, kind in known:
+    for start, end, kind, kinds in known:
         value = text[start:end]
         number = int.from_bytes(hashlib.blake2b(value.encode(), digest_size=8).digest(), "big", signed=True)
-        out.append((start, end, number, context(text, start, value), kind))
+        out.append((start, end, number, words_before(text, start), kinds, kind))
     return out
 
 
 SPAN = pa.struct([("start", pa.int32()), ("kind", pa.string()), ("end", pa.int32())])
 MET = pa.struct(
-    [("start", pa.int32()), ("end", pa.int32()), ("instance", pa.int64()), ("context", pa.string()), ("kind", pa.string())]
+    [
+        ("start", pa.int32()), ("end", pa.int32()), ("instance", pa.int64()), ("words", pa.string()),
+        ("kinds", pa.list_(pa.string())), ("kind", pa.string()),
+    ]
 )
 
 
@@ -136,7 +175,7 @@ def extracted(docs: DataFrame, seeds: dict[str, str]) -> DataFrame:
 
     schema = (
         "row_no long, doc_id long, base array<struct<start:int,kind:string,end:int>>, "
-        "met array<struct<start:int,end:int,instance:long,context:string,kind:string>>"
+        "met array<struct<start:int,end:int,instance:long,words:string,kinds:array<string>,kind:string>>"
     )
     rows = docs.select(
         F.monotonically_increasing_id().alias("row_no"), F.col("doc_id").cast("long"), F.col("text").cast("string")
@@ -144,34 +183,39 @@ def extracted(docs: DataFrame, seeds: dict[str, str]) -> DataFrame:
     return stored(rows.mapInArrow(found, schema), "extracted")
 
 
+def by_kind(met: DataFrame) -> DataFrame:
+    """Occurrences once for each kind they may be of, with their context for it; ``seed`` is the kind they are known to be of."""
+    each = met.withColumnRenamed("kind", "seed").withColumn("kind", F.explode("kinds")).drop("kinds")
+    return each.withColumn("context", F.concat_ws("|", "words", "kind")).drop("words")
+
+
 def bootstrapped(met: DataFrame, min_confidence: float, min_known: int, rounds: int) -> tuple[DataFrame, DataFrame]:
-    """Trusted contexts (context, kind, confidence) and the instances that became known (instance, kind)."""
-    edges = stored(met.groupBy("context", "instance").agg(F.min("kind").alias("seed")), "edges")
+    """Trusted contexts (context, confidence) and the instances that became known (instance, kind)."""
+    edges = stored(met.groupBy("context", "kind", "instance").agg(F.min("seed").alias("seed")), "edges")
     sizes = stored(edges.groupBy("context").agg(F.count("*").alias("instances")), "sizes")
-    degrees = edges.where("seed IS NULL").groupBy("instance").agg(F.count("*").alias("contexts"))
+    unknown = edges.where("seed IS NULL").drop("seed")
+    degrees = unknown.groupBy("instance", "kind").agg(F.count("*").alias("contexts"))
     learned = None
     for _ in range(rounds):
-        labelled = edges.select("context", F.col("seed").alias("kind"))
+        labelled = edges.where("seed = kind").select("context")
         if learned is not None:
-            unknown = edges.where("seed IS NULL").select("context", "instance")
-            labelled = labelled.unionAll(unknown.join(learned, "instance").select("context", "kind"))
-        scored = labelled.where("kind IS NOT NULL").groupBy("context", "kind").agg(F.count("*").alias("known"))
+            labelled = labelled.unionAll(unknown.join(learned, ["instance", "kind"]).select("context"))
+        scored = labelled.groupBy("context").agg(F.count("*").alias("known"))
         trusted = (
             scored.join(sizes, "context")
             .withColumn("confidence", F.col("known") / F.col("instances"))
             .where((F.col("confidence") >= min_confidence) & (F.col("known") >= min_known))
         )
-        trusted = stored(trusted.select("context", "kind", "confidence"), "trusted")
-        votes = (
-            edges.where("seed IS NULL")
-            .select("context", "instance")
-            .join(trusted, "context")
-            .groupBy("instance", "kind")
-            .agg(F.sum("confidence").alias("sum"))
+        trusted = stored(trusted.select("context", "confidence"), "trusted")
+        votes = unknown.join(trusted, "context").groupBy("instance", "kind").agg(F.sum("confidence").alias("sum"))
+        learned = votes.join(degrees, ["instance", "kind"]).withColumn("score", F.col("sum") / F.col("contexts"))
+        # Contexts of different kinds may claim an instance; the better score has it.
+        learned = (
+            learned.where(F.col("score") >= min_confidence)
+            .groupBy("instance")
+            .agg(F.max(F.struct("score", "kind"))["kind"].alias("kind"))
         )
-        # A confidence above a half allows for one kind only.
-        learned = votes.join(degrees, "instance").where(F.col("sum") / F.col("contexts") >= min_confidence)
-        learned = stored(learned.select("instance", "kind"), "learned")
+        learned = stored(learned, "learned")
     return trusted, learned
 
 
@@ -195,14 +239,14 @@ def find_personal_data(
     """(doc_id, base, added) of every row; both are arrays of (start, kind, end) in code points."""
     found = extracted(docs, seeds)
     met = found.select("row_no", F.explode("met").alias("at")).select("row_no", "at.*")
-    trusted, learned = bootstrapped(met, min_confidence, min_known, rounds)
+    kinds = by_kind(met)
+    trusted, learned = bootstrapped(kinds, min_confidence, min_known, rounds)
     span = F.struct("start", "kind", "end")
     seeded = met.where(F.col("kind").isNotNull() & ~F.col("kind").isin(*KINDS)).select("row_no", span.alias("span"))
     discovered = (
-        met.where("kind IS NULL")
-        .drop("kind")
-        .join(learned, "instance")
-        .join(trusted.select("context", "kind"), ["context", "kind"], "left_semi")
+        kinds.where("seed IS NULL")
+        .join(learned, ["instance", "kind"])
+        .join(trusted, "context", "left_semi")
         .select("row_no", span.alias("span"))
     )
     added = seeded.unionAll(discovered).groupBy("row_no").agg(F.collect_list("span").alias("added"))

@@ -89,3 +89,25 @@ def test_seeds_beyond_the_base_kinds(table):
     assert found[0] == [(12, "secret", 22)]
     # Hexadecimal strings of digits only are no seeds, but stand in the same context.
     assert all(found[i] in ([(12, "secret", 52)], []) for i in found if i)
+
+
+PLANTED = [
+    ("email", "please write to {}, thanks", [f"user{i}@mail.org" for i in range(12)], ["jane (at) mail.org", "joe [at] mail [dot] org", "ann.lee"]),
+    ("ip", "came from host {} at night", [f"10.0.{i}.7" for i in range(12)], ["2001:db8::8a2e:370:7334", "db1.example.org", "10.0.300.7"]),
+    ("card", "charged the card {} today", None, ["1234 5678 9012 345", "4000-0000-0000-0001"]),
+    ("phone", "please call me {} today", [f"+1 (415) 555-{i:04d}" for i in range(12)], ["555-123-4567", "123-45-6789", "(555) 123-4567"]),
+    ("secret", 'set my token = "{}" now', [f"{i:039x}a1" for i in range(12)], ["abcDEFghijkl", "k7" * 100, "ab12-cd34.ef56"]),
+]
+
+
+@pytest.mark.parametrize(("kind", "text", "seeds", "unseen"), PLANTED, ids=[case[0] for case in PLANTED])
+def test_every_kind_finds_forms_its_pattern_does_not_know(table, kind, text, seeds, unseen):
+    seeds = seeds or [n for i in range(200) if valid("card", n := f"4{i:015d}")]
+    rows = [(i, text.format(value), "a") for i, value in enumerate(seeds)]
+    rows += [(1000 + i, text.format(value), "a") for i, value in enumerate(unseen)]
+    rows += [(2000 + i, f"an ordinary thing {value} elsewhere", "a") for i, value in enumerate(["777-000-1111", "a.b.c", "x1y2z3"])]
+    found = {r.doc_id: [tuple(s) for s in r.added] for r in pii.find_personal_data(table(rows)).collect()}
+    start = text.index("{")
+    for i, value in enumerate(unseen):
+        assert found[1000 + i] == [(start, kind, start + len(value))], value
+    assert not any(found[2000 + i] for i in range(3))
