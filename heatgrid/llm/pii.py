@@ -6,9 +6,10 @@ at-signs or dashes, addresses that spell out their signs, and letters with digit
 it may be of. Each occurrence stands, for each of these kinds, in a context: the two words and the signs before it.
 So seeds and candidates of a kind share their contexts, however different they look. Contexts and instances form a
 graph, which Spark scores in rounds: a context is as good as the share of its different instances that are
-known to be of its kind, and is trusted from a confidence and a number of known instances on; an unknown instance
-gets the mean confidence of all contexts it stands in, and counts as known from that confidence on. Where a
-trusted context holds an instance that became known, a span is added. Base spans always stay.
+known to be of its kind, and is trusted from a confidence and a number of known instances on. Where two words have
+been met with too few instances to tell, one word decides, for instances of the same form and on more evidence.
+An instance is known from a mean confidence above one half over its contexts on, so that it brings in contexts not
+trusted yet. Where a trusted context holds an instance that became known, a span is added. Base spans always stay.
 
 Defined cases: a NULL text counts as empty and has no spans; repeated rows give repeated rows with the same
 spans, and count as one instance; a NULL doc_id is returned as it is; an empty table gives an empty result. All
@@ -27,6 +28,8 @@ from heatgrid.llm.shared import stored
 
 KINDS = ("email", "ip", "card", "phone")
 MIN_CONFIDENCE, MIN_KNOWN, ROUNDS = 0.8, 5, 3
+#: One word needs so many times the known instances that two words need; an instance needs more than this score.
+ONE_WORD, MIN_SCORE = 4, 0.5
 ROWS = 256
 
 # The part of an address before @ is found backwards from it, and runs of digits are entered at their start
@@ -49,6 +52,8 @@ GROUPS += r"|[0-9]{2,6}+(?:\x20[0-9]{2,6}+){2,}+"
 IPV6 = r"[0-9A-Fa-f]{1,4}+(?:::?[0-9A-Fa-f]{1,4}+){2,7}+(?:::)?"
 JOINED = r"(?=[A-Za-z_]*+[0-9.@+~-])[A-Za-z0-9_]++(?:[.@+~-]{1,2}[A-Za-z0-9_]++)++"
 CANDIDATE = re.compile(rf"(?<![A-Za-z0-9_])(?:{SPELLED}|{GROUPS}|{IPV6}|{JOINED})|(?<=[\"`=])[A-Za-z0-9_+/~.-]{{6,}}+")
+#: For the JVM: the last word and the signs after it.
+LAST_WORD = r"[\p{L}\p{N}]+[^\p{L}\p{N}]*$"
 WORD = re.compile(r"[A-Za-z0-9_]")
 LETTER = re.compile(r"[A-Za-z]")
 BRACKETS = re.compile(r"[(\[{<]")
@@ -112,6 +117,13 @@ def words_before(text: str, start: int) -> str:
     return re.sub(r"\s+", " ", before[0].lower()) if before else ""
 
 
+def form(value: str) -> str:
+    """What instances behind a single word must share: about as many digits, or about as long."""
+    if LETTER.search(value):
+        return f"l{len(value).bit_length()}"
+    return f"d{min((len(digits_of(value)) + 1) // 3, 8)}"
+
+
 def candidates(text: str) -> Iterator[tuple[int, int]]:
     """Where further identifiers may be. A run inside a longer candidate is one too."""
     ends = set()
@@ -125,7 +137,7 @@ def candidates(text: str) -> Iterator[tuple[int, int]]:
 
 
 def occurrences(text: str, base: list[Span], seeds: dict[str, re.Pattern]) -> list[tuple]:
-    """(start, end, instance, words, kinds, kind) of base spans, seeds, and candidates, whose kind is None."""
+    """(start, end, instance, words, form, kinds, kind) of base spans, seeds, and candidates, whose kind is None."""
     further = list(seeds)
     known = [(start, end, kind, [kind]) for start, end, kind in base]
     taken = bytearray(len(text)) if base else None
@@ -141,7 +153,7 @@ def occurrences(text: str, base: list[Span], seeds: dict[str, re.Pattern]) -> li
     for start, end, kind, kinds in known:
         value = text[start:end]
         number = int.from_bytes(hashlib.blake2b(value.encode(), digest_size=8).digest(), "big", signed=True)
-        out.append((start, end, number, words_before(text, start), kinds, kind))
+        out.append((start, end, number, words_before(text, start), form(value), kinds, kind))
     return out
 
 
@@ -149,7 +161,7 @@ SPAN = pa.struct([("start", pa.int32()), ("kind", pa.string()), ("end", pa.int32
 MET = pa.struct(
     [
         ("start", pa.int32()), ("end", pa.int32()), ("instance", pa.int64()), ("words", pa.string()),
-        ("kinds", pa.list_(pa.string())), ("kind", pa.string()),
+        ("form", pa.string()), ("kinds", pa.list_(pa.string())), ("kind", pa.string()),
     ]
 )
 
@@ -175,7 +187,7 @@ def extracted(docs: DataFrame, seeds: dict[str, str]) -> DataFrame:
 
     schema = (
         "row_no long, doc_id long, base array<struct<start:int,kind:string,end:int>>, "
-        "met array<struct<start:int,end:int,instance:long,words:string,kinds:array<string>,kind:string>>"
+        "met array<struct<start:int,end:int,instance:long,words:string,form:string,kinds:array<string>,kind:string>>"
     )
     rows = docs.select(
         F.monotonically_increasing_id().alias("row_no"), F.col("doc_id").cast("long"), F.col("text").cast("string")
@@ -184,39 +196,60 @@ def extracted(docs: DataFrame, seeds: dict[str, str]) -> DataFrame:
 
 
 def by_kind(met: DataFrame) -> DataFrame:
-    """Occurrences once for each kind they may be of, with their context for it; ``seed`` is the kind they are known to be of."""
-    each = met.withColumnRenamed("kind", "seed").withColumn("kind", F.explode("kinds")).drop("kinds")
-    return each.withColumn("context", F.concat_ws("|", "words", "kind")).drop("words")
+    """Occurrences once for each kind they may be of, with both contexts; ``seed`` is the kind they are known to be of."""
+    each = met.withColumnRenamed("kind", "seed").withColumn("kind", F.explode("kinds"))
+    last = F.regexp_extract("words", LAST_WORD, 0)
+    return each.select(
+        *(name for name in each.columns if name not in ("kinds", "words", "form")),
+        F.concat_ws("|", "words", "kind").alias("context"),
+        F.concat_ws("|", last, "form", "kind").alias("one_word"),
+    )
+
 
+def confidences(edges: DataFrame, by: str, least: int, min_confidence: float, told_from: int) -> DataFrame:
+    """Confidence of the contexts in ``by`` with instances enough to tell; 0 where they are not trusted."""
+    counts = edges.groupBy(by).agg(F.count("*").alias("instances"), F.count_if("known").alias("known"))
+    share = F.col("known") / F.col("instances")
+    trusted = (share >= min_confidence) & (F.col("known") >= least)
+    return counts.where(trusted | (F.col("instances") >= told_from)).select(by, F.when(trusted, share).otherwise(0.0).alias(f"{by}_confidence"))
 
-def bootstrapped(met: DataFrame, min_confidence: float, min_known: int, rounds: int) -> tuple[DataFrame, DataFrame]:
-    """Trusted contexts (context, confidence) and the instances that became known (instance, kind)."""
-    edges = stored(met.groupBy("context", "kind", "instance").agg(F.min("seed").alias("seed")), "edges")
-    sizes = stored(edges.groupBy("context").agg(F.count("*").alias("instances")), "sizes")
+
+def scored(rows: DataFrame, two: DataFrame, one: DataFrame) -> DataFrame:
+    """Rows with the confidence of their context: of two words if these tell, else of one."""
+    both = rows.join(two, "context", "left").join(one, "one_word", "left")
+    return both.withColumn("confidence", F.coalesce("context_confidence", "one_word_confidence", F.lit(0.0)))
+
+
+def bootstrapped(
+    met: DataFrame, min_confidence: float, min_known: int, rounds: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Contexts of two words and of one with their confidence, and the instances that became known (instance, kind)."""
+    edges = stored(met.groupBy("context", "one_word", "kind", "instance").agg(F.min("seed").alias("seed")), "edges")
     unknown = edges.where("seed IS NULL").drop("seed")
-    degrees = unknown.groupBy("instance", "kind").agg(F.count("*").alias("contexts"))
     learned = None
     for _ in range(rounds):
-        labelled = edges.where("seed = kind").select("context")
-        if learned is not None:
-            labelled = labelled.unionAll(unknown.join(learned, ["instance", "kind"]).select("context"))
-        scored = labelled.groupBy("context").agg(F.count("*").alias("known"))
-        trusted = (
-            scored.join(sizes, "context")
-            .withColumn("confidence", F.col("known") / F.col("instances"))
-            .where((F.col("confidence") >= min_confidence) & (F.col("known") >= min_known))
-        )
-        trusted = stored(trusted.select("context", "confidence"), "trusted")
-        votes = unknown.join(trusted, "context").groupBy("instance", "kind").agg(F.sum("confidence").alias("sum"))
-        learned = votes.join(degrees, ["instance", "kind"]).withColumn("score", F.col("sum") / F.col("contexts"))
-        # Contexts of different kinds may claim an instance; the better score has it.
+        if learned is None:
+            labelled = edges.withColumn("known", F.coalesce(F.col("seed") == F.col("kind"), F.lit(False)))
+        else:
+            new = learned.withColumn("new", F.lit(True))
+            labelled = edges.join(new, ["instance", "kind"], "left")
+            labelled = labelled.withColumn("known", F.coalesce(F.col("seed") == F.col("kind"), "new", F.lit(False)))
+        two = stored(confidences(labelled, "context", min_known, min_confidence, min_known), "two_words")
+        short = labelled.groupBy("one_word", "instance").agg(F.bool_or("known").alias("known"))
+        # What one word cannot tell counts as nothing, so only trusted ones are needed.
+        one = confidences(short, "one_word", ONE_WORD * min_known, min_confidence, 1 << 62)
+        one = stored(one, "one_word")
         learned = (
-            learned.where(F.col("score") >= min_confidence)
+            scored(unknown, two, one)
+            .groupBy("instance", "kind")
+            .agg(F.avg("confidence").alias("score"))
+            .where(F.col("score") > MIN_SCORE)
+            # Contexts of different kinds may claim an instance; the better score has it.
             .groupBy("instance")
             .agg(F.max(F.struct("score", "kind"))["kind"].alias("kind"))
         )
         learned = stored(learned, "learned")
-    return trusted, learned
+    return two, one, learned
 
 
 def listed(spans: Column, kinds: list[str]) -> Column:
@@ -240,13 +273,12 @@ def find_personal_data(
     found = extracted(docs, seeds)
     met = found.select("row_no", F.explode("met").alias("at")).select("row_no", "at.*")
     kinds = by_kind(met)
-    trusted, learned = bootstrapped(kinds, min_confidence, min_known, rounds)
+    two, one, learned = bootstrapped(kinds, min_confidence, min_known, rounds)
     span = F.struct("start", "kind", "end")
     seeded = met.where(F.col("kind").isNotNull() & ~F.col("kind").isin(*KINDS)).select("row_no", span.alias("span"))
     discovered = (
-        kinds.where("seed IS NULL")
-        .join(learned, ["instance", "kind"])
-        .join(trusted, "context", "left_semi")
+        scored(kinds.where("seed IS NULL").join(learned, ["instance", "kind"]), two, one)
+        .where("confidence > 0")
         .select("row_no", span.alias("span"))
     )
     added = seeded.unionAll(discovered).groupBy("row_no").agg(F.collect_list("span").alias("added"))

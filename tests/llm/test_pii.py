@@ -111,3 +111,32 @@ def test_every_kind_finds_forms_its_pattern_does_not_know(table, kind, text, see
     for i, value in enumerate(unseen):
         assert found[1000 + i] == [(start, kind, start + len(value))], value
     assert not any(found[2000 + i] for i in range(3))
+
+
+def test_rounds_reach_contexts_that_hold_no_seed(table):
+    """Numbers in two trusted contexts make a third one trusted, which brings in numbers seen nowhere else."""
+    cards = [n for i in range(700) if valid("card", n := f"4{i:015d}")]
+    unknown = [n for i in range(900, 960) if not valid("card", n := f"4{i:015d}")][:8]
+    texts = [f"charged the card {n} today" for n in cards] + [f"paid with visa {n} today" for n in cards]
+    texts += [t for n in unknown[:6] for t in (f"charged the card {n} today", f"paid with visa {n} today", f"saved on file {n} today")]
+    texts += [f"saved on file {unknown[6]} today"]
+    rows = [(i, text, "a") for i, text in enumerate(texts)]
+
+    def added(rounds):
+        got = pii.find_personal_data(table(rows), rounds=rounds).collect()
+        return {texts[r.doc_id]: [tuple(s)[1] for s in r.added] for r in got if r.added}
+
+    last = f"saved on file {unknown[6]} today"
+    assert last not in added(1) and added(3)[last] == ["card"]
+    assert all(added(3)[f"saved on file {n} today"] == ["card"] for n in unknown[:6])
+
+
+def test_one_word_tells_where_two_are_rare(table):
+    """Every pair of words occurs once; the last word tells, for numbers of the same form only."""
+    cards = [n for i in range(400) if valid("card", n := f"4{i:015d}")][:30]
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)]
+    rows = [(i, f"the {words[i]} card {n} today", "a") for i, n in enumerate(cards)]
+    bad = next(n for i in range(900, 960) if not valid("card", n := f"4{i:015d}"))
+    rows += [(100, f"the {words[40]} card {bad} today", "a"), (101, f"the {words[41]} card 7770001 today", "a")]
+    found = {r.doc_id: [tuple(s)[1] for s in r.added] for r in pii.find_personal_data(table(rows)).collect()}
+    assert found[100] == ["card"] and not found[101]
