@@ -61,3 +61,28 @@ def test_estimates_far_above_the_margin_and_none(table, empty):
     rows = [(i, "a line on many sites\nmine %d is kept" % i, f"s{i}") for i in range(3000)]
     assert found(line_dedup.clean(table(rows), min_sites=1500)) == expected(rows, 1500)
     assert line_dedup.clean(empty).count() == 0
+
+
+def kept_in(df, line):
+    return sum(line in r.clean_text.split("\n") for r in df.collect())
+
+
+def test_long_passages_on_few_sites_beside_a_hot_source(table):
+    """One of 20 sources holds a third of the rows; passages of 60 words stand on 4 to 9 sites, many times on the hot one."""
+    rng = random.Random(3)
+    passages = {n: " ".join(f"p{n}w{i}" for i in range(60)) for n in range(4, 10)}
+    shorter = " ".join(f"s{i}" for i in range(40))
+    rows = [(doc, f"own words of document {doc}", "hot" if doc % 3 == 0 else f"site{rng.randrange(19)}") for doc in range(600)]
+    for n, passage in passages.items():
+        sites = ["hot"] * 9 + [f"site{i}" for i in range(n - 1)]
+        rows += [(1000 * n + i, f"own words {n} {i}\n{passage}\n{shorter if n == 9 else n}", s) for i, s in enumerate(sites)]
+    got = line_dedup.clean(table(rows))
+    assert {n: kept_in(got, p) for n, p in passages.items()} == {4: 12} | {n: 1 for n in range(5, 10)}
+    # Shorter lines need ten sites.
+    assert kept_in(got, shorter) == 17
+
+
+def test_a_corpus_of_few_sites_loses_its_boilerplate(table):
+    rows = [(i, f"subscribe to our newsletter\nown words of {i}\nshared by two sites" if i % 6 < 2 else f"subscribe to our newsletter\nown words of {i}", f"s{i % 6}") for i in range(60)]
+    got = line_dedup.clean(table(rows))
+    assert kept_in(got, "subscribe to our newsletter") == 1 and kept_in(got, "shared by two sites") == 20
