@@ -2,7 +2,7 @@
 
 A text is cut into sentences, twice: within its lines, and across line ends inside paragraphs, since
 licences are often wrapped. Sentences in lower case and without punctuation are looked up in a table of known
-licence sentences, which gives each an identifier. The sequence of identifiers is then held against
+licence sentences, which gives each an identifier. Names of holders and years in a few of them count as the usual word. The sequence of identifiers is then held against
 ordered rules; a rule names a licence and matches a run of identifiers, and the first that matches decides.
 
 Only texts that contain a word without which no known sentence can be, in any case, are cut at all.
@@ -50,6 +50,50 @@ SENTENCES = {
     "unlicense": ["This is free and unencumbered software released into the public domain without copyright"],
     "reserved": ["All rights reserved", "Copyright, all rights reserved"],
 }
+#: Names of licences by identifier, from which notices and SPDX lines are built.
+NAMES = {
+    "apache-name": ("Apache-2.0", ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License"]),
+    "gpl2-only": ("GPL-2.0-only", ["GNU General Public License, version 2", "GNU General Public License v2.0"]),
+    "gpl3-only": ("GPL-3.0-only", ["GNU General Public License, version 3", "GNU General Public License v3.0"]),
+    "agpl3-only": ("AGPL-3.0-only", ["GNU Affero General Public License, version 3", "GNU Affero General Public License v3.0"]),
+    "lgpl2-only": ("LGPL-2.1-only", ["GNU Lesser General Public License, version 2.1", "GNU Lesser General Public License v2.1"]),
+    "lgpl3-only": ("LGPL-3.0-only", ["GNU Lesser General Public License, version 3", "GNU Lesser General Public License v3.0"]),
+    "mpl2": ("MPL-2.0", ["Mozilla Public License, version 2.0", "Mozilla Public License 2.0"]),
+    "cc0": ("CC0-1.0", ["CC0 1.0", "CC0 1.0 Universal", "CC0 1.0 Universal License"]),
+    "epl1": ("EPL-1.0", ["Eclipse Public License, version 1.0", "Eclipse Public License v1.0", "Eclipse Public License 1.0"]),
+    "epl2": ("EPL-2.0", ["Eclipse Public License, version 2.0", "Eclipse Public License v2.0", "Eclipse Public License 2.0"]),
+    "bsl1": ("BSL-1.0", ["Boost Software License, Version 1.0", "Boost Software License 1.0"]),
+    "zlib": ("Zlib", ["zlib License"]),
+    "0bsd": ("0BSD", ["Zero-Clause BSD License", "BSD Zero Clause License"]),
+    "isc-name": ("ISC", ["ISC License"]),
+    "mit-name": ("MIT", ["MIT License"]),
+    "bsd2-name": ("BSD-2-Clause", ["BSD 2-Clause License", "Simplified BSD License"]),
+    "bsd3-name": ("BSD-3-Clause", ["BSD 3-Clause License", "New BSD License", "Modified BSD License"]),
+    "unlicense": ("Unlicense", ["Unlicense"]),
+    "gpl2-later": ("GPL-2.0-or-later", ["GNU General Public License, version 2 or later", "GNU General Public License v2.0 or later"]),
+    "gpl3-later": ("GPL-3.0-or-later", ["GNU General Public License, version 3 or later", "GNU General Public License v3.0 or later"]),
+    "agpl3-later": ("AGPL-3.0-or-later", ["GNU Affero General Public License, version 3 or later"]),
+    "lgpl": ("LGPL-2.1-or-later", ["GNU Lesser General Public License, version 2.1 or later"]),
+    "lgpl3-later": ("LGPL-3.0-or-later", ["GNU Lesser General Public License, version 3 or later"]),
+}
+NOTICES = ("Licensed under", "Released under", "Distributed under", "This work is licensed under", "This project is licensed under",
+           "This program is licensed under", "This software is licensed under", "This software is released under")
+for key, (spdx, names) in NAMES.items():
+    SENTENCES.setdefault(key, [])
+    SENTENCES[key] += [f"{start} {the}{name}" for start in NOTICES for the in ("the ", "") for name in names]
+    SENTENCES[key] += [f"{start} {the}{spdx}{end}" for start in NOTICES for the, end in (("", ""), ("the ", " license"))]
+    SENTENCES[key] += [f"SPDX-License-Identifier: {spdx.removesuffix('-only')}", f"SPDX-License-Identifier: {spdx}"]
+    SENTENCES[key] += [f"SPDX-License-Identifier: {spdx.removesuffix('-or-later')}+"] * spdx.endswith("-or-later")
+FREE = "{0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1} General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"
+SENTENCES["agpl3-later"] += [FREE.format("This program", "Affero")]
+SENTENCES["lgpl3-later"] += [FREE.format(start, "Lesser") for start in ("This library", "This program")]
+SENTENCES["cc0"] += ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"]
+SENTENCES["zlib"] += ["Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"]
+SENTENCES["bsl1"] += ["Distributed under the Boost Software License, Version 1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:"]
+SENTENCES["0bsd"] += ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"]
+SENTENCES["epl1"] += ["This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0"]
+SENTENCES["epl2"] += ["This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"]
+SENTENCES["bsd-endorse"] += ["The name of the author may not be used to endorse or promote products derived from this software without specific prior written permission"]
 for parts in CC_PARTS:
     SENTENCES["cc " + parts] = [
         f"{start} {name}{version}{end}"
@@ -60,28 +104,53 @@ for parts in CC_PARTS:
             ("Licensed under a Creative Commons", f"{parts.upper().replace(' ', '-')} ", " License"),
         )
     ]
+    SENTENCES["cc " + parts] += [f"SPDX-License-Identifier: CC-{parts.upper().replace(' ', '-')}-{version}" for version in CC_VERSIONS]
+
+#: Names that stand in a known sentence, on the normalised sentence: (pattern, what it becomes). A name is at most 160 characters.
+SLOTS = [
+    (r"^neither the names? of (?!the copyright holder nor ).{1,160}? nor the names of (?:its|their|the|any)( other)? contributors may be used",
+     "neither the name of the copyright holder nor the names of its contributors may be used"),
+    (r"^the names? of (?!the author may ).{1,160}? may not be used to endorse", "the name of the author may not be used to endorse"),
+    (r"^copyright (?:c )?(?:[0-9]{4} )+(?:by )?.{1,160}? all rights reserved$", "copyright all rights reserved"),
+    (r"^to the extent possible under law .{1,160}? has waived all copyright", "to the extent possible under law the author has waived all copyright"),
+]
 
 #: (licence, run of identifiers as a pattern over " a b c "); the first that matches decides.
 RULES = [
-    ("BSD-3-Clause", " bsd-grant( reserved)* bsd-source bsd-binary bsd-endorse "),
+    # The endorsement may be known by the other way to cut only.
+    ("BSD-3-Clause", r" bsd-grant( reserved)* bsd-source bsd-binary ([^|]*\| ([^|]* )?bsd-binary )?bsd-endorse "),
     ("BSD-2-Clause", " bsd-grant( reserved)* bsd-source bsd-binary "),
     ("MIT", " mit-grant mit-condition( mit-warranty)? "),
     ("ISC", " isc-grant "),
+    ("0BSD", " 0bsd "),
+    ("Zlib", " zlib "),
+    ("BSL-1.0", " bsl1 "),
+    ("AGPL-3.0-or-later", " agpl3-later "),
+    ("AGPL-3.0-only", " agpl3-only "),
+    ("LGPL-3.0-or-later", " lgpl3-later "),
     ("GPL-3.0-or-later", " gpl3-later "),
     ("GPL-2.0-or-later", " gpl2-later "),
     ("LGPL-2.1-or-later", " lgpl "),
+    ("LGPL-3.0-only", " lgpl3-only "),
+    ("LGPL-2.1-only", " lgpl2-only "),
     ("GPL-3.0-only", " gpl3-only "),
     ("GPL-2.0-only", " gpl2-only "),
     ("Apache-2.0", " apache-name( apache-copy)?( apache-warranty)? "),
     ("MPL-2.0", " mpl2 "),
+    ("EPL-2.0", " epl2 "),
+    ("EPL-1.0", " epl1 "),
+    ("BSD-3-Clause", " bsd3-name "),
+    ("BSD-2-Clause", " bsd2-name "),
+    ("ISC", " isc-name "),
     ("MIT", " mit-name "),
+    ("CC0-1.0", " cc0 "),
     ("Unlicense", " unlicense "),
     *((f"CC-{parts.upper().replace(' ', '-')}", f" cc-{parts.replace(' ', '-')} ") for parts in reversed(CC_PARTS)),
     ("all-rights-reserved", " reserved "),
 ]
 
 #: Each known sentence contains one of these in lower case.
-ANCHORS = ("licen", "copyright", "rights reserved", "warrant", "permission", "redistribut", "free software")
+ANCHORS = ("licen", "copyright", "rights reserved", "warrant", "permission", "redistribut", "free software", "released under", "distributed under")
 
 
 CUT = r"([.!?])[ \t\r]+"
@@ -115,6 +184,14 @@ def normalised(sentence: Column) -> Column:
     return F.btrim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
 
 
+def named(sentence: Column) -> Column:
+    """A normalised sentence with the usual word for the names in it; only few sentences can hold one."""
+    out = sentence
+    for pattern, usual in SLOTS:
+        out = F.regexp_replace(out, pattern, usual)
+    return F.when(sentence.rlike("^(neither the|the name|copyright|to the extent)"), out).otherwise(sentence)
+
+
 def anchored(text: Column) -> Column:
     return reduce(or_, (F.lower(text).contains(anchor) for anchor in ANCHORS))
 
@@ -124,7 +201,7 @@ def recognise(docs: DataFrame) -> DataFrame:
     table = F.create_map(*(F.lit(x) for pair in known_sentences().items() for x in pair))
 
     def sequence(cut: Column) -> Column:
-        found = F.transform(F.filter(cut, anchored), lambda s: F.element_at(table, normalised(s)))
+        found = F.transform(F.filter(cut, anchored), lambda s: F.element_at(table, named(normalised(s))))
         return F.array_join(F.filter(found, lambda i: i.isNotNull()), " ")
 
     ids = docs.select(

@@ -53,3 +53,32 @@ def test_a_sentence_without_anchor_is_refused(monkeypatch, sentence):
     monkeypatch.setitem(licenses.SENTENCES, "new", [sentence])
     with pytest.raises(ValueError, match="anchor"):
         licenses.known_sentences()
+
+
+ENDORSE = "Neither the name of {} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+NEW = [
+    (BSD2 + "\n" + ENDORSE.format("the University of X"), "BSD-3-Clause"),
+    (BSD2 + "\n" + "\n".join(textwrap.wrap(ENDORSE.format("Google Inc"), 50)), "BSD-3-Clause"),
+    (BSD2 + "\nThe name of J Doe may not be used to endorse or promote products derived from this software without specific prior written permission.", "BSD-3-Clause"),
+    ("Released under the Apache License, Version 2.0.", "Apache-2.0"),
+    ("Released under the GNU General Public License, version 3.", "GPL-3.0-only"),
+    ("Licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0-only"),
+    ("Licensed under the GNU Lesser General Public License, version 3.", "LGPL-3.0-only"),
+    ("Licensed under the GNU Lesser General Public License, version 2.1.", "LGPL-2.1-only"),
+    ("Released under CC0 1.0.", "CC0-1.0"),
+    ("Licensed under the Eclipse Public License, version 2.0.", "EPL-2.0"),
+    ("Released under the zlib License.", "Zlib"),
+    ("Distributed under the Boost Software License, Version 1.0.", "BSL-1.0"),
+    ("Licensed under the BSD Zero Clause License.", "0BSD"),
+    ("# SPDX-License-Identifier: MIT", "MIT"),
+    ("// SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0-or-later"),
+    ("SPDX-License-Identifier: CC-BY-SA-4.0", "CC-BY-SA"),
+    ("Copyright (c) 2019 Jane Doe. All rights reserved.", "all-rights-reserved"),
+    (licenses.SENTENCES["isc-grant"][0] + ".", "ISC"),
+]
+
+
+def test_names_in_sentences_and_further_licences(table):
+    rows = [(i, text, "a") for i, (text, _) in enumerate(NEW)]
+    got = {r.doc_id: r.licence for r in licenses.recognise(table(rows)).collect()}
+    assert got == {i: licence for i, (_, licence) in enumerate(NEW)}
