@@ -6,11 +6,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heatgrid.llm import bpe, exact_dedup, hilbert, licenses, line_dedup, mixing, near_dedup, pii, preference, quality
+from heatgrid.llm import (
+    bpe,
+    exact_dedup,
+    hilbert,
+    licenses,
+    line_dedup,
+    mixing,
+    near_dedup,
+    periodic,
+    pii,
+    preference,
+    quality,
+    token_alignment,
+    tokenizer_files,
+)
 from heatgrid.llm.shared import documents, stored
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
-
+# The vocabulary of byte_bpe_50k.json as ranks, which a faster library reads; tests hold the ids against it.
+RANK_FILE = "byte_bpe_50k.tiktoken"
+PIECE_FILE = "piece_bpe_32k.model"
 
 SHARDS = 24
 ENTROPY_PART = 0.95
@@ -77,6 +93,29 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digests(periodic.periodic_runs(periodic.planted(documents(spark, sf_dir))))
+
+
+def load_aligner() -> token_alignment.Aligner:
+    path = public_tokenizers.path
+    return tokenizer_files.aligner(path(RANK_FILE), public_tokenizers.PATTERN, path(PIECE_FILE))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = token_alignment.align(documents(spark, sf_dir), load_aligner, digest=True)
+    return token_alignment.scored(aligned).select(
+        "doc_id",
+        "n_a",
+        "n_b",
+        "n_groups",
+        "n_links",
+        "n_best",
+        "count_sum",
+        F.col("groups").alias("groups_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_temperature_mix": op1_temperature_mix,
     "op2_exact_dedup": op2_exact_dedup,
@@ -88,6 +127,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_license_rules": op9_license_rules,
     "op10_line_dedup": op10_line_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 WORD = r"[^\x20\x09-\x0D]+"
