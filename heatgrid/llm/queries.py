@@ -10,6 +10,7 @@ from heatgrid.llm import (
     bpe,
     exact_dedup,
     hilbert,
+    html_wrappers,
     licenses,
     line_dedup,
     mixing,
@@ -97,6 +98,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.run_digests(periodic.periodic_runs(periodic.planted(documents(spark, sf_dir))))
 
 
+def op12_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_wrappers.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def load_aligner() -> token_alignment.Aligner:
     path = public_tokenizers.path
     return tokenizer_files.aligner(path(RANK_FILE), public_tokenizers.PATTERN, path(PIECE_FILE))
@@ -128,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license_rules": op9_license_rules,
     "op10_line_dedup": op10_line_dedup,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_html_wrappers": op12_html_wrappers,
     "op13_token_alignment": op13_token_alignment,
 }
 

@@ -1,0 +1,172 @@
+"""Wrappers and main text against pages whose main text is known, and the given pages against a plain cut."""
+
+import html
+import random
+import re
+
+import pytest
+
+from heatgrid.llm import html_wrappers
+from heatgrid.llm.html_pages import parse
+from heatgrid.llm.queries import op12_html_wrappers
+from tests.llm.conftest import LONG, prose
+
+SCHEMA = "page_id long, url string, html string, host int, wrapper boolean, slots string, text int, main string, `of` int"
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    """Main text by page of (page_id, url, html), with further columns whose names the operator uses inside."""
+
+    def found(rows):
+        docs = spark.createDataFrame([(*row, 1, True, "x", 2, "y", 3) for row in rows], SCHEMA).repartition(3)
+        return sorted(((r.page_id, r.text) for r in html_wrappers.main_text(docs).collect()), key=str)
+
+    return found
+
+
+def plain(page):
+    """What stands between the article's tags, cut at the block tags of the given pages."""
+    inside = re.search(r"<article>(.*?)</article>", page or "", re.S)
+    blocks = re.split(r"</?(?:p|h1|li|ul|div)(?:\s[^>]*)?>", inside.group(1) if inside else "")
+    shown = (" ".join(html.unescape(re.sub(r"<[^>]*>", lambda m: " " if m[0] == "<br>" else "", b)).split()) for b in blocks)
+    return "\n\n".join(b for b in shown if b)
+
+
+def test_given_pages_equal_a_plain_cut(spark):
+    found = op12_html_wrappers(spark, "/root/testdata/sf0.01")
+    assert found.columns == ["page_id", "url", "text", "n_chars"]
+    rows = found.collect()
+    pages = {r.page_id: r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()}
+    assert len(rows) == len(pages)
+    for row in rows:
+        assert row.text == plain(pages[row.page_id])
+        assert row.n_chars == len(row.text)
+
+
+def sentences(rng, few=1, many=4):
+    words = prose(rng.randint(0, 10**6), rng.randint(12, 50)).replace("\n", " ").split(" ")
+    return " ".join(words) + f" {rng.randint(0, 10**9)} & more."
+
+
+def laid_out(layout, rng, number):
+    """(html, blocks of main text) of a page of a layout."""
+    title = f"Title {number} {sentences(rng)[:30].strip()}"
+    blocks = [title]
+    body = f"<h1>{html.escape(title)}</h1>"
+    for _ in range(rng.randint(1, 6)):
+        kind = rng.random()
+        if kind < 0.6:
+            text = sentences(rng)
+            body += f"<p>{html.escape(text)[:20]}<b>{html.escape(text)[20:]}</b>" + rng.choice(["", "</p>\n"])
+            # Cutting an escaped text may part a reference; the pieces are joined again by the page.
+            blocks.append(text)
+        elif kind < 0.8:
+            items = [sentences(rng) for _ in range(rng.randint(1, 4))]
+            body += "<ul>" + "".join(f"<li>{html.escape(i)}" for i in items) + "</ul>"
+            blocks += items
+        else:
+            head, text = f"Part {rng.randint(0, 10**6)}", sentences(rng)
+            body += f"<h2>{head}</h2><blockquote>{html.escape(text)}</blockquote>"
+            blocks += [head, text]
+    menu = "".join(f'<li><a href="/{i}">{sentences(rng)[:12]}</a></li>' for i in range(rng.randint(2, 7)))
+    comments = "".join(f'<div class="comment">{sentences(rng)}</div>' for _ in range(rng.randint(0, 4)))
+    if layout == "article":
+        inner = f"<nav><ul>{menu}</ul></nav><article>{body}<aside>{sentences(rng)}</aside></article><section id=comments>{comments}</section>"
+    elif layout == "main":
+        inner = f'<header>{sentences(rng)}</header><main class="with-sidebar">{body}</main><div class="cookie-notice">{sentences(rng)}</div>'
+    elif layout == "div":
+        inner = (
+            f'<div id="top-menu"><ul>{menu}</ul></div><div class="layout"><div class="text">{body}</div>'
+            f'<div class="side"><p>About this site and the people who write it</p><ul>{menu}</ul></div></div><div class="comments">{comments}</div>'
+        )
+    else:
+        inner = f"<table><tr><td><ul>{menu}</ul><td>{body}</table><p>Copyright of the house, all the years</p><form>{sentences(rng)}</form>"
+    page = f'<!DOCTYPE html><html><head><title>x</title><script>var a="</p><article>"</script></head><body>{inner}<footer>{sentences(rng)}</footer>'
+    return page + rng.choice(["</body></html>", ""]), "\n\n".join(" ".join(b.split()) for b in blocks)
+
+
+@pytest.mark.parametrize("layout", ["article", "main", "div", "table"])
+def test_main_text_of_a_layout(texts, layout):
+    rng = random.Random(layout)
+    pages = [laid_out(layout, rng, n) for n in range(60)]
+    found = texts([(n, f"https://{layout}.example/{n}", page) for n, (page, _) in enumerate(pages)])
+    assert dict(found) == {n: text for n, (_, text) in enumerate(pages)}
+
+
+def test_hosts_do_not_disturb_each_other_and_order_does_not_matter(texts):
+    rng = random.Random(8)
+    rows, want = [], []
+    for n in range(80):
+        layout = rng.choice(["article", "main", "div", "table"])
+        page, text = laid_out(layout, rng, n)
+        rows.append((n, f"http://user@{layout.upper()}.example:8080/{n}?q", page))
+        want.append((n, text))
+    found = texts(rows)
+    assert found == texts(rows[::-1])
+    assert [t for _, t in found if t] and sum(a == b for a, b in zip(found, sorted(want, key=str))) >= 78
+
+
+def test_defined_cases(texts):
+    rows = [
+        (1, None, None),
+        (2, "no url", ""),
+        (3, "http://a/", "plain text &amp; no tags &am &copy"),
+        (4, "http://a/", "<p>one<p>two <br>lines<!-- not > this --><script>if (a < b) '</p>'</script>"),
+        (5, "http://b/", "<article>" + "<p>".join(LONG.split("\n")) + "</article>"),
+        (6, "http://c/", "<article>" + "<div>" * 3000 + "deep" + "</div>" * 3000 + " after</article>"),
+        (None, "http://d/", "<article>a < b <p> é&nbsp;&#233;&lt;p&gt;</article>"),
+        (7, "http://d/", "<article>twice</article>"),
+        (7, "http://d/", "<article>twice</article>"),
+        (8, "http://e/", '<div class="ad">buy</div><article title="a > b" class=\'x>y\'>text <a href="q>r">link</a></article><a href="open'),
+    ]
+    found = dict(texts(rows[:7] + rows[9:]))
+    assert found[1] == found[2] == ""
+    assert found[3] == "plain text & no tags &am ©"
+    assert found[4] == "one\n\ntwo lines"
+    assert found[5].split() == LONG.split()
+    assert found[6].split() == ["deep", "after"]
+    assert found[None] == "a < b\n\né é<p>"
+    assert found[8] == "text link"
+    assert texts(rows[7:9]) == [(7, "twice"), (7, "twice")]
+
+
+def test_no_pages(spark):
+    assert html_wrappers.main_text(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def signs(parts):
+    out = []
+    for sign, flags, inner in parts:
+        mark = "+" * bool(flags & 2) + "?" * bool(flags & 1)
+        out.append(("(" + " ".join(signs(inner)) + ")" if sign == "(" else sign) + mark)
+    return out
+
+
+def wrapped(*pages):
+    found = html_wrappers.wrapper_of(parse(pages[0]))
+    for page in pages[1:]:
+        found = html_wrappers.aligned(found, html_wrappers.wrapper_of(parse(page)))
+    return signs(found)
+
+
+def test_mismatches_become_optional_and_repeated_parts():
+    assert wrapped("<h1>a</h1><p>b</p>", "<h1>c</h1><hr><p>d</p><p>e</p>") == ["h1", "hr?", "p+"]
+    assert wrapped("<dl><dt>a<dd>b<dt>c<dd>d</dl>") == ["dl"]
+    group = html_wrappers.wrapper_of(parse("<h2>a</h2><p>b</p><h2>c</h2><p>d</p>"))
+    assert signs(group) == ["(h2 p)+"]
+    assert wrapped("<h2>a</h2><p>b</p><h2>c</h2><p>d</p>", "<h2>a</h2><p>b</p><ul><li>x</ul>") == ["(h2 p)+", "ul?"]
+
+
+def test_a_wrapper_stays_small():
+    rng = random.Random(4)
+    page = lambda: "".join(f"<{t}>x</{t}>" for t in rng.choices(["p", "h2", "h3", "ul", "pre", "table", "dl"], k=300))
+    found = html_wrappers.wrapper_of(parse(page()))
+    for _ in range(5):
+        found = html_wrappers.aligned(found, html_wrappers.wrapper_of(parse(page())))
+    assert len(found) == 1 and found[0][1] & html_wrappers.ANY_ORDER and len(found[0][2]) <= 8
+
+
+def test_hostile_pages_end_in_time():
+    for page in ('<a "' * 50_000, "<" * 100_000, "<!--" * 50_000, "<p " * 50_000 + ">", "</" * 80_000, "&" * 100_000, "<li>" * 20_000):
+        parse(page)
