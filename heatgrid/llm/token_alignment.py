@@ -18,6 +18,8 @@ documents. Other columns are neither read nor returned. Texts are taken whole.
 """
 
 import hashlib
+import re
+from array import array
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -32,6 +34,11 @@ OFTEN = 200_000
 TEXT_BYTES = 1_000_000  # texts are aligned together up to this size
 MANY = 4_096  # links of a group from which its ids are counted first
 
+CACHED_WORDS = 150_000  # per Python worker, and as many older ones
+CACHED_LENGTH = 48
+CLOSE = re.compile(r"[\s▁] ")
+BETWEEN = re.compile(r"(?<=[^\s▁])(?= +[^ ])")
+
 ALIGNED = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, "
     "pairs array<struct<a:int,b:int,n:long>>"
@@ -40,12 +47,73 @@ ALIGNED = (
 
 @dataclass(frozen=True)
 class Tokenizer:
-    """Ids of a text as an array, and the bytes of every id by position."""
+    """Ids of a text, and the bytes of every id by position.
+
+    The text begins with the space before it. No token may go on over a space that follows a visible
+    character, so that a text can be encoded word by word.
+    """
 
-    encode: Callable[[str], np.ndarray]
+    encode: Callable[[str], list[int]]
     tokens: Sequence[bytes]
 
 
+class Words:
+    """Ids of the words met lately on both sides, as 32-bit numbers.
+
+    New words are encoded together, as one text, and their ids parted where the words end.
+    """
+
+    def __init__(self, sides: tuple[Tokenizer, Tokenizer], lengths: tuple[np.ndarray, np.ndarray]):
+        self.sides = sides
+        self.lengths = lengths
+        self.known: tuple[dict[str, bytes], ...] = ({}, {})
+        self.older: tuple[dict[str, bytes], ...] = ({}, {})
+        self.changed: set[str] = set()  # words that their tokens do not give back
+
+    def learn(self, words: set[str]) -> None:
+        """Take up the words; before that, forget those not met since the last time, if they are many."""
+        if len(self.known[0]) > CACHED_WORDS:
+            self.older, self.known = self.known, ({}, {})
+            self.changed &= set(self.older[0])
+        new = words.difference(self.known[0])
+        for known, older in zip(self.known, self.older):
+            known.update((word, older[word]) for word in new & older.keys())
+        alone = [word for word in new.difference(self.older[0]) if len(word) > CACHED_LENGTH or CLOSE.fullmatch(word[-1] + " ")]
+        joint = list(new.difference(self.older[0], alone))
+        raws = [word.encode() for word in joint]
+        ends = np.cumsum([len(raw) for raw in raws])
+        parts = []
+        for side, lengths in zip(self.sides, self.lengths):
+            ids = side.encode("".join(joint)) if joint else []
+            if b"".join(map(side.tokens.__getitem__, ids)) != b"".join(raws):
+                alone += joint
+                joint = []
+                break
+            ids = np.array(ids, np.int32)
+            stops = np.searchsorted(np.cumsum(lengths[ids]), ends, "right") * 4
+            flat = ids.tobytes()
+            parts.append([flat[i:j] for i, j in zip([0, *stops.tolist()], stops.tolist())])
+        for known, some in zip(self.known, parts):
+            known.update(zip(joint, some))
+        for word in alone:
+            for side, known in zip(self.sides, self.known):
+                ids = side.encode(word)
+                known[word] = array("i", ids).tobytes()
+                if b"".join([side.tokens[i] for i in ids]) != word.encode():
+                    self.changed.add(word)
+
+    def ids(self, words: list[str]) -> list[np.ndarray]:
+        return [np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32) for known in self.known]
+
+
+def words_of(text: str) -> list[str]:
+    """The text cut before the spaces between words. White space and the mark that stands for a space in
+    pieces stay with the space they precede, spaces at the end with the last word."""
+    if CLOSE.search(text) or text.endswith(" "):
+        return BETWEEN.split(text)
+    return [" " + word for word in text[1:].split(" ")]
+
+
 @dataclass(frozen=True)
 class Side:
     """The tokens of some texts, one text behind the other: ids, ends in bytes, and the first token of each text."""
@@ -89,7 +157,7 @@ def near_middle(
 
 
 def shared_cuts(a: Side, b: Side) -> tuple[np.ndarray, np.ndarray]:
-    """First tokens of all groups on both sides, in order, with the number of tokens at the end."""
+    """First tokens of all groups on both sides, in order, with the number of tokens at the end. No text is empty."""
     low_a, high_a = a.firsts[:-1], a.firsts[1:]
     low_b, high_b = b.firsts[:-1], b.firsts[1:]
     begin = np.where(low_a > 0, a.ends[np.maximum(low_a - 1, 0)], 0)
@@ -111,7 +179,7 @@ def shared_cuts(a: Side, b: Side) -> tuple[np.ndarray, np.ndarray]:
         begin = np.column_stack((begin, a.ends[at_a - 1])).ravel()
         low_a, high_a = np.column_stack((low_a, at_a)).ravel(), np.column_stack((at_a, high_a)).ravel()
         low_b, high_b = np.column_stack((low_b, at_b)).ravel(), np.column_stack((at_b, high_b)).ravel()
-    return np.unique(np.concatenate(cuts_a)), np.unique(np.concatenate(cuts_b))
+    return np.sort(np.concatenate(cuts_a)), np.sort(np.concatenate(cuts_b))
 
 
 def side_of(ids: list[np.ndarray], lengths: np.ndarray) -> Side:
@@ -153,7 +221,8 @@ class Aligner:
 
     def __init__(self, a: Tokenizer, b: Tokenizer):
         self.a, self.b = a, b
-        self.lengths = [np.array([len(token) for token in t.tokens], np.int64) for t in (a, b)]
+        self.lengths = tuple(np.array([len(token) for token in t.tokens], np.int64) for t in (a, b))
+        self.words = Words((a, b), self.lengths)
         # Ids as written in a group, with what parts a token from the next: in its side, and at its end.
         self.written = [
             [f"{i}{mark}".encode() for mark in marks for i in range(len(t.tokens))]
@@ -161,20 +230,23 @@ class Aligner:
         ]
         self.all_written = self.written[0] + self.written[1]
 
-    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+    def tokens(self, texts: list[str]) -> list[list[np.ndarray] | None]:
         """Ids on both sides, None without text or if a side does not give back the bytes of space and text."""
-        if not text:
-            return None
-        raw = (" " + text).encode()
-        ids_a, ids_b = self.a.encode(" " + text), self.b.encode(text)
-        for ids, side in ((ids_a, self.a), (ids_b, self.b)):
-            if b"".join(map(side.tokens.__getitem__, ids.tolist())) != raw:
-                return None
-        return ids_a, ids_b
+        words = [words_of(" " + text) if text else [] for text in texts]
+        self.words.learn({word for some in words for word in some})
+        out: list[list[np.ndarray] | None] = []
+        for text, some in zip(texts, words):
+            ids = self.words.ids(some) if some else None
+            if ids and self.words.changed and not self.words.changed.isdisjoint(some):
+                raw = (" " + text).encode()
+                if any(b"".join([side.tokens[i] for i in each.tolist()]) != raw for each, side in zip(ids, self.words.sides)):
+                    ids = None
+            out.append(ids)
+        return out
 
     def aligned(self, texts: list[str]) -> list[dict]:
         rows = [dict(n_a=0, n_b=0, n_groups=0, n_links=0, groups=None, pairs=[]) for _ in texts]
-        known = [(i, found) for i, text in enumerate(texts) if (found := self.tokens(text))]
+        known = [(i, found) for i, found in enumerate(self.tokens(texts)) if found]
         if not known:
             return rows
         a = side_of([found[0] for _, found in known], self.lengths[0])
