@@ -42,36 +42,40 @@ def hourly_coverage(hourly: DataFrame, keys: Sequence[str] = CELL) -> DataFrame:
     )
 
 
-def check_year(daily: DataFrame, year: int) -> None:
-    """ValueError unless daily rows (day, hours, repeated_rows) are sound and lie in that year.
+def check_year(daily: DataFrame, year: int, metrics: Sequence[str] = ()) -> dict[str, tuple[int, int]] | None:
+    """Complete and covered cell-days by metric; None without rows; ValueError unless the rows are sound.
 
-    Their hours start at 00Z and make whole days that follow each other, no cell has two rows for one hour,
-    and there is something at all.
+    Daily rows (day, hours, repeated_rows) are sound if they lie in that year, their hours start at 00Z and
+    make whole days that follow each other, and no cell has two rows for one hour. What comes to the
+    driver is a row per day.
     """
-    per_day = daily.groupBy("day").agg(
-        F.bit_or("hours").alias("hours"), F.sum("repeated_rows").alias("repeated")
-    )
-    facts = per_day.agg(
-        F.count(F.lit(1)).alias("days"),
-        F.count_if(F.year("day") != year).alias("outside"),
-        F.sum(F.bit_count("hours")).alias("hours"),
-        F.min_by("hours", "day").alias("first_hours"),
-        F.min("day").alias("first"),
-        (F.date_diff(F.max("day"), F.min("day")) + 1).alias("length"),
-        F.sum("repeated").alias("repeated"),
-    ).first()
-    if not facts.days:
-        raise ValueError(f"there are no hours for {year}")
-    if facts.outside:
-        raise ValueError(f"{facts.outside} of {facts.days} days are outside {year}")
-    if facts.repeated:
-        raise ValueError(f"a cell has more than one row for the same hour, {facts.repeated} rows in {year}")
-    if not facts.first_hours & 1:
-        raise ValueError(f"the first hour must be 00Z, which {facts.first} lacks")
-    if facts.hours % HOURS_PER_DAY:
-        raise ValueError(f"{facts.hours} hours are not a whole number of 24-hour days")
-    if facts.length != facts.days:
+    counts = [
+        F.count_if(F.col(f"{name}_valid_hours") >= least).alias(f"{name}_{kind}")
+        for name in metrics
+        for kind, least in (("complete", HOURS_PER_DAY), ("covered", 1))
+    ]
+    days = daily.groupBy("day").agg(
+        F.bit_or("hours").alias("hours"), F.sum("repeated_rows").alias("repeated"), *counts
+    ).collect()
+    if not days:
+        return None
+    days.sort(key=lambda row: row.day)
+    outside = sum(row.day.year != year for row in days)
+    if outside:
+        raise ValueError(f"{outside} of {len(days)} days are outside {year}")
+    repeated = sum(row.repeated for row in days)
+    if repeated:
+        raise ValueError(f"a cell has more than one row for the same hour, {repeated} rows in {year}")
+    if not days[0].hours & 1:
+        raise ValueError(f"the first hour must be 00Z, which {days[0].day} lacks")
+    hours = sum(row.hours.bit_count() for row in days)
+    if hours % HOURS_PER_DAY:
+        raise ValueError(f"{hours} hours are not a whole number of 24-hour days")
+    if (days[-1].day - days[0].day).days + 1 != len(days):
         raise ValueError(f"the days of {year} are not contiguous")
+    return {
+        name: tuple(sum(row[f"{name}_{kind}"] for row in days) for kind in ("complete", "covered")) for name in metrics
+    }
 
 
 def axis_differences(

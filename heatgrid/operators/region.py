@@ -78,7 +78,12 @@ def mask_outside(hourly: DataFrame, region_cells: DataFrame) -> DataFrame:
 
 def keep_inside(df: DataFrame, region_cells: DataFrame) -> DataFrame:
     """Drop the rows outside the region. Spark picks the join by the size of the runs."""
-    return df.join(region_runs(region_cells), _in_run(), "left_semi")
+    return keep_in_runs(df, region_runs(region_cells))
+
+
+def keep_in_runs(df: DataFrame, runs: DataFrame) -> DataFrame:
+    """Drop the rows outside a region given as ``region_runs``, which may be stored."""
+    return df.join(runs, _in_run(), "left_semi")
 
 
 def _snap_down(start: Column, size: int) -> Column:
@@ -95,8 +100,14 @@ def bounding_box(region_cells: DataFrame, tile_shape: tuple[int, int] | None = N
     With ``tile_shape`` the box grows to whole tiles, but never past the grid
     that ``region_cells`` lists.
     """
+    return snapped_box(region_cells, tile_shape)
+
+
+def snapped_box(region_cells: DataFrame, tile_shape: tuple[int, int] | None, *more: Column) -> DataFrame:
+    """``bounding_box`` and further aggregates over all cells, in one pass."""
     inside = F.col("inside")
     facts = region_cells.agg(
+        *more,
         *(
             column
             for axis in ("lat", "lon")
@@ -105,9 +116,9 @@ def bounding_box(region_cells: DataFrame, tile_shape: tuple[int, int] | None = N
                 (F.max(F.when(inside, F.col(f"{axis}_idx"))) + 1).alias(f"{axis}_stop"),
                 (F.max(f"{axis}_idx") + 1).alias(f"{axis}_size"),
             )
-        )
+        ),
     )
-    columns = []
+    columns = [name for name in facts.columns if not name.startswith(("lat_", "lon_"))]
     for axis, size in zip(("lat", "lon"), tile_shape or (1, 1)):
         start, stop = F.col(f"{axis}_start"), F.col(f"{axis}_stop")
         if tile_shape:

@@ -28,8 +28,16 @@ def with_tile_id(df: DataFrame, shape: tuple[int, int] = TILE_SHAPE) -> DataFram
     pruning; by two, only rows and columns of tiles that are empty throughout.
     """
     rows, cols = shape
-    row, col = tile_of("lat_idx", rows), tile_of("lon_idx", cols)
-    return df.withColumn(TILE_ID, row.cast("bigint") * ROW_STRIDE + col)
+    return df.withColumn(TILE_ID, tile_id(tile_of("lat_idx", rows), tile_of("lon_idx", cols)))
+
+
+def tile_id(row: Column | str, col: Column | str) -> Column:
+    row, col = (F.col(c) if isinstance(c, str) else c for c in (row, col))
+    return row.cast("bigint") * ROW_STRIDE + col
+
+
+def tile_row_of(tile: str = TILE_ID) -> Column:
+    return F.call_function("div", F.col(tile), F.lit(ROW_STRIDE)).cast("int")
 
 
 def tile_number(cell: tuple[int, int], shape: tuple[int, int] = TILE_SHAPE) -> int:
@@ -87,7 +95,12 @@ def tile_coverage(region_cells: DataFrame, shape: tuple[int, int] = TILE_SHAPE)
     """
     if region_cells.where("inside").isEmpty():
         raise ValueError("the region has no selected cells")
-    summary = _runs(occupied_tiles(region_cells, shape)).agg(
+    return tile_runs_coverage(occupied_tiles(region_cells, shape))
+
+
+def tile_runs_coverage(tiles: DataFrame) -> DataFrame:
+    """``tile_coverage`` from the occupied tiles."""
+    summary = _runs(tiles).agg(
         F.count(F.lit(1)).alias("blocks"),
         F.coalesce(F.sum("tiles"), F.lit(0)).alias("covered"),
         (
@@ -115,5 +128,12 @@ def keep_occupied(
     tiled = df if stored else with_tile_id(df, shape)
     selected = region_cells.where(F.col("inside") & (F.col("lat_idx") >= 0))
     occupied = with_tile_id(selected, shape).select(TILE_ID).distinct()
-    kept = tiled.join(occupied, TILE_ID, "left_semi")
-    return kept.select(*df.columns)
+    return tiled.join(occupied, TILE_ID, "left_semi").select(*df.columns)
+
+
+def keep_tiles(df: DataFrame, tiles: DataFrame, shape: tuple[int, int] = TILE_SHAPE) -> DataFrame:
+    """``keep_occupied`` for the occupied tiles themselves, which may be stored: rows with their ``TILE_ID``."""
+    tiled = df if TILE_ID in df.columns else with_tile_id(df, shape)
+    # As above: the comparison makes Spark try to prune partitions.
+    wanted = tiles.where(F.col(TILE_ID) >= 0).select(TILE_ID)
+    return tiled.join(wanted, TILE_ID, "left_semi").select(*df.columns)

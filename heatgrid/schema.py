@@ -79,8 +79,22 @@ DAILY = _struct(
     ("valid_hours", T.ByteType()),
 )
 
+# The stored form: partitioned by attempt, metric, year, block and tile.
+STORED_DAILY = T.StructType(
+    [*DAILY.fields, T.StructField("attempt", T.StringType()), T.StructField("block", T.IntegerType())]
+)
+
 MANIFEST = _struct(("metric", T.StringType()), ("year", T.IntegerType()))
 
+RECORDS = _struct(
+    ("metric", T.StringType()),
+    ("year", T.IntegerType()),
+    ("block", T.IntegerType()),
+    ("attempt", T.StringType()),
+    ("complete", T.LongType()),
+    ("covered", T.LongType()),
+)
+
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The columns of the schema, in its order and types; others are left out."""

@@ -1,5 +1,9 @@
 """Session settings the package is made for, and folders."""
 
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 RECOMMENDED_SETTINGS = {
@@ -13,6 +17,8 @@ RECOMMENDED_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Years of a run share the executors instead of queueing.
+    "spark.scheduler.mode": "FAIR",
 }
 
 
@@ -50,3 +56,41 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that this package has written."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def folders(spark: SparkSession, root: str, pattern: str) -> list[str]:
+    """Paths below ``root`` that match a glob pattern of as many parts."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{pattern}")
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place) or []
+    depth = pattern.count("/") + 1
+    return ["/".join(status.getPath().toString().split("/")[-depth:]) for status in found]
+
+
+def in_parallel(spark: SparkSession, tasks: Sequence[Callable[[], object]], at_once: int) -> list:
+    """Results of the tasks in their order, with up to ``at_once`` of them sending jobs at the same time.
+
+    Each runs in a pool of its own of the fair scheduler and inherits job group and other properties of the
+    caller. After an error no further task begins; the error of the earliest task that failed is raised
+    once those under way have ended.
+    """
+    context = spark.sparkContext
+
+    def pooled(number: int, task: Callable[[], object]) -> Callable[[], object]:
+        def run() -> object:
+            context.setLocalProperty("spark.scheduler.pool", f"heatgrid-{number % at_once}")
+            return task()
+
+        return inheritable_thread_target(spark)(run)
+
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        futures = [pool.submit(pooled(number, task)) for number, task in enumerate(tasks)]
+        results, failed = [], None
+        for future in futures:
+            if failed is not None and future.cancel():
+                continue
+            error = future.exception()
+            failed = failed or error
+            results.append(None if error else future.result())
+    if failed is not None:
+        raise failed
+    return results

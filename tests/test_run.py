@@ -16,7 +16,7 @@ from heatgrid.operators.region import mask_outside
 from heatgrid.operators import checks
 from heatgrid.plans import daily_run
 from heatgrid.plans.daily_run import daily_in_region, run_daily
-from heatgrid.sources.daily_store import read_daily, read_manifest
+from heatgrid.sources.daily_store import current_records, read_daily, read_manifest
 from heatgrid.sources.hourly import scan_hourly, write_hourly
 
 TILES = (5, 6)
@@ -97,18 +97,20 @@ def test_a_year_without_manifest_entry_is_done_again(spark, source, region, tmp_
     root = str(tmp_path / "out")
     hourly = scan_hourly(spark, source)
 
-    def lost(spark_, root_, metrics, years):
+    def lost(*_):
         raise RuntimeError("lost before the year was recorded")
 
     with monkeypatch.context() as patch:
         patch.setattr(daily_run, "record_completed", lost)
         with pytest.raises(RuntimeError):
             run_daily(spark, hourly, region, root, ["temperature"], 1999, 2000, TILES)
-    rows = read_daily(spark, root).count()
-    assert rows > 0 and read_manifest(spark, root).count() == 0
+    assert read_daily(spark, root).count() == 0 and read_manifest(spark, root).count() == 0
+    left = set(Path(root, "daily").iterdir())
+    assert len(left) == 2
     reports = run_daily(spark, hourly, region, root, ["temperature"], 1999, 2000, TILES)
     assert [r.year for r in reports] == [1999, 2000]
-    assert read_daily(spark, root, years=[1999]).count() == rows
+    assert not left & set(Path(root, "daily").iterdir())
+    assert read_daily(spark, root, years=[1999]).count() == 2 * region.where("inside").count()
 
 
 @pytest.mark.parametrize("metrics", [["humidex"], sorted(METRICS)])
@@ -264,3 +266,118 @@ def test_the_full_run_is_compiled_by_the_jvm(spark, source, region):
     daily = daily_in_region(hourly, region, sorted(METRICS), TILES)
     sizes = generated_method_sizes(spark, daily)
     assert sizes and 0 < max(sizes) < 8000
+
+
+# --- the region of a store, attempts, blocks ------------------------------------------------
+
+
+def rows_of_region(spark, region, first, last):
+    return region.withColumn("inside", F.col("lat_idx").between(first, last)).repartition(3)
+
+
+def test_a_store_belongs_to_one_region(spark, source, region, tmp_path):
+    """Another region on the same grid is refused, the same one in another order is not."""
+    root = str(tmp_path / "out")
+    hourly = scan_hourly(spark, source)
+    north, south = rows_of_region(spark, region, 0, 4), rows_of_region(spark, region, 15, 19)
+    run_daily(spark, hourly, north, root, ["temperature"], 1999, 2000, TILES)
+    before = snapshot(root)
+    with pytest.raises(ValueError, match="another region"):
+        run_daily(spark, hourly, south, root, ["humidex"], 1999, 2000, TILES)
+    moved = north.withColumn("latitude", F.col("latitude") + F.when(F.col("lat_idx") == 3, 1e-9).otherwise(0.0))
+    with pytest.raises(ValueError, match="another grid"):
+        run_daily(spark, hourly, moved, root, ["humidex"], 1999, 2000, TILES)
+    assert {p: t for p, t in snapshot(root).items() if p in before and "region" not in str(p)} == {
+        p: t for p, t in before.items() if "region" not in str(p)
+    }
+    assert {r.metric for r in read_daily(spark, root).select("metric").distinct().collect()} == {"temperature"}
+    assert len(run_daily(spark, hourly, north.orderBy("lon_idx"), root, ["humidex"], 1999, 2000, TILES)) == 2
+
+
+def test_a_broken_run_of_another_region_leaves_no_rows(spark, source, region, tmp_path, monkeypatch):
+    root = str(tmp_path / "out")
+    hourly = scan_hourly(spark, source)
+    with monkeypatch.context() as patch:
+        patch.setattr(daily_run, "record_completed", lambda *_: 1 / 0)
+        patch.setattr(daily_run, "check_store", lambda *_: None)
+        with pytest.raises(ZeroDivisionError):
+            run_daily(spark, hourly, rows_of_region(spark, region, 0, 4), root, ["temperature"], 1999, 1999, TILES)
+    assert read_daily(spark, root).count() == 0
+    run_daily(spark, hourly, rows_of_region(spark, region, 15, 19), root, ["temperature"], 1999, 1999, TILES)
+    assert {r.lat_idx for r in read_daily(spark, root).select("lat_idx").distinct().collect()} == set(range(15, 20))
+    assert read_daily(spark, root).count() == 2 * 5 * SIZE
+
+
+def test_a_lost_run_repeats_only_the_blocks_it_lacks(spark, source, region, tmp_path, monkeypatch):
+    """Four blocks of one tile row; the run is lost in the third."""
+    root, whole = str(tmp_path / "out"), str(tmp_path / "whole")
+    hourly = scan_hourly(spark, source)
+    record = daily_run.record_completed
+    seen = []
+
+    def third_is_lost(*args):
+        if len(seen) == 2:
+            raise RuntimeError("lost")
+        seen.append(args[5])
+        record(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(daily_run, "record_completed", third_is_lost)
+        with pytest.raises(RuntimeError):
+            run_daily(spark, hourly, region, root, ["humidex"], 1999, 1999, TILES, block_rows=1)
+    assert seen == [0, 1] and read_manifest(spark, root).count() == 0
+    before = {(r.block, r.attempt) for r in current_records(spark, root)}
+
+    started = []
+    compute = daily_run.daily_of_block
+    monkeypatch.setattr(daily_run, "daily_of_block", lambda run, *rest: started.append(rest[-1]) or compute(run, *rest))
+    reports = run_daily(spark, hourly, region, root, ["humidex"], 1999, 1999, TILES, block_rows=1)
+    assert started == [2, 3]
+    assert before <= {(r.block, r.attempt) for r in current_records(spark, root)}
+    expected = run_daily(spark, hourly, region, whole, ["humidex"], 1999, 1999, TILES)
+    assert reports == expected
+    assert read_daily(spark, root).exceptAll(read_daily(spark, whole)).isEmpty()
+    assert read_daily(spark, root).count() == read_daily(spark, whole).count()
+    assert [tuple(r) for r in read_manifest(spark, root).collect()] == [("humidex", 1999)]
+
+
+def test_a_block_without_hours_is_done_if_the_year_has_some(spark, source, region, tmp_path):
+    hourly = scan_hourly(spark, source).where("lat_idx < 10")
+    root = str(tmp_path / "out")
+    report = run_daily(spark, hourly, region, root, ["temperature"], 1999, 1999, TILES, block_rows=1)[0]
+    inside = region.where("inside").count()
+    stored = read_daily(spark, root).count()
+    assert report.fully_missing_cell_days == inside * 365 - stored
+    with pytest.raises(ValueError, match="no hours for 2000"):
+        run_daily(spark, hourly.where("year = 1999"), region, str(tmp_path / "o"), ["temperature"], 2000, 2000, TILES, block_rows=1)
+
+
+def jobs_of(spark, group, action):
+    context = spark.sparkContext
+    context.setJobGroup(group, group)
+    try:
+        action()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    return len(context.statusTracker().getJobIdsForGroup(group))
+
+
+def test_a_year_takes_few_jobs_and_no_window(spark, source, region, tmp_path, monkeypatch):
+    """Jobs of parallel years keep the caller's group; the plan of a year has no window over the cells."""
+    hourly = scan_hourly(spark, source)
+    plans = []
+    compute = daily_run.daily_of_block
+
+    def kept(*args):
+        daily = compute(*args)
+        plans.append(daily._jdf.queryExecution().optimizedPlan().toString())
+        return daily
+
+    monkeypatch.setattr(daily_run, "daily_of_block", kept)
+    one, both = str(tmp_path / "one"), str(tmp_path / "both")
+    for root, first in ((one, 2000), (both, 1999)):  # once, for the index and the set-up
+        run_daily(spark, hourly, region, root, ["humidex"], first, 2000, TILES)
+    short = jobs_of(spark, "short", lambda: run_daily(spark, hourly, region, one, ["temperature"], 2000, 2000, TILES))
+    long = jobs_of(spark, "long", lambda: run_daily(spark, hourly, region, both, ["temperature"], 1999, 2000, TILES))
+    assert 0 < long - short <= 12
+    assert plans and not any("Window" in plan for plan in plans)

@@ -26,8 +26,11 @@ def root(tmp_path):
     return str(tmp_path / "store")
 
 
-def put(hourly, root, *metrics):
-    store.write_daily(to_long(daily_metrics(hourly, metrics), metrics), root)
+def put(hourly, root, *metrics, years=(2000,)):
+    store.publish_daily(to_long(daily_metrics(hourly, metrics), metrics), root, metrics, years)
+
+
+SETUP = store.StoreSetup(1999, 2000, 20, 4, 8, 0, 1, "grid", "region")
 
 
 def files(root, part):
@@ -63,7 +66,7 @@ def test_adding_a_metric_leaves_the_files_of_others_alone(spark, hourly, root):
 
 
 def test_rewriting_replaces_only_its_metric_year(spark, root):
-    put(to_spark(spark, weather(days=2, start="1999-12-31")), root, "humidex")
+    put(to_spark(spark, weather(days=2, start="1999-12-31")), root, "humidex", years=(1999, 2000))
     before = files(root, "year=1999")
     put(to_spark(spark, weather(days=1, start="2000-01-01", seed=9)), root, "humidex")
     put(to_spark(spark, weather(days=1, start="2000-01-01", seed=9)), root, "humidex")
@@ -86,7 +89,7 @@ def test_years_written_in_any_order_hold_each_day_once(spark, root):
         for tile in (0, 1)
     )
     for year in (2005, 2003, 2004, 2004):
-        store.write_daily(spark.createDataFrame(frame[frame.year == year]), root)
+        store.publish_daily(spark.createDataFrame(frame[frame.year == year]), root, ["heat_index"], [year])
     keys = ["lat_idx", "day"]
     stored = store.read_daily(spark, root).toPandas().sort_values(keys, ignore_index=True)
     expected = frame.sort_values(keys, ignore_index=True)
@@ -96,8 +99,8 @@ def test_years_written_in_any_order_hold_each_day_once(spark, root):
 
 def test_one_cell_is_read_from_one_tile(spark, root):
     hourly = to_spark(spark, weather(days=1, rows=4, cols=6))
-    store.check_store_rules(spark, root, 24, (2, 3))
-    store.write_daily(to_long(daily_metrics(hourly, ["humidex"]), ["humidex"], (2, 3)), root)
+    store.check_store(spark, root, dataclasses.replace(SETUP, tile_rows=2, tile_cols=3))
+    store.publish_daily(to_long(daily_metrics(hourly, ["humidex"]), ["humidex"], (2, 3)), root, ["humidex"], [2000])
     one = store.read_daily(spark, root, ["humidex"], [2000], cell=(3, 1))
     assert one.count() == 1
     read = {row[0] for row in one.select(F.input_file_name()).collect()}
@@ -106,12 +109,100 @@ def test_one_cell_is_read_from_one_tile(spark, root):
     assert "(tile" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
 
 
-def test_store_keeps_its_rules(spark, root):
-    store.check_store_rules(spark, root, 20, (4, 8))
-    store.check_store_rules(spark, root, 20, (4, 8))
-    for other in ((24, (4, 8)), (20, (8, 4))):
-        with pytest.raises(ValueError, match="does not match"):
-            store.check_store_rules(spark, root, *other)
+@pytest.mark.parametrize(
+    "other, message",
+    [
+        ({"min_valid_hours": 24}, "does not match"),
+        ({"tile_rows": 8}, "does not match"),
+        ({"tile_cols": 4}, "does not match"),
+        ({"block_rows": 2}, "does not match"),
+        ({"start_year": 2000, "end_year": 2001}, "does not match"),  # as many days
+        ({"end_year": 2001}, "does not match"),
+        ({"grid": "other"}, "another grid"),
+        ({"region": "other"}, "another region"),
+    ],
+)
+def test_store_keeps_what_it_was_set_up_for(spark, root, other, message):
+    store.check_store(spark, root, SETUP)
+    store.check_store(spark, root, SETUP)
+    with pytest.raises(ValueError, match=message):
+        store.check_store(spark, root, dataclasses.replace(SETUP, **other))
+
+
+# --- attempts ---------------------------------------------------------------------------
+
+
+def test_nothing_unrecorded_is_seen(spark, hourly, root):
+    long = to_long(daily_metrics(hourly, ["humidex"]), ["humidex"])
+    attempt = store.write_daily(long, root)
+    assert store.read_daily(spark, root).count() == 0
+    store.record_completed(spark, root, ["humidex"], [2000], attempt)
+    assert store.read_daily(spark, root).count() == 8
+
+
+def test_a_broken_attempt_leaves_nothing_in_a_later_one(spark, hourly, root):
+    """The first has cells of row 0, the second those of row 1 only."""
+    long = to_long(daily_metrics(hourly, ["humidex"]), ["humidex"], (1, 1))
+    store.write_daily(long.where("lat_idx = 0"), root)
+    store.publish_daily(long.where("lat_idx = 1"), root, ["humidex"], [2000])
+    assert {r.lat_idx for r in store.read_daily(spark, root).collect()} == {1}
+
+
+def test_the_last_recorded_attempt_counts_and_others_are_removed(spark, hourly, root):
+    names = ["humidex", "temperature"]
+    long = to_long(daily_metrics(hourly, names), names)
+    first = store.publish_daily(long, root, names, [2000])
+    broken = store.write_daily(long, root)
+    second = store.publish_daily(long.where("metric = 'humidex' AND lat_idx = 1"), root, ["humidex"], [2000])
+    counts = {r.metric: r["count"] for r in store.read_daily(spark, root).groupBy("metric").count().collect()}
+    assert counts == {"humidex": 4, "temperature": 8}
+    removed = store.remove_superseded(spark, root)
+    assert sorted(removed) == sorted([f"attempt={broken}", f"attempt={first}/metric=humidex/year=2000/block=0"])
+    assert store.remove_superseded(spark, root) == []
+    left = {p.split("attempt=")[1].split("/")[0] for p in map(str, files(root, ""))}
+    assert left == {first, second}
+    assert store.read_daily(spark, root).count() == 12
+
+
+def test_blocks_are_recorded_one_by_one(spark, root):
+    store.check_store(spark, root, dataclasses.replace(SETUP, block_rows=1, blocks=2))
+    store.record_completed(spark, root, ["humidex"], [2000], "a", 0)
+    assert store.read_manifest(spark, root).count() == 0
+    store.record_completed(spark, root, ["humidex"], [2000], "b", 3)
+    assert [tuple(r) for r in store.read_manifest(spark, root).collect()] == [("humidex", 2000)]
+
+
+def test_one_cell_reads_few_rows_of_its_tile(spark, root):
+    """Pages hold the days of a few cells, and their bounds are in the file."""
+    rows = spark.range(300 * 366).select(
+        F.lit("humidex").alias("metric"), F.lit(2000).alias("year"), F.lit(0).cast("long").alias("tile"),
+        F.date_add(F.lit(day("2000-01-01")), (F.col("id") % 366).cast("int")).alias("day"),
+        F.expr("int(id div 366 div 20)").alias("lat_idx"), F.expr("int(id div 366 % 20)").alias("lon_idx"),
+        *(F.rand(s).cast("float").alias(name) for s, name in enumerate(("min", "mean", "max"))),
+        F.lit(24).cast("tinyint").alias("valid_hours"),
+    )
+    store.publish_daily(rows, root, ["humidex"], [2000])
+    one = store.read_daily(spark, root, cell=(7, 11))
+    assert one.count() == 366
+    scanned = rows_scanned(one)
+    assert 366 <= scanned <= 0.06 * 300 * 366
+
+
+def rows_scanned(df) -> int:
+    """Rows that the file scans of an executed plan have put out."""
+    df.collect()
+    total, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.finalPhysicalPlan())
+        elif "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+        elif node.nodeName().startswith("Scan parquet"):
+            total += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        todo.extend(children.apply(i) for i in range(children.size()))
+    return total
 
 
 def test_wide_view_carries_the_stored_units(spark, hourly, root):
@@ -155,19 +246,6 @@ def test_union_is_idempotent(spark):
     assert store.union_manifest(a, a).count() == 2
 
 
-def test_store_keeps_its_axis_and_grid(spark, root):
-    store.check_store_axis(spark, root, 1999, 2000)
-    store.check_store_axis(spark, root, 1999, 2000)
-    for other in ((2000, 2001), (1999, 2001)):  # the first has as many days
-        with pytest.raises(ValueError, match="does not match"):
-            store.check_store_axis(spark, root, *other)
-    grid = spark.createDataFrame(grid_frame(2, 2))
-    store.check_store_grid(spark, root, grid)
-    store.check_store_grid(spark, root, grid)
-    with pytest.raises(ValueError, match="another grid"):
-        store.check_store_grid(spark, root, spark.createDataFrame(grid_frame(2, 3)))
-
-
 # --- gaps and metadata ----------------------------------------------------------------------
 
 

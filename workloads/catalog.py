@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from heatgrid.functions import moist_air as air
 from heatgrid.functions.metrics import METRICS, with_quantities
-from heatgrid.operators import calendar, checks, polygons, region, tiles
+from heatgrid.operators import calendar, checks, covering, identity, polygons, region, tiles
 from heatgrid.operators.daily import daily_metrics, reduce_daily, to_long
 from heatgrid.schema import STATISTICS
 from heatgrid.plans.daily_run import run_daily
@@ -506,6 +506,26 @@ def build_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boundary.build_region(spark, f"{root}/region", grid)
 
 
+@register(
+    "scattered_points_in_polygons",
+    fx.with_fixtures(
+        ("places", "edges"),
+        select="""
+        SELECT place, poly_id
+        FROM places AS p JOIN edges AS e
+          ON p.y > least(y1, y2) AND p.y <= greatest(y1, y2)
+         AND p.x <= CASE WHEN x1 = x2 THEN x1
+                         ELSE least(greatest(x1, x2), (p.y - y1) * (x2 - x1) / (y2 - y1) + x1) END
+        GROUP BY place, poly_id HAVING count(*) % 2 = 1""",
+    ),
+)
+def scattered_points_in_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places that are no grid cells, and the polygons that hold each."""
+    edges = polygons.edges_of(fx.vertices(spark, sf_dir))
+    cover = covering.cover_polygons(edges, f"{new_store(spark)}/cover")
+    return covering.points_in_polygons(fx.places(spark, sf_dir), cover, "place")
+
+
 # --- calendar -------------------------------------------------------------------------
 
 
@@ -610,7 +630,7 @@ def daily_append_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
     hourly = fx.obs_gap(spark, sf_dir)
     for name in STORED:
         daily = daily_metrics(hourly, [name], min_valid_hours=20)
-        daily_store.write_daily(to_long(daily, [name]), root)
+        daily_store.publish_daily(to_long(daily, [name]), root, [name], [STORE_YEAR])
     stored = daily_store.read_daily(spark, root, STORED, [STORE_YEAR])
     return stored.select(
         "metric", "year", "day", "lat_idx", "lon_idx",
@@ -652,7 +672,8 @@ REPORTED = ["humidex", "temperature"]
 )
 def gap_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_store(spark)
-    daily_store.write_daily(to_long(daily_metrics(fx.obs_gap(spark, sf_dir), REPORTED), REPORTED), root)
+    long = to_long(daily_metrics(fx.obs_gap(spark, sf_dir), REPORTED), REPORTED)
+    daily_store.publish_daily(long, root, REPORTED, [STORE_YEAR])
     daily = daily_store.read_daily(spark, root)
     cells = fx.obs_region(spark, sf_dir)
     return daily_store.gap_report(daily, cells, REPORTED, STORE_YEAR - 1, STORE_YEAR)
@@ -662,6 +683,23 @@ STORE_TILES = (64, 20)
 RUN_METRICS = ["humidex", "temperature"]
 
 
+def stored_columns(metric: str, table: str = "daily", places: int = 4) -> str:
+    """The rows of one metric as the store keeps them, from the wide ``daily`` of the oracle."""
+    values = ", ".join(
+        f"round(CAST(CAST({metric}_{s} AS FLOAT) AS DOUBLE), {places}) AS {s}" for s in STATISTICS
+    )
+    return f"""SELECT '{metric}' AS metric, CAST(year(day) AS INT) AS year, day, lat_idx, lon_idx, {values},
+               {metric}_valid_hours AS valid_hours FROM {table}"""
+
+
+def stored_rows(daily: DataFrame, places: int = 4) -> DataFrame:
+    return daily.select(
+        "metric", "year", "day", "lat_idx", "lon_idx",
+        *(F.round(F.col(s).cast("double"), places).alias(s) for s in STATISTICS),
+        F.col("valid_hours").cast("int").alias("valid_hours"),
+    )
+
+
 @register(
     "run_daily_store",
     fx.with_fixtures(
@@ -669,30 +707,111 @@ RUN_METRICS = ["humidex", "temperature"]
         INSIDE_POLYGONS,
         "inside_hours AS (SELECT * FROM year_end WHERE (lat_idx, lon_idx) IN (SELECT (lat_idx, lon_idx) FROM hits))",
         *daily_ctes("inside_hours", RUN_METRICS, 23),
-        select=" UNION ALL ".join(
-            f"""SELECT '{name}' AS metric, CAST(year(day) AS INT) AS year, day, lat_idx, lon_idx,
-                round(CAST(CAST({name}_min AS FLOAT) AS DOUBLE), 4) AS min,
-                round(CAST(CAST({name}_max AS FLOAT) AS DOUBLE), 4) AS max,
-                {name}_valid_hours AS valid_hours FROM daily"""
-            for name in RUN_METRICS
-        ),
+        "stored AS (" + " UNION ALL ".join(stored_columns(name) for name in RUN_METRICS) + ")",
+        f"""
+        tiles AS (SELECT DISTINCT lat_idx // {STORE_TILES[0]} AS r, lon_idx // {STORE_TILES[1]} AS c FROM hits),
+        facts AS (
+          SELECT (SELECT count(*) FROM (SELECT DISTINCT lat_idx, lon_idx FROM hits)) AS cells, count(*) AS tiles_read,
+                 (max(r) - min(r) + 1) * (max(c) - min(c) + 1) - count(*) AS tiles_skipped FROM tiles),
+        gaps AS (
+          SELECT metric, year, cells * (365 + (year = 2000)::INT) - count(*) FILTER (valid_hours >= 24) AS incomplete_cell_days,
+                 cells * (365 + (year = 2000)::INT) - count(*) FILTER (valid_hours > 0) AS fully_missing_cell_days,
+                 tiles_read, tiles_skipped
+          FROM stored, facts GROUP BY metric, year, cells, tiles_read, tiles_skipped)""",
+        select="""
+        SELECT s.*, CAST(incomplete_cell_days AS BIGINT) AS incomplete_cell_days,
+               CAST(fully_missing_cell_days AS BIGINT) AS fully_missing_cell_days,
+               CAST(tiles_read AS BIGINT) AS tiles_read, CAST(tiles_skipped AS BIGINT) AS tiles_skipped
+        FROM stored AS s JOIN gaps AS g ON s.metric = g.metric AND s.year = g.year""",
     ),
 )
 def run_daily_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole path: lay hours out over a year end, build the region, run, add a metric, read back."""
+    """The whole path: lay hours out over a year end, build the region, run, add a metric, read back.
+
+    Each row has what its run reported for its metric and year.
+    """
     root = new_store(spark)
     grid = fx.grid(spark, sf_dir)
     cells = fx.year_end(spark, sf_dir).join(grid, ["lat_idx", "lon_idx"])
     hourly_source.write_hourly(cells, f"{root}/hourly", STORE_TILES)
     region_cells = boundary.build_region(spark, f"{root}/region", grid, fx.nested_polygons(spark, sf_dir))
     hourly = hourly_source.scan_hourly(spark, f"{root}/hourly")
-    for wanted in (RUN_METRICS[:1], RUN_METRICS):
-        run_daily(spark, hourly, region_cells, f"{root}/out", wanted, 1999, 2000, STORE_TILES, 23)
-    return daily_store.read_daily(spark, f"{root}/out").select(
-        "metric", "year", "day", "lat_idx", "lon_idx",
-        *(F.round(F.col(s).cast("double"), 4).alias(s) for s in ("min", "max")),
-        F.col("valid_hours").cast("int").alias("valid_hours"),
+    reports = [
+        report
+        for wanted in (RUN_METRICS[:1], RUN_METRICS)
+        for report in run_daily(spark, hourly, region_cells, f"{root}/out", wanted, 1999, 2000, STORE_TILES, 23)
+    ]
+    told = spark.createDataFrame(
+        [(r.metrics[0], r.year, r.incomplete_cell_days, r.fully_missing_cell_days, r.tiles_read, r.tiles_skipped) for r in reports],
+        "metric string, year int, incomplete_cell_days long, fully_missing_cell_days long, tiles_read long, tiles_skipped long",
     )
+    return stored_rows(daily_store.read_daily(spark, f"{root}/out")).join(F.broadcast(told), ["metric", "year"])
+
+
+ATTEMPTED = ["humidex", "temperature"]
+
+
+@register(
+    "published_attempts",
+    with_daily(
+        "obs", ATTEMPTED, 20,
+        f"""{stored_columns("humidex", places=3)} WHERE lat_idx % 2 = 1
+            UNION ALL {stored_columns("temperature", places=3)} WHERE lat_idx % 3 <> 0""",
+    ),
+)
+def published_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three writes to one store: one recorded for two metrics, one that breaks off before it is recorded, and
+    one recorded for the first metric only. What counts is the last of each metric, whole and alone."""
+    root = new_store(spark)
+    daily = to_long(daily_metrics(fx.obs(spark, sf_dir), ATTEMPTED, min_valid_hours=20), ATTEMPTED)
+    daily_store.publish_daily(daily.where(F.col("lat_idx") % 3 != 0), root, ATTEMPTED, [STORE_YEAR])
+    daily_store.write_daily(daily, root)
+    second = daily.where((F.col("metric") == ATTEMPTED[0]) & (F.col("lat_idx") % 2 == 1))
+    daily_store.publish_daily(second, root, ATTEMPTED[:1], [STORE_YEAR])
+    daily_store.remove_superseded(spark, root)
+    return stored_rows(daily_store.read_daily(spark, root), 3)
+
+
+REGION_PAIRS = {
+    "same in another order": "SELECT * FROM region_cells",
+    "one row of cells left out": "SELECT * REPLACE (inside AND lat_idx <> 7 AS inside) FROM region_cells",
+    "other coordinates": "SELECT * REPLACE (latitude + CASE WHEN lat_idx = 7 THEN 0.125e0 ELSE 0.0e0 END AS latitude) FROM region_cells",
+    "cells turned over": "SELECT * REPLACE (NOT inside AS inside) FROM region_cells",
+    "a cell twice": "SELECT * FROM region_cells UNION ALL SELECT * FROM region_cells WHERE lat_idx = 3 AND lon_idx = 5",
+}
+
+
+@register(
+    "region_identity",
+    fx.with_fixtures(
+        ("region_cells",),
+        *(f"other{i} AS ({sql})" for i, sql in enumerate(REGION_PAIRS.values())),
+        select=" UNION ALL ".join(
+            f"""SELECT '{name}' AS pair, CAST((SELECT count(*) FROM other{i}) AS BIGINT) AS n_cells,
+                (SELECT count(*) FROM (FROM region_cells EXCEPT ALL FROM other{i})) = 0
+                AND (SELECT count(*) FROM (FROM other{i} EXCEPT ALL FROM region_cells)) = 0 AS same"""
+            for i, name in enumerate(REGION_PAIRS)
+        ),
+    ),
+)
+def region_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A region against others of the fixtures, by fingerprints that each take one aggregation."""
+    cells = fx.region_cells(spark, sf_dir)
+    lat, lon = F.col("lat_idx"), F.col("lon_idx")
+    others = [
+        cells.repartition(7, "lon_idx"),
+        cells.withColumn("inside", F.col("inside") & (lat != 7)),
+        cells.withColumn("latitude", F.col("latitude") + F.when(lat == 7, 0.125).otherwise(0.0)),
+        cells.withColumn("inside", ~F.col("inside")),
+        cells.unionByName(cells.where((lat == 3) & (lon == 5))),
+    ]
+    known = identity.fingerprint(cells)
+    pairs = None
+    for name, other in zip(REGION_PAIRS, others):
+        counted = other.agg(F.count(F.lit(1)).alias("n_cells"), identity.print_of(cells.columns).alias("fingerprint"))
+        row = counted.select(F.lit(name).alias("pair"), "n_cells", "fingerprint")
+        pairs = row if pairs is None else pairs.unionByName(row)
+    return pairs.select("pair", "n_cells", (F.col("fingerprint") == known.scalar()).alias("same"))
 
 
 WIDE = ["humidex", "specific_humidity"]
@@ -713,7 +832,7 @@ def daily_wide_with_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics of different units stored in one table, read back as columns that carry theirs."""
     root = new_store(spark)
     daily = daily_metrics(fx.obs(spark, sf_dir), WIDE, min_valid_hours=20)
-    daily_store.write_daily(to_long(daily, WIDE), root)
+    daily_store.publish_daily(to_long(daily, WIDE), root, WIDE, [STORE_YEAR])
     daily_store.record_units(spark, root, WIDE)
     wide = daily_store.read_wide(spark, root, WIDE)
     units = (F.lit(wide.schema[f"{name}_mean"].metadata["units"]).alias(f"{name}_units") for name in WIDE)

@@ -271,6 +271,27 @@ def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return octagons.unionByName(ring)
 
 
+def places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A place per customer, anywhere in and around the polygons; some on corners and at their heights."""
+    k = F.col("c_custkey")
+    lattice = k % 5 == 0
+    return table(spark, sf_dir, "customer").select(
+        k.alias("place"),
+        F.when(lattice, (k * 7 % 52) * 0.19 - 107.0).otherwise((k * 7919 % 10007) / 960.0 - 107.5).alias("x"),
+        F.when(lattice, (k * 11 % 2400) * 0.00625 + 25.03).otherwise((k * 104729 % 20011) / 1200.0 + 24.5).alias("y"),
+    )
+
+
+PLACES = """
+SELECT c_custkey AS place,
+       CASE WHEN c_custkey % 5 = 0 THEN (c_custkey * 7 % 52) * 0.19e0 - 107.0e0
+            ELSE (c_custkey * 7919 % 10007) / 960.0e0 - 107.5e0 END AS x,
+       CASE WHEN c_custkey % 5 = 0 THEN (c_custkey * 11 % 2400) * 0.00625e0 + 25.03e0
+            ELSE (c_custkey * 104729 % 20011) / 1200.0e0 + 24.5e0 END AS y
+FROM customer
+"""
+
+
 def nested_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``vertices`` as they come from a source: one row per polygon with all its rings."""
     point = F.struct("pos", F.col("x"), F.col("y"))
@@ -363,6 +384,7 @@ SQL = {
     "hourly_grid": (("grid",), HOURLY_GRID),
     "year_end": (("hourly_grid",), YEAR_END),
     "region_cells": (("grid",), REGION_CELLS),
+    "places": ((), PLACES),
     "vertices": ((), VERTICES),
     "edges": (("vertices",), EDGES),
     "mercator_vertices": ((), MERCATOR_VERTICES),
