@@ -5,11 +5,14 @@ other quantities it is built from. Only what the requested metrics reach is
 added, each quantity once, so the scan reads just the raw variables behind them.
 """
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from heatgrid.functions import heat_stress as heat
 from heatgrid.functions import moist_air as air
@@ -26,11 +29,17 @@ class Quantity:
 
 @dataclass(frozen=True)
 class MetricSpec:
-    """A metric: what it needs (raw variables or quantities), its column, its units."""
+    """A metric: what it needs (raw variables or quantities), its column, its units.
+
+    A formula that is no column is given as ``array`` instead: a function of as many numpy arrays of doubles
+    as there are needs, in that order, with NaN where a value is missing, to an array as long. Its NaN and
+    infinities become NULL.
+    """
 
     needs: tuple[str, ...]
-    column: Callable[[], Column]
+    column: Callable[[], Column] | None
     units: str = "deg_F"
+    array: Callable[..., np.ndarray] | None = None
 
 
 def _column(name: str, needs: tuple[str, ...], build: Callable[..., Column]) -> tuple[str, Quantity]:
@@ -146,4 +155,30 @@ def derive_hourly(
     keys = [name for name in hourly.columns if name not in VARIABLES]
     inputs = required_variables(names, registry)
     derived = with_quantities(hourly.select(*keys, *inputs), _reachable(names, registry))
-    return derived.select(*keys, *(registry[name].column().alias(name) for name in names))
+    arrays = {name: registry[name] for name in names if registry[name].array}
+    if not arrays:
+        return derived.select(*keys, *(registry[name].column().alias(name) for name in names))
+    columns = [registry[name].column().alias(name) for name in names if name not in arrays]
+    # Inputs under names of their own, since a metric may be called like one.
+    needs = sorted({need for spec in arrays.values() for need in spec.needs})
+    given = derived.select(*keys, *columns, *(F.col(need).cast("double").alias(f"_in_{need}") for need in needs))
+    return with_arrays(given, arrays).select(*keys, *names)
+
+
+def with_arrays(df: DataFrame, specs: Mapping[str, MetricSpec]) -> DataFrame:
+    """``df`` with a column for each metric that is a function of arrays, in one pass over batches of rows."""
+    kept = [name for name in df.columns if not name.startswith("_in_")]
+    schema = T.StructType([df.schema[name] for name in kept] + [T.StructField(name, T.DoubleType()) for name in specs])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(name) for name in kept]
+            for name, spec in specs.items():
+                given = [batch.column(f"_in_{need}").to_numpy(zero_copy_only=False) for need in spec.needs]
+                found = np.asarray(spec.array(*(np.asarray(values, np.float64) for values in given)), np.float64)
+                if found.shape != (batch.num_rows,):
+                    raise ValueError(f"{name} gave an array of shape {found.shape} for {batch.num_rows} rows")
+                columns.append(pa.array(found, pa.float64(), mask=~np.isfinite(found)))
+            yield pa.RecordBatch.from_arrays(columns, [*kept, *specs])
+
+    return df.mapInArrow(added, schema)

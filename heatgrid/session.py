@@ -3,8 +3,11 @@
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
 from pyspark import inheritable_thread_target
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 RECOMMENDED_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -58,6 +61,16 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def few_rows(spark: SparkSession, rows: Sequence[tuple], schema: StructType | str) -> DataFrame:
+    """Rows that the driver knows, as part of the plan: reading them takes no Python worker."""
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    columns = [pa.array(column, field.type) for column, field in zip(zip(*rows), to_arrow_schema(schema))]
+    if not rows:
+        return spark.createDataFrame([], schema)
+    return spark.createDataFrame(pa.Table.from_arrays(columns, names=schema.names)).to(schema)
+
+
 def folders(spark: SparkSession, root: str, pattern: str) -> list[str]:
     """Paths below ``root`` that match a glob pattern of as many parts."""
     place = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{pattern}")

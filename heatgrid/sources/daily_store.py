@@ -24,7 +24,7 @@ from heatgrid.operators.daily import to_wide
 from heatgrid.operators.region import keep_inside
 from heatgrid.operators.tiles import tile_number, tile_row_of
 from heatgrid.schema import CELL, DAILY, HOURS_PER_DAY, MANIFEST, RECORDS, STATISTICS, STORED_DAILY, TILE_ID, conform
-from heatgrid.session import folders, remove
+from heatgrid.session import few_rows, folders, remove
 from heatgrid.sources.boundary import stored_or_none
 
 SETUP = (
@@ -106,7 +106,7 @@ def read_daily(
     daily = spark.read.schema(STORED_DAILY).option("basePath", f"{root}/daily").parquet(f"{root}/daily")
     for i, name in enumerate(PARTITIONS):
         daily = daily.where(F.col(name).isin(sorted({record[i] for record in counting})))
-    named = spark.createDataFrame(counting, "attempt string, metric string, year int, block int")
+    named = few_rows(spark, counting, "attempt string, metric string, year int, block int")
     daily = daily.join(F.broadcast(named), list(PARTITIONS), "left_semi")
     if cell is not None:
         setup = read_setup(spark, root)
@@ -137,10 +137,11 @@ def record_units(
     spark: SparkSession, root: str, metrics: Iterable[str], registry: Mapping[str, MetricSpec] = METRICS
 ) -> None:
     """Keep the units with the data, since one column holds metrics of different units."""
-    known = {row.metric for row in read_units(spark, root).collect()}
+    stored = stored_or_none(spark, f"{root}/metrics", UNITS)
+    known = {row.metric for row in stored.collect()} if stored else set()
     new = [(name, registry[name].units) for name in metrics if name not in known]
     if new:
-        spark.createDataFrame(new, UNITS).coalesce(1).write.mode("append").parquet(f"{root}/metrics")
+        few_rows(spark, new, UNITS).coalesce(1).write.mode("append").parquet(f"{root}/metrics")
 
 
 def union_manifest(manifest: DataFrame, finished: DataFrame) -> DataFrame:
@@ -189,7 +190,7 @@ def record_completed(
     rows = [
         (metric, year, block, attempt, *(counts or {}).get(metric, (None, None))) for metric in metrics for year in years
     ]
-    spark.createDataFrame(rows, RECORDS).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
+    few_rows(spark, rows, RECORDS).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
 
 
 def remove_superseded(spark: SparkSession, root: str) -> list[str]:
@@ -257,7 +258,7 @@ def check_store(spark: SparkSession, root: str, asked: StoreSetup) -> None:
     """A store keeps what it was set up for first; anything else is an error."""
     known = read_setup(spark, root)
     if known is None:
-        row = spark.createDataFrame([tuple(asdict(asked).values())], SETUP)
+        row = few_rows(spark, [tuple(asdict(asked).values())], SETUP)
         row.coalesce(1).write.mode("overwrite").parquet(f"{root}/setup")
         return
     if (known.start_year, known.end_year) != (asked.start_year, asked.end_year):

@@ -15,6 +15,7 @@ from heatgrid.operators.identity import print_of
 from heatgrid.operators.region import Extent, region_runs, snapped_box
 from heatgrid.operators.tiles import occupied_tiles, tile_id, tile_runs_coverage
 from heatgrid.schema import REGION_CELLS, TILE_ID, TILE_SHAPE, conform
+from heatgrid.session import in_parallel
 from heatgrid.sources.boundary import stored_or_none
 
 RUNS = "run_lat int, run_block bigint, lon_first int, lon_last int"
@@ -55,9 +56,10 @@ def index_region(
     path = f"{root}/{name}-{tile_shape[0]}x{tile_shape[1]}"
     stored = stored_or_none(spark, f"{path}/facts", FACTS)
     if stored is None:
-        region_runs(cells).write.mode("overwrite").parquet(f"{path}/runs")
         tiles = occupied_tiles(cells, tile_shape).withColumn(TILE_ID, tile_id("tile_row", "tile_col"))
-        tiles.coalesce(1).write.mode("overwrite").parquet(f"{path}/tiles")
+        tables = {"runs": region_runs(cells), "tiles": tiles.coalesce(1)}
+        writes = [lambda n=name, t=table: t.write.mode("overwrite").parquet(f"{path}/{n}") for name, table in tables.items()]
+        in_parallel(spark, writes, len(writes))
         counted = tile_runs_coverage(spark.read.schema(TILES).parquet(f"{path}/tiles"))
         counted.select(F.col("covered").alias("tiles_read"), F.col("skipped").alias("tiles_skipped")).coalesce(
             1

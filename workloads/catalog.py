@@ -8,15 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heatgrid.functions import moist_air as air
-from heatgrid.functions.metrics import METRICS, with_quantities
-from heatgrid.operators import calendar, checks, covering, identity, polygons, region, tiles
+from heatgrid.functions.metrics import METRICS, MetricSpec, with_quantities
+from heatgrid.operators import calendar, checks, covering, identity, polygons, reducers, region, tiles
 from heatgrid.operators.daily import daily_metrics, reduce_daily, to_long
 from heatgrid.schema import STATISTICS
 from heatgrid.plans.daily_run import run_daily
-from heatgrid.session import shared_folder
+from heatgrid.session import few_rows, shared_folder
 from heatgrid.sources import boundary, daily_store, hourly as hourly_source
+from heatgrid.sources.late_hours import deliver_hours
 from workloads import fixtures as fx
-from workloads.oracle import DERIVED, daily_ctes, digits, rounded_daily
+from workloads.oracle import DERIVED, METRIC_SQL, daily_ctes, digits, rounded_daily
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,6 +99,85 @@ _register_daily("daily_all_metrics", ALL, fx.hourly_grid, min_valid_hours=23)
 _register_daily("coverage_suppression", ["humidex", "temperature"], fx.obs_gap)
 _register_daily("coverage_threshold_20", ["humidex", "temperature"], fx.obs_gap, 20)
 
+EXTRA = ["humidex", "temperature"]
+HOT = 80.0
+
+
+@register(
+    "further_day_reducers",
+    with_daily(
+        "obs_gap", EXTRA, 20,
+        "SELECT d.lat_idx, d.lon_idx, d.day, "
+        + ", ".join(
+            f"""CASE WHEN d.{name}_valid_hours >= 20 THEN {name}_at END AS {name}_hour_of_max,
+                CASE WHEN d.{name}_valid_hours >= 20 THEN coalesce({name}_longest, 0) END AS {name}_hot_hours,
+                round(d.{name}_max, 6) AS {name}_max, d.{name}_valid_hours"""
+            for name in EXTRA
+        )
+        + " FROM daily AS d "
+        + " ".join(f"LEFT JOIN at_{name} USING (lat_idx, lon_idx, day) LEFT JOIN run_{name} USING (lat_idx, lon_idx, day)" for name in EXTRA),
+        *(
+            f"""
+            of_hour_{name} AS (SELECT lat_idx, lon_idx, CAST(ts AS DATE) AS day, CAST(hour(ts) AS INT) AS h, {METRIC_SQL[name]} AS v FROM d3),
+            at_{name} AS (
+              SELECT lat_idx, lon_idx, day, CAST(min(h) AS INT) AS {name}_at
+              FROM (SELECT *, max(round(v, 9)) OVER (PARTITION BY lat_idx, lon_idx, day) AS top FROM of_hour_{name})
+              WHERE round(v, 9) = top GROUP BY lat_idx, lon_idx, day),
+            run_{name} AS (
+              SELECT lat_idx, lon_idx, day, CAST(max(n) AS INT) AS {name}_longest
+              FROM (SELECT lat_idx, lon_idx, day, island, count(*) AS n
+                    FROM (SELECT *, h - row_number() OVER (PARTITION BY lat_idx, lon_idx, day ORDER BY h) AS island
+                          FROM of_hour_{name} WHERE v > {HOT}e0)
+                    GROUP BY lat_idx, lon_idx, day, island)
+              GROUP BY lat_idx, lon_idx, day)"""
+            for name in EXTRA
+        ),
+    ),
+)
+def further_day_reducers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hour of the maximum and the longest row of hot hours, in the aggregation of the daily statistics."""
+    more = {"hour_of_max": reducers.HOUR_OF_MAX, "hot_hours": reducers.longest_run_above(HOT)}
+    daily = daily_metrics(fx.obs_gap(spark, sf_dir), EXTRA, min_valid_hours=20, reducers=dict.fromkeys(EXTRA, more))
+    return daily.select(
+        "lat_idx", "lon_idx", "day",
+        *(
+            column
+            for name in EXTRA
+            for column in (f"{name}_hour_of_max", f"{name}_hot_hours", F.round(f"{name}_max", 6).alias(f"{name}_max"), f"{name}_valid_hours")
+        ),
+    )
+
+
+def humidex_of_arrays(tc, vp_hpa):
+    """The humidex as a function of numpy arrays."""
+    return (tc + 5.0 / 9.0 * (vp_hpa - 10.0)) * 1.8 + 32.0
+
+
+@register(
+    "array_metric",
+    with_daily(
+        "obs_gap", ["humidex"], 20,
+        "SELECT lat_idx, lon_idx, day, "
+        + ", ".join(
+            [
+                f"round(humidex_{label}, 6) AS {name}_{label}"
+                for name in ("humidex", "own_humidex")
+                for label in STATISTICS
+            ]
+            + [f"humidex_valid_hours AS {name}_valid_hours" for name in ("humidex", "own_humidex")]
+        )
+        + " FROM daily",
+    ),
+)
+def array_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One metric as a column and as a function of arrays, in one run."""
+    registry = {**METRICS, "own_humidex": MetricSpec(("tc", "vp_hpa"), None, array=humidex_of_arrays)}
+    names = ["humidex", "own_humidex"]
+    daily = daily_metrics(fx.obs_gap(spark, sf_dir), names, min_valid_hours=20, registry=registry)
+    values = [F.round(f"{name}_{s}", 6).alias(f"{name}_{s}") for name in names for s in STATISTICS]
+    return daily.select("lat_idx", "lon_idx", "day", *values, *(f"{name}_valid_hours" for name in names))
+
+
 COUNTED = ["humidex", "specific_humidity", "temperature"]
 
 
@@ -741,7 +821,8 @@ def run_daily_store(spark: SparkSession, sf_dir: str) -> DataFrame:
         for wanted in (RUN_METRICS[:1], RUN_METRICS)
         for report in run_daily(spark, hourly, region_cells, f"{root}/out", wanted, 1999, 2000, STORE_TILES, 23)
     ]
-    told = spark.createDataFrame(
+    told = few_rows(
+        spark,
         [(r.metrics[0], r.year, r.incomplete_cell_days, r.fully_missing_cell_days, r.tiles_read, r.tiles_skipped) for r in reports],
         "metric string, year int, incomplete_cell_days long, fully_missing_cell_days long, tiles_read long, tiles_skipped long",
     )
@@ -814,6 +895,23 @@ def region_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("pair", "n_cells", (F.col("fingerprint") == known.scalar()).alias("same"))
 
 
+@register(
+    "late_hours",
+    with_daily(
+        "obs_gap", ATTEMPTED, 20,
+        " UNION ALL ".join(stored_columns(name, places=3) for name in ATTEMPTED),
+    ),
+)
+def late_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days whose hours come in three deliveries, the evening first."""
+    root = new_store(spark)
+    hourly = fx.obs_gap(spark, sf_dir)
+    hour = F.hour("ts")
+    for part in (hour >= 17, hour < 5, (hour >= 5) & (hour < 17)):
+        deliver_hours(spark, root, hourly.where(part), ATTEMPTED, min_valid_hours=20)
+    return stored_rows(daily_store.read_daily(spark, root), 3)
+
+
 WIDE = ["humidex", "specific_humidity"]
 
 
