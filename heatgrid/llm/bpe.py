@@ -1,10 +1,11 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
-The adjacent pairs of a pre-token wait in one bucket per merge rank, which holds their positions in
-a linked list of tokens. Which buckets hold anything is kept in a bitmap of two levels, so that
-find-first-set gives the lowest waiting rank in constant time. A merge changes the ranks of its two
-neighbours only; entries of pairs that have changed since are skipped when they surface. A
-pre-token of n bytes therefore takes n log n steps at most, however long it is.
+The bytes of many pre-tokens lie one behind the other as a linked list of tokens. Adjacent pairs within a
+pre-token wait in one bucket per merge rank, which holds their positions. Which buckets hold anything is
+kept in a bitmap of two levels, so that find-first-set gives the lowest waiting rank in constant time. A
+bucket is worked off from left to right until a merge makes a pair of a lower rank, which then comes first. A
+merge changes the ranks of its two neighbours only; entries of pairs that have changed since are skipped
+when they surface. Pre-tokens of n bytes together take n log n steps at most, however long one of them is.
 
 Defined cases: a NULL text counts as empty and gives no ids; a NULL id among those to decode gives
 no bytes; repeated rows give repeated rows; other columns are neither read nor returned.
@@ -32,36 +33,34 @@ ROWS = 256
 
 
 class RankQueue:
-    """Positions by rank; the lowest rank leaves first, the leftmost position first within it."""
+    """Positions by rank in buckets, with a bitmap of two levels over the ranks that have one."""
 
     def __init__(self, ranks: int):
         self.words = [0] * (ranks // WORD_BITS + 1)
         self.top = 0
         self.buckets: dict[int, list[int]] = {}
 
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
+    def open(self, rank: int, positions: list[int]) -> None:
+        """A bucket with positions in order, which makes it a heap."""
+        self.buckets[rank] = positions
         word = rank // WORD_BITS
-        if not self.words[word]:
-            self.top |= BIT[word]
         self.words[word] |= BIT[rank % WORD_BITS]
+        self.top |= BIT[word]
 
-    def pop(self) -> tuple[int, int]:
+    def lowest(self) -> int:
+        """The lowest rank with a bucket, -1 without any."""
+        if not self.top:
+            return -1
         word = (self.top & -self.top).bit_length() - 1
         bits = self.words[word]
-        rank = word * WORD_BITS + (bits & -bits).bit_length() - 1
-        bucket = self.buckets[rank]
-        if len(bucket) > 1:
-            return rank, heappop(bucket)
+        return word * WORD_BITS + (bits & -bits).bit_length() - 1
+
+    def close(self, rank: int) -> None:
         del self.buckets[rank]
-        self.words[word] = bits = bits & (bits - 1)
-        if not bits:
-            self.top &= self.top - 1
-        return rank, bucket[0]
+        word = rank // WORD_BITS
+        self.words[word] ^= BIT[rank % WORD_BITS]
+        if not self.words[word]:
+            self.top ^= BIT[word]
 
 
 class ByteBPE:
@@ -73,78 +72,109 @@ class ByteBPE:
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.queue = RankQueue(max(self.ranks.values()) + 1)
         self.split = splitter(pattern)
-        self.cache = Pieces(self)
-
-    def encode_piece(self, piece: bytes) -> list[int]:
-        rank_of = self.ranks.get
-        whole = rank_of(piece)
-        if whole is not None:
-            return [whole]
-        size = len(piece)
-        following = list(range(1, size + 2))
-        previous = list(range(-1, size))
-        waiting = [rank_of(piece[i : i + 2], -1) for i in range(size - 1)]
-        waiting.append(-1)
-        queue = self.queue
-        push, pop = queue.push, queue.pop
-        for i in range(size - 1):
-            if waiting[i] >= 0:
-                push(waiting[i], i)
-        while queue.top:
-            rank, i = pop()
-            if waiting[i] != rank:
-                continue
-            taken = following[i]
-            end = following[taken]
-            following[i] = end
-            waiting[taken] = waiting[i] = -1
-            if end < size:
-                previous[end] = i
-                new = rank_of(piece[i : following[end]], -1)
-                if new >= 0:
-                    waiting[i] = new
-                    push(new, i)
-            before = previous[i]
-            if before >= 0:
-                waiting[before] = new = rank_of(piece[before:end], -1)
-                if new >= 0:
-                    push(new, before)
-        ids, i = [], 0
-        while i < size:
-            ids.append(self.ranks[piece[i : following[i]]])
-            i = following[i]
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        """The ids as 32-bit numbers."""
-        if len(self.cache) > CACHED_TOKENS:
-            self.cache.age()
-        return b"".join(map(self.cache.__getitem__, self.split(text)))
+        self.known: dict[str, bytes] = {}  # ids of the pre-tokens met lately, as 32-bit numbers
+        self.older: dict[str, bytes] = {}
+        self.of_byte = np.array([self.ranks[bytes([i])] for i in range(256)], np.int64)
+        self.of_pair = np.full(1 << 16, -1, np.int64)
+        for token, rank in self.ranks.items():
+            if len(token) == 2:
+                self.of_pair[token[0] << 8 | token[1]] = rank
+
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece, none empty, as 32-bit numbers."""
+        text = b"".join(pieces)
+        size = len(text)
+        ends = np.cumsum([len(piece) for piece in pieces])
+        codes = np.frombuffer(text, np.uint8).astype(np.int64)
+        first = np.full(size, -1, np.int64)
+        first[:-1] = self.of_pair[codes[:-1] << 8 | codes[1:]]
+        first[ends - 1] = -1
+        starts = bytearray(size + 1)  # where no token joins the one before
+        starts[0] = 1
+        for end in ends.tolist():
+            starts[end] = 1
+        following, previous = list(range(1, size + 1)), list(range(-1, size))
+        waiting, ids = first.tolist(), self.of_byte[codes].tolist()
+        queue, rank_of = self.queue, self.ranks.get
+        buckets = queue.buckets
+        order = np.flatnonzero(first >= 0)
+        order = order[np.argsort(first[order], kind="stable")]
+        parts = np.flatnonzero(np.diff(first[order], prepend=-1)).tolist()
+        order_list = order.tolist()
+        for i, j in zip(parts, [*parts[1:], len(order_list)]):
+            queue.open(waiting[order_list[i]], order_list[i:j])
+        while (rank := queue.lowest()) >= 0:
+            bucket = buckets[rank]
+            lower = False
+            while bucket and not lower:
+                i = heappop(bucket)
+                if waiting[i] != rank:
+                    continue
+                taken = following[i]
+                end = following[taken]
+                following[i] = end
+                ids[i], ids[taken] = rank, -1
+                waiting[taken] = -1
+                new = -1
+                if not starts[end]:
+                    previous[end] = i
+                    new = rank_of(text[i : following[end]], -1)
+                    if new >= 0:
+                        at = buckets.get(new)
+                        if at is None:
+                            queue.open(new, [i])
+                        else:
+                            heappush(at, i)
+                        lower = new < rank
+                waiting[i] = new
+                if not starts[i]:
+                    before = previous[i]
+                    waiting[before] = new = rank_of(text[before:end], -1)
+                    if new >= 0:
+                        at = buckets.get(new)
+                        if at is None:
+                            queue.open(new, [before])
+                        else:
+                            heappush(at, before)
+                        lower = lower or new < rank
+            if not bucket:
+                queue.close(rank)
+        left = np.array(ids, np.int64)
+        kept = left >= 0
+        stops = (np.cumsum(kept)[ends - 1] * 4).tolist()
+        flat = left[kept].astype(np.int32).tobytes()
+        return [flat[i:j] for i, j in zip([0, *stops], stops)]
+
+    def learn(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of the pieces; what is short is kept for the next texts."""
+        if len(self.known) > CACHED_TOKENS:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        new = pieces.difference(known)
+        for piece in new & older.keys():
+            known[piece] = older[piece]
+        raws = {piece: piece.encode() for piece in new.difference(older)}
+        for piece, raw in raws.items():
+            whole = self.ranks.get(raw)
+            if whole is not None:
+                known[piece] = array("i", [whole]).tobytes()
+        several = [piece for piece in raws if piece not in known]
+        found = dict(zip(several, self.merge([raws[piece] for piece in several]))) if several else {}
+        long = {piece: ids for piece, ids in found.items() if len(piece) > CACHED_LENGTH}
+        known.update((piece, ids) for piece, ids in found.items() if piece not in long)
+        return long
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as 32-bit numbers."""
+        split = [self.split(text) for text in texts]
+        long = self.learn({piece for pieces in split for piece in pieces})
+        known = {**self.known, **long} if long else self.known
+        return [b"".join(map(known.__getitem__, pieces)) for pieces in split]
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-class Pieces(dict):
-    """Ids of the pre-tokens met lately, as 32-bit numbers; long ones are encoded each time."""
-
-    def __init__(self, bpe: ByteBPE):
-        super().__init__()
-        self.bpe = bpe
-        self.older: dict[str, bytes] = {}
-
-    def age(self) -> None:
-        """Forget what has not been met since the last time."""
-        self.older = dict(self)
-        self.clear()
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.older.get(piece) or array("i", self.bpe.encode_piece(piece.encode())).tobytes()
-        if len(piece) <= CACHED_LENGTH:
-            self[piece] = ids
-        return ids
-
-
 def splitter(pattern: str) -> Callable[[str], list[str]]:
     """``findall`` of the pattern. Texts of the first 256 characters, which are the most, take
     Python's own engine, which is twice as fast but needs the property classes spelled out."""
@@ -191,7 +221,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for batch in batches:
             # A few rows at a time, since one text may be very long.
             for some in (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS)):
-                ids = [bpe.encode(text.as_py() or "") for text in some.column(1)]
+                ids = bpe.encode([text.as_py() or "" for text in some.column(1)])
                 ends = np.cumsum([0, *map(len, ids)]) // 4
                 flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
                 lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat)

@@ -1,5 +1,7 @@
 """Byte-level BPE against an independent library, and back."""
 
+import base64
+from array import array
 import hashlib
 import random
 
@@ -25,7 +27,7 @@ def other(own):
 
 
 def ids(own, text):
-    return np.frombuffer(own.encode(text), np.int32).tolist()
+    return np.frombuffer(own.encode([text])[0], np.int32).tolist()
 
 
 @pytest.mark.parametrize("seed", range(30))
@@ -47,20 +49,39 @@ def test_very_long_pre_tokens(own, text):
         assert not any(own.tokens[a] + own.tokens[b] in own.ranks for a, b in pairs)
 
 
-def test_the_queue_gives_the_lowest_rank_and_the_leftmost_position():
+def test_the_queue_gives_the_lowest_rank():
     rng = random.Random(1)
-    entries = [(rng.randrange(3000), rng.randrange(100)) for _ in range(2000)]
-    queue = bpe.RankQueue(3000)
-    for entry in entries[:1500]:
-        queue.push(*entry)
-    first = [queue.pop() for _ in range(700)]
-    assert first == sorted(entries[:1500])[:700]
-    for entry in entries[1500:]:
-        queue.push(*entry)
-    rest = []
-    while queue.top:
-        rest.append(queue.pop())
-    assert rest == sorted(sorted(entries[:1500])[700:] + entries[1500:])
+    queue, open_ = bpe.RankQueue(3000), set()
+    for _ in range(3000):
+        rank = rng.randrange(3000)
+        if rank in open_:
+            queue.close(rank)
+            open_.remove(rank)
+        else:
+            queue.open(rank, [1, 2])
+            open_.add(rank)
+        assert queue.lowest() == min(open_, default=-1)
+
+
+def test_many_texts_together_are_as_each_alone(own, other):
+    """Long and short pre-tokens side by side, met before or not."""
+    rng = random.Random(7)
+    texts = ["".join(rng.choice("abehinrst é1,") for _ in range(rng.choice([0, 3, 40, 600]))) for _ in range(300)]
+    for some in (texts[:200], texts[100:], texts):
+        found = own.encode(some)
+        assert [array("i", x).tolist() for x in found] == [other.encode_ordinary(text) for text in some]
+
+
+def test_a_lower_rank_comes_first(tmp_path):
+    """A merge makes a pair that ranks before what waits to its right."""
+    tokens = [bytes([i]) for i in range(256)]
+    ranks = {token: 300 + i for i, token in enumerate(tokens)} | {b"ab": 20, b"aba": 10, b"cab": 5}
+    path = tmp_path / "ranks"
+    path.write_bytes(b"\n".join(base64.b64encode(t) + b" %d" % r for t, r in ranks.items()))
+    own = bpe.ByteBPE(str(path), r".+")
+    theirs = tiktoken.Encoding("own", pat_str=r".+", mergeable_ranks=ranks, special_tokens={})
+    for text in ("abab", "ababab", "cabab", "abcab", "aabcabab", "cabcab", "abacab"):
+        assert array("i", own.encode([text])[0]).tolist() == theirs.encode_ordinary(text)
 
 
 def test_both_ways_to_split_agree():
