@@ -5,8 +5,11 @@ The cells of a row are a point, its place on the Hilbert curve through all point
 sorted by index are cut into runs. A run holds neighbours in every dimension, so the range of each column
 within a shard is narrow. Law ``rows``: shard sizes are at most one apart.
 
-Strings are cut by the seven bytes that follow what all values have in common at the start, taken as a
-number, which keeps their order.
+A string counts as the number of rows with a smaller value, so that its whole value decides and cells hold
+as many rows as those of numbers.
+
+``write_shards`` lays rows out by shard and keeps the range of every dimension in each; ``read_shards`` reads
+only shards whose ranges meet the bounds asked for.
 
 Defined cases: a NULL dimension lies in the first cell; a NULL text has no bytes; equal indexes are ordered by
 doc_id (NULL first), then by checksum of the text, and repeated rows follow each other; a table with fewer
@@ -16,7 +19,7 @@ and the dimensions are neither read nor returned.
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +27,6 @@ from heatgrid.llm.shared import running_totals, stored, text_or_empty
 
 BITS = 6
 ACCURACY = 1000
-STRING_BYTES = 7
 LAW = "rows"
 
 
@@ -57,41 +59,32 @@ def curve_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def as_number(column: str, kind: T.DataType, common: int) -> Column:
-    """An order-preserving number for the values of a column."""
-    if isinstance(kind, T.NumericType):
-        return F.col(column).cast("double")
-    part = F.substring(F.encode(F.col(column).cast("string"), "UTF-8"), common + 1, STRING_BYTES)
-    return F.conv(F.hex(F.rpad(part, STRING_BYTES, F.lit(b"\0"))), 16, 10).cast("double")
-
-
-def common_start(docs: DataFrame, strings: list[str]) -> dict[str, int]:
-    """For each string column the number of bytes that its smallest and largest value begin with alike."""
-    if not strings:
-        return {}
-    ends = docs.agg(*(f(c).alias(f"{f.__name__}_{c}") for c in strings for f in (F.min, F.max))).first()
-    out = {}
-    for i, name in enumerate(strings):
-        low, high = (str(end or "").encode() for end in ends[2 * i : 2 * i + 2])
-        same = [a == b for a, b in zip(low, high, strict=False)]
-        out[name] = same.index(False) if False in same else len(same)
-    return out
+def value_ranks(docs: DataFrame, column: str) -> DataFrame:
+    """(value, rank) of each value of a column: how many rows have a smaller one."""
+    values = docs.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("value"))
+    counts = values.agg(F.count("*").alias("times"))
+    return running_totals(counts, [], ["value"], "times", "values").select("value", F.col("before").alias("rank"))
 
 
 def curve_sharded(docs: DataFrame, dimensions: list[str], shards: int, bits: int = BITS) -> DataFrame:
-    """(doc_id, size, text_crc32, curve, shard, slot) of every row."""
+    """(doc_id, size, text_crc32, curve, shard, slot, dimensions) of every row; the last is a struct of its values."""
     kinds = {c: docs.schema[c].dataType for c in dimensions}
-    common = common_start(docs, [c for c in dimensions if not isinstance(kinds[c], T.NumericType)])
     names = [f"d{i}" for i in range(len(dimensions))]
-    rows = stored(
-        docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"),
-            (F.octet_length(text_or_empty()) + 8).cast("long").alias("size"),
-            F.crc32(F.encode(text_or_empty(), "UTF-8")).alias("text_crc32"),
-            *(as_number(c, kinds[c], common.get(c, 0)).alias(n) for c, n in zip(dimensions, names, strict=True)),
-        ),
-        "points",
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        (F.octet_length(text_or_empty()) + 8).cast("long").alias("size"),
+        F.crc32(F.encode(text_or_empty(), "UTF-8")).alias("text_crc32"),
+        F.struct(*dimensions).alias("dimensions"),
     )
+    for name, column in zip(names, dimensions):
+        if isinstance(kinds[column], T.NumericType):
+            rows = rows.withColumn(name, F.col("dimensions")[column].cast("double"))
+        else:
+            # Values are few or rare each; Spark splits a partition that one of them fills.
+            ranks = value_ranks(docs, column).withColumnRenamed("value", f"value_{name}")
+            met = F.col("dimensions")[column].cast("string") == F.col(f"value_{name}")
+            rows = rows.join(ranks, met, "left").drop(f"value_{name}").withColumn(name, F.col("rank").cast("double")).drop("rank")
+    rows = stored(rows, "points")
     parts = [i / 2**bits for i in range(1, 2**bits)]
     cuts = rows.agg(*(F.percentile_approx(n, parts, ACCURACY).alias(n) for n in names)).first()
 
@@ -103,7 +96,7 @@ def curve_sharded(docs: DataFrame, dimensions: list[str], shards: int, bits: int
         ]
         return pd.Series(curve_index(np.stack(cells, 1), bits))
 
-    placed = rows.select("doc_id", "size", "text_crc32", index(*names).alias("curve"), F.lit(1).cast("long").alias("one"))
+    placed = rows.select("doc_id", "size", "text_crc32", "dimensions", index(*names).alias("curve"), F.lit(1).cast("long").alias("one"))
     ranked = running_totals(placed, [], ["curve", "doc_id", "text_crc32", "size"], "one", "ranked")
     count = ranked.agg(F.count("*")).first()[0]
     # Shard s holds the ranks from s * count / shards, rounded down, up to where the next begins.
@@ -115,4 +108,33 @@ def curve_sharded(docs: DataFrame, dimensions: list[str], shards: int, bits: int
         "curve",
         "shard",
         (F.col("before") - F.expr(f"(shard * {count}L) div {shards}L")).alias("slot"),
+        "dimensions",
     )
+
+
+def shard_ranges(sharded: DataFrame) -> DataFrame:
+    """Per shard the number of rows, and the smallest and largest value of each dimension, and its NULLs."""
+    facts = [F.count("*").alias("rows")]
+    for name in sharded.schema["dimensions"].dataType.names:
+        value = F.col("dimensions")[name]
+        facts += [F.min(value).alias(f"{name}_low"), F.max(value).alias(f"{name}_high"), F.count_if(value.isNull()).alias(f"{name}_nulls")]
+    return sharded.groupBy("shard").agg(*facts)
+
+
+def write_shards(sharded: DataFrame, path: str) -> None:
+    """``rows`` by shard, in the order of the curve, and ``ranges``, below the path."""
+    spread = sharded.hint("rebalance", "shard").sortWithinPartitions("shard", "curve", "slot")
+    spread.write.partitionBy("shard").parquet(f"{path}/rows")
+    shard_ranges(sharded.sparkSession.read.parquet(f"{path}/rows")).coalesce(1).write.parquet(f"{path}/ranges")
+
+
+def read_shards(spark: SparkSession, path: str, **bounds: tuple) -> DataFrame:
+    """The rows whose dimensions lie within (low, high), both included, from the shards that may hold any.
+
+    There are as many ranges as shards.
+    """
+    rows, ranges = spark.read.parquet(f"{path}/rows"), spark.read.parquet(f"{path}/ranges")
+    for name, (low, high) in bounds.items():
+        ranges = ranges.where((F.col(f"{name}_low") <= high) & (F.col(f"{name}_high") >= low))
+        rows = rows.where(F.col("dimensions")[name].between(low, high))
+    return rows.where(F.col("shard").isin([row.shard for row in ranges.select("shard").collect()]))

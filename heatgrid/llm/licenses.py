@@ -1,9 +1,13 @@
 """Licence recognition by sentence rules. Columns only.
 
 A text is cut into sentences, twice: within its lines, and across line ends inside paragraphs, since
-licences are often wrapped. Sentences in lower case and without punctuation are looked up in a table of known
-licence sentences, which gives each an identifier. Names of holders and years in a few of them count as the usual word. The sequence of identifiers is then held against
-ordered rules; a rule names a licence and matches a run of identifiers, and the first that matches decides.
+licences are often wrapped. For the second, comment signs at line starts are taken away, a line without
+letters and digits ends a paragraph, and so do a list mark and the colon before a list of conditions.
+Sentences in lower case and without punctuation are looked up in a table of known licence sentences, which
+gives each an identifier. Names of holders and years in a few of them count as the usual word. An SPDX line is
+as many sentences as its expression has licences; exceptions after WITH are passed over. The
+sequence of identifiers is then held against ordered rules; a rule names a licence and matches a run of
+identifiers. ``licence`` is that of the first rule that matches, ``licences`` those of all.
 
 Only texts that contain a word without which no known sentence can be, in any case, are cut at all.
 
@@ -14,6 +18,7 @@ returned.
 
 import re
 from functools import reduce
+from itertools import product
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
@@ -106,13 +111,43 @@ for parts in CC_PARTS:
     ]
     SENTENCES["cc " + parts] += [f"SPDX-License-Identifier: CC-{parts.upper().replace(' ', '-')}-{version}" for version in CC_VERSIONS]
 
-#: Names that stand in a known sentence, on the normalised sentence: (pattern, what it becomes). A name is at most 160 characters.
+# Names of the Creative Commons licences and the heads of licence texts.
+CC_WORDS = {"by": ["Attribution"], "sa": ["ShareAlike", "Share Alike"], "nd": ["NoDerivatives", "NoDerivs"], "nc": ["NonCommercial", "Noncommercial"]}
+CC_PORTS = {"2.0": ("Generic",), "2.5": ("Generic",), "3.0": ("Unported",), "4.0": ("International",)}
+HEADS = {
+    "apache-name": ["Apache License Version 2.0, January 2004", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"],
+    "gpl2-only": ["GNU GENERAL PUBLIC LICENSE Version 2, June 1991"],
+    "gpl3-only": ["GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "agpl3-only": ["GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"],
+    "lgpl2-only": ["GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"],
+    "lgpl3-only": ["GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "mpl2": ["Mozilla Public License Version 2.0"],
+    "epl1": ["Eclipse Public License - v 1.0"],
+    "epl2": ["Eclipse Public License - v 2.0"],
+    "bsl1": ["Boost Software License - Version 1.0 - August 17th, 2003"],
+}
+for key, heads in HEADS.items():
+    SENTENCES[key] += heads
+for parts in CC_PARTS:
+    for spelled in product(*(CC_WORDS[part] for part in parts.split())):
+        for version, ports in CC_PORTS.items():
+            for port in ("", *(f" {port}" for port in ports)):
+                name = f"Creative Commons {'-'.join(spelled)} {version}{port}"
+                SENTENCES["cc " + parts] += [
+                    f"{start}{the}{name}{end}"
+                    for start in ("This work is licensed under ", "Licensed under ", "Released under ")
+                    for the in ("a ", "the ")
+                    for end in (" License", " Public License")
+                ]
+                SENTENCES["cc " + parts] += [name, f"{name} License", f"{name} Public License"]
+
+#: Names that stand in a known sentence, on the normalised sentence: (pattern, what it becomes).
 SLOTS = [
-    (r"^neither the names? of (?!the copyright holder nor ).{1,160}? nor the names of (?:its|their|the|any)( other)? contributors may be used",
+    (r"^neither the names? of (?!the copyright holder nor ).+? nor the names of (?:its|their|the|any)( other)? contributors may be used",
      "neither the name of the copyright holder nor the names of its contributors may be used"),
-    (r"^the names? of (?!the author may ).{1,160}? may not be used to endorse", "the name of the author may not be used to endorse"),
-    (r"^copyright (?:c )?(?:[0-9]{4} )+(?:by )?.{1,160}? all rights reserved$", "copyright all rights reserved"),
-    (r"^to the extent possible under law .{1,160}? has waived all copyright", "to the extent possible under law the author has waived all copyright"),
+    (r"^the names? of (?!the author may ).+? may not be used to endorse", "the name of the author may not be used to endorse"),
+    (r"^copyright (?:c )?(?:[0-9]{4} )+(?:by )?.+? all rights reserved$", "copyright all rights reserved"),
+    (r"^to the extent possible under law .+? has waived all copyright", "to the extent possible under law the author has waived all copyright"),
 ]
 
 #: (licence, run of identifiers as a pattern over " a b c "); the first that matches decides.
@@ -150,10 +185,18 @@ RULES = [
 ]
 
 #: Each known sentence contains one of these in lower case.
-ANCHORS = ("licen", "copyright", "rights reserved", "warrant", "permission", "redistribut", "free software", "released under", "distributed under")
+ANCHORS = ("creative commons", "licen", "copyright", "rights reserved", "warrant", "permission", "redistribut", "free software", "released under", "distributed under")
 
 
 CUT = r"([.!?])[ \t\r]+"
+# What is taken away or ends a paragraph before line ends become spaces, in this order, with what replaces it.
+COMMENT = r"(^|\n)[ \t]*(?:/\*+!?|\*+/|\*+|//+!?|#+|;+|--+|%+|<!--|>+|\|)[ \t]*"
+LIST_MARK = r"(?:^|\n)[ \t]*\(?(?:[0-9]{1,2}|[a-h])[.)][ \t]+"
+BEFORE_LIST = r"(?i)(conditions|following|met|restrictions):[ \t\r]*\n"
+PARAGRAPH = r"\n[^\p{L}\p{N}\n]*\n"
+SPDX_LINE = r"(?i)^.*spdx-license-identifier:"
+SPDX_EXCEPTION = r"(?i)[ \t]+with[ \t]+[^ \t()]+"
+SPDX_BETWEEN = r"(?i)[ \t]+(?:or|and)[ \t]+"
 
 
 def known_sentences() -> dict[str, str]:
@@ -169,17 +212,43 @@ def known_sentences() -> dict[str, str]:
     return table
 
 
+def rules_by_name() -> list[tuple[str, str, str]]:
+    """(licence, any of its rules, what must not match): a licence that is part of another does not stand beside it."""
+    rules: dict[str, list[str]] = {}
+    for name, rule in RULES:
+        rules.setdefault(name, []).append(rule)
+    whole = {name: "|".join(f"(?:{rule})" for rule in known) for name, known in rules.items()}
+    never = "^$"  # sequences are never empty
+    # A reservation of rights says nothing where a licence is given.
+    unless = {"BSD-2-Clause": whole["BSD-3-Clause"], "all-rights-reserved": "|".join(whole[n] for n in whole if n != "all-rights-reserved")}
+    return [(name, whole[name], unless.get(name, never)) for name in whole]
+
+
 def sentences(text: Column) -> Column:
     """Cut after . ! or ? before white space, and at line ends."""
     return F.split(F.regexp_replace(text, CUT, "$1\n"), "\n", -1)
 
 
 def unwrapped_sentences(text: Column) -> Column:
-    """The same, but line ends inside a paragraph are spaces."""
-    paragraphs = F.split(text, r"\n[ \t\r]*\n", -1)
+    """The same, but line ends inside a paragraph are spaces, and comment signs go."""
+    text = F.regexp_replace(text, COMMENT, "$1")
+    text = F.regexp_replace(text, LIST_MARK, "\n\n")
+    text = F.regexp_replace(text, BEFORE_LIST, "$1:\n\n")
+    paragraphs = F.split(text, PARAGRAPH, -1)
     return F.flatten(F.transform(paragraphs, lambda p: sentences(F.regexp_replace(p, r"\n", " "))))
 
 
+def spdx_parted(cut: Column) -> Column:
+    """Sentences, with an SPDX line for each licence of an expression."""
+
+    def parted(sentence: Column) -> Column:
+        expression = F.regexp_replace(F.regexp_replace(sentence, SPDX_LINE, ""), SPDX_EXCEPTION, "")
+        each = F.transform(F.split(expression, SPDX_BETWEEN, -1), lambda part: F.concat(F.lit("SPDX-License-Identifier: "), part))
+        return F.when(sentence.rlike(SPDX_LINE), each).otherwise(F.array(sentence))
+
+    return F.flatten(F.transform(cut, parted))
+
+
 def normalised(sentence: Column) -> Column:
     return F.btrim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
 
@@ -197,11 +266,15 @@ def anchored(text: Column) -> Column:
 
 
 def recognise(docs: DataFrame) -> DataFrame:
-    """(doc_id, licence, sentence_ids, wrapped_ids) of every row; the two sequences are those of the two ways to cut."""
+    """(doc_id, licence, licences, sentence_ids, wrapped_ids) of every row.
+
+    ``licences`` are joined by a comma in the order of the rules; the two sequences are those of the two ways
+    to cut.
+    """
     table = F.create_map(*(F.lit(x) for pair in known_sentences().items() for x in pair))
 
     def sequence(cut: Column) -> Column:
-        found = F.transform(F.filter(cut, anchored), lambda s: F.element_at(table, named(normalised(s))))
+        found = F.transform(spdx_parted(F.filter(cut, anchored)), lambda s: F.element_at(table, named(normalised(s))))
         return F.array_join(F.filter(found, lambda i: i.isNotNull()), " ")
 
     ids = docs.select(
@@ -214,4 +287,5 @@ def recognise(docs: DataFrame) -> DataFrame:
     )
     both = F.concat(F.lit(" "), F.col("sentence_ids"), F.lit(" | "), F.col("wrapped_ids"), F.lit(" "))
     licence = F.coalesce(*(F.when(both.rlike(rule), F.lit(name)) for name, rule in RULES), F.lit(""))
-    return ids.select("doc_id", licence.alias("licence"), "sentence_ids", "wrapped_ids")
+    every = F.concat_ws(",", *(F.when(both.rlike(rule) & ~both.rlike(unless), F.lit(name)) for name, rule, unless in rules_by_name()))
+    return ids.select("doc_id", licence.alias("licence"), every.alias("licences"), "sentence_ids", "wrapped_ids")

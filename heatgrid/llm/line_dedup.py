@@ -3,9 +3,10 @@
 Every line with enough words is hashed. One HyperLogLog sketch per line hash, merged by aggregation,
 estimates on how many distinct sites the line stands. Where the estimate is too close to the threshold to
 tell, the sites are counted exactly. Lines on at least that many sites are boilerplate. Lines of many words do not
-recur by chance, so fewer sites are enough for them; and where the corpus has few sites, half of them are, but at
-least three. The document with the smallest doc_id that has one keeps it, all others lose it, so that no content
-vanishes altogether.
+recur by chance, so fewer sites are enough for them. Both thresholds are arguments and do not depend on the
+corpus. The document with the smallest doc_id that has one keeps it, all others lose it, so that no content
+vanishes altogether. Lines count as equal by a 64-bit hash: among n different lines some n * n / 2 ** 65 pairs
+are taken for one another.
 
 Defined cases: a NULL text counts as empty and stays NULL; a NULL site is one site of its own; a NULL
 doc_id comes after all others; rows alike in doc_id and text get the same text, and both keep a line if
@@ -22,7 +23,7 @@ from heatgrid.llm.shared import stored, text_or_empty
 
 MIN_SITES = 10
 MIN_WORDS = 3
-LONG_SITES, LONG_WORDS, LEAST_SITES = 5, 50, 3
+LONG_SITES, LONG_WORDS = 5, 50
 LG_K = 12
 SPACE = r"\x20\x09-\x0D"
 
@@ -58,11 +59,9 @@ def site_lines(docs: DataFrame, site: str, min_words: int, long_words: int) -> D
 
 def widespread(lines: DataFrame, min_sites: int, long_sites: int) -> DataFrame:
     """(line_hash, first_doc, first_text): the lines on at least so many sites as they need, and their first holders."""
-    few = max(LEAST_SITES, lines.select("site").distinct().count() // 2)
-    short, long = min(min_sites, few), min(min_sites, long_sites, few)
-    need = F.when(F.col("is_long"), long).otherwise(short)
+    need = F.when(F.col("is_long"), min(min_sites, long_sites)).otherwise(min_sites)
     # Four standard errors of a sketch; below a few hundred sites estimates are all but exact.
-    margin = math.ceil(4 * 1.04 / math.sqrt(2**LG_K) * short)
+    margin = math.ceil(4 * 1.04 / math.sqrt(2**LG_K) * min_sites)
     holder = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), F.col("text_hash").alias("text"))
     spread = lines.groupBy("line_hash").agg(
         F.hll_sketch_agg("site", LG_K).alias("sketch"), F.min(holder).alias("first"), F.first("is_long").alias("is_long")

@@ -11,6 +11,10 @@ been met with too few instances to tell, one word decides, for instances of the
 An instance is known from a mean confidence above one half over its contexts on, so that it brings in contexts not
 trusted yet. Where a trusted context holds an instance that became known, a span is added. Base spans always stay.
 
+Shapes have limits, numbers of rows and spans have none: a hexadecimal secret has 32 to 128 digits, the local part of a
+spelled-out address at most 64 characters, a digit group 2 to 6 digits; a context is up to two words of at most 20
+letters with at most 8 signs after each, and a longer word counts as none.
+
 Defined cases: a NULL text counts as empty and has no spans; repeated rows give repeated rows with the same
 spans, and count as one instance; a NULL doc_id is returned as it is; an empty table gives an empty result. All
 patterns take time in proportion to the text. Columns other than doc_id and text are neither read nor returned.

@@ -15,6 +15,8 @@ string, so it has to fit into one row; pairs are what is spread over tasks.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from heatgrid.llm.shared import running_totals, stored
+
 START, MIDDLE, END = "<|", "|>\n", "<|end|>\n"
 ASSISTANT = "assistant"
 
@@ -88,28 +90,42 @@ def preference_examples(turns: DataFrame) -> DataFrame:
 
 
 def branched(conversations: DataFrame) -> DataFrame:
-    """Pairs out of single conversations: rejected is the conversation with another one's last answer.
+    """Pairs out of single conversations: rejected goes on as the next conversation does, from an answer on.
 
-    The answer is that of the conversation with the next conv_id, where it has one; a conversation without
-    an answer of its own, or without that next one, is its own rejected side and has nothing to prefer.
+    The next one is that with the next conv_id there is, whatever gaps ids have. Conversations of even rank
+    part at their last answer, so that one answer is weighed against another; those of odd rank part at their
+    first, so that completions have several turns. What follows in the rejected side is the next
+    conversation from its own last or first answer on, with turns numbered on. A conversation without an
+    answer, or whose next one has none or does not exist, is its own rejected side and has nothing to prefer.
     """
     turns = conversations.select("conv_id", "turn", "role", "text")
-    answers = turns.where(F.col("role") == ASSISTANT).groupBy("conv_id").agg(
-        F.max("turn").alias("last"), F.max(F.struct("turn", "text"))["text"].alias("answer")
-    )
-    swaps = answers.select("conv_id", "last").join(
-        answers.select((F.col("conv_id") - 1).alias("conv_id"), "answer"), "conv_id"
+    ids = turns.where("conv_id IS NOT NULL").select("conv_id", F.lit(1).cast("long").alias("one")).distinct()
+    ranks = stored(running_totals(ids, [], ["conv_id"], "one", "conversations").drop("one"), "ranks")
+    answers = turns.where(F.col("role") == ASSISTANT).groupBy(F.col("conv_id").alias("of")).agg(
+        F.min("turn").alias("first"), F.max("turn").alias("last")
     )
-    swapped = turns.join(swaps.withColumnRenamed("conv_id", "own"), F.col("conv_id").eqNullSafe(F.col("own")), "left").select(
-        F.col("conv_id").alias("pair_id"),
-        "turn",
-        "role",
-        F.col("text").alias("chosen"),
-        F.when((F.col("role") == ASSISTANT) & (F.col("turn") == F.col("last")), F.col("answer"))
-        .otherwise(F.col("text"))
-        .alias("rejected"),
+    told = ranks.join(answers, F.col("conv_id") == F.col("of")).select("conv_id", F.col("before").alias("rank"), "first", "last")
+    following = told.select(
+        (F.col("rank") - 1).alias("rank"),
+        F.col("conv_id").alias("other"),
+        F.col("first").alias("other_first"),
+        F.col("last").alias("other_last"),
     )
-    sides = F.explode(
-        F.array(*(F.struct(F.lit(side).alias("side"), F.col(side).alias("text")) for side in ("chosen", "rejected")))
+    even = F.col("rank") % 2 == 0
+    pairs = stored(
+        told.join(following, "rank").select(
+            F.col("conv_id").alias("own"),
+            "other",
+            F.when(even, F.col("last")).otherwise(F.col("first")).alias("cut"),
+            F.when(even, F.col("other_last")).otherwise(F.col("other_first")).alias("other_cut"),
+        ),
+        "forks",
     )
-    return swapped.select("pair_id", "turn", "role", sides.alias("as")).select("pair_id", "as.side", "turn", "role", "as.text")
+    chosen = turns.select(F.col("conv_id").alias("pair_id"), F.lit("chosen").alias("side"), "turn", "role", "text")
+    parted = turns.join(pairs.select("own", "cut"), F.col("conv_id") == F.col("own"), "left")
+    kept = parted.where(F.col("cut").isNull() | F.coalesce(F.col("turn") < F.col("cut"), F.lit(True)))
+    kept = kept.select(F.col("conv_id").alias("pair_id"), F.lit("rejected").alias("side"), "turn", "role", "text")
+    after = turns.join(pairs, F.col("conv_id") == F.col("other")).where(F.col("turn") >= F.col("other_cut"))
+    number = (F.col("turn") - F.col("other_cut") + F.col("cut")).cast(turns.schema["turn"].dataType).alias("turn")
+    after = after.select(F.col("own").alias("pair_id"), F.lit("rejected").alias("side"), number, "role", "text")
+    return chosen.unionByName(kept).unionByName(after)

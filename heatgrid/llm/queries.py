@@ -149,21 +149,34 @@ def license_sql() -> str:
 
     known = ", ".join(f"{quoted(sentence)}: {quoted(name)}" for sentence, name in licenses.known_sentences().items())
     rules = " ".join(f"WHEN regexp_matches(ids, {quoted(rule)}) THEN {quoted(name)}" for name, rule in licenses.RULES)
+    every = ", ".join(
+        f"CASE WHEN regexp_matches(ids, {quoted(rule)}) AND NOT regexp_matches(ids, {quoted(unless)}) THEN {quoted(name)} END"
+        for name, rule, unless in licenses.rules_by_name()
+    )
 
     def cut(text: str) -> str:
         return f"string_split(regexp_replace({text}, {quoted(licenses.CUT)}, '\\1' || chr(10), 'g'), chr(10))"
 
+    def parted(cuts: str) -> str:
+        expression = f"regexp_replace(regexp_replace(s, {quoted(licenses.SPDX_LINE)}, ''), {quoted(licenses.SPDX_EXCEPTION)}, '', 'g')"
+        each = f"list_transform(regexp_split_to_array({expression}, {quoted(licenses.SPDX_BETWEEN)}), lambda x: 'spdx-license-identifier: ' || x)"
+        return f"flatten(list_transform({cuts}, lambda s: CASE WHEN regexp_matches(s, {quoted(licenses.SPDX_LINE)}) THEN {each} ELSE [s] END))"
+
     def found(cuts: str) -> str:
-        names = f"list_transform({cuts}, lambda s: known[trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))])"
+        names = f"list_transform({parted(cuts)}, lambda s: known[trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))])"
         return f"coalesce(array_to_string(list_filter({names}, lambda i: i IS NOT NULL), ' '), '')"
 
-    paragraphs = "regexp_split_to_array(t, '\\n[ \\t\\r]*\\n')"
+    plain = f"regexp_replace(t, {quoted(licenses.COMMENT)}, '\\1', 'g')"
+    plain = f"regexp_replace({plain}, {quoted(licenses.LIST_MARK)}, chr(10) || chr(10), 'g')"
+    plain = f"regexp_replace({plain}, {quoted(licenses.BEFORE_LIST)}, '\\1:' || chr(10) || chr(10), 'g')"
+    paragraphs = f"regexp_split_to_array({plain}, {quoted(licenses.PARAGRAPH)})"
     wrapped = f"flatten(list_transform({paragraphs}, lambda p: {cut("replace(p, chr(10), ' ')")}))"
     return f"""
         WITH texts AS (SELECT doc_id, coalesce(text, '') AS t, MAP {{{known}}} AS known FROM documents),
         found AS (SELECT doc_id, {found(cut('t'))} AS sentence_ids, {found(wrapped)} AS wrapped_ids FROM texts),
         both_ids AS (SELECT *, ' ' || sentence_ids || ' | ' || wrapped_ids || ' ' AS ids FROM found)
-        SELECT doc_id, CASE {rules} ELSE '' END AS licence, sentence_ids, wrapped_ids FROM both_ids"""
+        SELECT doc_id, CASE {rules} ELSE '' END AS licence, array_to_string([{every}], ',') AS licences,
+               sentence_ids, wrapped_ids FROM both_ids"""
 
 
 ORACLES: dict[str, str] = {
@@ -233,32 +246,47 @@ ORACLES: dict[str, str] = {
                doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
         FROM norm""",
     "op4_preference_pairs": """
-        WITH answers AS (
-            SELECT conv_id, max(turn) AS last, arg_max(text, turn) AS answer
+        WITH ids AS (
+            SELECT conv_id, row_number() OVER (ORDER BY conv_id) - 1 AS r
+            FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)),
+        answers AS (
+            SELECT conv_id, min(turn) AS first, max(turn) AS last
             FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
-        swaps AS (SELECT a.conv_id, a.last, b.answer FROM answers a JOIN answers b ON b.conv_id = a.conv_id + 1),
-        turns AS (
-            SELECT c.conv_id, c.turn, c.role, c.text AS chosen,
-                   CASE WHEN c.role = 'assistant' AND c.turn = s.last THEN s.answer ELSE c.text END AS rejected
-            FROM conversations c LEFT JOIN swaps s ON c.conv_id = s.conv_id),
-        placed AS (
-            SELECT *, coalesce(min(CASE WHEN chosen <> rejected THEN turn END) OVER (PARTITION BY conv_id), 1e9) AS parting
-            FROM turns),
+        told AS (SELECT i.conv_id, r, first, last FROM ids i JOIN answers a ON i.conv_id = a.conv_id),
+        forks AS (
+            SELECT a.conv_id, b.conv_id AS other, CASE WHEN a.r % 2 = 0 THEN a.last ELSE a.first END AS cut,
+                   CASE WHEN a.r % 2 = 0 THEN b.last ELSE b.first END AS other_cut
+            FROM told a JOIN told b ON b.r = a.r + 1),
+        both_sides AS (
+            SELECT conv_id, 'chosen' AS side, turn, role, text FROM conversations
+            UNION ALL
+            SELECT c.conv_id, 'rejected', turn, role, text
+            FROM conversations c LEFT JOIN forks f ON c.conv_id = f.conv_id WHERE cut IS NULL OR turn < cut
+            UNION ALL
+            SELECT f.conv_id, 'rejected', turn - other_cut + cut, role, text
+            FROM forks f JOIN conversations c ON c.conv_id = f.other WHERE turn >= other_cut),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id, side ORDER BY turn) AS pos FROM both_sides),
+        partings AS (
+            SELECT coalesce(a.conv_id, b.conv_id) AS conv_id,
+                   min(CASE WHEN a.pos IS NULL OR b.pos IS NULL OR a.role <> b.role OR a.text <> b.text
+                            THEN coalesce(a.pos, b.pos) END) AS parting
+            FROM (FROM placed WHERE side = 'chosen') a
+            FULL JOIN (FROM placed WHERE side = 'rejected') b ON a.conv_id = b.conv_id AND a.pos = b.pos
+            GROUP BY 1),
         sides AS (
-            SELECT conv_id, turn, turn < parting AS shared, role, side, text,
+            SELECT p.conv_id, pos, side, role, text, pos < coalesce(parting, 1e9) AS shared,
                    '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS shown
-            FROM (SELECT *, 'chosen' AS side, chosen AS text FROM placed
-                  UNION ALL SELECT *, 'rejected', rejected FROM placed)),
+            FROM placed p JOIN partings q ON p.conv_id = q.conv_id),
         ends AS (
-            SELECT *, sum(length(shown)) OVER (PARTITION BY conv_id, side, shared ORDER BY turn) AS stop FROM sides)
+            SELECT *, sum(length(shown)) OVER (PARTITION BY conv_id, side, shared ORDER BY pos) AS stop FROM sides)
         SELECT conv_id AS pair_id,
                CAST(count(*) FILTER (shared AND side = 'chosen') AS INT) AS n_common,
-               coalesce(string_agg(shown, '' ORDER BY turn) FILTER (shared AND side = 'chosen'), '') AS prompt,
-               coalesce(string_agg(shown, '' ORDER BY turn) FILTER (NOT shared AND side = 'chosen'), '') AS chosen,
-               coalesce(string_agg(shown, '' ORDER BY turn) FILTER (NOT shared AND side = 'rejected'), '') AS rejected,
-               coalesce(string_agg((stop - length(text) - 8) || ':' || stop, ',' ORDER BY turn)
+               coalesce(string_agg(shown, '' ORDER BY pos) FILTER (shared AND side = 'chosen'), '') AS prompt,
+               coalesce(string_agg(shown, '' ORDER BY pos) FILTER (NOT shared AND side = 'chosen'), '') AS chosen,
+               coalesce(string_agg(shown, '' ORDER BY pos) FILTER (NOT shared AND side = 'rejected'), '') AS rejected,
+               coalesce(string_agg((stop - length(text) - 8) || ':' || stop, ',' ORDER BY pos)
                         FILTER (NOT shared AND side = 'chosen' AND role = 'assistant'), '') AS chosen_spans,
-               coalesce(string_agg((stop - length(text) - 8) || ':' || stop, ',' ORDER BY turn)
+               coalesce(string_agg((stop - length(text) - 8) || ':' || stop, ',' ORDER BY pos)
                         FILTER (NOT shared AND side = 'rejected' AND role = 'assistant'), '') AS rejected_spans
         FROM ends GROUP BY conv_id""",
     "op9_license_rules": license_sql(),
@@ -270,7 +298,9 @@ ORACLES: dict[str, str] = {
         wordy AS (SELECT * FROM lines WHERE regexp_matches(line, '{line_dedup.wordy(line_dedup.MIN_WORDS)}')),
         spread AS (
             SELECT line, min(doc_id) AS first_doc FROM wordy
-            GROUP BY line HAVING count(DISTINCT site) >= {line_dedup.MIN_SITES}),
+            GROUP BY line HAVING count(DISTINCT site) >= CASE
+                WHEN regexp_matches(line, '{line_dedup.wordy(line_dedup.LONG_WORDS)}') THEN {line_dedup.LONG_SITES}
+                ELSE {line_dedup.MIN_SITES} END),
         marked AS (
             SELECT l.*, s.line IS NOT NULL AND l.doc_id <> s.first_doc AS removed
             FROM lines l LEFT JOIN spread s ON l.line = s.line)

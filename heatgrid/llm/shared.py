@@ -1,12 +1,11 @@
 """Helpers that several operators use: tables in the shared folder, and totals along an order."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from heatgrid.session import remove
+from heatgrid.session import remove, shared_folder
 
 ROWS_PER_RANGE = 1_000_000
 
@@ -16,13 +15,9 @@ _made: list[str] = []  # paths of stored tables, in order
 def scratch(spark: SparkSession) -> str:
     """This application's folder below the one the cluster names in spark.checkpoint.dir.
 
-    Only a session without that setting, as in tests, gets a folder of its own.
+    Without that setting only a session on one machine has a folder, in its warehouse.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root}/llm-{spark.sparkContext.applicationId}"
+    return f"{shared_folder(spark)}/llm-{spark.sparkContext.applicationId}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -29,7 +29,10 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates, that with the smallest doc_id."""
+    """One document of each class of near-duplicates, that with the smallest doc_id.
+
+    Rows alike in doc_id and text are one document; which of them stays, where other columns differ, is open.
+    """
     classes = near_dedup.near_duplicates(docs)
     stay = classes.where((F.col("node") == F.col("keep_node")) & F.col("doc_id").eqNullSafe(F.col("class_id")))
     stay = stay.select(F.col("doc_id").alias("stay_id"), F.col("node").alias("stay_node")).distinct()
@@ -39,7 +42,6 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
         F.unhex(F.md5(text_or_empty())).alias("node"),
     )
     same = F.col("id").eqNullSafe(F.col("stay_id")) & (F.col("node") == F.col("stay_node"))
-    # Rows alike in doc_id and text are one document.
     return rows.join(stay, same, "left_semi").dropDuplicates(["id", "node"]).select("row.*")
 
 

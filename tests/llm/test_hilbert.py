@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from heatgrid.llm import hilbert
 
@@ -47,3 +48,32 @@ def test_a_shard_is_narrow_in_every_dimension(table):
         share.append((np.ptp([lengths[i] for i in ids]) / 400, len({sources[i] for i in ids}) / 16))
     # Sorted by one dimension only, the other would span its whole range in each shard.
     assert np.mean(share, axis=0).max() < 0.5
+
+
+def test_strings_count_by_their_whole_value(table):
+    """Values that part after forty characters, and one that starts otherwise."""
+    rows = [(i, "t", f"https://www.example.org/a/very/long/common/start/{i % 16:02d}") for i in range(320)] + [(999, "t", "other")]
+    found = hilbert.curve_sharded(table(rows), ["source"], 16).orderBy("shard", "slot").collect()
+    sources = [r.dimensions.source for r in found]
+    assert sources == sorted(sources)
+    ranks = {r.value: r["rank"] for r in hilbert.value_ranks(table(rows), "source").collect()}
+    assert ranks == {v: sum(o < v for _, _, o in rows) for v in {s for _, _, s in rows}}
+
+
+def test_bounds_are_read_from_few_shards(spark, table, tmp_path):
+    rng = np.random.default_rng(4)
+    rows = [(int(i), "x" * int(rng.integers(1, 400)), f"site-{rng.integers(0, 16):02d}") for i in rng.permutation(4000)]
+    rows += [(5000, None, None)]
+    path = str(tmp_path / "shards")
+    hilbert.write_shards(hilbert.curve_sharded(table(rows), ["source", "n_chars"], 64), path)
+    for bounds in ({"source": ("site-03", "site-04")}, {"n_chars": (100, 130)}, {"source": ("site-09", "site-10"), "n_chars": (1, 60)}):
+        some = hilbert.read_shards(spark, path, **bounds)
+        low, high = bounds.get("source", ("", "~"))
+        least, most = bounds.get("n_chars", (0, 1000))
+        want = sorted(i for i, t, s in rows if s and low <= s <= high and least <= len(t) <= most)
+        assert sorted(r.doc_id for r in some.collect()) == want
+        files = {f for (f,) in some.select(F.input_file_name()).distinct().collect()}
+        assert len({f.split("shard=")[1].split("/")[0] for f in files}) <= 20
+    assert hilbert.read_shards(spark, path, n_chars=(5000, 6000)).collect() == []
+    ranges = spark.read.parquet(f"{path}/ranges").collect()
+    assert len(ranges) == 64 and sum(r.rows for r in ranges) == 4001 and sum(r.source_nulls for r in ranges) == 1

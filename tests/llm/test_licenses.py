@@ -82,3 +82,96 @@ def test_names_in_sentences_and_further_licences(table):
     rows = [(i, text, "a") for i, (text, _) in enumerate(NEW)]
     got = {r.doc_id: r.licence for r in licenses.recognise(table(rows)).collect()}
     assert got == {i: licence for i, (_, licence) in enumerate(NEW)}
+
+
+# --- licences as they stand in files, written out here -------------------------------------
+
+MIT_FILE = """MIT License
+
+Copyright (c) 2021 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+MIT_BODY = MIT_FILE.split("\n\n", 2)[2]
+BSD_HEADER = """Copyright (c) 2003 The Regents. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:
+{0} Redistributions of source code must retain the above copyright
+   notice, this list of conditions and the following disclaimer.
+{1} Redistributions in binary form must reproduce the above copyright
+   notice, this list of conditions and the following disclaimer in the
+   documentation and/or other materials provided with the distribution.
+"""
+BSD_THIRD = """{2} Neither the name of the University nor the names of its contributors
+   may be used to endorse or promote products derived from this software
+   without specific prior written permission.
+"""
+GPL3_NOTICE = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+
+
+def commented(text, sign):
+    return "\n".join((sign + line).rstrip() for line in text.split("\n"))
+
+
+FILES = [
+    (MIT_FILE, "MIT"),
+    *((commented(MIT_BODY, sign), "MIT") for sign in ("# ", " * ", "// ", "; ", "-- ", "    ", "% ")),
+    ("/*\n" + commented(MIT_BODY, " * ") + "\n */\nint main() { return 0; }", "MIT"),
+    ("<!--\n" + MIT_BODY + "\n-->\n<html>", "MIT"),
+    (MIT_BODY.replace("conditions:\n\n", "conditions:\n"), "MIT"),
+    *((BSD_HEADER.format(*marks), "BSD-2-Clause") for marks in (("1.", "2."), ("(a)", "(b)"), ("*", "*"), ("-", "-"), ("", ""))),
+    (commented(BSD_HEADER.format("1.", "2."), "# "), "BSD-2-Clause"),
+    ((BSD_HEADER + BSD_THIRD).format("1.", "2.", "3."), "BSD-3-Clause"),
+    (commented((BSD_HEADER + BSD_THIRD).format("1.", "2.", "3."), "// "), "BSD-3-Clause"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA"),
+    ("Except where noted.\n\nThis work is licensed under the Creative Commons\nAttribution-NonCommercial-NoDerivs 3.0 Unported License.", "CC-BY-NC-ND"),
+    ("Creative Commons Attribution 4.0 International", "CC-BY"),
+    ("                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS", "Apache-2.0"),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation", "GPL-3.0-only"),
+    ("                  GNU LESSER GENERAL PUBLIC LICENSE\n                       Version 2.1, February 1999\n", "LGPL-2.1-only"),
+    ("Mozilla Public License Version 2.0\n==================================\n\n1. Definitions", "MPL-2.0"),
+    (commented(GPL3_NOTICE, "# "), "GPL-3.0-or-later"),
+    ("// SPDX-License-Identifier: MIT OR Apache-2.0", "MIT,Apache-2.0"),
+    ("/* SPDX-License-Identifier: (GPL-2.0-only WITH Linux-syscall-note) AND BSD-3-Clause */", "BSD-3-Clause,GPL-2.0-only"),
+    ("# SPDX-License-Identifier: Apache-2.0 WITH LLVM-exception", "Apache-2.0"),
+    ("SPDX-License-Identifier: LicenseRef-Own", ""),
+    (MIT_BODY + "\n\n" + GPL3_NOTICE, "MIT,GPL-3.0-or-later"),
+    ("Released under the MIT License.\nCopyright (c) 2020 Jane Doe. All rights reserved.", "MIT"),
+    ("1. a list\n2. of conditions:\nand met:\nwithout any licence", ""),
+]
+
+
+def test_files_with_comments_lists_and_several_licences(table):
+    rows = [(i, text, "a") for i, (text, _) in enumerate(FILES)]
+    got = {r.doc_id: r.licences for r in licenses.recognise(table(rows)).collect()}
+    assert got == {i: found for i, (_, found) in enumerate(FILES)}
+
+
+def test_a_name_may_be_long(table):
+    text = BSD2 + "\n" + ENDORSE.format("the " + "very " * 100 + "old house")
+    assert licenses.recognise(table([(1, text, "a")])).first().licence == "BSD-3-Clause"
+
+
+def test_the_first_rule_and_all_of_them(table):
+    row = licenses.recognise(table([(1, MIT_BODY + "\n\n" + GPL3_NOTICE, "a")])).first()
+    assert row.licence == "MIT" and row.licences == "MIT,GPL-3.0-or-later"

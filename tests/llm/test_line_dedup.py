@@ -82,7 +82,10 @@ def test_long_passages_on_few_sites_beside_a_hot_source(table):
     assert kept_in(got, shorter) == 17
 
 
-def test_a_corpus_of_few_sites_loses_its_boilerplate(table):
-    rows = [(i, f"subscribe to our newsletter\nown words of {i}\nshared by two sites" if i % 6 < 2 else f"subscribe to our newsletter\nown words of {i}", f"s{i % 6}") for i in range(60)]
-    got = line_dedup.clean(table(rows))
-    assert kept_in(got, "subscribe to our newsletter") == 1 and kept_in(got, "shared by two sites") == 20
+@pytest.mark.parametrize("sites", [11, 12, 40])
+def test_other_sites_of_the_corpus_do_not_matter(table, sites):
+    """One line on 5 sites and 50 documents, beside more and more sites that have nothing to do with it."""
+    rows = [(i, f"one line on five sites\nown words of {i}", f"s{i % 5}") for i in range(50)]
+    rows += [(100 + i, f"other words of {i}", f"s{5 + i}") for i in range(sites - 5)]
+    assert kept_in(line_dedup.clean(table(rows)), "one line on five sites") == 50
+    assert kept_in(line_dedup.clean(table(rows), min_sites=5), "one line on five sites") == 1

@@ -1,7 +1,5 @@
 """Preference pairs against a plain rendering."""
 
-import pytest
-
 from heatgrid.llm import preference
 
 TURNS = "pair_id long, side string, turn long, role string, text string, prompt int, chosen int"
@@ -64,11 +62,36 @@ def test_nulls_and_repeats(spark):
     assert preference.preference_examples(spark.createDataFrame([], TURNS)).count() == 0
 
 
-@pytest.mark.parametrize("conversations", [[], [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (2, 0, "assistant", "c"), (None, 0, "user", None)]])
-def test_branches(spark, conversations):
-    df = spark.createDataFrame(conversations, "conv_id long, turn long, role string, text string")
-    rows = preference.branched(df).collect()
-    assert len(rows) == 2 * len(conversations)
-    rejected = {(r.pair_id, r.turn): r.text for r in rows if r.side == "rejected"}
-    if conversations:
-        assert rejected == {(1, 0): "a", (1, 1): "c", (2, 0): "c", (None, 0): None}
+CONVERSATIONS = [
+    # Gaps between ids; ranks 0 to 4.
+    (10, [("user", "a"), ("assistant", "b"), ("user", "c"), ("assistant", "d")]),
+    (17, [("user", "e"), ("assistant", "f"), ("user", "g"), ("assistant", "h")]),
+    (400, [("system", "s"), ("user", "i"), ("assistant", "j"), ("user", "k"), ("assistant", "l"), ("user", "m")]),
+    (401, [("user", "without an answer")]),
+    (9000, [("user", "n"), ("assistant", "o")]),
+]
+
+
+def branches(spark, conversations):
+    rows = [(i, n, role, text, 1, True) for i, turns in conversations for n, (role, text) in enumerate(turns)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, rank int, cut boolean")
+    out = {}
+    for r in preference.branched(df).orderBy("turn").collect():
+        out.setdefault((r.pair_id, r.side), []).append((r.role, r.text))
+    return out
+
+
+def test_branches_go_on_as_the_next_conversation_there_is(spark):
+    got = branches(spark, CONVERSATIONS)
+    own = dict(CONVERSATIONS)
+    assert {i: got[i, "chosen"] for i in own} == own
+    assert got[10, "rejected"] == own[10][:3] + own[17][3:]  # even rank: last answer
+    assert got[17, "rejected"] == own[17][:1] + own[400][2:]  # odd rank: first answer, and on
+    for alone in (400, 401, 9000):  # the next has no answer, none of its own, no next one
+        assert got[alone, "rejected"] == own[alone]
+
+
+def test_no_conversations_and_one_without_id(spark):
+    assert branches(spark, []) == {}
+    got = branches(spark, [(None, [("user", None), ("assistant", "x")]), (1, [("assistant", "y")])])
+    assert got[None, "rejected"] == got[None, "chosen"] and got[1, "rejected"] == [("assistant", "y")]
