@@ -175,7 +175,7 @@ def license_sql() -> str:
         WITH texts AS (SELECT doc_id, coalesce(text, '') AS t, MAP {{{known}}} AS known FROM documents),
         found AS (SELECT doc_id, {found(cut('t'))} AS sentence_ids, {found(wrapped)} AS wrapped_ids FROM texts),
         both_ids AS (SELECT *, ' ' || sentence_ids || ' | ' || wrapped_ids || ' ' AS ids FROM found)
-        SELECT doc_id, CASE {rules} ELSE '' END AS licence, array_to_string([{every}], ',') AS licences,
+        SELECT doc_id, CASE {rules} ELSE '' END AS licence, coalesce(array_to_string(list_filter([{every}], lambda i: i IS NOT NULL), ','), '') AS licences,
                sentence_ids, wrapped_ids FROM both_ids"""
 
 
