@@ -67,12 +67,13 @@ def difference(spark, connection, query, sql: str, sf_dir: str) -> str | None:
 
 
 def main() -> int:
+    from __spark_entry__ import oracle_sql, queries
     from heatgrid.session import build_session
-    from workloads.catalog import CATALOG
 
+    registered, oracles = queries(), oracle_sql()
     arguments = sys.argv[1:]
     sf_dir = arguments[0] if arguments else "/root/testdata/sf0.01"
-    wanted = arguments[1:] or list(CATALOG)
+    wanted = arguments[1:] or list(oracles)
     spark = build_session(
         "compare", "local[8]", spark__ui__enabled="false", spark__sql__shuffle__partitions="8",
         spark__driver__memory="8g",
@@ -83,7 +84,7 @@ def main() -> int:
     for name in wanted:
         start = time.time()
         try:
-            problem = difference(spark, connection, CATALOG[name].run, CATALOG[name].sql, sf_dir)
+            problem = difference(spark, connection, registered[name], oracles[name], sf_dir)
         except Exception as error:  # a broken query is a finding, not the end of the run
             problem = f"{type(error).__name__}: {str(error)[:1500]}"
         failures += problem is not None
