@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 WORD_BITS = 256
 BIT = [1 << i for i in range(WORD_BITS)]
-CACHED_TOKENS = 150_000  # per Python worker, and as many older ones
+CACHED_TOKENS = 300_000  # per Python worker, and as many older ones
 CACHED_LENGTH = 48
 ROWS = 256
 
