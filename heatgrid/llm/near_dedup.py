@@ -16,10 +16,13 @@ steps, each verified on whole shingle sets, and links give components:
 3. all members of a bucket that are still in different components.
 
 The first two join a group of copies with about as many pairs as it has members, so the last, which leaves
-nothing out, meets few. A pair is taken at the first band it shares only, and only if four bits of the earliest
-darts at a finer set of coordinates agree about as often as they should; large buckets are compared in blocks.
-So no link between two texts is lost but by chance: with 40 bands of 6, a pair of similarity 0.8 shares no band
-with probability 5e-6, and fails on the bits, at 4.5 standard errors, with 3e-6.
+nothing out, meets few. A pair is taken at the first band it shares only, and only if two sketches allow it;
+large buckets are compared in blocks. The odd sketch has a bit for each hash value, set if an odd number of
+shingles falls there: two of them differ in at most as many bits as their texts in shingles, and in almost as
+many where those are few, so that hardly a pair just below the similarity is compared whole. For long texts,
+where it is full, four bits of each signature coordinate have to agree about as often as they should. So no link
+between two texts is lost but by chance: with 40 bands of 6, a pair of similarity 0.8 shares no band with
+probability 5e-6, and fails on either sketch, at 4.5 standard errors, with 3e-6.
 
 Exactly equal texts are one node throughout. A class is a component of links, named after its smallest
 doc_id.
@@ -30,7 +33,8 @@ Repeated rows belong to one class, of which one row is kept. An empty table give
 """
 
 import hashlib
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from uuid import uuid4
 
 import numpy as np
@@ -45,12 +49,13 @@ SIMILARITY = 0.8
 BANDS, BAND_ROWS = 40, 6
 FIRST_BANDS = 8
 BLOCK = 256  # members of a bucket that are compared with as many others in one go
-FINER = 4  # coordinates of the sketch to one of the bands
+ODD_BITS = 2048
 STANDARD_ERRORS = 4.5
 ROWS = 64
 MAX_ID = (1 << 63) - 1
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # fixed values: a 64-bit mixer's
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -61,7 +66,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def stepped(x: np.ndarray, step: int) -> np.ndarray:
-    return mixed(x + np.uint64((step * 0x9E3779B97F4A7C15) % (1 << 64)))
+    return mixed(x + np.uint64((step * int(_STEP)) % (1 << 64)))
 
 
 class Codes(dict):
@@ -92,78 +97,94 @@ def shingles(text: str, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(sets: list[tuple[np.ndarray, np.ndarray]], coordinates: int) -> tuple[np.ndarray, np.ndarray]:
-    """The identity of the earliest dart at each coordinate, a row for each (elements, weights); and the same
-    for finer coordinates up to the first time limit, 0 where that brought no dart."""
+    """The identity of the earliest dart at each coordinate, a row for each (elements, weights); and the odd sketches."""
     out = np.zeros((len(sets), coordinates), np.uint64)
-    finer = None
     left = np.arange(len(sets))
     limits = np.array([coordinates * (np.log(coordinates) + 2) / weights.sum() for _, weights in sets])
+    streams = [units(*some) for some in sets]
     while len(left):
-        earliest, fine = thrown([sets[i] for i in left], limits[left], coordinates)
-        finer = fine if finer is None else finer
+        earliest = thrown([streams[i] for i in left], limits[left], coordinates)
         done = (earliest != 0).all(1)
         out[left[done]] = earliest[done]
         left = left[~done]
         limits[left] *= 2
-    return out, np.zeros((0, coordinates * FINER), np.uint64) if finer is None else finer
+    return out, odd_sketches([seed for seed, _ in streams])
 
 
-def thrown(
-    sets: list[tuple[np.ndarray, np.ndarray]], limits: np.ndarray, coordinates: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """The earliest darts of all sets within their time limits, at coordinates and finer ones; 0 for none."""
-    fine = coordinates * FINER
-    weights = np.concatenate([weights for _, weights in sets]).astype(np.float64)
+def units(elements: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A seed per unit of weight, and how much of the unit the weight covers."""
     whole = np.ceil(weights).astype(np.int64)
-    seed = np.repeat(np.concatenate([elements for elements, _ in sets]), whole)
-    owner = np.repeat(np.repeat(np.arange(len(sets)), [len(elements) for elements, _ in sets]), whole)
-    unit = np.arange(len(seed)) - np.repeat(np.cumsum(whole) - whole, whole)
-    cover = np.minimum(np.repeat(weights, whole) - unit, 1.0)
-    seed = stepped(seed + mixed(unit.astype(np.uint64)), 101)
+    unit = np.arange(whole.sum()) - np.repeat(np.cumsum(whole) - whole, whole)
+    seed = stepped(np.repeat(elements, whole) + mixed(unit.astype(np.uint64)), 101)
+    return seed, np.minimum(np.repeat(weights, whole) - unit, 1.0)
+
+
+def odd_sketches(seeds: list[np.ndarray]) -> np.ndarray:
+    """A row of ODD_BITS bits for each, those set where an odd number of seeds falls."""
+    owner = np.repeat(np.arange(len(seeds)), [len(seed) for seed in seeds])
+    place = (np.concatenate(seeds) % np.uint64(ODD_BITS)).astype(np.int64)
+    odd = np.bincount(owner * ODD_BITS + place, minlength=len(seeds) * ODD_BITS) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(len(seeds), -1), axis=1).view(np.uint64)
+
+
+def thrown(streams: list[tuple[np.ndarray, np.ndarray]], limits: np.ndarray, coordinates: int) -> np.ndarray:
+    """The earliest darts of all sets, given as ``units``, within their time limits; 0 for none.
+
+    Each round throws as many darts of every stream as are to be expected in the time it has left, so that a
+    text of one shingle takes few rounds too.
+    """
+    seed, cover = (np.concatenate(parts) for parts in zip(*streams))
+    owner = np.repeat(np.arange(len(streams)), [len(seed) for seed, _ in streams])
     left = limits[owner]  # time until each stream's limit
+    before = np.zeros(len(seed), np.int64)  # darts thrown by each
     times, darts, places = [], [], []
     while len(seed):
-        seed = stepped(seed, 7)
-        chance = (seed >> np.uint64(11)).astype(np.float64) * 2.0**-53
-        hits = np.flatnonzero(chance < -np.expm1(-left))  # those that arrive in time
-        seed, owner, cover = seed[hits], owner[hits], cover[hits]
-        left = left[hits] + np.log1p(-chance[hits])
-        dart = stepped(seed, 13) | np.uint64(1)
-        low = ((dart & np.uint64(0xFFFFFFFF)).astype(np.float64) * 2.0**-32) < cover
-        place = (((dart >> np.uint64(32)) * np.uint64(fine)) >> np.uint64(32)).astype(np.int64)
-        times.append(left[low] / limits[owner[low]])
-        darts.append(dart[low])
-        places.append((owner * fine + place)[low])
+        many = np.ceil(left).astype(np.int64)
+        ends = np.cumsum(many)
+        stream = np.repeat(np.arange(len(seed)), many)
+        number = np.arange(ends[-1]) + (before - ends + many)[stream]
+        value = mixed(seed[stream] + (number.astype(np.uint64) + np.uint64(1)) * _STEP)
+        wait = -np.log1p((value >> np.uint64(11)).astype(np.float64) * -(2.0**-53))
+        passed = np.cumsum(wait)
+        ahead = (left + passed[ends - many] - wait[ends - many])[stream] - passed
+        hits = np.flatnonzero(ahead > 0)  # those that arrive in time
+        at = stream[hits]
+        dart = stepped(value[hits], 13) | np.uint64(1)
+        low = np.flatnonzero(((dart & np.uint64(0xFFFFFFFF)).astype(np.float64) * 2.0**-32) < cover[at])
+        dart = dart[low]
+        place = (((dart >> np.uint64(32)) * np.uint64(coordinates)) >> np.uint64(32)).astype(np.int64)
+        times.append(ahead[hits[low]])
+        darts.append(dart)
+        places.append(owner[at[low]] * coordinates + place)
+        ahead = ahead[ends - 1]
+        more = np.flatnonzero(ahead > 0)
+        before = (before + many)[more]
+        seed, owner, cover, left = seed[more], owner[more], cover[more], ahead[more]
     order = np.argsort(np.concatenate(times))  # the earliest has most time left and comes last
-    place, dart = np.concatenate(places)[order], np.concatenate(darts)[order]
-    out = []
-    for size, at in ((coordinates, place // FINER), (fine, place)):
-        earliest = np.zeros(len(sets) * size, np.uint64)
-        earliest[at] = dart  # the last written stays
-        out.append(earliest.reshape(len(sets), size))
-    return out[0], out[1]
+    earliest = np.zeros(len(streams) * coordinates, np.uint64)
+    earliest[np.concatenate(places)[order]] = np.concatenate(darts)[order]  # the last written stays
+    return earliest.reshape(len(streams), coordinates)
 
 
 def band_keys(
     texts: list[str], weighted: bool, bands: int, rows: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For each text the keys of its bands; four bits of each finer coordinate, 16 of them to a number and 0 for
-    no dart; how many have a dart; and the total weight."""
+    """For each text the keys of its bands; four bits of each coordinate, 16 of them to a number and the last
+    ones 0; the odd sketch; and the total weight."""
     sets = [shingles(text) for text in texts]
     if not weighted:
         sets = [(elements, np.ones(len(elements))) for elements, _ in sets]
-    parts, fine = signatures(sets, bands * rows)
-    bits = np.zeros((len(texts), -(-fine.shape[1] // 16) * 16), np.uint64)
-    bits[:, : fine.shape[1]] = np.where(fine == 0, 0, mixed(fine) % np.uint64(15) + np.uint64(1))
-    filled = np.count_nonzero(fine, axis=1)
+    parts, odd = signatures(sets, bands * rows)
+    bits = np.zeros((len(texts), -(-parts.shape[1] // 16) * 16), np.uint64)
+    bits[:, : parts.shape[1]] = mixed(parts) % np.uint64(15) + np.uint64(1)
     bits = bits.reshape(len(texts), -1, 16)
-    sketch = np.bitwise_or.reduce(bits << (np.uint64(4) * np.arange(16, dtype=np.uint64)), axis=2)
+    marks = np.bitwise_or.reduce(bits << (np.uint64(4) * np.arange(16, dtype=np.uint64)), axis=2)
     weight = np.array([weights.sum() for _, weights in sets])
     parts = parts.reshape(len(texts), bands, rows)
     key = np.broadcast_to(mixed(np.arange(bands, dtype=np.uint64) + np.uint64(1)), (len(texts), bands))
     for i in range(rows):
         key = mixed(key ^ parts[:, :, i])
-    return key.view(np.int64), sketch.view(np.int64), filled, weight
+    return key.view(np.int64), marks.view(np.int64), odd.view(np.int64), weight
 
 
 def signed(docs: DataFrame, weighted: bool, bands: int, rows: int) -> DataFrame:
@@ -178,46 +199,49 @@ def signed(docs: DataFrame, weighted: bool, bands: int, rows: int) -> DataFrame:
             for some in (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS)):
                 texts = [text.as_py() or "" for text in some.column(1)]
                 nodes = [hashlib.md5(text.encode("utf-8", "surrogatepass")).digest() for text in texts]
-                keys, sketches, filled, weight = band_keys(texts, weighted, bands, rows)
+                keys, marks, odd, weight = band_keys(texts, weighted, bands, rows)
                 yield pa.RecordBatch.from_arrays(
                     [
                         some.column(0),
                         pa.array(nodes, pa.binary()),
                         lists(keys),
                         pa.StructArray.from_arrays(
-                            [lists(sketches), pa.array(filled, pa.int32()), pa.array(weight, pa.float64())],
-                            ["bits", "filled", "weight"],
+                            [lists(marks), lists(odd), pa.array(weight, pa.float64())], ["marks", "odd", "weight"]
                         ),
                     ],
                     ["doc_id", "node", "bands", "sketch"],
                 )
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        made, "doc_id long, node binary, bands array<long>, sketch struct<bits:array<long>,filled:int,weight:double>"
+        made, "doc_id long, node binary, bands array<long>, sketch struct<marks:array<long>,odd:array<long>,weight:double>"
     )
 
 
-def alike(a: str, b: str, similarity: float) -> Column:
-    """Whether two sketches agree about as often as those of similar texts.
+def alike(a: str, b: str, similarity: float, coordinates: int) -> Column:
+    """Whether two texts may be as similar as asked for, by their sketches.
 
-    Of the coordinates that the heavier text has hit, which had less time, the other has the same dart at a share
-    of at least the similarity. Different darts agree in their four bits with probability 1/15.
+    Of n coordinates a share of at least the similarity has the same dart; different darts agree in their four
+    bits with probability 1/15. Of all shingles of two similar texts at most (1 - s) / (1 + s) are in one only, and
+    the odd sketches differ in no more bits than that, in fewer where several fall on one bit.
     """
 
-    def agreeing(x: Column, y: Column) -> Column:
-        def nonzero(z: Column) -> Column:
-            z = z.bitwiseOR(F.shiftrightunsigned(z, 1))
-            return z.bitwiseOR(F.shiftrightunsigned(z, 2)).bitwiseAND(F.lit(0x1111111111111111))
-
-        # Hit in either and not different.
-        return F.bit_count(nonzero(x.bitwiseOR(y)).bitwiseAND(F.bitwise_not(nonzero(x.bitwiseXOR(y)))))
-
-    a, b = F.col(a), F.col(b)
-    agree = F.aggregate(F.zip_with(a["bits"], b["bits"], agreeing), F.lit(0), lambda total, n: total + n)
-    hit = F.when(a["weight"] >= b["weight"], a["filled"]).otherwise(b["filled"])
-    expected = similarity + (1 - similarity) / 15
-    error = STANDARD_ERRORS * F.sqrt(hit * expected * (1 - expected))
-    return agree >= hit * F.lit(expected) - error - 1
+    def summed(part: str, ones: Callable[[Column, Column], Column]) -> Column:
+        counts = F.zip_with(F.col(a)[part], F.col(b)[part], lambda x, y: F.bit_count(ones(x, y)))
+        return F.aggregate(counts, F.lit(0), lambda total, n: total + n)
+
+    def disagreeing(x: Column, y: Column) -> Column:
+        z = x.bitwiseXOR(y)
+        z = z.bitwiseOR(F.shiftrightunsigned(z, 1))
+        return z.bitwiseOR(F.shiftrightunsigned(z, 2)).bitwiseAND(F.lit(0x1111111111111111))
+
+    most = (F.col(a)["weight"] + F.col(b)["weight"]) * ((1 - similarity) / (1 + similarity))
+    mean = (1 - F.exp(most * math.log1p(-2 / ODD_BITS))) * (ODD_BITS / 2)
+    likely = mean + STANDARD_ERRORS * F.sqrt(mean * (1 - mean / ODD_BITS)) + 1
+    differ = (1 - similarity) * 14 / 15 * coordinates
+    error = STANDARD_ERRORS * math.sqrt(differ * (1 - differ / coordinates))
+    return (summed("odd", Column.bitwiseXOR) <= F.least(most + 1e-6, likely)) & (
+        summed("marks", disagreeing) <= differ + error + 1
+    )
 
 
 def stars(buckets: DataFrame, classes: DataFrame | None) -> DataFrame:
@@ -239,7 +263,9 @@ def stars(buckets: DataFrame, classes: DataFrame | None) -> DataFrame:
     )
 
 
-def open_pairs(buckets: DataFrame, classes: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+def open_pairs(
+    buckets: DataFrame, classes: DataFrame, nodes: DataFrame, similarity: float, coordinates: int
+) -> DataFrame:
     """(a, b): all members of one bucket that are in different components and may be similar, each pair once.
 
     Members are dealt into blocks, and each block meets every other in a group of its own.
@@ -276,7 +302,7 @@ def open_pairs(buckets: DataFrame, classes: DataFrame, nodes: DataFrame, similar
         # Two of one block meet in the group of that block only.
         & ((F.col("own") != F.col("own_b")) | (F.col("first") == F.col("second")))
         & (first_shared == F.col("band"))
-        & alike("sketch", "sketch_b", similarity)
+        & alike("sketch", "sketch_b", similarity, coordinates)
     )
     return pairs.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b"))
 
@@ -407,7 +433,7 @@ def near_duplicates(
     def likely(pairs: DataFrame) -> DataFrame:
         sides = [nodes.select(F.col("node").alias(x), F.col("sketch").alias(f"sketch_{x}")) for x in "ab"]
         met = pairs.join(sides[0], "a").join(sides[1], "b")
-        return met.where(alike("sketch_a", "sketch_b", similarity)).select("a", "b")
+        return met.where(alike("sketch_a", "sketch_b", similarity, bands * rows)).select("a", "b")
 
     def linked(pairs: DataFrame, name: str) -> DataFrame:
         return stored(similar(stored(pairs, name), spark.table(texts), similarity, weighted), f"{name}-links")
@@ -418,7 +444,7 @@ def near_duplicates(
         more = linked(likely(stars(buckets, found)), "second")
         if not more.isEmpty():
             found = merged(found, more)
-        last = linked(open_pairs(buckets, found, nodes, similarity), "open")
+        last = linked(open_pairs(buckets, found, nodes, similarity, bands * rows), "open")
         if not last.isEmpty():
             found = merged(found, last)
     finally:

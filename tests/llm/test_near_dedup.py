@@ -88,3 +88,29 @@ def test_components(spark):
     df = spark.createDataFrame(links, "a binary, b binary")
     got = {bytes(r.node): bytes(r.component) for r in near_dedup.components(df).collect()}
     assert got == {b"a": b"a", b"b": b"a", b"c": b"a", b"x": b"x", b"y": b"x"} | {bytes([n]): b"\x00" for n in range(31)}
+
+
+def test_pairs_below_the_similarity_are_not_compared_whole(table, monkeypatch):
+    """A group in which every pair has a similarity of some 0.75: the sketches tell nearly all of them apart."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for copy in range(60):
+        words = list(base)
+        for place in rng.sample(range(2, 298, 5), 5):
+            words[place] = f"edit{copy}x{place}"
+        rows.append((copy, " ".join(words), "a"))
+    sets = [shingle_set(text) for _, text, _ in rows]
+    likeness = [len(a & b) / len(a | b) for i, a in enumerate(sets) for b in sets[:i]]
+    assert sum(0.7 < x < 0.8 for x in likeness) > 0.5 * len(likeness)
+    compared, whole = [], near_dedup.similar
+    monkeypatch.setattr(near_dedup, "similar", lambda pairs, *rest: compared.append(pairs.count()) or whole(pairs, *rest))
+    assert found(near_dedup.near_duplicates(table(rows))) == classes(rows)
+    assert sum(compared) < 0.25 * len(likeness)
+
+
+def test_few_shingles_take_few_rounds(monkeypatch):
+    calls, whole = [], near_dedup.mixed
+    monkeypatch.setattr(near_dedup, "mixed", lambda x: calls.append(1) or whole(x))
+    keys, *_ = near_dedup.band_keys(["one", "", "one", "a b c d e f g"], False, 40, 6)
+    assert len(calls) < 400 and (keys[0] == keys[2]).all() and (keys[0] != keys[1]).all()
