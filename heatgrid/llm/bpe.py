@@ -168,8 +168,12 @@ class ByteBPE:
         """The ids of each text as 32-bit numbers."""
         split = [self.split(text) for text in texts]
         long = self.learn({piece for pieces in split for piece in pieces})
-        known = {**self.known, **long} if long else self.known
-        return [b"".join(map(known.__getitem__, pieces)) for pieces in split]
+        known = self.known
+        known.update(long)
+        ids = [b"".join(map(known.__getitem__, pieces)) for pieces in split]
+        for piece in long:
+            del known[piece]
+        return ids
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -213,43 +217,54 @@ def loaded(path: str, pattern: str) -> ByteBPE:
 SCHEMA = "doc_id long, ids array<int>"
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, ids) of every row, without special tokens; ``path`` is a rank file on each executor."""
+def encoded_rows(bpe: ByteBPE, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, ids) for each (doc_id, text)."""
+    for batch in batches:
+        # A few rows at a time, since one text may be very long.
+        for some in (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS)):
+            ids = bpe.encode([text.as_py() or "" for text in some.column(1)])
+            ends = np.cumsum([0, *map(len, ids)]) // 4
+            flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
+            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat)
+            yield pa.RecordBatch.from_arrays([some.column(0), lists], ["doc_id", "ids"])
 
-    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = loaded(path, pattern)
-        for batch in batches:
-            # A few rows at a time, since one text may be very long.
-            for some in (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS)):
-                ids = bpe.encode([text.as_py() or "" for text in some.column(1)])
-                ends = np.cumsum([0, *map(len, ids)]) // 4
-                flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
-                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat)
-                yield pa.RecordBatch.from_arrays([some.column(0), lists], ["doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encoded, SCHEMA)
+def decoded_rows(bpe: ByteBPE, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, ids, decoded) for each (doc_id, ids)."""
+    for batch in batches:
+        for some in (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS)):
+            lists = (ids.values.drop_null() if ids.is_valid else pa.array([], pa.int32()) for ids in some.column(1))
+            texts = [bpe.decode(ids.to_numpy().tolist()) for ids in lists]
+            yield pa.RecordBatch.from_arrays([*some.columns, pa.array(texts, pa.binary())], ["doc_id", "ids", "decoded"])
+
+
+def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """(doc_id, ids) of every row, without special tokens; ``path`` is a rank file on each executor."""
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    return texts.mapInArrow(lambda batches: encoded_rows(loaded(path, pattern), batches), SCHEMA)
 
 
 def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     """(doc_id, ids, decoded) where ``decoded`` holds the bytes that the ids stand for."""
+    ids = encoded.select("doc_id", "ids")
+    return ids.mapInArrow(lambda batches: decoded_rows(loaded(path, pattern), batches), SCHEMA + ", decoded binary")
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``decode_documents`` of ``encode_documents`` in one Python worker per task: two would each come to hold
+    ranks and pre-tokens, since workers change places from task to task."""
 
-    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path, pattern)
-        for batch in batches:
-            for some in (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS)):
-                lists = (ids.values.drop_null() if ids.is_valid else pa.array([], pa.int32()) for ids in some.column(1))
-                texts = [bpe.decode(ids.to_numpy().tolist()) for ids in lists]
-                yield pa.RecordBatch.from_arrays(
-                    [*some.columns, pa.array(texts, pa.binary())], ["doc_id", "ids", "decoded"]
-                )
+        return decoded_rows(bpe, encoded_rows(bpe, batches))
 
-    return encoded.select("doc_id", "ids").mapInArrow(decoded, SCHEMA + ", decoded binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(both, SCHEMA + ", decoded binary")
 
 
 def round_trip_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Per document the number of its tokens, and digests of its ids and of what they decode to."""
     ids = F.concat_ws(",", F.col("ids").cast("array<string>"))
-    return decode_documents(encode_documents(docs, path, pattern), path, pattern).select(
+    return round_trip(docs, path, pattern).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(ids, 256).alias("ids_sha256"),

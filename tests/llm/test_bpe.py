@@ -109,3 +109,18 @@ def test_null_ids(spark):
     rows = bpe.decode_documents(df, PATH, public_tokenizers.PATTERN).orderBy("doc_id").collect()
     tokens = bpe.loaded(PATH, public_tokenizers.PATTERN).tokens
     assert [bytes(r.decoded) for r in rows] == [tokens[100] + tokens[200], b"", b""]
+
+
+def test_a_round_trip_takes_one_python_worker_per_task(odd):
+    """Two in one task would both hold ranks and pre-tokens."""
+    plan = bpe.round_trip_digests(odd, PATH, public_tokenizers.PATTERN)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    apart = bpe.decode_documents(bpe.encode_documents(odd, PATH, public_tokenizers.PATTERN), PATH, public_tokenizers.PATTERN)
+    whole = bpe.round_trip(odd, PATH, public_tokenizers.PATTERN)
+    assert sorted(map(repr, whole.collect())) == sorted(map(repr, apart.collect()))
+
+
+def test_long_pre_tokens_are_not_kept(own, other):
+    text = "a" * 500 + " and " + "xyz" * 200
+    assert ids(own, text) == other.encode_ordinary(text)
+    assert max(map(len, own.known)) <= bpe.CACHED_LENGTH
