@@ -21,6 +21,9 @@ from heatgrid.schema import (
 )
 from heatgrid.session import exists
 
+# Cells of a tile whose hours go to one file together: four rows of the default tile.
+BAND_CELLS = 1024
+
 
 def finite_or_null(value: Column) -> Column:
     """NULL for NaN and for both infinities.
@@ -89,9 +92,10 @@ def write_hourly(
 ) -> None:
     """Partition by year and tile, sort by cell and hour. The year is that of ``ts``, in UTC.
 
-    Rows are spread by (year, tile, four rows of the grid), which Spark joins into partitions of even size
-    without sampling, so that a year or tile far larger than the others becomes more files. All hours of
-    a cell share a file: the daily aggregation then combines the hours of a cell-day before its shuffle.
+    Rows are spread by (year, tile, band of the tile), which Spark joins into partitions of even size
+    without sampling, so that a year or tile far larger than the others becomes more files. A band has some
+    BAND_CELLS cells, so that small tiles are one file and not as many as they have rows. All hours of a
+    cell share a file: the daily aggregation then combines the hours of a cell-day before its shuffle.
     ``partitions`` fixes the number of ranges of (year, tile, cell) instead.
 
     A delivery replaces whole years: for a year that is there already, ``replace`` has to say so, since
@@ -108,7 +112,9 @@ def write_hourly(
     if partitions:
         spread = tiled.repartitionByRange(partitions, "year", TILE_ID, *CELL)
     else:
-        band = F.call_function("div", F.col("lat_idx"), F.lit(4))
+        rows, cols = shape
+        height = -(-rows // max(1, round(rows * cols / BAND_CELLS)))
+        band = F.call_function("div", F.col("lat_idx") % rows, F.lit(height))
         spread = tiled.withColumn("_band", band).hint("rebalance", "year", TILE_ID, "_band").drop("_band")
     (
         spread.sortWithinPartitions("year", TILE_ID, *CELL, "ts")

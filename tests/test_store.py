@@ -353,3 +353,20 @@ def test_bucketed_table_needs_no_shuffle(spark):
     assert "Exchange" not in daily._jdf.queryExecution().executedPlan().toString()
     assert daily.count() == 18
     spark.sql("DROP TABLE hourly_bucketed")
+
+
+def test_a_small_tile_is_one_file_and_a_large_one_several(spark, tmp_path):
+    """Files of the hourly table by tile, where Spark joins no partitions."""
+    from pathlib import Path
+
+    hourly = to_spark(spark, weather(days=1, rows=32, cols=4))
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        source.write_hourly(hourly, str(tmp_path / "small"), (32, 4))
+        source.write_hourly(hourly, str(tmp_path / "large"), (32, 256))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    small, large = (list(Path(tmp_path, name).rglob("*.parquet")) for name in ("small", "large"))
+    assert len(small) == 1 and len(large) > 1
+    assert source.scan_hourly(spark, str(tmp_path / "small")).count() == hourly.count()
